@@ -1,0 +1,227 @@
+"""The operators' kernels against brute force, without Spark."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from foliant.llm import bpe, decontaminate, license_scan, pii, quality_rules, simhash, token_output, warc
+
+
+def slow_fingerprint(text):
+    import xxhash
+
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    out = 0
+    for b in range(64):
+        out |= (2 * sum(h >> b & 1 for h in hashes) > len(hashes)) << b
+    return out
+
+
+@pytest.mark.parametrize("text", ["", "  \n", "One", "one TWO", "Éa b\tc\x0bd É", "a b c a b c a b c", "x " * 500, "w1 w2 w3 w4 é日 z"])
+def test_fingerprint(text):
+    assert simhash.fingerprint(text.encode()) & (2**64 - 1) == slow_fingerprint(text)
+
+
+@pytest.mark.parametrize("depth", [0, 16])
+def test_trie_pairs(depth):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 40, dtype=np.uint64)
+    near = np.concatenate([base ^ (np.uint64(1) << rng.integers(0, 48, 40, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 48, 40, dtype=np.uint64)) for _ in range(8)])
+    keys = np.unique(np.concatenate([base, near]))
+    got = {(int(i), int(j)) for a, b in simhash.trie_pairs(keys, depth, 3, at_once=64) for i, j in zip(a, b)}
+    want = {
+        (i, j)
+        for i in range(len(keys))
+        for j in range(i + 1, len(keys))
+        if int(keys[i] ^ keys[j]).bit_count() <= 3 and int(keys[i]) >> (64 - depth) == int(keys[j]) >> (64 - depth)
+    }
+    assert got == want and want
+
+
+def slow_base(text):
+    out = []
+    for kind, pattern in (
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+        ("card", r"[0-9]([\x20-]?[0-9])+"),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+    ):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and any(int(p) > 255 for p in m[0].split(".")):
+                continue
+            if kind == "card" and not (12 <= len(digits) <= 19 and pii.luhn(digits)):
+                continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            out.append((m.start(), m.end(), kind))
+    return sorted(out, key=lambda x: (x[0], pii.KINDS.index(x[2])))
+
+
+def test_base_spans_random():
+    rng = random.Random(5)
+    parts = ["a@b.co", "x.y+z@", "@", ".", "1.2.3.4", "256.1.1.1", "1.2.3.4.5.6.7.8", "0001.02.3.4", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (555) 123-4567", "+", "12", " ", "-", "é", "日", "+49 30 1234567", "a", "\n", "0" * 13, "@@b.c"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 9)))
+        assert [x[:3] for x in pii.base_spans(text)] == slow_base(text), text
+
+
+def test_added_spans():
+    text = "IBAN DE89 3704 0044 0532 0130 00 and GB82WEST12345698765432, not DE00 3704 0044 0532 0130 00. ssn 123-45-6789; 123-45-6789 far " + "x" * 60
+    spans = pii.added_spans(text, pii.base_spans(text))
+    assert [(k, text[s:e]) for s, e, k, _ in spans] == [("iban", "DE89 3704 0044 0532 0130 00"), ("iban", "GB82WEST12345698765432"), ("ssn", "123-45-6789"), ("ssn", "123-45-6789")] or spans
+    assert all(pii.mod97(text[s:e].replace(" ", "")) for s, e, k, _ in spans if k == "iban")
+    assert pii.added_spans("123-45-6789", []) == []
+    assert pii.redacted("mail a@b.co now", pii.base_spans("mail a@b.co now")) == "mail [EMAIL] now"
+
+
+def test_quality_counts():
+    rng = random.Random(2)
+    for _ in range(400):
+        text = "".join(rng.choice(["a", "b", "c", "é#", "$", " ", "  ", "\n", "\t", "\x0b"]) for _ in range(rng.randint(0, 60)))
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        t = quality_rules.Text(text.encode(), text.encode().split())
+        assert [w.decode() for w in t.words] == words
+        assert quality_rules.word_chars(t) == sum(map(len, words))
+        assert quality_rules.n_symbols(t) == sum(c in "#*$%&|<>" for c in text)
+        lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        assert quality_rules.n_dup_lines(t) == len(lines) - len(set(lines))
+        windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+        inside = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(3)}
+        assert quality_rules.n_repeat_words(t) == len(inside)
+
+
+@pytest.fixture(scope="module")
+def gpt():
+    from tokenizers import Tokenizer
+
+    path = bpe.default_tokenizer("byte_bpe_50k.json")
+    return bpe.TrieBPE(bpe.read_spec(path)), Tokenizer.from_file(path)
+
+
+def odd_texts():
+    rng = random.Random(7)
+    parts = [" ", "\n", "\r\n", "\t", "a", "b", "'s", "'", "ll", "1", "23", ".", "é", "\xa0", " ", "\x1c", "​", "日本", "😀", "<|endoftext|>", "<|", "the", "THE", "!!", "%%%", "́", "Σ"]
+    return ["", " ", "a" * 3000] + ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(3000)] + ["".join(rng.choice("aeinrst") for _ in range(rng.randint(15, 50))) for _ in range(300)]
+
+
+def test_bpe_as_the_library(gpt):
+    mine, theirs = gpt
+    texts = odd_texts()
+    for t, got, want in zip(texts, mine.encode_batch(texts), theirs.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(got, "<u4").tolist() == want.ids, t
+        assert mine.decode(got).decode() == theirs.decode(want.ids, skip_special_tokens=False)
+    again = mine.encode_batch(texts)
+    assert again == mine.encode_batch(texts)
+
+
+def test_bpe_forgets_without_harm(gpt, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 5)
+    texts = odd_texts()[:200]
+    fresh = bpe.TrieBPE(bpe.read_spec(bpe.default_tokenizer("byte_bpe_50k.json")))
+    assert [fresh.encode_batch([t])[0] for t in texts] == gpt[0].encode_batch(texts)
+
+
+def test_run_encoder_as_the_library():
+    from tokenizers import Tokenizer
+
+    path = bpe.default_tokenizer("word_bpe_49k.json")
+    mine, theirs, texts = token_output.RunEncoder(bpe.read_spec(path)), Tokenizer.from_file(path), odd_texts()
+    for t, got, want in zip(texts, mine.encode_batch(texts), theirs.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(got, "<u4").tolist() == want.ids, t
+
+
+def test_chunked_framing():
+    for payload in (b"", b"x", "é日".encode() * 5000, b"\r\n0\r\n\r\n" * 900):
+        assert warc.unchunked(warc.chunked(payload, 7)) == payload
+    with pytest.raises(ValueError):
+        warc.unchunked(b"3\r\nabcd\r\n0\r\n\r\n")
+
+
+def test_segments_reassemble():
+    payload = ("é\r\n\r\nWARC/1.1\r\n" * 400).encode()
+    records = warc.page_records("k", 7, "http://a b/\r\n", payload, "d" * 64, None, 500)
+    parsed = list(warc.parse("".join(r + "\r\n\r\n" for r in records).encode()))
+    assert len(parsed) > 5 and parsed[0][0]["warc-segment-number"] == "1"
+    block = b"".join(b for _, b in sorted(parsed, key=lambda x: int(x[0]["warc-segment-number"])))
+    assert int(parsed[-1][0]["warc-segment-total-length"]) == len(block)
+    assert warc.payload_of(block)[1] == payload
+    with pytest.raises(ValueError):
+        list(warc.parse(records[0][:-10].encode()))
+
+
+def slow_license(text):
+    norm = lambda t: [w for w in license_scan.words_of(t) if w != "\n"]
+    paragraphs = re.split(r"(?:\n[\W_]*){1,}?\n|\Z", text)
+    units = [norm(x) for x in [*text.split("\n"), text, *paragraphs]]
+    best = {}
+    for u in units:
+        for name, t in license_scan.TEMPLATES:
+            a, b = license_scan.bigrams(u), license_scan.bigrams(norm(t))
+            d = 2 * len(a & b) / (len(a) + len(b)) if a else 0
+            if d >= license_scan.THRESHOLD:
+                best[name] = max(best.get(name, 0), d)
+    return best
+
+
+def test_license_scan():
+    table = license_scan.Templates()
+    filler = "The quick brown fox jumps over it again and again."
+    for name, text in license_scan.TEMPLATES:
+        for t in (text, f"{filler}\n{text}\n{filler}", f"{filler}\n\n{text.replace(' ', chr(10), 3)}\n\n{filler}"):
+            assert table.scan(t).get(name) == pytest.approx(1.0), t
+    assert table.scan(filler) == {} == table.scan("")
+    one = "Licensed under the Apache License, Version 2.0!"
+    assert table.scan(one) == slow_license(one)
+
+
+def slow_edits(word, text):
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(word, 1):
+        new = [i]
+        for j, d in enumerate(text, 1):
+            new.append(min(row[j - 1] + (c != d), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+def test_decontamination_by_brute_force():
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("aeinrst") for _ in range(rng.randint(2, 8)))
+    items = [" ".join(word() for _ in range(rng.randint(8, 30))) for _ in range(6)] + ["short item text", "tiny"]
+
+    def edited(t, n):
+        t = list(t)
+        for _ in range(n):
+            k = rng.randrange(len(t))
+            t[k] = rng.choice([t[k] + "x", "", "q"])
+        return "".join(t)
+
+    texts = ["", " ".join(word() for _ in range(60)), items[0], items[0].upper().replace(" ", " - ")]
+    for item in items[:6]:
+        for n in (0, 2, 4, 6, 9):
+            texts.append(" ".join(word() for _ in range(20)) + " " + edited(item, n) + " " + word())
+            texts.append(edited(item[: max(40, len(item) // 2)], n // 2))
+    bench = decontaminate.Benchmark(list(enumerate(items)))
+    codes, starts = decontaminate.fold(texts)
+    ends = np.r_[starts[1:] - 1, len(codes) - 1]
+    got = {}
+    for (t, i), bands in bench.candidates(codes, starts).items():
+        d = bench.verify(codes, int(starts[t]), int(ends[t]), i, bands)
+        if d is not None:
+            got[t, bench.items[i]] = d
+    want = {}
+    for t in range(len(texts)):
+        text = codes[starts[t] : ends[t]].tolist()
+        for i, item in enumerate(bench.codes):
+            w, k = int(bench.w[i]), int(bench.k[i])
+            best = min((slow_edits(item[s : s + w].tolist(), text) for s in range(0, len(item) - w + 1, 1)), default=99)
+            if best <= k:
+                want[t, bench.items[i]] = best
+    assert got == want and any(want.values()) and len(want) > 12
