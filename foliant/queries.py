@@ -1,4 +1,4 @@
 """All queries but those of the training-data subpackage."""
 
-from .plans import relational_queries, sequence_queries, temporal_queries  # noqa: F401
+from .plans import relational_queries, sequence_queries, temporal_queries, token_queries  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
