@@ -22,7 +22,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterable
+import sys
+from array import array
+from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -39,9 +41,10 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECES = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: The pattern of byte-level pre-tokenizers.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Pieces whose encodings are remembered by a worker.
-REMEMBERED = 400_000
-#: Longer pieces aren't remembered.
+#: Words, and pieces made of them, whose encodings are remembered by a worker.
+WORDS_REMEMBERED = 500_000
+REMEMBERED = 200_000
+#: Longer words aren't remembered.
 LONG_PIECE = 64
 
 
@@ -52,6 +55,36 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
+
+
+class Generations:
+    """What is remembered of words: those of late and those before them, each up to a bound."""
+
+    def __init__(self, most: int):
+        self.most, self.new, self.old = most, {}, {}
+
+    def of(self, words: set[str], learn: Callable[[list[str]], dict[str, bytes]]) -> dict[str, bytes]:
+        """The values of ``words``; ``learn`` gives those that aren't remembered."""
+        new, old = self.new, self.old
+        unknown = []
+        for w in words - new.keys():
+            if (v := old.get(w)) is None:
+                unknown.append(w)
+            else:
+                new[w] = v
+        out = new
+        if unknown:
+            learnt = learn(unknown)
+            new.update((w, v) for w, v in learnt.items() if len(w) <= LONG_PIECE)
+            if any(len(w) > LONG_PIECE for w in unknown):
+                out = {w: new[w] if w in new else learnt[w] for w in words}
+        if len(new) > self.most:
+            self.new, self.old = {}, new
+        return out
+
+
 class TrieBPE:
     """Encoder and decoder of a byte-level tokenizer file of the tokenizers library."""
 
@@ -75,8 +108,8 @@ class TrieBPE:
             self.parts.setdefault(z, (x, y, r))
         self.longest = max(map(len, self.ids))
         self.last = {}  # (left, right) -> whether they may stand side by side
-        self.known: dict[str, bytes] = {}  # pieces seen of late
-        self.older: dict[str, bytes] = {}  # and those before them
+        self.pieces: dict[str, bytes] = {}
+        self.words = Generations(WORDS_REMEMBERED)
         self._edges: tuple[dict, dict] = ({}, {})
         self._special = re.compile("|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
 
@@ -142,11 +175,15 @@ class TrieBPE:
             before = word
         return out
 
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         """Encodings of new pieces, as little-endian 32-bit integers."""
-        cut = {p: [w.encode() for w in _WORDS.findall(p)] for p in pieces}
-        words = self.encode_words({w for ws in cut.values() for w in ws})
-        return {p: np.array([t for w in ws for t in words[w]], "<u4").tobytes() for p, ws in cut.items()}
+        cut = [_WORDS.findall(p) for p in pieces]
+        words = self.words.of({w for ws in cut for w in ws}, self._encode)
+        return {p: words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws]) for p, ws in zip(pieces, cut)}
+
+    def _encode(self, words: list[str]) -> dict[str, bytes]:
+        found = self.encode_words(w.encode() for w in words)
+        return {w: packed(found[w.encode()]) for w in words}
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
@@ -159,21 +196,12 @@ class TrieBPE:
                     at = m.end()
             parts.append((b"", _PIECES.findall(t[at:])))
             cut.append(parts)
-        pieces = {p for parts in cut for _, ps in parts for p in ps}
-        known, older = self.known, self.older
-        new = set()
-        for p in pieces - known.keys():
-            if (ids := older.get(p)) is None:
-                new.add(p)
-            else:
-                known[p] = ids
+        known = self.pieces
+        new = list({p for parts in cut for _, ps in parts for p in ps if p not in known})
         known.update(self._learn(new))
-        out = [b"".join(b"".join(map(known.__getitem__, ps)) + special for special, ps in parts) for parts in cut]
-        for p in new:
-            if len(p) > LONG_PIECE:
-                del known[p]
+        out = [b"".join([b"".join([known[p] for p in ps]) + special for special, ps in parts]) for parts in cut]
         if len(known) > REMEMBERED:
-            self.known, self.older = {}, known
+            known.clear()
         return out
 
     def decode(self, ids: bytes) -> bytes:

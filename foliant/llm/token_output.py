@@ -28,17 +28,24 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import LONG_PIECE, REMEMBERED, SPACE, default_tokenizer, lists, read_spec
-from .common import new_path, picked, rowwise
+from .bpe import REMEMBERED, SPACE, WORDS_REMEMBERED, Generations, default_tokenizer, lists, packed, read_spec
+from .common import new_path, picked, rowwise, written
 
 END_ID = 1
 STRIPE_BYTES = 16 << 20
 ROW_INDEX_STRIDE = 2_000
 _RUNS = re.compile(rf"[^{SPACE}]+")
+#: Python's split takes these for white space, the tokenizer doesn't.
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+_WORD = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 class RunEncoder:
-    """Encodes runs of characters other than white space with the tokenizers library."""
+    """Encodes runs of characters other than white space with the tokenizers library.
+
+    A run of Latin letters and then punctuation is cut there, as the tokenizer cuts it, and its letters are lower-cased
+    as the tokenizer does, so that a word is encoded once however it is written.
+    """
 
     def __init__(self, spec: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -48,35 +55,38 @@ class RunEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+        self.words = Generations(WORDS_REMEMBERED)
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, runs: list[str]) -> None:
+        cut = []
+        for r in runs:
+            m = _WORD.fullmatch(r)
+            cut.append((r,) if m is None else (m[1].lower(), m[2]) if m[2] else (m[1].lower(),))
+        words = self.words.of({w for ws in cut for w in ws}, lambda new: dict(zip(new, self._library(new))))
+        self.runs.update((r, words[ws[0]] if len(ws) == 1 else words[ws[0]] + words[ws[1]]) for r, ws in zip(runs, cut))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
         odd = [k for k, t in enumerate(texts) if any(s in t for s in self.special)]
-        runs = [_RUNS.findall(t) for t in texts]
+        runs = [t.split() if not any(c in t for c in _SEPARATORS) else _RUNS.findall(t) for t in texts]
         for k in odd:
             runs[k] = []
-        pieces = set().union(*runs) if runs else set()
-        known, older = self.known, self.older
-        new = []
-        for p in pieces - known.keys():
-            if (ids := older.get(p)) is None:
-                new.append(p)
-            else:
-                known[p] = ids
-        known.update(zip(new, self._library(new)))
-        out = [b"".join(map(known.__getitem__, r)) for r in runs]
-        for k, ids in zip(odd, self._library([texts[k] for k in odd])):
-            out[k] = ids
-        for p in new:
-            if len(p) > LONG_PIECE:
-                del known[p]
-        if len(known) > REMEMBERED:
-            self.known, self.older = {}, known
+        known = self.runs.get
+        ids = [list(map(known, r)) for r in runs]
+        lacking = [k for k, x in enumerate(ids) if None in x]
+        if lacking:
+            self._learn(list({p for k in lacking for p, x in zip(runs[k], ids[k]) if x is None}))
+            for k in lacking:
+                ids[k] = list(map(known, runs[k]))
+        out = [b"".join(x) for x in ids]
+        for k, x in zip(odd, self._library([texts[k] for k in odd])):
+            out[k] = x
+        if len(self.runs) > REMEMBERED:
+            self.runs.clear()
         return out
 
 
@@ -163,7 +173,7 @@ def token_offsets(stored: DataFrame, id_col: str = "doc_id") -> DataFrame:
             "ids_crc32": [zlib.crc32(values[s:e].tobytes()) for s, e in zip(offsets[:-1], offsets[1:])],
         }
 
-    counted = rowwise(rows, schema, lambda: step)
+    counted, _ = written(rowwise(rows, schema, lambda: step), "counted")  # read twice below, ids only once
     files = counted.groupBy("file").agg(F.sum("n_tokens").alias("n"))
     # one row a file, in the order of part numbers
     ordered = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
