@@ -195,8 +195,8 @@ def links(fps: DataFrame, budget: int = 3, subtree_rows: int = 20_000, partition
     key = ["turn", "block", "x", "y"]
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in _whole_groups(batches, subtree_rows):
-            turn, block, x, y, fp = run
+        columns = ([c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches)
+        for turn, block, x, y, fp in whole_groups(columns, 4, subtree_rows):
             keys = fp.view(np.uint64)
             out_a, out_b = [], []
             # rows are sorted by group; one trie for all groups of a turn that aren't sharded, else one for each group
@@ -225,18 +225,20 @@ def _turned(fps: DataFrame, blocks: int, width: int) -> DataFrame:
     return fps.select(F.explode(each).alias("t"), "fp").select("t.*", "fp")
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[list[np.ndarray]]:
-    """Runs of sorted rows, cut only between groups, of about ``rows`` rows or one group."""
+def whole_groups(batches: Iterator[list[np.ndarray]], keys: int, rows: int) -> Iterator[list[np.ndarray]]:
+    """Runs of sorted rows, given and returned by column, of about ``rows`` rows or one group.
+
+    Groups have equal values in the first ``keys`` columns; runs are cut only between groups.
+    """
     held: list[list[np.ndarray]] = []
     count = 0
-    for batch in batches:
-        cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+    for cols in batches:
         held.append(cols)
-        count += batch.num_rows
+        count += len(cols[0])
         if count < rows:
             continue
         cols = [np.concatenate(c) for c in zip(*held)]
-        same = np.all([c == c[-1] for c in cols[:4]], axis=0)
+        same = np.all([c == c[-1] for c in cols[:keys]], axis=0)
         cut = len(same) if same.all() else int(np.flatnonzero(~same)[-1]) + 1
         if same.all():  # one group so far: more of it may come
             held, count = [cols], 0
