@@ -44,6 +44,9 @@ _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 #: Words, and pieces made of them, whose encodings are remembered by a worker.
 WORDS_REMEMBERED = 500_000
 REMEMBERED = 200_000
+#: Words and pairs of tokens that a trie encoder remembers.
+TRIE_WORDS = 250_000
+PAIRS_REMEMBERED = 1_000_000
 #: Longer words aren't remembered.
 LONG_PIECE = 64
 
@@ -109,7 +112,7 @@ class TrieBPE:
         self.longest = max(map(len, self.ids))
         self.last = {}  # (left, right) -> whether they may stand side by side
         self.pieces: dict[str, bytes] = {}
-        self.words = Generations(WORDS_REMEMBERED)
+        self.words = Generations(TRIE_WORDS)
         self._edges: tuple[dict, dict] = ({}, {})
         self._special = re.compile("|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
 
@@ -143,7 +146,7 @@ class TrieBPE:
                     j += 1
                     if j == len(b):
                         break
-            if len(self.last) > 4_000_000:
+            if len(self.last) > PAIRS_REMEMBERED:
                 self.last.clear()
             self.last[key] = known
         return known

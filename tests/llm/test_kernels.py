@@ -123,7 +123,7 @@ def test_bpe_as_the_library(gpt):
 
 def test_bpe_forgets_without_harm(gpt, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 5)
-    monkeypatch.setattr(bpe, "WORDS_REMEMBERED", 7)
+    monkeypatch.setattr(bpe, "TRIE_WORDS", 7)
     texts = odd_texts()[:200]
     fresh = bpe.TrieBPE(bpe.read_spec(bpe.default_tokenizer("byte_bpe_50k.json")))
     assert [fresh.encode_batch([t])[0] for t in texts] == gpt[0].encode_batch(texts)
