@@ -329,8 +329,11 @@ def f41_context(spark, sf):
 
 
 def broken(spark, sf, by):
-    """The documents with words broken before each ``ing``."""
-    return table(spark, sf, "documents").select("doc_id", F.replace("text", F.lit("ing"), F.lit(f"{by}ing")).alias("text"))
+    """The documents with words of six letters or more broken after the third."""
+    return table(spark, sf, "documents").select("doc_id", F.regexp_replace("text", r"(\p{L}{3})(\p{L}{3,})", f"$1{by}$2").alias("text"))
+
+
+_BROKEN = r"regexp_replace(text, '(\p{L}{3})(\p{L}{3,})', '\1' || chr(10) || '\2', 'g')"
 
 
 @query("c02a_rejoined")
@@ -339,7 +342,7 @@ def c02a_rejoined(spark, sf):
     return T.rejoined(T.token_stream(broken(spark, sf, " ")), known)
 
 
-@query("c02b_over_line_ends", f"""WITH {VOCAB}, {STREAM.replace('lines', 'lines2').replace('stream', 'stream2').replace('string_split(text,', "string_split(replace(text, 'ing', chr(10) || 'ing'),")},
+@query("c02b_over_line_ends", f"""WITH {VOCAB}, {STREAM.replace('lines', 'lines2').replace('stream', 'stream2').replace('string_split(text,', "string_split(" + _BROKEN + ",")},
 e AS (SELECT doc_id, line_no, max_by(tok, tok_no) AS head, min_by(tok, tok_no) AS first FROM stream2 GROUP BY ALL), p AS (SELECT *, lead(first) OVER (PARTITION BY doc_id ORDER BY line_no) AS tail FROM e)
 SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, head, tail, head || tail AS joined FROM p WHERE tail IS NOT NULL AND length(head) >= 3 AND head NOT IN (SELECT tok FROM known) AND head || tail IN (SELECT tok FROM known)""")
 def c02b_over_line_ends(spark, sf):
