@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .pages import LAPSE
+
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 
@@ -95,3 +97,43 @@ def ordinal_number(phrase: Column) -> Column:
     stem = F.array_position(F.array(*(F.lit(t[:3]) for t in TENS)), F.when(low.rlike("^[a-z]+ty[- ][a-z]+$"), F.substring(low, 1, 3)).otherwise(""))
     out = F.when(tens > 0, (tens + 1) * 10).when((one > 0) & ~low.rlike("[- ]"), one).when((one.between(1, 9)) & (stem > 0), (stem + 1) * 10 + one)
     return out.cast("int")
+
+
+CARDINALS = ("one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve", "thirteen", "fourteen", "fifteen", "sixteen", "seventeen", "eighteen", "nineteen")
+CARDINAL_TENS = ("twenty", "thirty", "forty", "fifty", "sixty", "seventy", "eighty", "ninety")
+
+
+def spelled_day(phrase: Column) -> Column:
+    """``twenty-seventh``, also with a dash or space, is 27; null for no day of a month."""
+    n = ordinal_number(F.regexp_replace(F.trim(phrase), r"[\s\u2010-\u2015-]+", "-"))
+    return F.when(n.between(1, 31), n)
+
+
+def spelled_year(phrase: Column) -> Column:
+    """``eighteen hundred and sixty-six`` is 1866; null if a word is unknown or the year isn't 1800 to 2100."""
+    values = {w: k + 1 for k, w in enumerate(CARDINALS)} | {w: 10 * k + 20 for k, w in enumerate(CARDINAL_TENS)}
+    value = F.create_map(*(F.lit(x) for item in values.items() for x in item))
+    words = F.filter(F.split(F.lower(phrase), "[^a-z]+"), lambda w: ~w.isin("", "and"))
+
+    def step(s, w):
+        scale = F.when(w == "thousand", 1000).when(w == "hundred", 100)
+        done = s["done"] + F.when(scale.isNotNull(), F.greatest(s["open"], F.lit(1)) * scale).otherwise(0)
+        return F.struct(done.alias("done"), F.when(scale.isNotNull(), F.lit(0)).otherwise(s["open"] + F.try_element_at(value, w)).alias("open"))
+
+    year = F.aggregate(words, F.struct(F.lit(0).alias("done"), F.lit(0).alias("open")), step, lambda s: s["done"] + s["open"])
+    return F.when(year.between(1800, 2100), year)
+
+
+def lapse_date(text: Column) -> Column:
+    """The day on which an act ``became a law``, spelled out after ``this`` or as ``Month day, year``.
+
+    Between these words and the date no other act or chapter begins and no column line stands.
+    """
+    gap = r"(?:(?!\bAn\s+Act\b)(?!chap)[^|]){0,90}?"
+    month = "(" + "|".join(f"{m}[a-z]*" for m in MONTHS) + ")"
+    law = f"(?i){LAPSE}"
+    spelled = rf"{law}{gap}\bthis\s+([a-z]+(?:[\s-]+[a-z]+)?)\s+day\s+of\s+{month}\s*,?\s*(?:A\.?\s*D\.?\s*,?\s*)?([a-z][a-z\s*.-]{{8,60}}?)\s*[.;,)]"
+    digits = rf"{law}{gap}{month}\s+([0-9IlO]{{1,2}}(?:st|nd|rd|th)?)[,.]?\s*([0-9]{{4}})\b"
+    a, b = (lambda k: F.regexp_extract(text, spelled, k)), (lambda k: F.regexp_extract(text, digits, k))
+    date = lambda y, m, d: F.try_make_timestamp_ntz(y, m, d, F.lit(0), F.lit(0), F.lit(0)).cast("date")
+    return F.coalesce(date(spelled_year(a(3)), month_number(a(2)), spelled_day(a(1))), date(b(3).try_cast("int"), month_number(b(1)), day_number(b(2))))

@@ -104,3 +104,14 @@ def parse_link(href: Column) -> Column:
     decoded = F.try_url_decode(href)
     part = lambda name: F.nullif(F.regexp_extract(decoded, f"[?&]{name}=([^&#]+)", 1), F.lit(""))
     return F.struct(part("lawCode").alias("code"), F.regexp_replace(part("sectionNum"), r"\.$", "").alias("section"))
+
+
+def index_tokens(text: Column) -> Column:
+    """Lower-case words of two letters or more, hyphenated ones whole and then in parts; control characters divide.
+
+    The text should be composed (NFC).
+    """
+    plain = F.regexp_replace(text, r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]", " ")
+    found = F.regexp_extract_all(F.lower(plain), F.lit("[A-Za-z\u00c0-\u00ff]+(?:-[A-Za-z\u00c0-\u00ff]+)*"), 0)
+    parts = F.flatten(F.transform(found, lambda w: F.when(w.contains("-"), F.concat(F.array(w), F.split(w, "-"))).otherwise(F.array(w))))
+    return F.filter(parts, lambda w: F.length(w) >= 2)
