@@ -45,3 +45,29 @@ def singleton_classes(places: DataFrame, known: DataFrame, piece: int = 3) -> Da
     vowelless = (F.length(t) >= 5) & ~t.rlike("[aeiouy]")
     garbage = t.rlike(r"[^\x00-\x7F]") | ((F.length(t) >= 4) & (X.longest_run(t) >= 3)) | t.rlike("[bcdfghjklmnpqrstvwxz]{5,}") | vowelless
     return out.select("tok", F.when(garbage, "GARBAGE").when(F.col("join_"), "FRAG_join").when(F.col("edit_"), "EDIT1").when(F.col("split_"), "OVER_MERGE").otherwise("STANDALONE").alias("class"))
+
+
+def page_cover(held: DataFrame, page: str, tok: str) -> DataFrame:
+    """(page, n_tokens, n_new) of pages that together hold all tokens: taken by their count of distinct tokens, most
+    first (ties: the least page), each that has a token no page before it has.
+
+    A page is taken if and only if it is the first one of some token, so no loop over pages is needed.
+    """
+    pairs = held.select(page, tok).distinct()
+    sizes = pairs.groupBy(page).agg(F.count("*").alias("n_tokens"))
+    first = pairs.join(sizes, page).groupBy(tok).agg(F.min(F.struct((-F.col("n_tokens")).alias("k_"), F.col(page).alias("p_"))).alias("f_"))
+    return first.groupBy(F.col("f_.p_").alias(page)).agg((-F.min("f_.k_")).alias("n_tokens"), F.count("*").alias("n_new"))
+
+
+def paired_headings(kept: DataFrame, other: DataFrame, page: str, tolerance: float = 0.18, margin: float = 0.04) -> DataFrame:
+    """(page, id, other): headings of two readings of a page that stand at the same place.
+
+    Both have (page, id, pos), ``pos`` being 0 to 1 down the page. A pair is at most ``tolerance`` apart, the second
+    nearest other heading is further away by ``margin``, and each is the other's nearest (ties: the least id).
+    """
+    pairs = kept.select(page, "id", "pos").join(other.select(page, F.col("id").alias("other"), F.col("pos").alias("pos_")), page)
+    pairs = pairs.withColumn("d", F.abs(F.col("pos") - F.col("pos_"))).filter(F.col("d") <= tolerance)
+    own, back = Window.partitionBy(page, "id").orderBy("d", "other"), Window.partitionBy(page, "other").orderBy("d", "id")
+    ranked = pairs.withColumns({"r_": F.row_number().over(own), "s_": F.row_number().over(back), "next_": F.lead("d").over(own)})
+    clear = F.col("next_").isNull() | (F.col("next_") - F.col("d") >= margin)
+    return ranked.filter((F.col("r_") == 1) & (F.col("s_") == 1) & clear).select(page, "id", "other")

@@ -194,3 +194,23 @@ def f02_swap_distance(spark, sf):
     by = Window.partitionBy("doc_id", "line_no").orderBy("tok_no")
     pairs = stream(spark, sf).withColumn("next", F.lead("tok").over(by)).filter("next IS NOT NULL").select("tok", "next").distinct()
     return pairs.withColumn("d", A.swap_distance("tok", "next", F.lit(3))).filter("d <= 3")
+
+
+@query("a18_page_cover", f"""WITH {VOCAB}, p AS (SELECT DISTINCT doc_id, s.tok FROM stream s JOIN vocab v ON v.tok = s.tok WHERE doc_freq BETWEEN 2 AND 24 AND length(s.tok) >= 6),
+n AS (SELECT doc_id, count(*) AS n_tokens FROM p GROUP BY doc_id), o AS (SELECT doc_id, n_tokens, row_number() OVER (ORDER BY n_tokens DESC, doc_id) AS k FROM n)
+SELECT a.doc_id, a.n_tokens, count(*) AS n_new FROM o a JOIN p ON p.doc_id = a.doc_id WHERE NOT EXISTS (SELECT 1 FROM p q JOIN o b ON b.doc_id = q.doc_id WHERE q.tok = p.tok AND b.k < a.k) GROUP BY ALL""")
+def a18_page_cover(spark, sf):
+    s = stream(spark, sf)
+    v, _ = vocab_known(spark, sf)
+    wanted = v.filter((F.col("doc_freq").between(2, 24)) & (F.length("tok") >= 6)).select("tok")
+    return H.page_cover(s.join(wanted, "tok", "left_semi"), "doc_id", "tok")
+
+
+@query("j21_paired_headings", """WITH h AS (SELECT o_custkey, o_orderkey AS id, o_orderstatus = 'O' AS kept, dayofyear(o_orderdate) / 366 AS pos FROM orders),
+a AS (SELECT * FROM h WHERE kept), b AS (SELECT * FROM h WHERE NOT kept), near AS (SELECT a.*, (SELECT b.id FROM b WHERE b.o_custkey = a.o_custkey ORDER BY abs(a.pos - b.pos), b.id LIMIT 1) AS other FROM a)
+SELECT n.o_custkey, n.id, n.other FROM near n JOIN b ON b.id = n.other WHERE abs(n.pos - b.pos) <= 0.18::DOUBLE
+AND NOT EXISTS (SELECT 1 FROM b c WHERE c.o_custkey = n.o_custkey AND c.id <> n.other AND abs(n.pos - c.pos) <= 0.18::DOUBLE AND abs(n.pos - c.pos) - abs(n.pos - b.pos) < 0.04::DOUBLE)
+AND n.id = (SELECT a.id FROM a WHERE a.o_custkey = b.o_custkey ORDER BY abs(a.pos - b.pos), a.id LIMIT 1)""")
+def j21_paired_headings(spark, sf):
+    h = table(spark, sf, "orders").select("o_custkey", F.col("o_orderkey").alias("id"), (F.col("o_orderstatus") == "O").alias("kept"), (F.dayofyear("o_orderdate") / 366).alias("pos"))
+    return H.paired_headings(h.filter("kept"), h.filter("NOT kept"), "o_custkey")
