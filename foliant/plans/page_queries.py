@@ -54,7 +54,7 @@ def f42_page_decision(spark, sf):
     return page_tokens(spark, sf, LEADS).select("doc_id", P.page_decision(F.col("toks")).alias("d")).select("doc_id", "d.*")
 
 
-ROSTERS = ("members of the senate", "title of an act an act an act an act an act an act", "an act", "section one of the act", "")
+ROSTERS = ("members of the senate", "title of act an act an act an act an act an act", "an act", "section one of the act", "")
 _ROSTER = _PAGES.replace(chosen_sql("doc_id", LEADS), chosen_sql("doc_id", ROSTERS))
 
 
