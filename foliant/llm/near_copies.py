@@ -11,9 +11,17 @@ that is left is held against the budget for all 256 bits. ``depth`` grows with t
 fingerprints, so that a subtree holds as many unrelated ones at any size, and the number of tables follows from
 ``depth``: at the given similarity all tables together miss a pair with probability ``1 - recall`` at most.
 
-A subtree gives two edge-disjoint spanning forests of least distances, never all its pairs: one link that fails the
-exact check doesn't part what the others join. A subtree above ``subtree_rows`` is dealt out as pairs of shards, which
-together cover all its pairs. All links are then checked exactly, on the shingles of both texts.
+A subtree gives two edge-disjoint spanning forests of least distances, never all its pairs. A subtree above
+``subtree_rows`` is dealt out as pairs of shards, which together cover all its pairs.
+
+The tries only say which links to check first. What they miss, and what their forests leave out, comes from an exact
+path: in any one order of all shingles, two similar texts share one of the first ``n - ceil(similarity * n) + 1`` of
+each. These prefixes are taken with the frequent shingles of a sample last (the sample changes the work, never the
+result), and texts with a common shingle in both prefixes are a list. Pairs of a list whose sizes and places in the
+prefix allow the similarity, and that checked links haven't joined yet, are offered in rounds of growing distance in
+the list, until no pair is left. All links, of both kinds, are checked exactly on the shingles of both texts.
+
+Texts are told apart by a 64-bit hash of their set of shingles, the ``unit``.
 
 Defined cases: a null text counts as empty, and texts without words are copies of each other; null ids take part, and a
 class without any id has a null class id; repeated rows stay and share their class; an empty table gives no rows.
@@ -43,6 +51,11 @@ RECALL = 0.95
 #: Unrelated fingerprints that share a subtree, about.
 SHARING = 16
 SUBTREE_ROWS = 8_000
+#: Distance in a list up to which the first round pairs texts, and the factor from round to round.
+FIRST, GROWTH = 32, 8
+#: Frequent shingles that are known by name, and about as many texts as their sample has at least.
+COMMON, SAMPLE = 1 << 16, 5_000
+LIST_ROWS = 200_000
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -58,6 +71,24 @@ def shingles(text: bytes | None, width: int = WIDTH) -> np.ndarray:
     return np.unique(np.frombuffer(raw, ">u8").astype(np.uint64))
 
 
+def unit_of(hashes: np.ndarray) -> int:
+    """A hash of a set of shingles, as a signed 64-bit integer."""
+    return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).view(np.int64))
+
+
+def prefix(hashes: np.ndarray, similarity: float, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The shingles of which two similar texts share one: rare ones by hash, then ``common`` ones by rank."""
+    n = len(hashes)
+    keep = n - math.ceil(similarity * n - 1e-9) + 1
+    if len(common):
+        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+        known = common[at] == hashes
+        if known.any():
+            often = hashes[known]
+            hashes = np.r_[hashes[~known], often[np.argsort(rank[at[known]])]]
+    return hashes[:keep]
+
+
 def wide_fingerprint(hashes: np.ndarray) -> bytes:
     """The bits set in over half of the hashes; each lane of 64 bits mixes the hashes anew."""
     if not len(hashes):
@@ -218,9 +249,91 @@ def candidate_links(fps: DataFrame, count: int, similarity: float = SIMILARITY,
     return dealt.repartition(n, *key).sortWithinPartitions(*key).mapInArrow(join, _LINK)
 
 
+def common_shingles(texts: DataFrame, count: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that are frequent in a sample of about ``count`` texts, sorted, and their ranks from rare to frequent."""
+    share = max(1, min(16, count // SAMPLE))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in sliced(batch):
+                found = np.concatenate([shingles(t, width) for t in b.column(0).to_pylist()])
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["token"])
+
+    sample = texts.filter(F.pmod("hash", F.lit(share)) == 0).select("text")
+    often = sample.mapInArrow(run, "token long").groupBy("token").count().filter("count > 2").orderBy(F.desc("count"), "token").limit(COMMON)
+    tokens = np.array([r.token for r in often.select("token").collect()], np.int64).view(np.uint64)
+    order = np.argsort(tokens)
+    return tokens[order], len(tokens) - order
+
+
+def prefix_lists(texts: DataFrame, similarity: float, width: int, common: np.ndarray, rank: np.ndarray) -> DataFrame:
+    """(token, unit, place) for each shingle in the prefixes of two units or more; place is ``size << 32 | index``."""
+    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kind = T.StructType([T.StructField(c, T.LongType()) for c in ("token", "unit", "place")])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # copies within the task
+        for batch in batches:
+            for b in sliced(batch):
+                tokens, units, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                for t in b.column(0).to_pylist():
+                    own = shingles(t, width)
+                    unit = unit_of(own)
+                    if unit in seen or not len(own):
+                        continue
+                    seen.add(unit)
+                    first = prefix(own, similarity, common, rank)
+                    tokens.append(first)
+                    units.append(np.full(len(first), unit))
+                    places.append((len(own) << 32) + np.arange(len(first)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(units)), pa.array(np.concatenate(places))], names=kind.names
+                )
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = ([c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows)
+        for cols in whole_groups(columns, 1, LIST_ROWS):
+            token, unit, _ = cols
+            new = np.r_[True, (token[1:] != token[:-1]) | (unit[1:] != unit[:-1])]
+            token, unit, place = (c[new] for c in cols)
+            same = token[1:] == token[:-1]
+            many = np.r_[False, same] | np.r_[same, False]
+            if many.any():
+                yield pa.RecordBatch.from_arrays([pa.array(c[many]) for c in (token, unit, place)], names=kind.names)
+
+    return texts.select("text").mapInArrow(deal, kind).repartition(n, "token").sortWithinPartitions("token", "unit").mapInArrow(shared, kind)
+
+
+def offered(lists: DataFrame, roots: DataFrame, done: int, until: int, similarity: float) -> DataFrame:
+    """Pairs (a, b) of different classes that may be similar and are over ``done``, at most ``until`` apart in a list."""
+    n = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kind = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+    labelled = lists.join(roots, F.col("unit") == F.col("node"), "left").select("token", "place", "unit", F.coalesce("root", "unit").alias("label"))
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = ([c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows)
+        for token, place, unit, label in whole_groups(columns, 1, LIST_ROWS):
+            size, index = place >> 32, place & 0xFFFFFFFF
+            left = size - index
+            live = np.arange(len(token))
+            for apart in range(done + 1, until + 1):
+                live = live[live + apart < len(token)] if apart > done + 1 else np.arange(max(0, len(token) - apart))
+                live = live[(token[live] == token[live + apart]) & (size[live] >= similarity * size[live + apart] - 1e-9)]
+                if not len(live):
+                    break
+                other = live + apart
+                need = similarity / (1 + similarity) * (size[live] + size[other]) - 1e-9
+                ok = (label[live] != label[other]) & (np.minimum(left[live], left[other]) >= need)
+                if ok.any():
+                    a, b = unit[live[ok]], unit[other[ok]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=kind.names)
+
+    return labelled.repartition(n, "token").sortWithinPartitions("token", "place", "unit").mapInArrow(pair, kind).distinct()
+
+
 def similar(rows: DataFrame, similarity: float, width: int) -> DataFrame:
     """Of rows (a, b, left text, right text) those whose texts have that similarity, without the texts."""
-    kind = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+    kind = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,32 +348,59 @@ def similar(rows: DataFrame, similarity: float, width: int) -> DataFrame:
     return rows.mapInArrow(run, kind)
 
 
+def checked(texts: DataFrame, distinct: DataFrame, pairs: DataFrame, similarity: float, width: int) -> tuple[DataFrame, str]:
+    """Of pairs (a, b) of units those that are similar, written."""
+    spark = texts.sparkSession
+    found, found_path = written(pairs, "candidates")
+    ends = found.select(F.col("a").alias("unit")).unionByName(found.select(F.col("b").alias("unit"))).distinct()
+    needed = ends.join(distinct, "unit").select("unit", F.col("id").alias("of"), F.col("hash").alias("of_hash"))
+    wanted = texts.join(needed, F.col("id").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("of_hash"))).groupBy("unit").agg(F.min("text").alias("text"))
+    wanted, wanted_path = written(wanted, "wanted-texts")
+    left, right = (wanted.select(F.col("unit").alias(c), F.col("text").alias(f"{c}_text")) for c in ("a", "b"))
+    out = written(similar(found.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text"), similarity, width), "near-copies")
+    removed(spark, found_path, wanted_path)
+    return out
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """A row for each row of ``docs``: its id and ``component_id``, the least id of its class."""
     spark = docs.sparkSession
     texts = picked(docs, id=id_col, text=text_col).select("id", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
     texts = texts.select("id", F.xxhash64("text").alias("hash"), "text")
-    schema = T.StructType([T.StructField("id", texts.schema["id"].dataType), T.StructField("hash", T.LongType()), T.StructField("fp", T.BinaryType())])
-    printed = rowwise(texts, schema, lambda: lambda b: {"id": b.column(0), "hash": b.column(1), "fp": [wide_fingerprint(shingles(t, width)) for t in b.column(2).to_pylist()]})
-    rows, _ = written(printed, "wide-fingerprints")
-    # the row that stands for a fingerprint: of its rows with an id the one with the least
-    distinct, distinct_path = written(
-        rows.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("least")).select("fp", "least.id", "least.hash"), "wide-distinct"
+    schema = T.StructType([T.StructField("id", texts.schema["id"].dataType), T.StructField("hash", T.LongType()), T.StructField("fp", T.BinaryType()), T.StructField("unit", T.LongType())])
+
+    def build():
+        def step(b):
+            sets = [shingles(t, width) for t in b.column(2).to_pylist()]
+            return {"id": b.column(0), "hash": b.column(1), "fp": [wide_fingerprint(s) for s in sets], "unit": [unit_of(s) for s in sets]}
+
+        return step
+
+    rows, _ = written(rowwise(texts, schema, build), "wide-fingerprints")
+    # the row that stands for a unit: of its rows with an id the one with the least
+    distinct, _ = written(
+        rows.groupBy("unit").agg(F.min("fp").alias("fp"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("least")).select("unit", "fp", "least.id", "least.hash"), "wide-distinct"
     )
-    links = candidate_links(distinct, distinct.count(), similarity, recall)
-    found, found_path = written(links.select("a", "b").distinct(), "candidates")
-    ends = found.select(F.col("a").alias("fp")).unionByName(found.select(F.col("b").alias("fp"))).distinct()
-    needed = ends.join(distinct, "fp").select("fp", F.col("id").alias("of"), F.col("hash").alias("of_hash"))
-    wanted = texts.join(needed, F.col("id").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("of_hash"))).groupBy("fp").agg(F.min("text").alias("text"))
-    wanted, wanted_path = written(wanted, "wanted-texts")
-    left, right = (wanted.select(F.col("fp").alias(c), F.col("text").alias(f"{c}_text")) for c in ("a", "b"))
-    checked = similar(found.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text"), similarity, width)
-    edges, edges_path = written(checked, "near-copies")
-    removed(spark, found_path, wanted_path)
+    prints, prints_path = written(distinct.groupBy("fp").agg(F.min("unit").alias("unit")), "wide-prints")
+    count = prints.count()
+    a, b = (prints.select(F.col("fp").alias(c), F.col("unit").alias(f"{c}_unit")) for c in ("a", "b"))
+    near = candidate_links(prints, count, similarity, recall).select("a", "b").distinct().join(a, "a").join(b, "b").select(F.col("a_unit").alias("a"), F.col("b_unit").alias("b"))
+    same = distinct.join(prints.select("fp", F.col("unit").alias("a")), "fp").filter("unit <> a").select("a", F.col("unit").alias("b"))
+    edges, _ = checked(texts, distinct, near.unionByName(same), similarity, width)
+    removed(spark, prints_path)
     roots, _ = components(edges)
-    removed(spark, edges_path)
+    lists, lists_path = written(prefix_lists(texts, similarity, width, *common_shingles(texts, count, width)), "prefixes")
+    longest = lists.groupBy("token").count().agg(F.max("count")).first()[0] or 0
+    done, until = 0, FIRST
+    while done < longest - 1:
+        more, _ = checked(texts, distinct, offered(lists, roots, done, until, similarity), similarity, width)
+        if more.take(1):
+            edges = edges.unionByName(more)
+            roots, _ = components(edges)
+        done, until = until, until * GROWTH
+    removed(spark, lists_path)
     members = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
-    ids = members.join(distinct, F.col("node") == F.col("fp")).groupBy("root").agg(F.min("id").alias("component_id"))
-    linked = members.join(ids, "root").select(F.col("node").alias("fp"), "component_id")
-    of_fp = distinct.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "id").alias("component_id"))
-    return rows.join(of_fp, "fp").select(F.col("id").alias(id_col), "component_id")
+    ids = members.join(distinct, F.col("node") == F.col("unit")).groupBy("root").agg(F.min("id").alias("component_id"))
+    linked = members.join(ids, "root").select(F.col("node").alias("unit"), "component_id")
+    of_unit = distinct.join(linked, "unit", "left").select("unit", F.coalesce("component_id", "id").alias("component_id"))
+    return rows.join(of_unit, "unit").select(F.col("id").alias(id_col), "component_id")

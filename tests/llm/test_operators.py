@@ -151,6 +151,37 @@ def test_near_copies_by_brute_force(spark):
     assert got == dict(enumerate(component))
 
 
+def classes_by_brute_force(texts):
+    sets = [set(near_copies.shingles((t or "").encode()).tolist()) for t in texts]
+    component = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            shared = len(sets[a] & sets[b])
+            if shared >= 0.8 * (len(sets[a]) + len(sets[b]) - shared) and component[a] != component[b]:
+                x, y = sorted((component[a], component[b]))
+                component = [x if c == y else c for c in component]
+    return dict(enumerate(component))
+
+
+def test_true_links_within_a_family_below_the_threshold(spark):
+    """Hundreds of texts at 0.79 of each other don't crowd out pairs at 0.81."""
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, 7))
+    core = [word() for _ in range(89)]
+    texts = []
+    for k in range(480):
+        texts.append(" ".join([*core, *(word() for _ in range(11))]))
+        if k % 12 == 0:  # two words of the core changed and the own end kept
+            own = texts[-1].split()
+            for at in (30, 60):
+                own[at] = word()
+            texts.append(" ".join(own))
+    want = classes_by_brute_force(texts)
+    assert len(set(want.values())) == 480
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_copies.near_copies(df).collect()} == want
+
+
 def test_forests_and_shards(spark):
     """A subtree that is dealt out as shards has the same classes."""
     rng = np.random.default_rng(1)
