@@ -182,6 +182,20 @@ def test_true_links_within_a_family_below_the_threshold(spark):
     assert {r.doc_id: r.component_id for r in near_copies.near_copies(df).collect()} == want
 
 
+def test_no_near_copy_of_a_short_text_is_missed(spark):
+    """Production parameters: 4 of 5 shingles, 9 of 11 and 26 of 32 shared, among unrelated texts."""
+    rng = np.random.default_rng(9)
+    word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, 7))
+    texts = []
+    for k in range(900):
+        own = [word() for _ in range((9, 15, 36)[k % 3])]
+        cut = (1, 2, 6)[k % 3]
+        texts += [" ".join(own), " ".join(own[:-cut])]
+    want = {k: k - k % 2 for k in range(len(texts))}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_copies.near_copies(df).collect()} == want
+
+
 def test_forests_and_shards(spark):
     """A subtree that is dealt out as shards has the same classes."""
     rng = np.random.default_rng(1)
