@@ -23,19 +23,34 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality_classifier.kept(docs, model)
 
 
-def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each class of texts with a similarity of 0.8 or more in five-word shingles."""
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a ``key`` of each row's own: the order of keys is that of ids, null ids last, then stored places."""
     docs = docs.select(*COLUMNS)
-    classes = near_copies.near_copies(docs)
-    later = classes.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(later, docs["doc_id"].eqNullSafe(later["doc_id"]), "left_anti")
+    number = lambda c: F.lpad(F.hex(c), 16, "0")
+    # integers in the order of their hex digits
+    of_id = F.coalesce(F.concat(F.lit("0"), number(F.col("doc_id").cast("long").bitwiseXOR(F.lit(-(2**63))))), F.lit("1"))
+    place = (number(F.xxhash64("_metadata.file_path")), number(F.col("_metadata.row_index")))
+    return docs.select(*COLUMNS, F.concat(of_id, *place).alias("key"))
+
+
+def stored(docs: DataFrame) -> DataFrame:
+    """``docs`` if it is a stored table, else written as one."""
+    return docs if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation" else written(docs, "stage-input")[0]
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row, of the least id, of each class of texts with a similarity of 0.8 or more in five-word shingles."""
+    docs = keyed(stored(docs))
+    classes = near_copies.near_copies(docs, "key")
+    later = classes.filter("key <> component_id").select("key")
+    return docs.join(later, "key", "left_anti").select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark."""
-    docs = docs.select(*COLUMNS)
-    found, _ = written(decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct(), "contaminated")
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+    """Rows that hold no passage of the benchmark."""
+    docs = keyed(stored(docs))
+    found, _ = written(decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "key").select("key").distinct(), "contaminated")
+    return docs.join(found, "key", "left_anti").select(*COLUMNS)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -309,3 +309,26 @@ def test_pipeline(spark):
     whole = corpus_pipeline.run(spark, FOLDER)
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, out.collect()))
     assert whole.agg(F.count("*")).first()[0] == len(ids[-1])
+
+
+def test_odd_rows_through_every_stage(spark, tmp_path):
+    """Rows are judged one by one: neither null nor repeated ids take clean rows along, and a class keeps one row."""
+    rng = np.random.default_rng(4)
+    text = lambda: " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 7)) for _ in range(60))
+    copy, clean, other, twice, nobody, leak = (text() for _ in range(6))
+    rows = [(5, copy), (None, copy), (None, clean), (5, other), (3, twice), (3, twice), (None, nobody), (None, nobody), (None, f"{text()} {leak} x"), (None, None), (8, ""), (-2, copy), (9, leak), (9, text())]
+    docs = spark.createDataFrame([(i, t, "en", "s", 7) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(1, leak)], "item_id int, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    stored = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    order = lambda rows: sorted(rows, key=repr)
+    for given in (docs, stored):
+        got = order((r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, given, str(tmp_path)).collect())
+        assert got == order([(-2, copy), (None, clean), (5, other), (3, twice), (None, nobody), rows[8], (8, ""), (9, leak), rows[13]])
+        got = order((r.doc_id, r.text) for r in corpus_pipeline.drop_contaminated(spark, given, str(tmp_path)).collect())
+        assert got == order(r for k, r in enumerate(rows) if k not in (8, 12))
+    assert corpus_pipeline.keep_quality(spark, stored, str(tmp_path)).count() == len(rows)
+    assert corpus_pipeline.redact_pii(spark, stored, str(tmp_path)).count() == len(rows)
+    assert corpus_pipeline.encode(spark, stored, str(tmp_path)).count() == len(rows)
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 7
