@@ -54,9 +54,12 @@ def picked(df: DataFrame, **columns: str) -> DataFrame:
 
 
 def rowwise(
-    df: DataFrame, schema: T.StructType, build: Callable[[], Callable[[pa.RecordBatch], dict | pa.RecordBatch]]
+    df: DataFrame,
+    schema: T.StructType,
+    build: Callable[[], Callable[[pa.RecordBatch], dict | pa.RecordBatch]],
+    slice_bytes: int | None = None,
 ) -> DataFrame:
-    """``mapInArrow`` where ``build`` runs once a task and its result once a batch.
+    """``mapInArrow`` where ``build`` runs once a task and its result once a batch of bounded bytes.
 
     The batch function returns the columns of ``schema`` by name.
     """
@@ -68,7 +71,7 @@ def rowwise(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = build()
         for batch in batches:
-            for part in sliced(batch):
+            for part in sliced(batch, slice_bytes or SLICE_BYTES):
                 out = step(part)
                 yield pa.RecordBatch.from_arrays(
                     [out[n] if isinstance(out[n], pa.Array) else pa.array(out[n], arrow.field(n).type) for n in names],
@@ -78,17 +81,33 @@ def rowwise(
     return df.mapInArrow(run, schema)
 
 
+#: A key with more rows than both of these allow is hot: ``HOT_ROWS``, and one ``HOT_KEYS``-th of all rows.
+HOT_ROWS, HOT_KEYS = 1_000, 10_000
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, total: int, count: str = "copies") -> DataFrame:
+    """Inner join of ``left`` with ``right``, where no task gets all rows of a hot key.
+
+    ``right`` has a row for each key and, in ``count``, how many rows of ``left`` have it; ``total`` is at least
+    the number of left's rows. There are fewer than ``HOT_KEYS`` hot keys whatever the size, so that they are
+    broadcast; all others are joined by key. ``left`` is read twice.
+    """
+    hot = F.col(count) > max(HOT_ROWS, total // HOT_KEYS)
+    few, rest = F.broadcast(right.filter(hot).drop(count)), right.filter(~hot).drop(count)
+    return left.join(few, key).unionByName(left.join(few.select(key), key, "left_anti").join(rest, key))
+
+
 #: A slice of a batch ends before this many bytes, or after one row.
 SLICE_BYTES = 8 << 20
 
 
-def sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def sliced(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with a bounded size in bytes, so that long texts don't pile up."""
     n = batch.num_rows
-    if n <= 1 or batch.nbytes <= SLICE_BYTES:
+    if n <= 1 or batch.nbytes <= most:
         if n:
             yield batch
         return
     half = n // 2
-    yield from sliced(batch.slice(0, half))
-    yield from sliced(batch.slice(half))
+    yield from sliced(batch.slice(0, half), most)
+    yield from sliced(batch.slice(half), most)
