@@ -40,8 +40,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import picked, removed, rowwise, sliced, written
-from .simhash import AT_ONCE, BITS, SEED, components, merge, trie_pairs, whole_groups
+from .common import picked, removed, rowwise, sliced, spread_join, written
+from .simhash import AT_ONCE, BITS, SEED, classes, components, merge, trie_pairs, whole_groups
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -379,13 +379,15 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows, _ = written(rowwise(texts, schema, build), "wide-fingerprints")
     # the row that stands for a unit: of its rows with an id the one with the least
     distinct, _ = written(
-        rows.groupBy("unit").agg(F.min("fp").alias("fp"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("least")).select("unit", "fp", "least.id", "least.hash"), "wide-distinct"
+        rows.groupBy("unit").agg(F.min("fp").alias("fp"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("least"), F.count("*").alias("copies")).select("unit", "fp", "least.id", "least.hash", "copies"), "wide-distinct"
     )
-    prints, prints_path = written(distinct.groupBy("fp").agg(F.min("unit").alias("unit")), "wide-prints")
+    prints, prints_path = written(distinct.groupBy("fp").agg(F.min("unit").alias("unit"), F.count("*").alias("copies")), "wide-prints")
     count = prints.count()
     a, b = (prints.select(F.col("fp").alias(c), F.col("unit").alias(f"{c}_unit")) for c in ("a", "b"))
     near = candidate_links(prints, count, similarity, recall).select("a", "b").distinct().join(a, "a").join(b, "b").select(F.col("a_unit").alias("a"), F.col("b_unit").alias("b"))
-    same = distinct.join(prints.select("fp", F.col("unit").alias("a")), "fp").filter("unit <> a").select("a", F.col("unit").alias("b"))
+    units = distinct.count()
+    same = spread_join(distinct.select("fp", "unit"), prints.select("fp", F.col("unit").alias("a"), "copies"), "fp", units)
+    same = same.filter("unit <> a").select("a", F.col("unit").alias("b"))
     edges, _ = checked(texts, distinct, near.unionByName(same), similarity, width)
     removed(spark, prints_path)
     roots, _ = components(edges)
@@ -399,8 +401,6 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             roots, _ = components(edges)
         done, until = until, until * GROWTH
     removed(spark, lists_path)
-    members = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
-    ids = members.join(distinct, F.col("node") == F.col("unit")).groupBy("root").agg(F.min("id").alias("component_id"))
-    linked = members.join(ids, "root").select(F.col("node").alias("unit"), "component_id")
-    of_unit = distinct.join(linked, "unit", "left").select("unit", F.coalesce("component_id", "id").alias("component_id"))
-    return rows.join(of_unit, "unit").select(F.col("id").alias(id_col), "component_id")
+    linked = classes(roots, distinct.select(F.col("unit").alias("node"), F.col("id").alias("least")), units).withColumnRenamed("node", "unit")
+    of_unit = distinct.join(linked, "unit", "left").select("unit", F.coalesce("component_id", "id").alias("component_id"), "copies")
+    return spread_join(rows.select("id", "unit"), of_unit, "unit", rows.count()).select(F.col("id").alias(id_col), "component_id")

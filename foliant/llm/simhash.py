@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import picked, removed, rowwise, written
+from .common import picked, removed, rowwise, spread_join, written
 
 BITS = 64
 SEED = 42
@@ -258,8 +258,8 @@ def whole_groups(batches: Iterator[list[np.ndarray]], keys: int, rows: int) -> I
 def components(edges: DataFrame, most_rounds: int = 50) -> tuple[DataFrame, list[str]]:
     """(node, root) for each node of ``edges`` (a, b); the root is the least node of the component.
 
-    Alternating large-star and small-star rounds, each written to the shared folder. Also gives the paths that
-    the result reads.
+    Alternating large-star and small-star rounds, each written to the shared folder. A hub's edges are spread over
+    tasks. Also gives the paths that the result reads.
     """
     spark = edges.sparkSession
     at, path = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
@@ -269,14 +269,16 @@ def components(edges: DataFrame, most_rounds: int = 50) -> tuple[DataFrame, list
         if now == before or not now[0]:
             break
         before = now
+        edges_both = 2 * now[0]
         both = at.unionByName(at.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("copies"))
+        large = spread_join(both, least, "u", edges_both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large, large_path = written(large.filter("u <> v").distinct(), "links")
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("copies"))
+        small = spread_join(large, low, "u", edges_both)
+        small = small.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
         nxt, nxt_path = written(small.filter("u <> v").distinct(), "links")
-        removed(spark, path)
+        removed(spark, path, large_path)
         at, path = nxt, nxt_path
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
@@ -284,6 +286,14 @@ def components(edges: DataFrame, most_rounds: int = 50) -> tuple[DataFrame, list
     return at.select(F.col("u").alias("node"), F.col("v").alias("root")), [path]
 
 
+def classes(roots: DataFrame, least: DataFrame, nodes: int) -> DataFrame:
+    """(node, component_id) for each member of a component; ``least`` has the least id of each node."""
+    # a root is a node of its component too
+    members = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    ids = members.join(least, "node").groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("copies"))
+    return spread_join(members, ids, "root", nodes).select("node", "component_id")
+
+
 # --- the operator ----------------------------------------------------------------------------------
 
 
@@ -298,15 +308,13 @@ def near_duplicates(
     """A row for each row of ``docs``: its id, ``fingerprint`` (16 hex digits) and ``component_id``."""
     spark = docs.sparkSession
     rows, _ = written(fingerprints(docs, id_col, text_col, width), "fingerprints")
-    distinct, distinct_path = written(rows.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
+    distinct, _ = written(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("copies")), "distinct")
     found, found_path = written(links(distinct.select("fp"), budget, subtree_rows), "found")
     roots, _ = components(found)
     removed(spark, found_path)
-    # a root is a node of its component too
-    members = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
-    ids = members.join(distinct, F.col("node") == F.col("fp")).groupBy("root").agg(F.min("least").alias("component_id"))
-    linked = members.join(ids, "root").select(F.col("node").alias("fp"), "component_id")
-    of_fp = distinct.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return rows.join(of_fp, "fp").select(
+    # copies of a fingerprint and members of a class are spread over tasks
+    of_fp = distinct.join(classes(roots, distinct.select(F.col("fp").alias("node"), "least"), distinct.count()), F.col("fp") == F.col("node"), "left")
+    of_fp = of_fp.select("fp", F.coalesce("component_id", "least").alias("component_id"), "copies")
+    return spread_join(rows, of_fp, "fp", rows.count()).select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
