@@ -106,10 +106,31 @@ def test_token_output_query(spark):
     assert [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in got] == want
 
 
-def test_token_ids_by_id(spark, tmp_path):
+def test_token_files(spark, tmp_path):
+    """Files have Bloom filters, row indexes and run-length encoded integers, and a look-up by id reads few rows."""
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    token_output.write_token_ids(docs, str(tmp_path / "ids"))
-    assert [r.doc_id for r in token_output.documents_by_id(spark, str(tmp_path / "ids"), [3, 5]).orderBy("doc_id").collect()] == [3, 5]
+    docs = docs.crossJoin(spark.range(20)).select((F.col("doc_id") * 20 + F.col("id")).alias("doc_id"), "text")
+    path = str(tmp_path / "ids")
+    token_output.write_token_ids(docs, path, files=2, stripe_bytes=1 << 18, row_index_stride=1_000)
+    jvm = spark.sparkContext._jvm
+    stripes = 0
+    for file in sorted((tmp_path / "ids").glob("*.orc")):
+        reader = jvm.org.apache.orc.OrcFile.createReader(jvm.org.apache.hadoop.fs.Path(str(file)), jvm.org.apache.orc.OrcFile.readerOptions(spark.sparkContext._jsc.hadoopConfiguration()))
+        assert reader.getRowIndexStride() == 1_000
+        rows = reader.rows()
+        for stripe in reader.getStripes():
+            footer = rows.readStripeFooter(stripe)
+            streams = [(s.getColumn(), s.getKind().name()) for s in footer.getStreamsList()]
+            assert (1, "BLOOM_FILTER_UTF8") in streams and (1, "ROW_INDEX") in streams and (2, "BLOOM_FILTER_UTF8") not in streams
+            assert [footer.getColumns(c).getKind().name() for c in (1, 3, 4)] == ["DIRECT_V2"] * 3
+            stripes += 1
+    assert stripes >= 2
+    found = token_output.documents_by_id(spark, path, [41])
+    assert [r.doc_id for r in found.collect()] == [41]
+    plan = found._jdf.queryExecution().executedPlan()
+    scans = plan.collectLeaves()
+    read = sum(scans.apply(k).metrics().apply("numOutputRows").value() for k in range(scans.size()))
+    assert 0 < read < docs.count() / 2, read
 
 
 def test_warc_query(spark):
@@ -126,6 +147,89 @@ def test_warc_query(spark):
     assert got == want
 
 
+def test_warc_records(spark, tmp_path):
+    """Small archives, references to record ids, hot digests by broadcast or not, and damaged records."""
+    same = "<p>" + "s" * 200
+    pages = [(k, f"http://h/{k}", same if k % 3 == 0 else f"{k} " * 8_000 if k % 50 == 1 else f"page {k}") for k in range(1, 401)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(2)
+    seen = []
+    for name, most in (("broadcast", 1000), ("shuffled", 0)):
+        path = str(tmp_path / name)
+        warc.write_warc(df, path, archive_bytes=1 << 20, broadcast_digests=most)
+        files = sorted((tmp_path / name).glob("*.gz"))
+        assert len(files) > 4 and max(sum(map(len, warc.inflated(f.read_bytes()))) for f in files) <= 1 << 20
+        heads = [h for f in files for h, _ in warc.parse(f.read_bytes())]
+        ids = [h["warc-record-id"] for h in heads]
+        assert len(set(ids)) == len(ids)
+        first = next(h["warc-record-id"] for h in heads if h.get("x-page-id") == "3")
+        assert {h["warc-refers-to"] for h in heads if h["warc-type"] == "revisit"} == {first}
+        got = {int(r.page): (bytes(r.payload).decode() if r.payload else None, r.record_type, r.refers_to) for r in warc.read_warc(spark, path).collect()}
+        assert got == {k: (None, "revisit", "3") if t == same and k > 3 else (t, "response", None) for k, _, t in pages}
+        seen.append(got)
+    assert seen[0] == seen[1]
+    # a cut archive: the last segments of some page are gone
+    one = "".join(r + "\r\n\r\n" for r in warc.page_records("k", 7, None, b"z" * 50_000, hashlib.sha256(b"z" * 50_000).hexdigest(), None, 9_000)[:-1])
+    (tmp_path / "cut").mkdir()
+    (tmp_path / "cut" / "a.warc").write_text(one, newline="")
+    rows = warc.read_warc(spark, str(tmp_path / "cut"), strict=False).collect()
+    assert [(r.page, r.payload, "last segment" in r.error) for r in rows] == [("7", None, True)]
+    with pytest.raises(Exception, match="last segment"):
+        warc.read_warc(spark, str(tmp_path / "cut")).collect()
+
+
+def test_hot_keys_are_spread(spark, monkeypatch):
+    """One text repeated by the thousand, a star of links, and few rows to a hot key: the same classes as without."""
+    from foliant.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    monkeypatch.setattr(common, "HOT_KEYS", 50)
+    texts = ["one text of some words for all"] * 3_000 + [f"other text number {k} of its own" for k in range(40)] + [None] * 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for near in (simhash.near_duplicates, near_copies.near_copies):
+        got = {r.doc_id: r.component_id for r in near(docs).collect()}
+        assert len(got) == len(texts) and {got[k] for k in range(3_000)} == {0} and {got[k] for k in range(3_040, 3_060)} == {3_040}
+    edges = spark.createDataFrame([(0, k) for k in range(1, 60)] + [(k, k + 100) for k in range(1, 60)] + [(300, 301), (301, 302)], "a long, b long")
+    roots, _ = simhash.components(edges)
+    assert {(r.node, r.root) for r in roots.collect()} == {(k, 0) for k in [*range(1, 60), *range(101, 160)]} | {(301, 300), (302, 300)}
+
+
+def test_the_cascade_keeps_what_the_counts_keep(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    kept = lambda df: sorted((r.doc_id, r.kept) for r in df.collect())
+    assert kept(quality_rules.judged(docs)) == kept(quality_rules.quality_rules(docs))
+    odd = {(r.doc_id, r.n_words, r.word_chars, r.n_repeat_words, r.base_failed, r.kept) for r in quality_rules.quality_rules(odd_rows(spark)).collect()}
+    long = odd_rows(spark).filter("doc_id = 4").first().text.split()
+    assert odd == {(None, 0, 0, 0, True, False), (None, 3, 3, 0, True, False), (1, 0, 0, 0, True, False), (2, 0, 0, 0, True, False), (3, 3, 3, 0, True, False), (4, 60_000, sum(map(len, long)), 60_000, True, False), (5, 150, 600, 150, True, False), (6, 150, 600, 150, True, False)}
+
+
+def test_license_query(spark):
+    """Whole texts against all runs of words of the templates' sizes."""
+    got = {r.doc_id: r for r in queries.op2_license_scan(spark, FOLDER).collect()}
+    docs = documents(spark)
+    assert len(got) == len(docs)
+    sets = [(n, license_scan.bigrams(license_scan.words_of(t))) for n, t in license_scan.TEMPLATES]
+    sets = [(n, s) for n, s in sets if len(s) < 15]
+    hits = 0
+    for i, text in docs:
+        words, best = license_scan.words_of(text), 0.0
+        pairs = list(zip(words, words[1:]))
+        for name, own in sets:
+            most = int(len(own) * 1.5)
+            for s, p in enumerate(pairs):
+                if p in own:
+                    for e in range(s + 1, min(len(pairs), s + most) + 1):
+                        unit = set(pairs[s:e])
+                        best = max(best, 2 * len(unit & own) / (len(unit) + len(own)))
+        if best >= 0.8:
+            hits += 1
+            assert got[i].dice == pytest.approx(best, abs=1e-6), i
+        else:
+            assert got[i].license is None, i
+    assert hits > 3
+    odd = {r.doc_id for r in license_scan.scan_licenses(odd_rows(spark)).filter("license IS NULL AND licenses = '' AND spans = ''").collect()}
+    assert odd == {None, 1, 2, 3, 4, 5, 6}
+
+
 def test_near_copies_by_brute_force(spark):
     rng = np.random.default_rng(5)
     word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, 6))
