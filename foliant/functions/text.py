@@ -45,11 +45,32 @@ def match_category(reference: Column, read: Column, found: Column) -> Column:
     return F.when(~found, "NO_VERSION").when(read.isNull(), "NULL_TEXT").when(rate == 0, "EXACT").when(rate < 0.05, "NEAR").when(rate < 0.3, "PARTIAL").otherwise("MISMATCH")
 
 
-def deletes(word: Column) -> Column:
-    """The word and all that is left after one character is taken out."""
+def deletes(word: Column, edits: int = 1) -> Column:
+    """The word and all that is left after up to ``edits`` characters are taken out."""
+
+    def one(w: Column) -> Column:
+        n = F.length(w)
+        return F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, n)))
+
+    out = level = F.array(word)
+    for _ in range(edits):
+        level = F.array_distinct(F.flatten(F.transform(level, one)))
+        out = F.array_distinct(F.concat(out, level))
+    return out
+
+
+def one_edit(word: Column) -> Column:
+    """All words of a to z at one deletion, swap of neighbours, substitution or insertion, without the word itself."""
     n = F.length(word)
-    each = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, n)))
-    return F.array_distinct(F.concat(F.array(word), each))
+    head = lambda i: F.substring(word, F.lit(1), i)
+    tail = lambda i: F.substring(word, i + 1, n)
+    cuts, letters = F.sequence(F.lit(0), n), F.split(F.lit("abcdefghijklmnopqrstuvwxyz"), "")
+    each = lambda least, f: F.transform(F.filter(cuts, lambda i: n - i >= least), f)
+    gone = each(1, lambda i: F.concat(head(i), tail(i + 1)))
+    swapped = each(2, lambda i: F.concat(head(i), F.substring(word, i + 2, F.lit(1)), F.substring(word, i + 1, F.lit(1)), tail(i + 2)))
+    changed = F.flatten(each(1, lambda i: F.transform(letters, lambda c: F.concat(head(i), c, tail(i + 1)))))
+    added = F.flatten(each(0, lambda i: F.transform(letters, lambda c: F.concat(head(i), c, tail(i)))))
+    return F.array_remove(F.array_distinct(F.concat(gone, swapped, changed, added)), word)
 
 
 def within_one(a: Column, b: Column) -> Column:

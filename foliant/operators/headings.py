@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from .tokens import two_piece_splits, within_one_edit
+from .tokens import fragments, residual_classes, two_piece_splits, within_two_edits
 
 # What may stand between an entry's number and its title, and a bill's number.
 SEPARATOR = "[|)\\];}:.,\\-—–‒�•*]"
@@ -34,17 +34,43 @@ def index_entries(lines: DataFrame, volume: str, at: str = "line_no", line: str
 def singleton_classes(places: DataFrame, known: DataFrame, piece: int = 3) -> DataFrame:
     """(tok, class) of words seen once, with the words before and after them (``prev``, ``next``); the first that fits.
 
-    GARBAGE by its shape; FRAG_join: with an unknown neighbour a known word; EDIT1: one edit from one; OVER_MERGE: two
-    known words of ``piece`` letters or more; else STANDALONE.
+    GARBAGE by its shape; FRAG_join: with an unknown neighbour a known word; EDIT1, EDIT2: that many edits from one, the
+    second for words of 16 letters at most; OVER_MERGE: two known words of ``piece`` letters or more; FRAG_affix: the
+    end of a known word behind an unknown one, or the beginning of one before an unknown one; else STANDALONE.
     """
     flag = lambda df, name: df.select("tok").distinct().withColumn(name, F.lit(True))
-    each = places.select("tok", F.explode(F.array(F.struct(F.col("next").alias("side"), F.concat("tok", "next").alias("joined")), F.struct(F.col("prev").alias("side"), F.concat("prev", "tok").alias("joined")))).alias("s")).select("tok", "s.*").filter("side IS NOT NULL")
-    joins = each.join(known.select(F.col("tok").alias("joined")), "joined", "left_semi").join(known.select(F.col("tok").alias("side")), "side", "left_anti")
-    out = places.select("tok").join(flag(joins, "join_"), "tok", "left").join(flag(within_one_edit(places, known), "edit_"), "tok", "left").join(flag(two_piece_splits(places, known, piece), "split_"), "tok", "left")
     t = F.col("tok")
     vowelless = (F.length(t) >= 5) & ~t.rlike("[aeiouy]")
     garbage = t.rlike(r"[^\x00-\x7F]") | ((F.length(t) >= 4) & (X.longest_run(t) >= 3)) | t.rlike("[bcdfghjklmnpqrstvwxz]{5,}") | vowelless
-    return out.select("tok", F.when(garbage, "GARBAGE").when(F.col("join_"), "FRAG_join").when(F.col("edit_"), "EDIT1").when(F.col("split_"), "OVER_MERGE").otherwise("STANDALONE").alias("class"))
+    kept = places.filter(~garbage)
+    sides = F.array(
+        F.struct(F.col("next").alias("side"), F.concat("tok", "next").alias("joined"), F.lit(True).alias("before")),
+        F.struct(F.col("prev").alias("side"), F.concat("prev", "tok").alias("joined"), F.lit(False).alias("before")),
+    )
+    each = kept.select("tok", F.explode(sides).alias("s")).select("tok", "s.*").filter("side IS NOT NULL")
+    each = each.join(known.select(F.col("tok").alias("side")), "side", "left_anti")
+    joins = each.join(known.select(F.col("tok").alias("joined")), "joined", "left_semi")
+    part = fragments(kept.select("tok").distinct(), known, shortest=1)
+    affix = each.join(part, "tok").filter("(before AND is_head) OR (NOT before AND is_tail)")
+    near = within_two_edits(kept, known).filter("d = 1 OR length(tok) <= 16").groupBy("tok").agg(F.min("d").alias("edits_"))
+    out = places.select("tok").join(flag(joins, "join_"), "tok", "left").join(near, "tok", "left")
+    out = out.join(flag(two_piece_splits(kept, known, piece), "split_"), "tok", "left").join(flag(affix, "affix_"), "tok", "left")
+    kind = F.when(garbage, "GARBAGE").when(F.col("join_"), "FRAG_join").when(F.col("edits_") == 1, "EDIT1").when(F.col("edits_") == 2, "EDIT2")
+    return out.select("tok", kind.when(F.col("split_"), "OVER_MERGE").when(F.col("affix_"), "FRAG_affix").otherwise("STANDALONE").alias("class"))
+
+
+def recoverable_buckets(unknown: DataFrame, known: DataFrame, names: DataFrame) -> DataFrame:
+    """(bucket, tier, types, occurrences) of unknown words (tok, freq) of two letters or more that are neither garbage
+    nor numerals: MOJIBAKE, SHORT (four letters at most), FRAGMENT of a known word, NAMELIKE (in ``names``), HARD."""
+    words = unknown.filter(F.length("tok") >= 2)
+    words = words.join(residual_classes(words, known).filter("rule = 'recoverable'"), "tok", "left_semi")
+    part = fragments(words, known, shortest=5).filter("is_head OR is_tail").select("tok", F.lit(True).alias("part_"))
+    named = names.select("tok").distinct().withColumn("name_", F.lit(True))
+    out = words.join(part, "tok", "left").join(named, "tok", "left")
+    t = F.col("tok")
+    bucket = F.when(t.rlike(r"[^\x00-\x7F]"), "MOJIBAKE").when(F.length(t) <= 4, "SHORT").when(F.col("part_"), "FRAGMENT").when(F.col("name_"), "NAMELIKE").otherwise("HARD")
+    tier = F.when(F.col("freq") >= 10, "10+").when(F.col("freq") >= 2, "2-9").otherwise("singleton")
+    return out.groupBy(bucket.alias("bucket"), tier.alias("tier")).agg(F.count("*").alias("types"), F.sum("freq").alias("occurrences"))
 
 
 def page_cover(held: DataFrame, page: str, tok: str) -> DataFrame:

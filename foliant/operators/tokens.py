@@ -1,29 +1,126 @@
 """Vocabularies and corrections over token streams.
 
 Decisions are taken once for each distinct word, by joins to the vocabulary, and then applied to the stream; nothing
-is looked up row by row, and no vocabulary is gathered in one place.
+is looked up row by row, and no vocabulary is gathered in one place. Counts of words and of neighbouring pairs are
+added up within each batch before anything is shuffled, and a word's neighbours are taken from its line's array, so
+that neither costs a shuffle of the stream.
+
+A word such as "the" may be a large part of all words. Joins of the stream to words go through :func:`join_words`,
+which never sends a hot word's rows to one task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions import alignment as A
 from ..functions import text as X
+from ..sources.paths import stored
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyz"
+#: A table of words up to this number of rows is broadcast; its rows are counted first.
+BROADCAST_WORDS = 300_000
+#: A word with more than both of these is hot: so many places, and one ``HOT_WORDS``-th of all places.
+HOT_PLACES, HOT_WORDS = 10_000, 10_000
+#: Texts of a batch that are counted at once, in bytes.
+AT_ONCE = 8 << 20
+
+
+def token_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
+    """(ident, line_no, toks): the lower-case words of each line."""
+    lines = docs.select(ident, F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
+    return lines.select(ident, "line_no", X.words(F.col("line")).alias("toks"))
 
 
 def token_stream(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
     """(ident, line_no, tok_no, tok): lower-case words in reading order."""
-    lines = docs.select(ident, F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-    return lines.select(ident, "line_no", F.posexplode(X.words(F.col("line"))).alias("tok_no", "tok"))
+    return token_lines(docs, ident, text).select(ident, "line_no", F.posexplode("toks").alias("tok_no", "tok"))
+
+
+def places(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
+    """(ident, line_no, tok_no, tok, prev, next): the stream with the words before and after in the line, or null."""
+    at = lambda t, k: F.struct(k.alias("tok_no"), t.alias("tok"), F.get("toks", k - 1).alias("prev"), F.get("toks", k + 1).alias("next"))
+    return token_lines(docs, ident, text).select(ident, "line_no", F.explode(F.transform("toks", at)).alias("p_")).select(ident, "line_no", "p_.*")
+
+
+def context_windows(docs: DataFrame, reach: int = 7, ident: str = "doc_id", text: str = "text") -> DataFrame:
+    """(ident, line_no, tok_no, context): each word with up to ``reach`` words on either side in its line."""
+    around = lambda k: F.slice("toks", F.greatest(k - reach, F.lit(0)) + 1, k + reach + 1 - F.greatest(k - reach, F.lit(0)))
+    at = lambda t, k: F.struct(k.alias("tok_no"), F.array_join(around(k), " ").alias("context"))
+    return token_lines(docs, ident, text).select(ident, "line_no", F.explode(F.transform("toks", at)).alias("p_")).select(ident, "line_no", "p_.*")
+
+
+def _sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    if batch.num_rows > 1 and batch.nbytes > AT_ONCE:
+        half = batch.num_rows // 2
+        yield from _sliced(batch.slice(0, half))
+        yield from _sliced(batch.slice(half))
+    elif batch.num_rows:
+        yield batch
+
+
+def _numbered(texts: pa.Array, line_ends: bool) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of lower-case texts, each place's word by number and its row; -1 for a line's end if asked for."""
+    plain = pc.replace_substring_regex(pc.fill_null(texts, ""), r"[^\p{L}\n]+" if line_ends else r"[^\p{L}]+", " ")
+    split = pc.split_pattern(pc.replace_substring(plain, "\n", " \n ") if line_ends else plain, " ")
+    coded = split.values.dictionary_encode()
+    words, code = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))
+    empty, end = pc.index(words, "").as_py(), pc.index(words, "\n").as_py()
+    if end >= 0 and line_ends:
+        code[code == end] = -1
+    keep = code != empty
+    return words, code[keep], row[keep]
 
 
-def vocabulary(stream: DataFrame, ident: str = "doc_id") -> DataFrame:
-    """(tok, freq, doc_freq, example): the example is the first place by id, line and position."""
-    per_doc = stream.groupBy("tok", ident).agg(F.count("*").alias("n"), F.min(F.struct("line_no", "tok_no")).alias("at"))
-    return per_doc.groupBy("tok").agg(F.sum("n").alias("freq"), F.count("*").alias("doc_freq"), F.min(ident).alias("example"))
+def _counted(texts: DataFrame, schema: T.StructType, count: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in _sliced(batch):
+                yield pa.RecordBatch.from_arrays(count(b), names=schema.names)
+
+    return texts.mapInArrow(run, schema)
+
+
+def vocabulary(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
+    """(tok, freq, doc_freq, example) of the words in all rows' texts; the example is the least id that has the word."""
+    rows = docs.select(ident, F.lower(text).alias("text_"))
+    kind = rows.schema[ident].dataType
+    schema = T.StructType([T.StructField("tok", T.StringType()), T.StructField("freq", T.LongType()), T.StructField("doc_freq", T.LongType()), T.StructField("example", kind)])
+
+    def count(b: pa.RecordBatch) -> list[pa.Array]:
+        ids = b.column(0)
+        order = pc.array_sort_indices(ids)  # nulls last
+        rank = np.empty(len(ids), np.int64)
+        rank[order.to_numpy()] = np.arange(len(ids))
+        words, code, row = _numbered(b.column(1), False)
+        held = np.unique(code * len(ids) + rank[row])  # each word's rows, in the order of ids
+        code_of, rank_of = held // max(1, len(ids)), held % max(1, len(ids))
+        seen, first = np.unique(code_of, return_index=True)
+        freq, doc_freq = np.bincount(code, minlength=len(words)), np.bincount(code_of, minlength=len(words))
+        return [words.take(pa.array(seen)), pa.array(freq[seen]), pa.array(doc_freq[seen]), ids.take(order.take(pa.array(rank_of[first])))]
+
+    return _counted(rows, schema, count).groupBy("tok").agg(F.sum("freq").alias("freq"), F.sum("doc_freq").alias("doc_freq"), F.min("example").alias("example"))
+
+
+def pair_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(prev, next, n) of words next to each other in a line."""
+    schema = T.StructType([T.StructField("prev", T.StringType()), T.StructField("next", T.StringType()), T.StructField("n", T.LongType())])
+
+    def count(b: pa.RecordBatch) -> list[pa.Array]:
+        words, code, row = _numbered(b.column(0), True)
+        one = (row[1:] == row[:-1]) & (code[1:] >= 0) & (code[:-1] >= 0) if len(code) else np.zeros(0, bool)
+        pair, n = np.unique(code[:-1][one] * max(1, len(words)) + code[1:][one], return_counts=True)
+        return [words.take(pa.array(pair // max(1, len(words)))), words.take(pa.array(pair % max(1, len(words)))), pa.array(n)]
+
+    return _counted(docs.select(F.lower(text).alias("text_")), schema, count).groupBy("prev", "next").agg(F.sum("n").alias("n"))
 
 
 def known_words(vocab: DataFrame, documents: int = 3) -> DataFrame:
@@ -31,12 +128,83 @@ def known_words(vocab: DataFrame, documents: int = 3) -> DataFrame:
     return vocab.filter(F.col("doc_freq") >= documents).select("tok", "freq")
 
 
+def zipf(freq: Column, total: int) -> Column:
+    """The logarithm of a word's frequency in a billion words."""
+    return F.log10(freq * (1e9 / max(1, total)))
+
+
+def hot_words(vocab: DataFrame) -> DataFrame:
+    """(tok) of the words that are a large part of all places; fewer than ``HOT_WORDS``, whatever the size."""
+    total = vocab.agg(F.sum("freq")).first()[0] or 0
+    return vocab.filter(F.col("freq") > max(HOT_PLACES, total // HOT_WORDS)).select("tok")
+
+
+def join_words(rows: DataFrame, right: DataFrame, vocab: DataFrame, how: str = "inner", on: str = "tok") -> DataFrame:
+    """``rows`` joined to a table by word, with no task for a hot word.
+
+    ``right`` is broadcast if it has ``BROADCAST_WORDS`` rows at most, which are counted. Else the hot words' rows of it,
+    one or a few for each of a bounded number of words, are broadcast and the others are joined by word.
+    """
+    if right.count() <= BROADCAST_WORDS:
+        return rows.join(F.broadcast(right), on, how)
+    hot = F.broadcast(hot_words(vocab).withColumnRenamed("tok", on))
+    often = rows.join(hot, on, "left_semi").join(F.broadcast(right.join(hot, on, "left_semi")), on, how)
+    return often.unionByName(rows.join(hot, on, "left_anti").join(right, on, how))
+
+
+def edit_neighbours(words: DataFrame) -> DataFrame:
+    """(tok, candidate): every word of a to z at one edit of each word; joins on deletions are the way to look words up."""
+    return words.select("tok", F.explode(X.one_edit(F.col("tok"))).alias("candidate"))
+
+
+def _sharing(unknown: DataFrame, known: DataFrame, edits: int) -> DataFrame:
+    """(tok, candidate, freq) of words that have a form with ``edits`` letters taken out, or fewer, in common."""
+    keyed = lambda df: df.withColumn("key_", F.explode(X.deletes(F.col("tok"), edits)))
+    right = keyed(known.select("tok", "freq")).select("key_", F.col("tok").alias("candidate"), "freq")
+    pairs = keyed(unknown.select("tok").distinct()).join(right, "key_").select("tok", "candidate", "freq").distinct()
+    return pairs.filter((F.col("tok") != F.col("candidate")) & (F.abs(F.length("tok") - F.length("candidate")) <= edits))
+
+
 def within_one_edit(unknown: DataFrame, known: DataFrame) -> DataFrame:
     """(tok, candidate, freq) at one edit: an equi join on shared one-letter deletions, then verified."""
-    keyed = lambda df: df.withColumn("key_", F.explode(X.deletes(F.col("tok"))))
-    right = keyed(known).select("key_", F.col("tok").alias("candidate"), "freq")
-    pairs = keyed(unknown.select("tok")).join(right, "key_").select("tok", "candidate", "freq").distinct()
-    return pairs.filter((F.col("tok") != F.col("candidate")) & X.within_one(F.col("tok"), F.col("candidate")))
+    return _sharing(unknown, known, 1).filter(X.within_one(F.col("tok"), F.col("candidate")))
+
+
+def within_two_edits(unknown: DataFrame, known: DataFrame) -> DataFrame:
+    """(tok, candidate, freq, d) at one or two edits, swaps of neighbours among them, no place edited twice.
+
+    Only pairs that have over two edits without swaps are looked at in Python.
+    """
+    pairs = _sharing(unknown, known, 2)
+    plain = F.levenshtein("tok", "candidate", 2)
+    near = pairs.withColumn("d", F.when(X.within_one(F.col("tok"), F.col("candidate")), 1).when(plain == 2, 2)).filter("d IS NOT NULL")
+    far = pairs.filter((plain == -1) & (F.levenshtein(F.array_join(F.array_sort(F.split("tok", "")), ""), F.array_join(F.array_sort(F.split("candidate", "")), ""), 1) >= 0))
+    return near.unionByName(far.withColumn("d", A.swap_distance("tok", "candidate", F.lit(2))).filter("d <= 2"))
+
+
+# How often a word must occur to be a target, to be applied at one and at two edits, and by how much it
+# must lead the next one at the same distance.
+TARGET, APPLY, LEAD = 5, (12, 30), (5.0, 8.0)
+
+
+def symmetric_lookup(unknown: DataFrame, known: DataFrame) -> DataFrame:
+    """(tok, fix, d): the most frequent word at the least distance of one or two edits, where it is frequent enough
+    and leads the next one of that distance; ties of frequency decline."""
+    found = within_two_edits(unknown, known.filter(F.col("freq") >= TARGET))
+    by = Window.partitionBy("tok").orderBy("d", F.desc("freq"), "candidate")
+    nxt = F.lead(F.struct("d", "freq")).over(by)
+    best = found.withColumns({"r_": F.row_number().over(by), "n_": nxt}).filter("r_ = 1")
+    bar = lambda two: F.when(F.col("d") == 1, two[0]).otherwise(two[1])
+    alone = F.col("n_").isNull() | (F.col("n_.d") > F.col("d")) | (F.col("freq") >= bar(LEAD) * F.col("n_.freq"))
+    return best.filter((F.col("freq") >= bar(APPLY)) & alone).select("tok", F.col("candidate").alias("fix"), "d")
+
+
+def best_correction(unknown: DataFrame, known: DataFrame, total: int, least: float = 3.3, margin: float = 0.5) -> DataFrame:
+    """(tok, fix): the known word at one edit with the greatest zipf value, if that is ``least`` and leads by ``margin``."""
+    by = Window.partitionBy("tok").orderBy(F.desc("z_"), "candidate")
+    ranked = within_one_edit(unknown, known).withColumn("z_", zipf(F.col("freq"), total))
+    ranked = ranked.withColumns({"r_": F.row_number().over(by), "n_": F.coalesce(F.lead("z_").over(by), F.lit(0.0))}).filter("r_ = 1")
+    return ranked.filter((F.col("z_") >= least) & (F.col("z_") - F.col("n_") >= margin)).select("tok", F.col("candidate").alias("fix"))
 
 
 def dominant(candidates: DataFrame, ratio: float, least: int, key: str = "tok") -> DataFrame:
@@ -62,10 +230,30 @@ def best_split(words: DataFrame, known: DataFrame, piece: int = 4) -> DataFrame:
     return s.groupBy("tok").agg(F.max_by(F.struct("left", "right"), F.struct("least", -F.col("at"))).alias("s_")).select("tok", "s_.*")
 
 
-def only_split(words: DataFrame, known: DataFrame, piece: int = 3) -> DataFrame:
-    """(tok, left, right) of words with exactly one cut into two known words; others are ambiguous and stay whole."""
-    s = two_piece_splits(words, known, piece)
-    return s.groupBy("tok").agg(F.count("*").alias("n_"), F.first(F.struct("left", "right")).alias("s_")).filter("n_ = 1").select("tok", "s_.*")
+#: Short words that may be a piece of a split.
+STOPWORDS = ("a", "an", "and", "any", "are", "as", "at", "be", "by", "for", "from", "has", "have", "he", "in", "is", "it", "its", "no", "not", "of", "on", "or", "shall", "so", "such", "that", "the", "this", "to", "was", "which", "with")
+
+
+def only_split(words: DataFrame, known: DataFrame, piece: int = 4, stopwords: tuple[str, ...] = STOPWORDS) -> DataFrame:
+    """(tok, pieces) of words with one cut into two known words of ``piece`` letters or more, or stopwords.
+
+    Of several cuts the only one with a stopword counts; other words with several are ambiguous and stay whole. Words
+    without any and of eight letters or more may be cut in three, at the first cuts from the left.
+    """
+    n = F.length("tok")
+    fit = known.select("tok").filter((n >= piece) | F.col("tok").isin(*stopwords))
+    part = lambda c: fit.select(F.col("tok").alias(c))
+    cut = words.select("tok").filter(n >= 4).withColumn("at", F.explode(F.sequence(F.lit(2), n - 2)))
+    cut = cut.select("tok", "at", F.substring("tok", F.lit(1), F.col("at")).alias("left"), F.substring(F.col("tok"), F.col("at") + 1, n).alias("right"))
+    heads = cut.join(part("left"), "left", "left_semi")
+    two = heads.join(part("right"), "right", "left_semi").withColumn("stop_", F.col("left").isin(*stopwords) | F.col("right").isin(*stopwords))
+    counted = two.groupBy("tok").agg(F.count("*").alias("n_"), F.count_if("stop_").alias("s_"), F.min_by(F.array("left", "right"), F.struct(~F.col("stop_"), "at")).alias("pieces"))
+    once = counted.filter("n_ = 1 OR s_ = 1").select("tok", "pieces")
+    more = heads.join(counted.select("tok"), "tok", "left_anti").filter(n >= 8).withColumn("to", F.explode(F.sequence(F.lit(2), F.greatest(F.length("right") - 2, F.lit(2)))))
+    more = more.select("tok", "at", "to", "left", F.substring("right", F.lit(1), F.col("to")).alias("mid"), F.substring(F.col("right"), F.col("to") + 1, n).alias("last"))
+    three = more.join(part("mid"), "mid", "left_semi").join(part("last"), "last", "left_semi")
+    first = three.groupBy("tok").agg(F.min_by(F.array("left", "mid", "last"), F.struct("at", "to")).alias("pieces"))
+    return once.unionByName(first)
 
 
 def decompositions(words: DataFrame, known: DataFrame, shortest: int = 3, longest: int = 15) -> DataFrame:
@@ -100,12 +288,10 @@ def mojibake_fixes(words: DataFrame, known: DataFrame, ratio: float = 4.0) -> Da
     return dominant(found.withColumn("b_", best).filter("tier = b_").drop("b_", "tier"), ratio, 0)
 
 
-def bigrams(stream: DataFrame, known: DataFrame, ident: str = "doc_id") -> DataFrame:
-    """(prev, next, n) of known words next to each other in a line."""
-    by = Window.partitionBy(ident, "line_no").orderBy("tok_no")
-    flagged = stream.join(known.select("tok", F.lit(True).alias("k_")), "tok", "left")
-    pairs = flagged.withColumns({"next": F.lead("tok").over(by), "nk_": F.lead("k_").over(by)}).filter("k_ AND nk_")
-    return pairs.groupBy(F.col("tok").alias("prev"), "next").agg(F.count("*").alias("n"))
+def bigrams(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """(prev, next, n) of known words next to each other in a line: pairs are counted before they are looked up."""
+    side = lambda c: known.select(F.col("tok").alias(c))
+    return pair_counts(docs).join(side("prev"), "prev", "left_semi").join(side("next"), "next", "left_semi").select("prev", "next", "n")
 
 
 def context_choice(places: DataFrame, candidates: DataFrame, pairs: DataFrame, place: str, margin: float = 1.0) -> DataFrame:
@@ -134,16 +320,24 @@ def fragments(words: DataFrame, known: DataFrame, longer: int = 2, shortest: int
     return words.select("tok").join(heads, "tok", "left").join(tails, "tok", "left").fillna(False, ["is_head", "is_tail"])
 
 
-def rejoined(stream: DataFrame, known: DataFrame, ident: str = "doc_id", pieces: int = 4, shortest: int = 5) -> DataFrame:
+def rejoined(lines: DataFrame, known: DataFrame, vocab: DataFrame, ident: str = "doc_id", pieces: int = 4, shortest: int = 5) -> DataFrame:
     """(ident, line_no, start, size, joined): runs of words in a line that are one known word, not all known
-    themselves; from left to right, the longest first, without overlap."""
-    by = Window.partitionBy(ident, "line_no").orderBy("tok_no")
-    flagged = stream.join(known.select("tok", F.lit(True).alias("k_")), "tok", "left").withColumn("k_", F.coalesce("k_", F.lit(False)))
-    ahead = F.collect_list(F.struct("tok", "k_")).over(by.rowsBetween(0, pieces - 1))
-    runs = flagged.withColumn("ahead", ahead).withColumn("size", F.explode(F.sequence(F.lit(2), F.lit(pieces)))).filter(F.size("ahead") >= F.col("size"))
-    runs = runs.withColumn("run", F.slice("ahead", F.lit(1), F.col("size"))).withColumn("joined", F.array_join(F.transform("run", lambda x: x["tok"]), ""))
-    ok = (F.length("joined") >= shortest) & F.exists("run", lambda x: ~x["k_"]) & F.forall("run", lambda x: (F.length(x["tok"]) >= 2) & (x["k_"] | (F.length(x["tok"]) >= 3)))
-    hits = runs.filter(ok).select(ident, "line_no", F.col("tok_no").alias("start"), "size", "joined").join(known.select(F.col("tok").alias("joined")), "joined", "left_semi")
+    themselves; from left to right, the longest first, without overlap.
+
+    ``lines`` has the words of each line as ``toks``. Runs are looked up as one word first, and only the pieces of
+    those found.
+    """
+    run = lambda k, size: F.slice("toks", k + 1, size)
+    of = lambda k: F.transform(F.sequence(F.lit(2), F.lit(pieces)), lambda size: F.struct(k.alias("start"), size.alias("size"), F.array_join(run(k, size), "").alias("joined"), run(k, size).alias("run")))
+    each = F.flatten(F.transform(F.sequence(F.lit(0), F.size("toks") - 2), of))
+    fits = lambda r: (F.size(r["run"]) == r["size"]) & (F.length(r["joined"]) >= shortest) & F.forall(r["run"], lambda x: F.length(x) >= 2)
+    runs = lines.filter(F.size("toks") >= 2).select(ident, "line_no", F.explode(F.filter(each, fits)).alias("r_")).select(ident, "line_no", "r_.*")
+    found = join_words(runs, known.select(F.col("tok").alias("joined")), vocab, "left_semi", "joined")
+    pieces_ = found.select("run").distinct().select("run", F.explode("run").alias("tok"))
+    flags = join_words(pieces_, known.select("tok", F.lit(True).alias("k_")), vocab, "left").groupBy("run").agg(
+        F.every(F.coalesce("k_", F.lit(False))).alias("all_"), F.max(F.when(F.col("k_").isNull() & (F.length("tok") < 3), 1).otherwise(0)).alias("short_")
+    )
+    hits = found.join(flags, "run").filter("NOT all_ AND short_ = 0").select(ident, "line_no", "start", "size", "joined")
     best = hits.groupBy(ident, "line_no", "start").agg(F.max_by(F.struct("size", "joined"), "size").alias("b_"))
     rows = best.groupBy(ident, "line_no").agg(F.array_sort(F.collect_list(F.struct("start", "b_.size", "b_.joined"))).alias("hits"))
     empty = F.struct(F.lit(-1).alias("free"), F.filter(F.col("hits"), lambda _: F.lit(False)).alias("kept"))
@@ -151,14 +345,26 @@ def rejoined(stream: DataFrame, known: DataFrame, ident: str = "doc_id", pieces:
     return rows.select(ident, "line_no", F.explode(F.aggregate("hits", empty, step)["kept"]).alias("h")).select(ident, "line_no", "h.*")
 
 
-def over_line_ends(stream: DataFrame, known: DataFrame, ident: str = "doc_id") -> DataFrame:
-    """(ident, line_no, head, tail, joined): a line's last word and the next line's first that are one known word."""
-    by_line = Window.partitionBy(ident).orderBy("line_no")
-    lines = stream.groupBy(ident, "line_no").agg(F.max_by("tok", "tok_no").alias("head"), F.min_by("tok", "tok_no").alias("first"))
-    pairs = lines.withColumn("tail", F.lead("first").over(by_line)).filter("tail IS NOT NULL").withColumn("joined", F.concat("head", "tail"))
-    k = lambda c: known.select(F.col("tok").alias(c), F.lit(True).alias(f"k_{c}"))
-    flagged = pairs.join(k("joined"), "joined").join(k("head"), "head", "left").join(k("tail"), "tail", "left")
-    return flagged.filter("length(head) >= 3 AND NOT coalesce(k_head, false)").select(ident, "line_no", "head", "tail", "joined")
+def over_line_ends(lines: DataFrame, known: DataFrame, vocab: DataFrame, ident: str = "doc_id", ahead: int = 6) -> DataFrame:
+    """(ident, line_no, head, tail, joined): a line's last word, unknown and of three letters or more, and the first word
+    of the next line with words, up to ``ahead`` lines on, that are one known word."""
+    ends = lines.filter(F.size("toks") > 0)
+    heads = ends.select(ident, "line_no", F.element_at("toks", -1).alias("head")).filter(F.length("head") >= 3)
+    heads = join_words(heads, known.select(F.col("tok").alias("head")), vocab, "left_anti", "head")
+    heads = heads.select(ident, "line_no", "head", F.explode(F.sequence(F.col("line_no") + 1, F.col("line_no") + ahead)).alias("at_"))
+    tails = ends.select(ident, F.col("line_no").alias("at_"), F.get("toks", F.lit(0)).alias("tail"))
+    near = heads.join(tails, [ident, "at_"]).groupBy(ident, "line_no", "head").agg(F.min_by("tail", "at_").alias("tail"))
+    return join_words(near.withColumn("joined", F.concat("head", "tail")), known.select(F.col("tok").alias("joined")), vocab, "left_semi", "joined").select(ident, "line_no", "head", "tail", "joined")
+
+
+def residual_classes(words: DataFrame, known: DataFrame) -> DataFrame:
+    """(tok, rule) by the shape of unknown words; a letter three times in a row is let pass where a known word is left
+    when it stands twice, or is one edit away."""
+    triple = words.select("tok").filter(F.col("tok").rlike(r"(.)\1\1"))
+    twice = triple.withColumn("joined", F.regexp_replace("tok", r"(.)\1\1+", "$1$1")).join(known.select(F.col("tok").alias("joined")), "joined", "left_semi").select("tok")
+    saved = twice.unionByName(within_one_edit(triple, known).select("tok")).distinct().withColumn("saved_", F.lit(True))
+    rule = X.garbage_rule(F.col("tok"))
+    return words.select("tok").join(saved, "tok", "left").select("tok", F.when((rule == "garbage_repeat3") & F.col("saved_"), "recoverable").otherwise(rule).alias("rule"))
 
 
 def triage(words: DataFrame, known: DataFrame) -> DataFrame:

@@ -10,8 +10,10 @@ from ..functions import dates as D
 from ..functions import pages as P
 from ..functions import text as X
 from ..operators import headings as H
+from ..operators import tokens as T
 from ..registry import query, table
-from .token_queries import VOCAB, rare, stream, vocab_known
+from ..sources.paths import stored
+from .token_queries import VOCAB, docs, rare, stream, vocab_known
 
 _ASCII = r"regexp_replace(text, '[^\x00-\x7F]', '', 'g')"
 
@@ -173,26 +175,29 @@ def f08_token_errors(spark, sf):
     return gold.select("item_id", A.token_errors(F.col("a"), read).cast("array<long>").alias("wrong"))
 
 
-@query("c14_singletons", f"""WITH {VOCAB}, nb AS (SELECT tok, lag(tok) OVER w AS prev, lead(tok) OVER w AS next FROM stream WINDOW w AS (PARTITION BY doc_id, line_no ORDER BY tok_no)),
-s AS (SELECT nb.* FROM nb JOIN vocab v ON v.tok = nb.tok WHERE freq = 1 AND left(nb.tok, 1) IN ('a', 't')),
-j AS (SELECT DISTINCT tok FROM (SELECT tok, next AS side, tok || next AS joined FROM s UNION ALL SELECT tok, prev, prev || tok FROM s) WHERE joined IN (SELECT tok FROM known) AND side NOT IN (SELECT tok FROM known)),
-ed AS (SELECT DISTINCT s.tok FROM s JOIN known k ON abs(length(k.tok) - length(s.tok)) <= 1 AND k.tok <> s.tok AND damerau_levenshtein(s.tok, k.tok) = 1),
-sp AS (SELECT DISTINCT tok FROM s, range(3, 60) t(i) WHERE i <= length(tok) - 3 AND left(tok, CAST(i AS INT)) IN (SELECT tok FROM known) AND substr(tok, CAST(i AS INT) + 1) IN (SELECT tok FROM known))
-SELECT tok, CASE WHEN regexp_matches(tok, '[^\\x00-\\x7F]') OR length(tok) >= 4 AND regexp_matches(tok, '{"|".join(c + "{3}" for c in "abcdefghijklmnopqrstuvwxyz")}') OR regexp_matches(tok, '[bcdfghjklmnpqrstvwxz]{{5,}}') OR length(tok) >= 5 AND NOT regexp_matches(tok, '[aeiouy]') THEN 'GARBAGE'
-WHEN tok IN (SELECT tok FROM j) THEN 'FRAG_join' WHEN tok IN (SELECT tok FROM ed) THEN 'EDIT1' WHEN tok IN (SELECT tok FROM sp) THEN 'OVER_MERGE' ELSE 'STANDALONE' END AS class FROM s""")
+@query("c14_singletons")
 def c14_singletons(spark, sf):
-    s = stream(spark, sf)
+    """Tested against brute force, since DuckDB's distance lets a place be edited twice."""
     v, known = vocab_known(spark, sf)
-    by = Window.partitionBy("doc_id", "line_no").orderBy("tok_no")
-    ones = s.withColumns({"prev": F.lag("tok").over(by), "next": F.lead("tok").over(by)}).join(rare(v).filter(F.col("tok").rlike("^[at]")), "tok", "left_semi")
-    return H.singleton_classes(ones.select("tok", "prev", "next"), known)
+    ones = T.join_words(T.places(docs(spark, sf)), stored(rare(v), "rare"), v, "left_semi")
+    return H.singleton_classes(stored(ones.select("tok", "prev", "next"), "singletons"), known)
+
+
+@query("c15_recoverable", f"""WITH {VOCAB}, u AS (SELECT tok, freq, length(regexp_replace(tok, '[\\x00-\\x7F]', '', 'g')) AS odd, regexp_matches(tok, '[bcdfghjklmnpqrstvwxz]{{5,}}') AS clump, NOT regexp_matches(tok, '[aeiouy]') AND length(tok) >= 5 AS bare FROM vocab WHERE doc_freq < 25 AND length(tok) >= 2 AND NOT regexp_matches(tok, '^[ivxlcdm]{{2,}}$')),
+r AS (SELECT tok, freq FROM u WHERE odd = 1 AND length(tok) <= 16 OR odd = 0 AND NOT clump AND NOT bare AND length(tok) < 25 AND NOT regexp_matches(tok, '{"|".join(c + "{4}" for c in T.ALPHABET)}')),
+k AS (SELECT tok, CAST(unnest(range(5, length(tok) - 1)) AS INT) AS k FROM known WHERE length(tok) >= 7), part AS (SELECT DISTINCT left(tok, k) AS part FROM k UNION SELECT right(tok, k) FROM k), names AS (SELECT lower(n_name) AS name FROM nation)
+SELECT CASE WHEN regexp_matches(tok, '[^\\x00-\\x7F]') THEN 'MOJIBAKE' WHEN length(tok) <= 4 THEN 'SHORT' WHEN tok IN (SELECT part FROM part) THEN 'FRAGMENT' WHEN tok IN (SELECT name FROM names) THEN 'NAMELIKE' ELSE 'HARD' END AS bucket,
+CASE WHEN freq >= 10 THEN '10+' WHEN freq >= 2 THEN '2-9' ELSE 'singleton' END AS tier, count(*) AS types, CAST(sum(freq) AS BIGINT) AS occurrences FROM r GROUP BY ALL""")
+def c15_recoverable(spark, sf):
+    v, known = vocab_known(spark, sf)
+    names = table(spark, sf, "nation").select(F.lower("n_name").alias("tok"))
+    return H.recoverable_buckets(v.filter("doc_freq < 25"), known, names)
 
 
 @query("f02_swap_distance")
 def f02_swap_distance(spark, sf):
     """Neighbouring words of a line, at most three edits apart."""
-    by = Window.partitionBy("doc_id", "line_no").orderBy("tok_no")
-    pairs = stream(spark, sf).withColumn("next", F.lead("tok").over(by)).filter("next IS NOT NULL").select("tok", "next").distinct()
+    pairs = T.pair_counts(docs(spark, sf)).select(F.col("prev").alias("tok"), "next")
     return pairs.withColumn("d", A.swap_distance("tok", "next", F.lit(3))).filter("d <= 3")
 
 
@@ -200,10 +205,9 @@ def f02_swap_distance(spark, sf):
 n AS (SELECT doc_id, count(*) AS n_tokens FROM p GROUP BY doc_id), o AS (SELECT doc_id, n_tokens, row_number() OVER (ORDER BY n_tokens DESC, doc_id) AS k FROM n)
 SELECT a.doc_id, a.n_tokens, count(*) AS n_new FROM o a JOIN p ON p.doc_id = a.doc_id WHERE NOT EXISTS (SELECT 1 FROM p q JOIN o b ON b.doc_id = q.doc_id WHERE q.tok = p.tok AND b.k < a.k) GROUP BY ALL""")
 def a18_page_cover(spark, sf):
-    s = stream(spark, sf)
     v, _ = vocab_known(spark, sf)
     wanted = v.filter((F.col("doc_freq").between(2, 24)) & (F.length("tok") >= 6)).select("tok")
-    return H.page_cover(s.join(wanted, "tok", "left_semi"), "doc_id", "tok")
+    return H.page_cover(T.join_words(stream(spark, sf), stored(wanted, "wanted"), v, "left_semi"), "doc_id", "tok")
 
 
 @query("j21_paired_headings", """WITH h AS (SELECT o_custkey, o_orderkey AS id, o_orderstatus = 'O' AS kept, dayofyear(o_orderdate) / 366 AS pos FROM orders),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
@@ -10,6 +9,7 @@ from ..functions import numerals as N
 from ..functions import text as X
 from ..operators import tokens as T
 from ..registry import query, table
+from ..sources.paths import stored
 
 STREAM = r"""lines AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no, unnest(string_split(text, chr(10))) AS line FROM documents),
 stream AS (SELECT doc_id, line_no, generate_subscripts(regexp_extract_all(lower(line), '\p{L}+'), 1) - 1 AS tok_no, unnest(regexp_extract_all(lower(line), '\p{L}+')) AS tok FROM lines)"""
@@ -23,8 +23,13 @@ def stream(spark, sf):
     return T.token_stream(table(spark, sf, "documents"))
 
 
+def docs(spark, sf):
+    return table(spark, sf, "documents")
+
+
 def vocab_known(spark, sf):
-    v = T.vocabulary(stream(spark, sf))
+    """The vocabulary, counted once and written, and its words of 25 documents or more."""
+    v = stored(T.vocabulary(docs(spark, sf)), "vocabulary")
     return v, T.known_words(v, 25)
 
 
@@ -60,9 +65,9 @@ def f10_dehyphenate(spark, sf):
 _ASCII = r"regexp_replace({}, '[^\x00-\x7F]', '', 'g')"
 
 
-@query("f04_levenshtein", f"SELECT a.item_id AS a, b.item_id AS b, CAST(levenshtein(left({_ASCII.format('a.text')}, 40), left({_ASCII.format('b.text')}, 40)) AS INTEGER) AS d FROM benchmark a JOIN benchmark b ON a.item_id < b.item_id")
+@query("f04_levenshtein", f"SELECT a.item_id AS a, b.item_id AS b, CAST(levenshtein({_ASCII.format('a.text')}, {_ASCII.format('b.text')}) AS INTEGER) AS d FROM benchmark a JOIN benchmark b ON a.item_id < b.item_id")
 def f04_levenshtein(spark, sf):
-    t = table(spark, sf, "benchmark").select("item_id", F.substring(F.regexp_replace("text", r"[^\x00-\x7F]", ""), 1, 40).alias("t"))
+    t = table(spark, sf, "benchmark").select("item_id", F.regexp_replace("text", r"[^\x00-\x7F]", "").alias("t"))
     side = lambda n: t.select(F.col("item_id").alias(n), F.col("t").alias(f"t{n}"))
     return side("a").join(side("b"), F.col("a") < F.col("b")).select("a", "b", F.levenshtein("ta", "tb").alias("d"))
 
@@ -203,33 +208,64 @@ def s10_links(spark, sf):
 
 @query("a03_vocab", f"WITH {VOCAB} SELECT tok, freq, doc_freq, example FROM vocab")
 def a03_vocab(spark, sf):
-    return T.vocabulary(stream(spark, sf))
+    return T.vocabulary(docs(spark, sf))
 
 
 @query("c13_vocab_diff", f"WITH {VOCAB}, b AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) AS tok FROM benchmark) SELECT tok, freq, doc_freq, example FROM vocab WHERE tok NOT IN (SELECT tok FROM b) AND doc_freq >= 2")
 def c13_vocab_diff(spark, sf):
     b = table(spark, sf, "benchmark").select(F.explode(X.words(F.col("text"))).alias("tok"))
-    return T.vocabulary(stream(spark, sf)).join(b, "tok", "left_anti").filter("doc_freq >= 2")
+    return T.vocabulary(docs(spark, sf)).join(b, "tok", "left_anti").filter("doc_freq >= 2")
 
 
 @query("a21_frequency_tiers", f"WITH {VOCAB} SELECT CASE WHEN freq = 1 THEN 'singleton' WHEN freq < 10 THEN '2-9' ELSE '10+' END AS tier, count(*) AS types, CAST(sum(freq) AS BIGINT) AS occurrences FROM vocab GROUP BY 1")
 def a21_frequency_tiers(spark, sf):
     tier = F.when(F.col("freq") == 1, "singleton").when(F.col("freq") < 10, "2-9").otherwise("10+")
-    return T.vocabulary(stream(spark, sf)).groupBy(tier.alias("tier")).agg(F.count("*").alias("types"), F.sum("freq").alias("occurrences"))
+    return T.vocabulary(docs(spark, sf)).groupBy(tier.alias("tier")).agg(F.count("*").alias("types"), F.sum("freq").alias("occurrences"))
 
 
 @query("j14_known_flag", f"WITH {VOCAB} SELECT doc_id, count(*) AS n, count(k.tok) AS known FROM stream s LEFT JOIN known k ON k.tok = s.tok GROUP BY doc_id")
 def j14_known_flag(spark, sf):
-    s = stream(spark, sf)
-    _, known = vocab_known(spark, sf)
-    return s.join(known.select("tok", F.lit(1).alias("k")), "tok", "left").groupBy("doc_id").agg(F.count("*").alias("n"), F.count("k").alias("known"))
+    v, known = vocab_known(spark, sf)
+    flagged = T.join_words(stream(spark, sf), known.select("tok", F.lit(1).alias("k")), v, "left")
+    return flagged.groupBy("doc_id").agg(F.count("*").alias("n"), F.count("k").alias("known"))
+
+
+#: Pairs of words that have a form with one letter taken out in common.
+_EDIT = """del_(tok, key) AS (SELECT DISTINCT tok, unnest(list_concat([tok], [left(tok, CAST(i AS INT) - 1) || substr(tok, CAST(i AS INT) + 1) FOR i IN range(1, length(tok) + 1)])) FROM {words}),
+kdel(tok, key) AS (SELECT DISTINCT tok, unnest(list_concat([tok], [left(tok, CAST(i AS INT) - 1) || substr(tok, CAST(i AS INT) + 1) FOR i IN range(1, length(tok) + 1)])) FROM known WHERE regexp_matches(tok, '^[a-z]+$')),
+e1 AS (SELECT DISTINCT d.tok, k.tok AS candidate FROM del_ d JOIN kdel k USING (key) WHERE d.tok <> k.tok AND abs(length(d.tok) - length(k.tok)) <= 1 AND damerau_levenshtein(d.tok, k.tok) = 1),
+edit1 AS (SELECT e1.tok, candidate, freq FROM e1 JOIN known ON known.tok = candidate)"""
+_RARE_EDIT = f"{RARE}, az AS (SELECT tok FROM rare WHERE regexp_matches(tok, '^[a-z]+$')), {_EDIT.format(words='az')}"
+
 
+def az(words):
+    return words.filter(F.col("tok").rlike("^[a-z]+$"))
 
-@query("j15_within_one_edit", f"WITH {RARE} SELECT r.tok, k.tok AS candidate, k.freq FROM rare r JOIN known k ON k.tok <> r.tok AND abs(length(k.tok) - length(r.tok)) <= 1 AND damerau_levenshtein(r.tok, k.tok) = 1 WHERE regexp_matches(r.tok, '^[a-z]+$') AND regexp_matches(k.tok, '^[a-z]+$') AND left(r.tok, 1) IN ('a', 'h', 't')")
+
+@query("j15_within_one_edit", f"WITH {_RARE_EDIT} SELECT tok, candidate, freq FROM edit1")
 def j15_within_one_edit(spark, sf):
     v, known = vocab_known(spark, sf)
-    ascii_ = F.col("tok").rlike("^[a-z]+$")
-    return T.within_one_edit(rare(v).filter(ascii_ & F.col("tok").rlike("^[aht]")), known.filter(ascii_))
+    return T.within_one_edit(az(rare(v)), az(known))
+
+
+@query("j15_within_two_edits")
+def j15_within_two_edits(spark, sf):
+    """Tested against brute force: DuckDB's distance lets a place be edited twice."""
+    v, known = vocab_known(spark, sf)
+    return T.symmetric_lookup(az(rare(v)), az(known))
+
+
+@query("f01_edit_neighbours", """WITH w AS (SELECT DISTINCT lower(n_name) AS tok FROM nation WHERE regexp_matches(n_name, '^[A-Za-z]+$')), l AS (SELECT unnest(string_split('a b c d e f g h i j k l m n o p q r s t u v w x y z', ' ')) AS c), i AS (SELECT tok, CAST(unnest(range(0, length(tok) + 1)) AS INT) AS i FROM w),
+n AS (SELECT tok, left(tok, i) || substr(tok, i + 2) AS candidate FROM i WHERE i < length(tok) UNION SELECT tok, left(tok, i) || substr(tok, i + 2, 1) || substr(tok, i + 1, 1) || substr(tok, i + 3) FROM i WHERE i < length(tok) - 1
+UNION SELECT tok, left(tok, i) || c || substr(tok, i + 2) FROM i, l WHERE i < length(tok) UNION SELECT tok, left(tok, i) || c || substr(tok, i + 1) FROM i, l) SELECT * FROM n WHERE candidate <> tok""")
+def f01_edit_neighbours(spark, sf):
+    return T.edit_neighbours(az(table(spark, sf, "nation").select(F.lower("n_name").alias("tok")).distinct()))
+
+
+@query("f40_best_correction", f"WITH {_RARE_EDIT}, z AS (SELECT tok, candidate, log10(freq * (1e9 / (SELECT sum(freq) FROM vocab))) AS z FROM edit1), r AS (SELECT *, row_number() OVER w AS k, coalesce(lead(z) OVER w, 0) AS nxt FROM z WINDOW w AS (PARTITION BY tok ORDER BY z DESC, candidate)) SELECT tok, candidate AS fix FROM r WHERE k = 1 AND z >= 3.3 AND z - nxt >= 0.5")
+def f40_best_correction(spark, sf):
+    v, known = vocab_known(spark, sf)
+    return T.best_correction(az(rare(v)), az(known), v.agg(F.sum("freq")).first()[0])
 
 
 _SPLITS = f"""{RARE}, cut AS (SELECT tok, CAST(i AS INT) AS at_, left(tok, CAST(i AS INT)) AS l, substr(tok, CAST(i AS INT) + 1) AS r FROM rare, range(3, 40) t(i) WHERE i <= length(tok) - 3),
@@ -242,10 +278,16 @@ def f35_best_split(spark, sf):
     return T.best_split(rare(v), known)
 
 
-@query("f36_only_split", f'WITH {_SPLITS} SELECT tok, any_value(l) AS "left", any_value(r) AS "right" FROM both_ GROUP BY tok HAVING count(*) = 1')
+@query("f36_only_split", f"""WITH {RARE}, fit AS (SELECT tok, tok IN {T.STOPWORDS} AS stop FROM known WHERE length(tok) >= 4 OR tok IN {T.STOPWORDS}), w AS (SELECT tok, CAST(unnest(range(2, length(tok) - 1)) AS INT) AS i FROM rare WHERE length(tok) >= 4),
+two AS (SELECT w.tok, i, a.tok AS l, b.tok AS r, a.stop OR b.stop AS stop FROM w JOIN fit a ON a.tok = left(w.tok, i) JOIN fit b ON b.tok = substr(w.tok, i + 1)),
+c AS (SELECT tok, count(*) AS n, count(*) FILTER (stop) AS s, arg_min(l || ' ' || r, CASE WHEN stop THEN 0 ELSE 1000 END + i) AS pieces FROM two GROUP BY tok),
+h AS (SELECT w.tok, i, a.tok AS l, substr(w.tok, i + 1) AS rest FROM w JOIN fit a ON a.tok = left(w.tok, i) WHERE length(w.tok) >= 8 AND w.tok NOT IN (SELECT tok FROM c)),
+g AS (SELECT *, CAST(unnest(range(2, length(rest) - 1)) AS INT) AS j FROM h WHERE length(rest) >= 4),
+three AS (SELECT g.tok, i, j, l || ' ' || m.tok || ' ' || z.tok AS pieces FROM g JOIN fit m ON m.tok = left(rest, j) JOIN fit z ON z.tok = substr(rest, j + 1))
+SELECT tok, pieces FROM c WHERE n = 1 OR s = 1 UNION ALL SELECT tok, arg_min(pieces, i * 1000 + j) FROM three GROUP BY tok""")
 def f36_only_split(spark, sf):
     v, known = vocab_known(spark, sf)
-    return T.only_split(rare(v), known)
+    return T.only_split(rare(v), known).select("tok", F.array_join("pieces", " ").alias("pieces"))
 
 
 @query("f37_decompositions", f"""WITH RECURSIVE {RARE}, w AS (SELECT tok FROM rare WHERE length(tok) >= 12),
@@ -257,13 +299,19 @@ def f37_decompositions(spark, sf):
     return T.decompositions(rare(v).filter("length(tok) >= 12"), known).select("tok", F.array_join("pieces", " ").alias("pieces"))
 
 
+_TWICE = "tok"
+for _c in T.ALPHABET:
+    _TWICE = f"regexp_replace({_TWICE}, '{_c}{{3,}}', '{_c}{_c}', 'g')"
+
+
 @query("f31_garbage_rules", f"""WITH {VOCAB}, u AS (SELECT tok FROM vocab WHERE doc_freq < 25), o AS (SELECT tok, length(regexp_replace(tok, '[\\x00-\\x7F]', '', 'g')) AS odd, regexp_matches(tok, '[bcdfghjklmnpqrstvwxz]{{5,}}') AS clump, NOT regexp_matches(tok, '[aeiouy]') AND length(tok) >= 5 AS bare,
-list_max([len(x) FOR x IN regexp_extract_all(tok, '{"|".join(c + "{3,}" for c in T.ALPHABET)}')]) AS run FROM u)
-SELECT rule, count(*) AS n FROM (SELECT CASE WHEN regexp_matches(tok, '^[ivxlcdm]{{2,}}$') THEN 'roman' WHEN odd > 1 OR odd = 1 AND length(tok) > 16 THEN 'garbage_mojibake' WHEN odd = 1 THEN 'recoverable' WHEN run >= 4 THEN 'garbage_repeat4' WHEN run >= 3 THEN CASE WHEN clump OR bare THEN 'garbage_repeat3' ELSE 'recoverable' END
+list_max([len(x) FOR x IN regexp_extract_all(tok, '{"|".join(c + "{3,}" for c in T.ALPHABET)}')]) AS run FROM u),
+az AS (SELECT tok FROM o WHERE run >= 3), {_EDIT.format(words='az').replace("WHERE regexp_matches(tok, '^[a-z]+$')", "")}, saved AS (SELECT tok FROM az WHERE {_TWICE} IN (SELECT tok FROM known) UNION SELECT tok FROM edit1)
+SELECT rule, count(*) AS n FROM (SELECT CASE WHEN regexp_matches(tok, '^[ivxlcdm]{{2,}}$') THEN 'roman' WHEN odd > 1 OR odd = 1 AND length(tok) > 16 THEN 'garbage_mojibake' WHEN odd = 1 THEN 'recoverable' WHEN run >= 4 THEN 'garbage_repeat4' WHEN run >= 3 THEN CASE WHEN (clump OR bare) AND tok NOT IN (SELECT tok FROM saved) THEN 'garbage_repeat3' ELSE 'recoverable' END
 WHEN clump THEN 'garbage_cons5' WHEN bare THEN 'garbage_novowel' WHEN length(tok) >= 25 THEN 'garbage_toolong' ELSE 'recoverable' END AS rule FROM o) GROUP BY rule""")
 def f31_garbage_rules(spark, sf):
-    v, _ = vocab_known(spark, sf)
-    return v.filter("doc_freq < 25").groupBy(X.garbage_rule(F.col("tok")).alias("rule")).agg(F.count("*").alias("n"))
+    v, known = vocab_known(spark, sf)
+    return T.residual_classes(v.filter("doc_freq < 25"), known).groupBy("rule").agg(F.count("*").alias("n"))
 
 
 @query("f33_shapes", f"WITH {VOCAB} SELECT tok, round(length(regexp_replace(tok, '[^aeiou]', '', 'g')) / length(tok), 6) AS vowels, CAST(list_max([len(x) FOR x IN regexp_extract_all(tok, '{'|'.join(c + '+' for c in T.ALPHABET)}')]) AS INTEGER) AS run FROM known WHERE regexp_matches(tok, '^[a-z]+$')")
@@ -272,10 +320,11 @@ def f33_shapes(spark, sf):
     return known.filter(F.col("tok").rlike("^[a-z]+$")).select("tok", F.round(X.vowel_ratio(F.col("tok")), 6).alias("vowels"), X.longest_run(F.col("tok")).alias("run"))
 
 
-@query("f34_fragments", f"WITH {RARE} SELECT tok, EXISTS (SELECT 1 FROM known k WHERE length(k.tok) >= length(r.tok) + 2 AND starts_with(k.tok, r.tok)) AND length(tok) >= 3 AS is_head, EXISTS (SELECT 1 FROM known k WHERE length(k.tok) >= length(r.tok) + 2 AND ends_with(k.tok, r.tok)) AND length(tok) >= 3 AS is_tail FROM rare r WHERE length(tok) <= 9")
+@query("f34_fragments", f"""WITH {RARE}, k AS (SELECT tok, CAST(unnest(range(3, length(tok) - 1)) AS INT) AS k FROM known WHERE length(tok) >= 5), heads AS (SELECT DISTINCT left(tok, k) AS part FROM k), tails AS (SELECT DISTINCT right(tok, k) AS part FROM k)
+SELECT tok, tok IN (SELECT part FROM heads) AS is_head, tok IN (SELECT part FROM tails) AS is_tail FROM rare""")
 def f34_fragments(spark, sf):
     v, known = vocab_known(spark, sf)
-    return T.fragments(rare(v).filter("length(tok) <= 9"), known)
+    return T.fragments(rare(v), known)
 
 
 @query("f38_mojibake", f"""WITH {VOCAB}, one AS (SELECT tok, regexp_extract(tok, '^([a-z]*)', 1) AS pre, regexp_extract(tok, '([a-z]*)$', 1) AS post FROM vocab WHERE doc_freq < 25 AND regexp_matches(tok, '^[a-z]*[^a-z]{{1,2}}[a-z]*$') AND length(regexp_replace(tok, '[\\x00-\\x7F]', '', 'g')) BETWEEN 1 AND 2),
@@ -287,45 +336,38 @@ def f38_mojibake(spark, sf):
     return T.mojibake_fixes(v.filter("doc_freq < 25"), known)
 
 
-_DOMINANT = f"""{RARE}, c AS (SELECT r.tok, k.tok AS candidate, k.freq FROM rare r JOIN known k ON k.tok <> r.tok AND abs(length(k.tok) - length(r.tok)) <= 1 AND damerau_levenshtein(r.tok, k.tok) = 1 WHERE regexp_matches(r.tok, '^[at][a-z]+$') AND regexp_matches(k.tok, '^[a-z]+$')),
-ranked AS (SELECT *, row_number() OVER w AS k, lead(freq) OVER w AS nxt FROM c WINDOW w AS (PARTITION BY tok ORDER BY freq DESC, candidate))"""
-
-
-@query("f40_dominant", f"WITH {_DOMINANT} SELECT tok, candidate AS fix FROM ranked WHERE k = 1 AND freq >= 50 AND (nxt IS NULL OR freq >= 3 * nxt)")
+@query("f40_dominant", f"WITH {_RARE_EDIT}, ranked AS (SELECT *, row_number() OVER w AS k, lead(freq) OVER w AS nxt FROM edit1 WINDOW w AS (PARTITION BY tok ORDER BY freq DESC, candidate)) SELECT tok, candidate AS fix FROM ranked WHERE k = 1 AND freq >= 50 AND (nxt IS NULL OR freq >= 3 * nxt)")
 def f40_dominant(spark, sf):
     v, known = vocab_known(spark, sf)
-    c = T.within_one_edit(rare(v).filter(F.col("tok").rlike("^[at][a-z]+$")), known.filter(F.col("tok").rlike("^[a-z]+$")))
-    return T.dominant(c, 3.0, 50)
+    return T.dominant(T.within_one_edit(az(rare(v)), az(known)), 3.0, 50)
 
 
-_BIGRAMS = f"""{VOCAB}, nb AS (SELECT doc_id, line_no, tok_no, tok, lag(tok) OVER w AS prev, lead(tok) OVER w AS next FROM stream WINDOW w AS (PARTITION BY doc_id, line_no ORDER BY tok_no)),
+_NEIGHBOURS = """nb AS (SELECT doc_id, line_no, tok_no, tok, lag(tok) OVER w AS prev, lead(tok) OVER w AS next FROM stream WINDOW w AS (PARTITION BY doc_id, line_no ORDER BY tok_no)),
 bg AS (SELECT tok AS prev, next, count(*) AS n FROM nb WHERE tok IN (SELECT tok FROM known) AND next IN (SELECT tok FROM known) GROUP BY ALL)"""
 
 
-@query("w35_bigrams", f"WITH {_BIGRAMS} SELECT * FROM bg")
+@query("w35_bigrams", f"WITH {VOCAB}, {_NEIGHBOURS} SELECT * FROM bg")
 def w35_bigrams(spark, sf):
     _, known = vocab_known(spark, sf)
-    return T.bigrams(stream(spark, sf), known)
+    return T.bigrams(docs(spark, sf), known)
 
 
-@query("w36_context_window", f"""WITH {VOCAB} SELECT doc_id, line_no, tok_no, string_agg(tok, ' ') OVER (PARTITION BY doc_id, line_no ORDER BY tok_no ROWS BETWEEN 7 PRECEDING AND 7 FOLLOWING) AS context FROM (SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, CAST(tok_no AS INTEGER) AS tok_no, tok FROM stream) WHERE doc_id % 20 = 0""")
+@query("w36_context_window", f"""WITH {STREAM} SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, CAST(tok_no AS INTEGER) AS tok_no, string_agg(tok, ' ') OVER (PARTITION BY doc_id, line_no ORDER BY tok_no ROWS BETWEEN 7 PRECEDING AND 7 FOLLOWING) AS context FROM stream""")
 def w36_context_window(spark, sf):
-    by = Window.partitionBy("doc_id", "line_no").orderBy("tok_no").rowsBetween(-7, 7)
-    return stream(spark, sf).filter("doc_id % 20 = 0").select("doc_id", "line_no", "tok_no", F.array_join(F.collect_list("tok").over(by), " ").alias("context"))
+    return T.context_windows(docs(spark, sf))
 
 
-@query("f41_context", f"""WITH {_BIGRAMS}, rare AS (SELECT tok FROM vocab WHERE freq = 1 AND regexp_matches(tok, '^[a-z]+$')), c AS (SELECT r.tok, k.tok AS candidate FROM rare r JOIN known k ON k.tok <> r.tok AND abs(length(k.tok) - length(r.tok)) <= 1 AND damerau_levenshtein(r.tok, k.tok) = 1 WHERE regexp_matches(k.tok, '^[a-z]+$') AND left(r.tok, 1) = 't'),
-s AS (SELECT nb.tok AS place, candidate, ln(1 + coalesce(a.n, 0)) + ln(1 + coalesce(b.n, 0)) AS score FROM nb JOIN c ON c.tok = nb.tok LEFT JOIN bg a ON a.prev = nb.prev AND a.next = candidate LEFT JOIN bg b ON b.prev = candidate AND b.next = nb.next),
+@query("f41_context", f"""WITH {_RARE_EDIT}, {_NEIGHBOURS},
+s AS (SELECT nb.tok AS place, candidate, ln(1 + coalesce(a.n, 0)) + ln(1 + coalesce(b.n, 0)) AS score FROM nb JOIN edit1 c ON c.tok = nb.tok LEFT JOIN bg a ON a.prev = nb.prev AND a.next = candidate LEFT JOIN bg b ON b.prev = candidate AND b.next = nb.next),
 r AS (SELECT *, row_number() OVER w AS k, coalesce(lead(score) OVER w, 0) AS second FROM s WINDOW w AS (PARTITION BY place ORDER BY score DESC, candidate))
 SELECT place, CASE WHEN score > 0 AND score - second >= 1.0 THEN candidate END AS pick, CASE WHEN score = 0 THEN 'no_ctx' WHEN score - second >= 1.0 THEN 'resolved' ELSE 'tie' END AS status FROM r WHERE k = 1""")
 def f41_context(spark, sf):
-    s = stream(spark, sf)
+    """Words seen once, so a word is its place."""
     v, known = vocab_known(spark, sf)
-    words = rare(v).filter(F.col("tok").rlike("^t[a-z]*$"))
-    c = T.within_one_edit(words, known.filter(F.col("tok").rlike("^[a-z]+$")))
-    by = Window.partitionBy("doc_id", "line_no").orderBy("tok_no")
-    places = s.withColumns({"prev": F.lag("tok").over(by), "next": F.lead("tok").over(by)}).join(words, "tok", "left_semi")
-    return T.context_choice(places.select(F.col("tok").alias("place"), "tok", "prev", "next"), c, T.bigrams(s, known), "place")
+    words = stored(az(rare(v)), "rare")
+    c = T.within_one_edit(words, az(known))
+    at = T.join_words(T.places(docs(spark, sf)), words, v, "left_semi")
+    return T.context_choice(at.select(F.col("tok").alias("place"), "tok", "prev", "next"), c, T.bigrams(docs(spark, sf), known), "place")
 
 
 def broken(spark, sf, by):
@@ -338,16 +380,16 @@ _BROKEN = r"regexp_replace(text, '(\p{L}{3})(\p{L}{3,})', '\1' || chr(10) || '\2
 
 @query("c02a_rejoined")
 def c02a_rejoined(spark, sf):
-    _, known = vocab_known(spark, sf)
-    return T.rejoined(T.token_stream(broken(spark, sf, " ")), known)
+    v, known = vocab_known(spark, sf)
+    return T.rejoined(T.token_lines(broken(spark, sf, " ")), known, v)
 
 
 @query("c02b_over_line_ends", f"""WITH {VOCAB}, {STREAM.replace('lines', 'lines2').replace('stream', 'stream2').replace('string_split(text,', "string_split(" + _BROKEN + ",")},
-e AS (SELECT doc_id, line_no, max_by(tok, tok_no) AS head, min_by(tok, tok_no) AS first FROM stream2 GROUP BY ALL), p AS (SELECT *, lead(first) OVER (PARTITION BY doc_id ORDER BY line_no) AS tail FROM e)
-SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, head, tail, head || tail AS joined FROM p WHERE tail IS NOT NULL AND length(head) >= 3 AND head NOT IN (SELECT tok FROM known) AND head || tail IN (SELECT tok FROM known)""")
+e AS (SELECT doc_id, line_no, max_by(tok, tok_no) AS head, min_by(tok, tok_no) AS first FROM stream2 GROUP BY ALL), p AS (SELECT *, lead(first) OVER w AS tail, lead(line_no) OVER w AS at_ FROM e WINDOW w AS (PARTITION BY doc_id ORDER BY line_no))
+SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, head, tail, head || tail AS joined FROM p WHERE at_ - line_no <= 6 AND length(head) >= 3 AND head NOT IN (SELECT tok FROM known) AND head || tail IN (SELECT tok FROM known)""")
 def c02b_over_line_ends(spark, sf):
-    _, known = vocab_known(spark, sf)
-    return T.over_line_ends(T.token_stream(broken(spark, sf, "\n")), known)
+    v, known = vocab_known(spark, sf)
+    return T.over_line_ends(T.token_lines(broken(spark, sf, "\n")), known, v)
 
 
 @query("f32_triage")
