@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.paths import stored, stored_at
+
 
 def closure(edges: DataFrame, start: DataFrame, source: str = "from_id", target: str = "to_id", edge: str = "edge_id", kind: str = "edge_type", most: int = 10) -> DataFrame:
     """(start, id, depth, edge_id, edge_type, parent) of all that is reached in under ``most`` steps.
@@ -48,14 +50,32 @@ def both_ways(edges: DataFrame, start: DataFrame, most: int = 10) -> DataFrame:
     return down.unionByName(up).distinct()
 
 
-def cyclic(edges: DataFrame, start: DataFrame, most: int = 10) -> DataFrame:
-    """(start, cyclic): whether a path of at most ``most`` steps from a start comes back to it."""
-    hop = edges.select(F.col("from_id").alias("id"), F.col("to_id").alias("next_id")).distinct()
-    front = start.select(F.col("id").alias("start"), "id")
-    back = None
-    for _ in range(most):
-        front = front.join(hop, "id").select("start", F.col("next_id").alias("id")).distinct()
-        home = front.filter("start = id").select("start")
-        back = home if back is None else back.unionByName(home)
-        front = front.filter("start <> id")
-    return start.select(F.col("id").alias("start")).join(back.distinct().withColumn("cyclic", F.lit(True)), "start", "left").fillna(False, ["cyclic"])
+def reached(edges: DataFrame, start: DataFrame, source: str = "from_id", target: str = "to_id", most: int | None = None) -> DataFrame:
+    """(start, id, depth): all nodes that a path of one step or more leads to, each with its least depth.
+
+    A pair of start and node is entered once, so that many paths to a node cost no more than one; each round's new pairs
+    are written, and the rounds end when there are none or after ``most`` steps. A start that lies on a cycle reaches
+    itself.
+    """
+    spark = edges.sparkSession
+    hop = stored(edges.select(F.col(source).alias("id"), F.col(target).alias("next_id")).distinct(), "hops")
+    front = start.select(F.col("id").alias("start"), "id").distinct()
+    paths, depth, schema = [], 0, None
+    while most is None or depth < most:
+        depth += 1
+        new = front.join(hop, "id").select("start", F.col("next_id").alias("id")).distinct()
+        if paths:
+            new = new.join(spark.read.schema(schema).parquet(*paths), ["start", "id"], "left_anti")
+        new, path = stored_at(new.withColumn("depth", F.lit(depth)), "reached")
+        schema = new.schema
+        if not new.take(1):
+            break
+        paths.append(path)
+        front = new.select("start", "id")
+    return spark.read.schema(schema).parquet(*paths) if paths else new
+
+
+def cyclic(edges: DataFrame, start: DataFrame) -> DataFrame:
+    """(start, cyclic): whether a path of any length from a start comes back to it."""
+    home = reached(edges, start).filter("start = id").select("start", F.lit(True).alias("cyclic"))
+    return start.select(F.col("id").alias("start")).join(home, "start", "left").fillna(False, ["cyclic"])

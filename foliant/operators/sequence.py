@@ -1,19 +1,23 @@
 """Ordinals in reading order: gaps, anchors, fills, clusters and breaks.
 
 Inputs are streams of acts: a volume, a position (0-based, total order within the volume), a number read for the
-act, and whether it is trusted. All window functions run within a volume; only the greedy rules, where each decision
-depends on the one before, run as a grouped function over a volume's (position, number) pairs.
+act, and whether it is trusted. All window functions run within a volume. Greedy rules, where each decision depends on
+the one before, run over sorted rows with a small state; only the longest chain and the robust line hold a volume's
+numbers.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 BRACKET_MARGIN = 2
 ONE_SIDED_MARGIN = 6
@@ -92,10 +96,49 @@ def records(stream: DataFrame, key: Sequence[str], order: Sequence[str], n: str)
     return stream.withColumn("best_", best).filter(F.col("best_").isNull() | (F.col(n) > F.col("best_"))).drop("best_")
 
 
-def span_end(acts: DataFrame, key: Sequence[str], order: Sequence[str], page: str) -> DataFrame:
-    """``end_page``: the first later page that is greater, else the act's own."""
-    later = F.collect_list(page).over(_after(key, order))
-    return acts.withColumn("later_", later).withColumn("end_page", F.coalesce(F.get(F.filter("later_", lambda p: p > F.col(page)), F.lit(0)), F.col(page))).drop("later_")
+def _sorted_runs(rows: DataFrame, key: Sequence[str], order: Sequence[Column | str], schema: T.StructType, state: Callable[[], Callable[..., object]], inputs: Sequence[str]) -> DataFrame:
+    """``rows`` with one more column, computed in order by a function that ``state`` makes anew for each key.
+
+    The first columns of ``schema`` are the key's, the last is the new one. Rows are sorted by key in tasks and stream through: what is held is a batch and what the function remembers.
+    """
+    columns, n = [f.name for f in schema.fields[:-1]], len(key)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key_now, step = object(), None
+        for b in batches:
+            keys, out = zip(*(b.column(k).to_pylist() for k in range(n))), []
+            for k, *values in zip(keys, *(b.column(columns.index(c)).to_pylist() for c in inputs)):
+                if step is None or k != key_now:
+                    key_now, step = k, state()
+                out.append(step(*values))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, to_arrow_type(schema.fields[-1].dataType))], names=schema.names)
+
+    return rows.select(*columns).repartition(*key).sortWithinPartitions(*key, *order).mapInArrow(run, schema)
+
+
+def span_end(acts: DataFrame, key: str, order: Sequence[str], page: str) -> DataFrame:
+    """``end_page``: the first later page that is greater, else the act's own.
+
+    From the last act to the first, a stack holds the later pages that no page before them hides.
+    """
+
+    def state() -> Callable[..., object]:
+        stack: list = []
+
+        def step(p):
+            if p is None:
+                return None
+            while stack and stack[-1] <= p:
+                stack.pop()
+            end = stack[-1] if stack else p
+            stack.append(p)
+            return end
+
+        return step
+
+    others = [f for f in acts.schema.fields if f.name not in key]
+    schema = T.StructType([*(acts.schema[k] for k in key), *others, T.StructField("end_page", acts.schema[page].dataType)])
+    return _sorted_runs(acts, key, [F.desc(c) for c in order], schema, state, [page])
 
 
 def gap_fill(
@@ -187,12 +230,19 @@ def certify_unique(acts: DataFrame, key: str, witnesses: str, totals: DataFrame,
     return one.withColumn("certified", F.when(claims == 1, F.col("n_"))).drop("n_", total)
 
 
+def upper_median(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """(key, name): of each key's sorted values the one at half their count, by rank; no list is gathered."""
+    ranked = rows.select(key, value).withColumns(
+        {"r_": F.row_number().over(Window.partitionBy(key).orderBy(value)), "n_": F.count("*").over(Window.partitionBy(key))}
+    )
+    return ranked.filter(F.col("r_") == F.floor(F.col("n_") / 2) + 1).select(key, F.col(value).alias(name))
+
+
 def breaks(stream: DataFrame, key: str, order: Sequence[str], n: str, factor: int = 5, least: int = 30) -> DataFrame:
     """``step`` and ``is_break``: whether a step is over ``factor`` times the key's upper-median step and ``least``."""
     by = Window.partitionBy(key).orderBy(*order)
     steps = stream.withColumn("step", F.col(n) - F.lag(n).over(by))
-    typical = steps.filter("step <> 0").groupBy(key).agg(F.sort_array(F.collect_list(F.abs("step"))).alias("s_"))
-    typical = typical.select(key, F.get("s_", F.floor(F.size("s_") / 2).cast("int")).alias("typical"))
+    typical = upper_median(steps.filter("step <> 0").select(key, F.abs("step").alias("s_")), key, "s_", "typical")
     return steps.join(typical, key, "left").withColumn(
         "is_break", F.coalesce(F.col("step") > F.greatest(factor * F.col("typical"), F.lit(least)), F.lit(False))
     )
@@ -258,17 +308,60 @@ def empty_windows(found: DataFrame, lengths: DataFrame, key: str, page: str, len
     return grown.groupBy(key, "run_").agg(F.min("w_").alias("first_page"), F.max("to_").alias("last_page")).drop("run_")
 
 
-# --- greedy rules: a volume at a time ---------------------------------------------------------------------
+# --- greedy rules: each decision depends on the one before ------------------------------------------------
 
 
-def kept_by_gap(values: Sequence[int], gap: int) -> list[bool]:
-    """Whether each of the ordered values is at least ``gap`` after the last kept one."""
-    out, last = [], None
-    for v in values:
+def kept_by_gap(gap: int) -> Callable[[int, int], bool]:
+    """Whether a value is at least ``gap`` after the last kept one."""
+    last = None
+
+    def step(_: int, v: int) -> bool:
+        nonlocal last
         keep = last is None or v - last >= gap
-        out.append(keep)
         last = v if keep else last
-    return out
+        return keep
+
+    return step
+
+
+def pruned_chain(slack: int = 60) -> Callable[[int, int], bool]:
+    """Whether a value rises by at most ``slack`` more than its position since the last kept one."""
+    kept = None
+
+    def step(p: int, v: int) -> bool:
+        nonlocal kept
+        keep = kept is None or v - kept[1] <= p - kept[0] + slack
+        kept = (p, v) if keep else kept
+        return keep
+
+    return step
+
+
+def split_runs() -> Callable[[int, int], int]:
+    """A run number for each value; a run begins where a value of 5 or less falls over 2 below the run's greatest."""
+    run, top = 0, None
+
+    def step(_: int, v: int) -> int:
+        nonlocal run, top
+        if top is not None and v <= 5 and v < top - 2:
+            run, top = run + 1, 0
+        top = max(0 if top is None else top, v)
+        return run
+
+    return step
+
+
+RULES = {"kept_by_gap": kept_by_gap, "pruned_chain": pruned_chain, "split_runs": split_runs}
+
+
+def greedy(stream: DataFrame, key: str, pos: str, n: str, rule: str, **args) -> DataFrame:
+    """(key, pos, n, kept or run) by one of ``RULES``: a volume's rows stream through with a state of a few numbers."""
+    narrow = stream.select(key, F.col(pos).cast("long").alias(pos), F.col(n).cast("long").alias(n))
+    last = T.StructField("run", T.LongType()) if rule == "split_runs" else T.StructField("kept", T.BooleanType())
+    return _sorted_runs(narrow, [key], [pos, n], T.StructType([*narrow.schema.fields, last]), lambda: RULES[rule](**args), [pos, n])
+
+
+# --- rules on all of a volume's numbers -------------------------------------------------------------------
 
 
 def increasing_chain(values: Sequence[int]) -> list[int]:
@@ -288,24 +381,52 @@ def increasing_chain(values: Sequence[int]) -> list[int]:
     return out[::-1]
 
 
-def pruned_chain(positions: Sequence[int], values: Sequence[int], slack: int = 60) -> list[int]:
-    """Indexes kept when a value may rise by at most ``slack`` more than its position since the last kept one."""
-    out: list[int] = []
-    for k in range(len(values)):
-        if not out or values[k] - values[out[-1]] <= positions[k] - positions[out[-1]] + slack:
-            out.append(k)
-    return out
+#: Slopes of a volume that are held at once.
+SLOPES_AT_ONCE = 1 << 20
 
 
-def split_runs(values: Sequence[int]) -> list[int]:
-    """A run number for each value; a run begins where a value of 5 or less falls over 2 below the run's greatest."""
-    out, run, top = [], 0, 0
-    for k, v in enumerate(values):
-        if k and v <= 5 and v < top - 2:
-            run, top = run + 1, 0
-        out.append(run)
-        top = max(top, v)
-    return out
+def upper_median_slope(x: np.ndarray, y: np.ndarray, at_once: int = SLOPES_AT_ONCE) -> float | None:
+    """The upper median of the slopes of all pairs with different ``x``, exact, with ``at_once`` slopes in memory.
+
+    Where there are more, passes over the pairs count slopes by bins and narrow the range to the median's bin, until
+    its slopes can be listed: the time is that of the pairs, the memory is not.
+    """
+    order = np.argsort(x, kind="stable")
+    x, y = x[order], y[order]
+    n = len(x)
+    rows = max(1, at_once // max(1, n))
+
+    def slopes():
+        for s in range(0, n, rows):
+            dx, dy = x[None, :] - x[s : s + rows, None], y[None, :] - y[s : s + rows, None]
+            ahead = dx > 0
+            yield dy[ahead] / dx[ahead]
+
+    count, lo, hi = 0, np.inf, -np.inf
+    for v in slopes():
+        if len(v):
+            count, lo, hi = count + len(v), min(lo, v.min()), max(hi, v.max())
+    if not count:
+        return None
+    rank = count // 2
+    while True:
+        inside = [v[(v >= lo) & (v <= hi)] for v in slopes()] if count <= at_once else None
+        if inside is not None:
+            return float(np.sort(np.concatenate(inside))[rank])
+        edges = np.linspace(lo, hi, 1 << 12)
+        if not (edges[1:] > edges[:-1]).any():
+            return float(lo)
+        bins = np.zeros(len(edges) - 1, np.int64)
+        for v in slopes():
+            v = v[(v >= lo) & (v <= hi)]
+            bins += np.bincount(np.clip(np.searchsorted(edges, v, "right") - 1, 0, len(bins) - 1), minlength=len(bins))
+        k = int(np.searchsorted(np.cumsum(bins), rank, "right"))
+        below = int(bins[:k].sum())
+        # the bin holds [edges[k], edges[k + 1]), the last one its end too
+        new_hi = hi if k == len(bins) - 1 else float(np.nextafter(edges[k + 1], -np.inf))
+        if edges[k] == lo and new_hi == hi:
+            return float(lo)
+        rank, count, lo, hi = rank - below, int(bins[k]), float(edges[k]), new_hi
 
 
 def robust_line(x: np.ndarray, y: np.ndarray, factor: float = 5.0, floor: float = 25.0) -> np.ndarray:
@@ -313,35 +434,47 @@ def robust_line(x: np.ndarray, y: np.ndarray, factor: float = 5.0, floor: float
     n = len(x)
     if n < 6:
         return np.ones(n, bool)
-    upper = lambda v: np.sort(v)[len(v) // 2]
-    i, j = np.triu_indices(n, 1)
-    some = x[i] != x[j]
-    if not some.any():
+    slope = upper_median_slope(x, y)
+    if slope is None:
         return np.ones(n, bool)
-    slope = upper((y[j] - y[i])[some] / (x[j] - x[i])[some])
+    upper = lambda v: np.sort(v)[len(v) // 2]
     rest = y - slope * x
     rest = np.abs(rest - upper(rest))
     return rest <= max(factor * upper(rest), floor)
 
 
-def greedy(stream: DataFrame, key: str, pos: str, n: str, rule: str, **args) -> DataFrame:
-    """(key, pos, n, kept or run) by one of the rules above, a volume at a time."""
+def chosen(stream: DataFrame, key: str, pos: str, n: str, rule: str) -> DataFrame:
+    """(key, pos, n, kept) by ``increasing_chain`` or ``robust_line``, which look at all of a volume's numbers: a task
+    holds 16 bytes for each of a volume's acts, of which a volume has thousands."""
     narrow = stream.select(key, F.col(pos).cast("long").alias(pos), F.col(n).cast("long").alias(n))
-    name, kind = ("run", "long") if rule == "split_runs" else ("kept", "boolean")
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([pos, n], ignore_index=True)
-        p, v = pdf[pos].tolist(), pdf[n].tolist()
-        if rule == "split_runs":
-            pdf[name] = split_runs(v)
-        elif rule == "kept_by_gap":
-            pdf[name] = kept_by_gap(v, args["gap"])
-        elif rule == "robust_line":
-            pdf[name] = robust_line(pdf[pos].to_numpy(float), pdf[n].to_numpy(float))
+        if rule == "robust_line":
+            pdf["kept"] = robust_line(pdf[pos].to_numpy(float), pdf[n].to_numpy(float))
         else:
-            chosen = increasing_chain(v) if rule == "increasing_chain" else pruned_chain(p, v, args.get("slack", 60))
-            pdf[name] = np.isin(np.arange(len(pdf)), chosen)
+            pdf["kept"] = np.isin(np.arange(len(pdf)), increasing_chain(pdf[n].tolist()))
         return pdf
 
-    fields = ", ".join([f"{key} {narrow.schema[key].dataType.simpleString()}", f"{pos} long", f"{n} long", f"{name} {kind}"])
+    fields = f"{key} {narrow.schema[key].dataType.simpleString()}, {pos} long, {n} long, kept boolean"
     return narrow.groupBy(key).applyInPandas(one, fields)
+
+
+def checkpoint_fill(stream: DataFrame, key: str, pos: str, n: str, page: str, anchor: Column, checkpoints: DataFrame, pages: int = 2) -> DataFrame:
+    """``filled`` and ``status`` of rows between anchors by counting boundaries, checked against ``checkpoints``.
+
+    Rows between two anchors take the numbers between if there are as many. A checkpoint (key, n, page) is a number that
+    something else places on a page: a gap with a checkpoint whose filled row is over ``pages`` pages away is not
+    filled. ``strict`` where all of a gap's checkpoints hold and there is one at least, ``loose`` where it has none.
+    """
+    counted = gap_fill(stream, [key], [pos], n, anchor)
+    gap = F.count(F.when(F.col("status") == "anchor", 1)).over(Window.partitionBy(key).orderBy(pos))
+    known = checkpoints.groupBy(key, F.col(n).alias("filled")).agg(F.min(page).alias("lo_"), F.max(page).alias("hi_"))
+    near = counted.withColumn("gap_", gap).join(known, [key, "filled"], "left")
+    near = near.withColumn("holds_", F.when((F.col("status") == "filled") & F.col("lo_").isNotNull(), F.col(page).between(F.col("lo_") - pages, F.col("hi_") + pages)))
+    verdicts = near.filter("status = 'filled'").groupBy(key, "gap_").agg(F.every("holds_").alias("all_"), F.count("holds_").alias("n_"))
+    out = near.join(verdicts, [key, "gap_"], "left")
+    fills = F.col("status") == "filled"
+    status = F.when(fills & (F.col("n_") == 0), "loose").when(fills & F.col("all_"), "strict").when(fills, "rejected").otherwise(F.col("status"))
+    out = out.withColumn("status", status)
+    return out.select(*stream.columns, F.when(F.col("status").isin("strict", "loose", "anchor"), F.col("filled")).alias("filled"), "status")

@@ -62,11 +62,23 @@ def intersects(a_lo: Column, a_hi: Column, b_lo: Column, b_hi: Column) -> Column
     return (lo(a_lo) < hi(b_hi)) & (lo(b_lo) < hi(a_hi)) & (lo(a_lo) < hi(a_hi)) & (lo(b_lo) < hi(b_hi))
 
 
-def overlapping_pairs(intervals: DataFrame, key: str, ident: str, lo: str = "valid_from", hi: str = "valid_to") -> DataFrame:
-    """(key, a, b), a < b, of overlapping intervals with one key: an equi join with a range residual."""
-    side = lambda n: intervals.select(F.col(key), F.col(ident).alias(n), F.col(lo).alias(f"{n}_lo"), F.col(hi).alias(f"{n}_hi"))
-    pairs = side("a").join(side("b"), key)
-    return pairs.filter((F.col("a") < F.col("b")) & intersects(*(F.col(c) for c in ("a_lo", "a_hi", "b_lo", "b_hi")))).select(key, "a", "b")
+def overlapping_pairs(intervals: DataFrame, key: str, ident: str, lo: str = "valid_from", hi: str = "valid_to", width: int = 16, most: int = 8) -> DataFrame:
+    """(key, a, b), a < b, of overlapping intervals with one key.
+
+    Days are cut into stretches of ``width``. Intervals over ``most`` stretches at most are joined by key and stretch,
+    and a pair is taken in the stretch where the later one begins, so that a key's intervals far apart never meet; a
+    key with a great part of the rows is dealt out by stretch. Longer ones, and open ones, are joined by key.
+    """
+    day = lambda c, far: F.unix_date(F.coalesce(F.col(c), F.lit(far).cast("date"))).cast("long")
+    real = intervals.select(key, F.col(ident).alias("i"), day(lo, FAR_PAST).alias("lo"), day(hi, FAR_FUTURE).alias("hi")).filter("lo < hi")
+    real = real.withColumns({"s0": F.floor(F.col("lo") / width), "s1": F.floor((F.col("hi") - 1) / width)})
+    short, long = real.filter(F.col("s1") - F.col("s0") < most), real.filter(F.col("s1") - F.col("s0") >= most)
+    meets = (F.col("lo") < F.col("hi_")) & (F.col("lo_") < F.col("hi"))
+    other = lambda df: df.select(key, F.col("i").alias("i_"), F.col("lo").alias("lo_"), F.col("hi").alias("hi_"), F.col("s0").alias("s0_"), *(c for c in ("at",) if c in df.columns))
+    cut = short.withColumn("at", F.explode(F.sequence("s0", "s1")))
+    near = cut.join(other(cut), [key, "at"]).filter((F.col("i") < F.col("i_")) & meets & (F.greatest("s0", "s0_") == F.col("at")))
+    far = long.join(other(long), key).filter((F.col("i") < F.col("i_")) & meets).unionByName(long.join(other(short), key).filter(meets))
+    return near.select(key, "i", "i_").unionByName(far.select(key, "i", "i_")).select(key, F.least("i", "i_").alias("a"), F.greatest("i", "i_").alias("b"))
 
 
 def overlap_verdict(intervals: DataFrame, key: str, order: Sequence[str], lo: str = "valid_from", hi: str = "valid_to") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import relational as R
+from ..operators import sequence as S
 from ..registry import query, table
 
 
@@ -167,10 +168,10 @@ def j09_overlay(spark, sf):
     return R.overlay(table(spark, sf, "documents").select("doc_id", F.col("lang").alias("value")), ["doc_id"], "value", [layer(l, "rule"), layer(l.filter("toxic = 1"), "model"), layer(l.filter("doc_id % 2 = 0"), "hand")])
 
 
-@query("j10_span_join", """WITH s AS (SELECT o_orderkey, o_custkey AS k, o_orderkey % 50 AS a, o_orderkey % 50 + o_orderkey % 4 AS b FROM orders WHERE o_orderkey % 5 = 0), p AS (SELECT DISTINCT c_custkey AS k, i AS page, (c_custkey * 7 + i) % 100 AS conf FROM customer, range(0, 60, 3) r(i))
+@query("j10_span_join", """WITH s AS (SELECT o_orderkey, o_custkey AS k, o_orderkey % 50 AS a, o_orderkey % 50 + o_orderkey % 4 AS b FROM orders), p AS (SELECT DISTINCT c_custkey AS k, i AS page, (c_custkey * 7 + i) % 100 AS conf FROM customer, range(0, 60, 3) r(i))
 SELECT o_orderkey, count(*) AS pages, CAST(sum(conf) AS BIGINT) AS conf FROM s JOIN p ON p.k = s.k AND page BETWEEN a AND b GROUP BY o_orderkey""")
 def j10_span_join(spark, sf):
-    s = table(spark, sf, "orders").filter("o_orderkey % 5 = 0").select("o_orderkey", F.col("o_custkey").alias("k"), (F.col("o_orderkey") % 50).alias("a"), (F.col("o_orderkey") % 50 + F.col("o_orderkey") % 4).alias("b"))
+    s = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("k"), (F.col("o_orderkey") % 50).alias("a"), (F.col("o_orderkey") % 50 + F.col("o_orderkey") % 4).alias("b"))
     p = table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(57).cast("long"), F.lit(3).cast("long"))).alias("page"))
     p = p.withColumn("conf", (F.col("k") * 7 + F.col("page")) % 100)
     return R.pages_in_spans(s, p, "k", "a", "b", "page").groupBy("o_orderkey").agg(F.count("*").alias("pages"), F.sum("conf").alias("conf"))
@@ -347,16 +348,18 @@ def a23_stddev_pop(spark, sf):
 @query("a24_medians", "SELECT o_custkey, round(median(o_totalprice), 6) AS median, list_sort(list(o_totalprice))[len(list(o_totalprice)) // 2 + 1] AS upper_median FROM orders GROUP BY o_custkey")
 def a24_medians(spark, sf):
     """A median between two values is their mean; the upper median is the later of the two."""
-    g = table(spark, sf, "orders").groupBy("o_custkey").agg(F.round(F.median("o_totalprice"), 6).alias("median"), F.sort_array(F.collect_list("o_totalprice")).alias("s_"))
-    return g.select("o_custkey", "median", F.get("s_", F.floor(F.size("s_") / 2).cast("int")).alias("upper_median"))
+    o = table(spark, sf, "orders").select("o_custkey", "o_totalprice")
+    median = o.groupBy("o_custkey").agg(F.round(F.median("o_totalprice"), 6).alias("median"))
+    return median.join(S.upper_median(o, "o_custkey", "o_totalprice", "upper_median"), "o_custkey")
 
 
-@query("a27_jaccard", """WITH w AS (SELECT doc_id, source, lang, list_distinct(regexp_extract_all(lower(substr(text, 1, 400)), '[a-z]+')) AS w FROM documents WHERE doc_id % 10 = 0)
-SELECT a.doc_id AS a, b.doc_id AS b, CASE WHEN len(list_distinct(list_concat(a.w, b.w))) = 0 THEN 0.0 ELSE round(len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))), 6) END AS jaccard FROM w a JOIN w b ON a.source = b.source AND a.lang = b.lang AND a.doc_id < b.doc_id""")
+@query("a27_jaccard", """WITH w AS (SELECT conv_id, turn, list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[a-z]+')) AS b, lag(list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[a-z]+'))) OVER (PARTITION BY conv_id ORDER BY turn) AS a FROM conversations)
+SELECT conv_id, turn, CASE WHEN len(list_distinct(list_concat(a, b))) = 0 THEN 0.0 ELSE round(len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))), 6) END AS jaccard FROM w WHERE a IS NOT NULL""")
 def a27_jaccard(spark, sf):
-    w = table(spark, sf, "documents").filter("doc_id % 10 = 0").select("doc_id", "source", "lang", F.array_distinct(F.regexp_extract_all(F.lower(F.substring("text", 1, 400)), F.lit("[a-z]+"), 0)).alias("w"))
-    side = lambda n: w.select("source", "lang", F.col("doc_id").alias(n), F.col("w").alias(f"w{n}"))
-    return side("a").join(side("b"), ["source", "lang"]).filter("a < b").select("a", "b", F.round(R.jaccard(F.col("wa"), F.col("wb")), 6).alias("jaccard"))
+    """Each turn's words beside those of the turn before it."""
+    w = table(spark, sf, "conversations").select("conv_id", "turn", F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit("[a-z]+"), 0)).alias("b"))
+    before = F.lag("b").over(Window.partitionBy("conv_id").orderBy("turn"))
+    return w.withColumn("a", before).filter("a IS NOT NULL").select("conv_id", "turn", F.round(R.jaccard(F.col("a"), F.col("b")), 6).alias("jaccard"))
 
 
 @query("a28_extremes", "SELECT o_orderpriority, min(o_totalprice) AS lo, max(o_totalprice) AS hi, round(avg(o_totalprice), 6) AS mean FROM orders GROUP BY 1")
@@ -449,11 +452,11 @@ def s04_best_source(spark, sf):
     return R.priority_merge([p.drop("o_orderpriority") for p in parts], ["k"], ["best"]).drop("source_rank")
 
 
-@query("u07_vocabulary_sets", """WITH v AS (SELECT lang, list_distinct(flatten(list(list_distinct(regexp_extract_all(lower(substr(text, 1, 300)), '[a-z]{5,}'))))) AS w FROM documents GROUP BY lang)
+@query("u07_vocabulary_sets", """WITH v AS (SELECT lang, list_distinct(flatten(list(list_distinct(regexp_extract_all(lower(text), '[a-z]{5,}'))))) AS w FROM documents GROUP BY lang)
 SELECT a.lang AS a, b.lang AS b, CAST(len(list_intersect(a.w, b.w)) AS BIGINT) AS common, CAST(len(list_distinct(list_concat(a.w, b.w))) AS BIGINT) AS either FROM v a JOIN v b ON a.lang < b.lang""")
 def u07_vocabulary_sets(spark, sf):
     """Sizes of pairwise intersections and unions, from counts by word; no set is gathered in one row."""
-    w = table(spark, sf, "documents").select("lang", F.explode(F.regexp_extract_all(F.lower(F.substring("text", 1, 300)), F.lit("[a-z]{5,}"), 0)).alias("w")).distinct()
+    w = table(spark, sf, "documents").select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{5,}"), 0)).alias("w")).distinct()
     size = w.groupBy("lang").agg(F.count("*").alias("n"))
     langs = size.select(F.col("lang").alias("a"), F.col("n").alias("na")).join(size.select(F.col("lang").alias("b"), F.col("n").alias("nb")), F.col("a") < F.col("b"))
     both = w.select("w", F.col("lang").alias("a")).join(w.select("w", F.col("lang").alias("b")), "w").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("common"))

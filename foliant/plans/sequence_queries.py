@@ -261,14 +261,14 @@ def w31_sessions(spark, sf):
 
 @query(
     "w32_empty_windows",
-    """WITH found AS (SELECT o_custkey % 5 AS k, (o_orderkey * 13) % 3000 AS page FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderkey % 9 = 0),
+    """WITH found AS (SELECT o_custkey AS k, (o_orderkey * 13) % 3000 AS page FROM orders WHERE o_orderpriority = '1-URGENT'),
 w AS (SELECT k, s AS a, least(s + 75, 3000) - 1 AS b FROM (SELECT DISTINCT k FROM found), range(0, 3000, 37) r(s)),
 e AS (SELECT * FROM w WHERE NOT EXISTS (SELECT 1 FROM found f WHERE f.k = w.k AND f.page BETWEEN w.a AND w.b)),
 g AS (SELECT *, sum(CASE WHEN a <= lb + 1 THEN 0 ELSE 1 END) OVER (PARTITION BY k ORDER BY a) AS run FROM (SELECT *, lag(b) OVER (PARTITION BY k ORDER BY a) AS lb FROM e))
 SELECT k, min(a) AS first_page, max(b) AS last_page FROM g GROUP BY k, run""",
 )
 def w32_empty_windows(spark, sf):
-    f = table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT' AND o_orderkey % 9 = 0").select((F.col("o_custkey") % 5).alias("k"), (F.col("o_orderkey") * 13 % 3000).alias("page"))
+    f = table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("k"), (F.col("o_orderkey") * 13 % 3000).alias("page"))
     return S.empty_windows(f, f.select("k").distinct().withColumn("length", F.lit(3000).cast("long")), "k", "page", "length")
 
 
@@ -308,7 +308,11 @@ def w05_lookahead(spark, sf):
     return e.select("user_id", "event_id", F.when(F.size(ahead) > 0, F.array_join(ahead, "|")).alias("ahead"))
 
 
-@query("w06_min_gap")
+_STEP = """FROM r JOIN acts a ON a.vol = r.vol AND a.pos = r.pos + 1"""
+
+
+@query("w06_min_gap", f"""WITH RECURSIVE {ACTS.replace("acts AS (", "acts AS MATERIALIZED (", 1)}, r AS (SELECT vol, pos, event_id AS "at", true AS kept, event_id AS last FROM acts WHERE pos = 0
+UNION ALL SELECT a.vol, a.pos, a.event_id, a.event_id - r.last >= 200, CASE WHEN a.event_id - r.last >= 200 THEN a.event_id ELSE r.last END {_STEP}) SELECT vol, pos, "at", kept FROM r""")
 def w06_min_gap(spark, sf):
     e = acts(spark, sf).withColumn("at", F.col("event_id"))
     return S.greedy(e, "vol", "pos", "at", "kept_by_gap", gap=200)
@@ -316,19 +320,36 @@ def w06_min_gap(spark, sf):
 
 @query("w12_increasing_chain")
 def w12_increasing_chain(spark, sf):
-    return S.greedy(acts(spark, sf), "vol", "pos", "read", "increasing_chain")
+    return S.chosen(acts(spark, sf), "vol", "pos", "read", "increasing_chain")
 
 
 @query("w14_robust_line")
 def w14_robust_line(spark, sf):
-    return S.greedy(acts(spark, sf), "vol", "pos", "read", "robust_line")
+    return S.chosen(acts(spark, sf), "vol", "pos", "read", "robust_line")
 
 
-@query("w15_pruned_chain")
+@query("w15_pruned_chain", f"""WITH RECURSIVE {ACTS.replace("acts AS (", "acts AS MATERIALIZED (", 1)}, r AS (SELECT vol, pos, CAST(read AS BIGINT) AS read, true AS kept, pos AS lp, CAST(read AS BIGINT) AS lv FROM acts WHERE pos = 0
+UNION ALL SELECT vol, pos, read, kept, CASE WHEN kept THEN pos ELSE lp END, CASE WHEN kept THEN read ELSE lv END FROM (SELECT a.vol, a.pos, CAST(a.read AS BIGINT) AS read, a.read - r.lv <= a.pos - r.lp + 60 AS kept, r.lp, r.lv {_STEP})) SELECT vol, pos, read, kept FROM r""")
 def w15_pruned_chain(spark, sf):
     return S.greedy(acts(spark, sf), "vol", "pos", "read", "pruned_chain", slack=60)
 
 
-@query("w30_split_runs")
+@query("w30_split_runs", f"""WITH RECURSIVE {ACTS.replace("acts AS (", "acts AS MATERIALIZED (", 1)}, r AS (SELECT vol, pos, pos % 23 + 1 AS m, CAST(0 AS BIGINT) AS run, pos % 23 + 1 AS top FROM acts WHERE pos = 0
+UNION ALL SELECT vol, pos, m, CASE WHEN new THEN run + 1 ELSE run END, CASE WHEN new THEN m ELSE greatest(m, top) END FROM (SELECT a.vol, a.pos, a.pos % 23 + 1 AS m, a.pos % 23 + 1 <= 5 AND a.pos % 23 + 1 < r.top - 2 AS new, r.run, r.top {_STEP})) SELECT vol, pos, m, run FROM r""")
 def w30_split_runs(spark, sf):
     return S.greedy(acts(spark, sf).withColumn("m", F.col("pos") % 23 + 1), "vol", "pos", "m", "split_runs")
+
+
+_CHECKPOINTS = "c AS (SELECT vol, n AS filled, min(p) AS lo, max(p) AS hi FROM (SELECT vol, n, page + CASE WHEN event_id % 7 = 0 THEN 9 ELSE event_id % 3 END AS p FROM acts WHERE NOT clean AND event_id % 2 = 0) GROUP BY ALL)"
+
+
+@query("w21_checkpoint_fill", f"""WITH {ACTS}, m AS (SELECT *, CASE WHEN clean THEN n END AS c, count(CASE WHEN clean THEN 1 END) OVER (PARTITION BY vol ORDER BY pos) AS gap FROM acts), {_CHECKPOINTS},
+k AS (SELECT *, last_value(c IGNORE NULLS) OVER (PARTITION BY vol ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS a, first_value(c IGNORE NULLS) OVER (PARTITION BY vol ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS z, count(*) OVER (PARTITION BY vol, gap, clean) AS rows_, row_number() OVER (PARTITION BY vol, gap, clean ORDER BY pos) AS rank_ FROM m),
+f AS (SELECT *, CASE WHEN clean THEN n WHEN z - coalesce(a, 0) - 1 = rows_ THEN coalesce(a, 0) + rank_ END AS fill FROM k),
+h AS (SELECT f.vol, pos, gap, clean, fill, CASE WHEN NOT clean AND lo IS NOT NULL THEN page BETWEEN lo - 2 AND hi + 2 END AS holds FROM f LEFT JOIN c ON c.vol = f.vol AND c.filled = f.fill),
+v AS (SELECT vol, gap, bool_and(holds) AS every_, count(holds) AS n_ FROM h WHERE NOT clean AND fill IS NOT NULL GROUP BY ALL)
+SELECT h.vol, pos, CASE WHEN clean OR n_ = 0 OR every_ THEN CAST(fill AS BIGINT) END AS filled, CASE WHEN clean THEN 'anchor' WHEN fill IS NULL THEN 'ambiguous' WHEN n_ = 0 THEN 'loose' WHEN every_ THEN 'strict' ELSE 'rejected' END AS status FROM h LEFT JOIN v ON v.vol = h.vol AND v.gap = h.gap""")
+def w21_checkpoint_fill(spark, sf):
+    a = acts(spark, sf)
+    placed = a.filter("NOT clean AND event_id % 2 = 0").select("vol", "n", (F.col("page") + F.when(F.col("event_id") % 7 == 0, 9).otherwise(F.col("event_id") % 3)).alias("page"))
+    return S.checkpoint_fill(a, "vol", "pos", "n", "page", F.col("clean"), placed).select("vol", "pos", "filled", "status")

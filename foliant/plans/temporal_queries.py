@@ -96,12 +96,11 @@ def p02_designation_asof(spark, sf):
 
 
 _STAYS = """stays AS (
-  SELECT event_id, user_id, CAST(ts AS DATE) AS lo, CAST(ts AS DATE) + CAST(event_id % 4 AS INTEGER) AS hi FROM events WHERE event_id % 5 = 0)"""
+  SELECT event_id, user_id, CAST(ts AS DATE) AS lo, CAST(ts AS DATE) + CAST(event_id % 4 AS INTEGER) AS hi FROM events)"""
 
 
 def stays(spark, sf):
-    e = log(spark, sf).filter("event_id % 5 = 0")
-    return e.select("event_id", "user_id", F.col("d").alias("valid_from"), F.expr("date_add(d, cast(event_id % 4 as int))").alias("valid_to"))
+    return log(spark, sf).select("event_id", "user_id", F.col("d").alias("valid_from"), F.expr("date_add(d, cast(event_id % 4 as int))").alias("valid_to"))
 
 
 @query(
@@ -172,12 +171,12 @@ def edges(spark, sf) -> DataFrame:
 def _walk(name: str, source: str, target: str) -> str:
     return f"""{name} AS (
   SELECT event_id AS start, event_id AS id, 0 AS depth, CAST(NULL AS BIGINT) AS edge_id, CAST(NULL AS VARCHAR) AS edge_type, CAST(NULL AS BIGINT) AS parent
-  FROM events WHERE event_id % 100 = 50
+  FROM events
   UNION ALL SELECT start, {target}, depth + 1, e.edge_id, e.edge_type, id FROM {name} JOIN edges e ON e.{source} = id WHERE depth < 9 AND e.to_id IS NOT NULL)"""
 
 
 def starts(spark, sf) -> DataFrame:
-    return table(spark, sf, "events").filter("event_id % 100 = 50").select(F.col("event_id").alias("id"))
+    return table(spark, sf, "events").select(F.col("event_id").alias("id"))
 
 
 @query("g01_lineage", f"WITH RECURSIVE {_EDGES}, {_walk('w', 'from_id', 'to_id')} SELECT * FROM w")
@@ -194,6 +193,20 @@ def g01_bidirectional(spark, sf):
     return lineage.both_ways(edges(spark, sf), starts(spark, sf))
 
 
+@query(
+    "o01_ordered_lineage",
+    f"""WITH RECURSIVE {_EDGES}, {_walk('down', 'from_id', 'to_id')}, {_walk('up', 'to_id', 'from_id')}, b AS (SELECT *, 'descendant' AS direction FROM down UNION SELECT *, 'ancestor' AS direction FROM up)
+SELECT start, direction, depth, id, row_number() OVER (PARTITION BY start ORDER BY direction, depth, id) AS place FROM b""",
+)
+def o01_ordered_lineage(spark, sf):
+    """Each start's lineage in the order of direction, depth and id, and in this order."""
+    from pyspark.sql import Window
+
+    place = F.row_number().over(Window.partitionBy("start").orderBy("direction", "depth", "id")).cast("long")
+    rows = lineage.both_ways(edges(spark, sf), starts(spark, sf)).select("start", "direction", "depth", "id", place.alias("place"))
+    return rows.orderBy("start", "direction", "depth", "id")
+
+
 @query(
     "g02_full_history",
     f"""WITH RECURSIVE {_EDGES}, {_walk('w', 'from_id', 'to_id')}, {LOG}
@@ -216,13 +229,24 @@ def g03_identity_rule(spark, sf):
 
 @query(
     "g04_cycles",
-    """SELECT s_suppkey AS start, s_suppkey % 10 < 4 AS cyclic FROM supplier WHERE s_suppkey < 10""",
+    """WITH RECURSIVE n AS (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) - 1 AS i, count(*) OVER () AS n FROM supplier),
+e AS (SELECT i AS a, CASE WHEN i % 15 < least(13, n - i // 15 * 15) - 1 THEN i + 1 WHEN i % 15 = least(13, n - i // 15 * 15) - 1 THEN i // 15 * 15 ELSE i - 1 END AS b FROM n),
+w AS (SELECT a AS start, b AS id FROM e UNION SELECT start, e.b FROM w JOIN e ON e.a = w.id)
+SELECT s_suppkey AS start, i IN (SELECT start FROM w WHERE start = id) AS cyclic FROM n""",
 )
 def g04_cycles(spark, sf):
-    """Four suppliers form a ring, the others a chain that leads into it."""
-    s = table(spark, sf, "supplier").filter("s_suppkey < 10")
-    ring = s.select(F.col("s_suppkey").alias("from_id"), F.when(F.col("s_suppkey") < 4, (F.col("s_suppkey") + 1) % 4).otherwise(F.col("s_suppkey") - 1).alias("to_id"))
-    return lineage.cyclic(ring, s.select(F.col("s_suppkey").alias("id")))
+    """Of each 15 suppliers 13 form a ring; the other two lead into it."""
+    from pyspark.sql import Window
+
+    s = table(spark, sf, "supplier").select("s_suppkey")
+    n = s.count()
+    i = (F.row_number().over(Window.orderBy("s_suppkey")) - 1).cast("long")  # a number for each supplier of a small table
+    first = F.floor(F.col("i") / 15) * 15
+    last = F.least(F.lit(13), n - first) - 1
+    numbered = s.withColumn("i", i)
+    to = F.when(F.col("i") % 15 < last, F.col("i") + 1).when(F.col("i") % 15 == last, first).otherwise(F.col("i") - 1)
+    found = lineage.cyclic(numbered.select(F.col("i").alias("from_id"), to.cast("long").alias("to_id")), numbered.select(F.col("i").alias("id")))
+    return numbered.join(found, F.col("i") == F.col("start")).select(F.col("s_suppkey").alias("start"), "cyclic")
 
 
 @query(

@@ -20,8 +20,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet and read again: what reads it starts from files, not from its plan."""
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written as Parquet and read again, and where it is."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet and read again: what reads it starts from files, not from its plan."""
+    return stored_at(df, name)[0]
