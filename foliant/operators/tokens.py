@@ -178,7 +178,9 @@ def within_two_edits(unknown: DataFrame, known: DataFrame) -> DataFrame:
     pairs = _sharing(unknown, known, 2)
     plain = F.levenshtein("tok", "candidate", 2)
     near = pairs.withColumn("d", F.when(X.within_one(F.col("tok"), F.col("candidate")), 1).when(plain == 2, 2)).filter("d IS NOT NULL")
-    far = pairs.filter((plain == -1) & (F.levenshtein(F.array_join(F.array_sort(F.split("tok", "")), ""), F.array_join(F.array_sort(F.split("candidate", "")), ""), 1) >= 0))
+    letters = lambda c: F.array_join(F.array_sort(F.split(c, "")), "")
+    # a swap keeps a word's letters, and one more edit changes at most two of them in sorted order
+    far = pairs.filter((plain == -1) & (F.levenshtein(letters("tok"), letters("candidate"), 2) >= 0))
     return near.unionByName(far.withColumn("d", A.swap_distance("tok", "candidate", F.lit(2))).filter("d <= 2"))
 
 
