@@ -19,7 +19,7 @@ def month_number(text: Column) -> Column:
 
 def day_number(text: Column) -> Column:
     """1 to 31, after ordinal endings are taken off and I, l and O are read as digits; else null."""
-    bare = F.regexp_replace(F.trim(text), "(?i)(st|nd|rd|th)[.,]?$", "")
+    bare = F.regexp_replace(F.trim(text), "(?i)(st|nd|rd|th|d)[.,]?$", "")
     day = F.regexp_replace(F.translate(bare, "IlOo", "1100"), "[^0-9]", "").try_cast("int")
     return F.when(day.between(1, 31), day)
 

@@ -20,30 +20,6 @@ def p04_confident(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", ((F.col("o_totalprice") > 1000) & F.col("o_orderdate").isNotNull() & (F.col("o_orderstatus") != "P")).alias("confident"))
 
 
-@query("p06_real_act", "SELECT doc_id, length(text) >= 200 AND (contains(text, 'enacted') OR (regexp_matches(text, '^[A-Z]') AND regexp_matches(text, '[.]\\s*$'))) AS is_real FROM documents")
-def p06_real_act(spark, sf):
-    t = F.col("text")
-    return table(spark, sf, "documents").select("doc_id", ((F.length(t) >= 200) & (t.contains("enacted") | (t.rlike("^[A-Z]") & t.rlike(r"[.]\s*$")))).alias("is_real"))
-
-
-@query("p07_confident_gate", "SELECT doc_id, NOT regexp_matches(text, '^\\s*(?i:resolution)') AND regexp_matches(substr(text, 1, 2000), '(the|der|les|los) ') AND length(text) >= 100 AS ok FROM documents")
-def p07_confident_gate(spark, sf):
-    t = F.col("text")
-    return table(spark, sf, "documents").select("doc_id", (~t.rlike(r"^\s*(?i:resolution)") & F.substring(t, 1, 2000).rlike("(the|der|les|los) ") & (F.length(t) >= 100)).alias("ok"))
-
-
-@query("p08_flush_rejects", """SELECT doc_id, CASE WHEN length(text) < 60 THEN 'short' WHEN regexp_matches(text, '^(Approved|Passed)') THEN 'header' WHEN NOT contains(text, 'the ') THEN 'no marker' END AS reason FROM documents""")
-def p08_flush_rejects(spark, sf):
-    t = F.col("text")
-    return table(spark, sf, "documents").select("doc_id", F.when(F.length(t) < 60, "short").when(t.rlike("^(Approved|Passed)"), "header").when(~t.contains("the "), "no marker").alias("reason"))
-
-
-@query("p09_year_clamp", "SELECT o_orderkey, year(o_orderdate) AS y, abs(year(o_orderdate) - 1997) <= 3 AS ok FROM orders")
-def p09_year_clamp(spark, sf):
-    y = F.year("o_orderdate").cast("long")
-    return table(spark, sf, "orders").select("o_orderkey", y.alias("y"), (F.abs(y - 1997) <= 3).alias("ok"))
-
-
 @query("p10_range_gate", """WITH t AS (SELECT n_nationkey, CASE WHEN n_nationkey % 5 <> 0 THEN n_nationkey * 40 END AS total FROM nation)
 SELECT c_custkey, c_custkey >= 1 AND (total IS NULL OR c_custkey <= total) AS ok FROM customer JOIN t ON n_nationkey = c_nationkey""")
 def p10_range_gate(spark, sf):
@@ -52,25 +28,6 @@ def p10_range_gate(spark, sf):
     return table(spark, sf, "customer").join(t, "c_nationkey").select("c_custkey", ok.alias("ok"))
 
 
-@query("p12_opening_line", """WITH o AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '')[1] AS opening FROM documents)
-SELECT doc_id, opening, coalesce(regexp_matches(opening, '^[A-ZÀ-Ý]+[ .!]'), false) AS is_heading FROM o""")
-def p12_opening_line(spark, sf):
-    opening = F.get(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""), F.lit(0))
-    return table(spark, sf, "documents").select("doc_id", opening.alias("opening")).withColumn("is_heading", F.coalesce(F.col("opening").rlike("^[A-ZÀ-Ý]+[ .!]"), F.lit(False)))
-
-
-@query("p13_quoted_guard", r"""SELECT doc_id, CAST(len(regexp_extract_all(text, '[A-Z][a-z]+ the')) AS BIGINT) AS titles, CAST(len(regexp_extract_all(text, '(^|\n)[^\n]{0,14}[A-Z][a-z]+ the')) AS BIGINT) AS near_margin FROM documents""")
-def p13_quoted_guard(spark, sf):
-    n = lambda p: F.size(F.regexp_extract_all("text", F.lit(p), 0)).cast("long")
-    return table(spark, sf, "documents").select("doc_id", n("[A-Z][a-z]+ the").alias("titles"), n(r"(^|\n)[^\n]{0,14}[A-Z][a-z]+ the").alias("near_margin"))
-
-
-@query("p14_spill_over", r"SELECT doc_id, CAST(len(regexp_extract_all(text, '(?m)^[A-Z][a-z]* ')) AS BIGINT) AS headers, len(regexp_extract_all(text, '(?m)^[A-Z][a-z]* ')) > 1 AS spills FROM documents")
-def p14_spill_over(spark, sf):
-    n = F.size(F.regexp_extract_all("text", F.lit("(?m)^[A-Z][a-z]* "), 0)).cast("long")
-    return table(spark, sf, "documents").select("doc_id", n.alias("headers"), (n > 1).alias("spills"))
-
-
 @query("p15_witnesses_agree", "SELECT l_orderkey, count(DISTINCT l_returnflag) = 1 AS agree FROM lineitem GROUP BY l_orderkey")
 def p15_witnesses_agree(spark, sf):
     return table(spark, sf, "lineitem").groupBy("l_orderkey").agg((F.size(F.array_distinct(F.array_compact(F.collect_set("l_returnflag")))) == 1).alias("agree"))
