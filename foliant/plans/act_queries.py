@@ -26,7 +26,7 @@ def placed(spark, sf):
 
 def act_pages(spark, sf):
     o = placed(spark, sf)
-    kind, roman = F.col("kind"), N.int_to_roman(F.col("r") % 300 + 1)
+    kind, roman = F.col("kind"), N.int_to_roman(F.col("r") % 87 + 1)
     day = lambda end, year=F.year("d"): F.concat(F.date_format("d", "MMMM d"), F.lit(end), year.cast("string"))
     date = (
         F.when(kind == 0, F.concat(F.lit("[Approved "), day("d, "), F.lit(".]")))
@@ -54,7 +54,7 @@ def years(pages):
 
 
 ORDERS = """o AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS d, o_custkey % 40 AS volume, o_orderkey % 8 AS kind, row_number() OVER (PARTITION BY o_custkey % 40 ORDER BY o_orderkey) - 1 AS r FROM orders),
-acts AS (SELECT *, row_number() OVER (PARTITION BY volume ORDER BY r) - 1 AS in_act_order, CAST(r % 300 + 1 AS INTEGER) AS chapter, CASE WHEN kind = 4 THEN 'An Act.' ELSE 'An Act to provide for customer ' || o_custkey || '.' END AS title,
+acts AS (SELECT *, row_number() OVER (PARTITION BY volume ORDER BY r) - 1 AS in_act_order, CAST(r % 87 + 1 AS INTEGER) AS chapter, CASE WHEN kind = 4 THEN 'An Act.' ELSE 'An Act to provide for customer ' || o_custkey || '.' END AS title,
   kind <> 4 AND kind <> 6 AND abs(year(d) - 1997) <= 3 AS dated, CASE WHEN kind = 6 THEN year(d) - 40 WHEN kind <> 4 AND abs(year(d) - 1997) > 3 THEN year(d) END AS rejected_year FROM o WHERE kind <> 7)"""
 
 
@@ -77,7 +77,7 @@ def c05_planned_acts(spark, sf):
     acts = O.parsed_acts(p, years(p))
     quality = p.select("volume", "page", (F.col("page") % 10 / 10).alias("confidence"), (F.col("page") % 7 + 1).alias("tokens"))
     o = placed(spark, sf).filter("kind <> 7").withColumn("in_act_order", F.row_number().over(Window.partitionBy("volume").orderBy("r")) - 1)
-    n = F.col("r") % 300 + 1
+    n = F.col("r") % 87 + 1
     said = F.when(F.col("o_orderkey") % 3 == 0, F.array(n, n + 1)).otherwise(F.array(n, n))
     a = O.planned_acts(acts, quality, o.select("volume", "in_act_order", F.explode(said.cast("array<int>")).alias("numeral")))
     return a.select("volume", F.col("in_act_order").cast("long").alias("in_act_order"), "chapter", F.date_format("approved", "yyyy-MM-dd").alias("approved"), F.col("start_page").cast("long").alias("start_page"), F.col("end_page").cast("long").alias("end_page"), "pages_read", "quality", "confident_number")
