@@ -5,6 +5,7 @@ from __future__ import annotations
 import difflib
 import unicodedata
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -81,3 +82,85 @@ def swap_distance(a: pd.Series, b: pd.Series, most: pd.Series) -> pd.Series:
         return min(row[-1], k + 1)
 
     return pd.Series([distance(x, y, k) for x, y, k in zip(a, b, most)], dtype="Int32")
+
+
+SPAN = T.StructType([T.StructField("span", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("distance", T.IntegerType())])
+
+
+def nearest_span(gold: str, text: str) -> tuple[int, int, int]:
+    """(start, end, distance) of the stretch of ``text`` with the fewest edits to ``gold``; of equal ones the first end.
+
+    One pass over the table of edit distances in which a stretch may begin anywhere: no window sizes or steps are
+    tried, so no better stretch is missed.
+    """
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    place = np.arange(len(codes) + 1)
+    row, start = np.zeros(len(codes) + 1, np.int64), place.copy()
+    for k, c in enumerate(np.frombuffer(gold.encode("utf-32-le"), np.uint32), 1):
+        swap, gone = row[:-1] + (codes != c), row[1:] + 1
+        new = np.r_[k, np.minimum(swap, gone)]
+        origin = np.r_[0, np.where(swap <= gone, start[:-1], start[1:])]
+        # characters of the text that gold lacks: each costs one more than the place before
+        flat = new - place
+        best = np.minimum.accumulate(flat)
+        at = np.maximum.accumulate(np.where(flat == best, place, 0))
+        row, start = best + place, origin[at]
+    end = int(np.argmin(row))
+    return int(start[end]), end, int(row[end])
+
+
+@F.pandas_udf(SPAN)
+def best_span(gold: pd.Series, text: pd.Series) -> pd.DataFrame:
+    """The stretch of a text that is nearest to ``gold``, where it begins, and its edits; null if one is null."""
+    rows = []
+    for g, t in zip(gold, text):
+        if g is None or t is None:
+            rows.append((None, None, None))
+        else:
+            s, e, d = nearest_span(g, t)
+            rows.append((t[s:e], s, d))
+    return pd.DataFrame(rows, columns=SPAN.names).astype({"start": "Int32", "distance": "Int32"})
+
+
+GARBLES = T.StructType([T.StructField(c, T.IntegerType()) for c in ("slivers", "splits", "initials", "doubles", "total")])
+
+
+def count_garbles(gold: list[str], read: list[str]) -> dict[str, int]:
+    """What a reading has twice or in pieces, by keys of words, each word in one defect at most.
+
+    ``splits``: two words that are one of gold's, not both gold's themselves (``initials`` of them begin with a lone
+    character that isn't gold's); ``slivers``: a word that isn't gold's, of two characters or more, beside one of gold's
+    that begins or ends with it; ``doubles``: a word twice in a row that gold never has so.
+    """
+    known, twice = {k for k in gold if k}, {a for a, b in zip(gold, gold[1:]) if a == b}
+    out, free = dict.fromkeys(GARBLES.names, 0), [True] * len(read)
+    part = lambda a, b: len(a) >= 2 and a not in known and b in known and (b.startswith(a) or b.endswith(a))
+    for k, (a, b) in enumerate(zip(read, read[1:])):
+        if a and a == b and a not in twice:
+            out["doubles"] += 1
+        if not (a and b and free[k] and free[k + 1]):
+            continue
+        if a + b in known and not (a in known and b in known):
+            out["splits"] += 1
+            out["initials"] += len(a) == 1 and a not in known
+            free[k] = free[k + 1] = False
+        elif part(b, a):
+            out["slivers"] += 1
+            free[k + 1] = False
+        elif part(a, b):
+            out["slivers"] += 1
+            free[k] = False
+    out["total"] = out["slivers"] + out["splits"] + out["doubles"]
+    return out
+
+
+@F.pandas_udf(GARBLES)
+def garbles(gold: pd.Series, read: pd.Series) -> pd.DataFrame:
+    """:func:`count_garbles` of arrays of keys; a null array counts as empty."""
+    listed = lambda x: [] if x is None else list(x)
+    return pd.DataFrame([count_garbles(listed(g), listed(r)) for g, r in zip(gold, read)], columns=GARBLES.names).astype("int32")
+
+
+def garbles_of(gold: Column, read: Column) -> Column:
+    """Garbles of a reading's tokens beside gold's; case and punctuation around tokens don't count."""
+    return garbles(F.transform(gold, vote_key), F.transform(read, vote_key))

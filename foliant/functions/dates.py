@@ -137,3 +137,48 @@ def lapse_date(text: Column) -> Column:
     a, b = (lambda k: F.regexp_extract(text, spelled, k)), (lambda k: F.regexp_extract(text, digits, k))
     date = lambda y, m, d: F.try_make_timestamp_ntz(y, m, d, F.lit(0), F.lit(0), F.lit(0)).cast("date")
     return F.coalesce(date(spelled_year(a(3)), month_number(a(2)), spelled_day(a(1))), date(b(3).try_cast("int"), month_number(b(1)), day_number(b(2))))
+
+
+#: How far a date's year may be from the volume's, and words that lines of approval begin with.
+YEARS_NEAR = 4
+APPROVAL = r"(?:Appro[a-z]{1,6}|Filed\s+with\s+Secr)"
+APPROVAL_YEAR = r"(?is)(?:Appro[a-z]{1,6}|Filed\s+with\s+Secr|Passed|Pussed|APry\b).{0,80}?\b(1[0-9]{3})\b"
+AMENDED_YEAR = r"(?i)(?:amend(?:atory|ed)?\s+[^;.]{0,60}?|Statutes\s+of\s+|Stats[.,]\s*)\b(1[0-9]{3})\b"
+ANY_MONTH = "(?:January|February|March|April|May|June|July|August|September|October|November|December|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sept|Sep|Oct|Nov|Dec)"
+
+
+def _without_one(s: Column) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.concat(F.substring(s, F.lit(1), i - 1), F.substring(s, i + 1, F.length(s))))
+
+
+def year_implausible(year: Column, volume_year: Column) -> Column:
+    """Whether a year of four digits is over ``YEARS_NEAR`` from the volume's and was in use, or wasn't and has one digit
+    in place of another of a year that is near."""
+    y = year.try_cast("int")
+    far = F.abs(y - volume_year) > YEARS_NEAR
+    near = F.sequence(volume_year - YEARS_NEAR, volume_year + YEARS_NEAR)
+    one_off = F.exists(near, lambda n: F.size(F.filter(F.sequence(F.lit(1), F.lit(4)), lambda i: F.substring(n.cast("string"), i, F.lit(1)) != F.substring(year, i, F.lit(1)))) == 1)
+    return F.coalesce(far & (y.between(1848, 2010) | ((F.length(year) == 4) & one_off)), F.lit(False))
+
+
+def date_damage(text: Column, approved: Column, volume_year: Column) -> Column:
+    """What is wrong with an act's dates, as ``kind:value``, one of each kind.
+
+    ``field_year``: the date's own year is implausible; ``text_year``: a year in a line of approval is, and the text
+    doesn't name it as an amended act's; ``year_symbol``: three digits and a sign stand for a year; ``five_digits``: a
+    year has a digit too many; ``day``: a month has a day over 31.
+    """
+    first = lambda a: F.get(a, F.lit(0))
+    bad = lambda a: F.filter(a, lambda y: year_implausible(y, volume_year))
+    amended = F.regexp_extract_all(text, F.lit(AMENDED_YEAR), 1)
+    in_text = F.filter(F.regexp_extract_all(text, F.lit(APPROVAL_YEAR), 1), lambda y: ~F.array_contains(amended, y))
+    symbol = F.nullif(F.regexp_extract(text, rf"(?is){APPROVAL}.{{0,120}}?\b(1[0-9]{{2}}[^\d\s\w])", 1), F.lit(""))
+    near = lambda y, more: F.abs(y.try_cast("int") - volume_year) <= YEARS_NEAR + more
+    fives = F.filter(
+        F.regexp_extract_all(text, F.lit(rf"(?is){APPROVAL}.{{0,120}}?\b(1[0-9]{{4}})\b"), 1),
+        lambda y: near(F.substring(y, 1, 4), 1) | near(F.substring(y, 2, 4), 1) | F.exists(_without_one(y), lambda x: near(x, 0)),
+    )
+    day = first(F.filter(F.regexp_extract_all(text, F.lit(rf"(?i){ANY_MONTH}\s+(\d{{2,4}})\b"), 1), lambda d: d.try_cast("int") > 31))
+    named = lambda kind, v: F.when(v.isNotNull(), F.concat(F.lit(f"{kind}:"), v))
+    own = first(bad(F.regexp_extract_all(F.coalesce(approved, F.lit("")), F.lit(r"\b(1[0-9]{3})\b"), 1)))
+    return F.array_compact(F.array(named("field_year", own), named("text_year", first(bad(in_text))), named("year_symbol", symbol), named("five_digits", first(fives)), named("day", day)))

@@ -50,14 +50,21 @@ def merged_splits(spine: DataFrame, read: DataFrame) -> DataFrame:
 
 
 def places(spine: list[str], other: list[str]) -> Iterator[tuple[int, int, int]]:
-    """(place in the spine, rank among what is inserted before it, or -1 at the place itself, place in the other)."""
-    for kind, s0, s1, o0, o1 in difflib.SequenceMatcher(None, spine, other, autojunk=False).get_opcodes():
-        if kind in ("equal", "replace"):
-            both = min(s1 - s0, o1 - o0)
-            yield from ((s0 + k, -1, o0 + k) for k in range(both))
-            yield from ((s1, k, o0 + both + k) for k in range(o1 - o0 - both))
-        elif kind == "insert":
-            yield from ((s0, k, o0 + k) for k in range(o1 - o0))
+    """(place in the spine, rank among what is inserted before it, or -1 at the place itself, place in the other).
+
+    Stretches that both have in common stand at their places. What lies between two of them is paired off in order,
+    and words of the other that are left over hang before the place at which the next stretch begins.
+    """
+    here, there = 0, 0
+    for block in difflib.SequenceMatcher(None, spine, other, autojunk=False).get_matching_blocks():
+        paired = min(block.a - here, block.b - there)
+        for k in range(paired):
+            yield here + k, -1, there + k
+        for rank, place in enumerate(range(there + paired, block.b)):
+            yield block.a, rank, place
+        for k in range(block.size):
+            yield block.a + k, -1, block.b + k
+        here, there = block.a + block.size, block.b + block.size
 
 
 def aligned(rows: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import alignment as A
 from ..functions import text as X
 from .tokens import fragments, residual_classes, two_piece_splits, within_two_edits
 
@@ -97,3 +98,40 @@ def paired_headings(kept: DataFrame, other: DataFrame, page: str, tolerance: flo
     ranked = pairs.withColumns({"r_": F.row_number().over(own), "s_": F.row_number().over(back), "next_": F.lead("d").over(own)})
     clear = F.col("next_").isNull() | (F.col("next_") - F.col("d") >= margin)
     return ranked.filter((F.col("r_") == 1) & (F.col("s_") == 1) & clear).select(page, "id", "other")
+
+
+def two_readings(pages: DataFrame, gold: str, one: str, both: str) -> DataFrame:
+    """``pages`` with what two readings of each get wrong beside the true text.
+
+    ``cer_one`` and ``cer_both``: edits of the nearest stretch for each character of the true text; ``wrong_one`` and
+    ``wrong_both``: true tokens that a reading has wrong; ``fixed`` and ``regressed``: those that only the first, and
+    only the second, has wrong; ``garbles_one`` and ``garbles_both``: doubled and broken words.
+    """
+    toks = lambda c: X.tokens(F.col(c))
+    rate = lambda c: F.round(A.best_span(X.normalised(F.col(gold)), X.normalised(F.col(c)))["distance"] / F.greatest(F.length(X.normalised(F.col(gold))), F.lit(1)), 4)
+    wrong = pages.withColumns({"w1_": A.token_errors(toks(gold), toks(one)), "w2_": A.token_errors(toks(gold), toks(both))})
+    size = lambda c: F.size(c).cast("long")
+    return wrong.withColumns(
+        {
+            "n_tokens": size(toks(gold)),
+            "cer_one": rate(one),
+            "cer_both": rate(both),
+            "wrong_one": size("w1_"),
+            "wrong_both": size("w2_"),
+            "fixed": size(F.array_except("w1_", "w2_")),
+            "regressed": size(F.array_except("w2_", "w1_")),
+            "garbles_one": A.garbles_of(toks(gold), toks(one))["total"],
+            "garbles_both": A.garbles_of(toks(gold), toks(both))["total"],
+        }
+    ).drop("w1_", "w2_")
+
+
+def summed_readings(rows: DataFrame, by: str) -> DataFrame:
+    """(by, pages, error rates of both readings, fixed, regressed, garbles) of :func:`two_readings`."""
+    total = lambda c: F.sum(c)
+    return rows.groupBy(by).agg(
+        F.count("*").alias("pages"),
+        F.round(F.try_divide(total("wrong_one"), total("n_tokens")), 4).alias("error_one"),
+        F.round(F.try_divide(total("wrong_both"), total("n_tokens")), 4).alias("error_both"),
+        *(total(c).alias(c) for c in ("fixed", "regressed", "garbles_one", "garbles_both")),
+    )

@@ -175,6 +175,54 @@ def f08_token_errors(spark, sf):
     return gold.select("item_id", A.token_errors(F.col("a"), read).cast("array<long>").alias("wrong"))
 
 
+@query("f07_best_span", """WITH t AS (SELECT item_id, regexp_replace(text, '[^\\x00-\\x7F]', '', 'g') AS t FROM benchmark) SELECT item_id, CAST(8 AS INTEGER) AS start, CAST(0 AS INTEGER) AS distance, length(t) AS n FROM t""")
+def f07_best_span(spark, sf):
+    """A text within a longer one, found whole; damaged ones are tested against brute force."""
+    t = table(spark, sf, "benchmark").select("item_id", F.regexp_replace("text", r"[^\x00-\x7F]", "").alias("t"))
+    found = t.select("item_id", A.best_span("t", F.concat(F.lit("#0#1#2#3"), F.col("t"), F.lit("%%%% and more"))).alias("s"))
+    return found.select("item_id", F.col("s.start").alias("start"), F.col("s.distance").alias("distance"), F.length("s.span").cast("long").alias("n"))
+
+
+@query("f09_garbles", r"""WITH k AS (SELECT item_id, list_filter(list_distinct(regexp_split_to_array(lower(text), '[^a-z]+')), lambda x: length(x) >= 6) AS a FROM benchmark)
+SELECT item_id, CAST(len(list_filter(range(len(a)), lambda i: i % 4 = 1)) AS INTEGER) AS splits, CAST(len(list_filter(range(len(a)), lambda i: i % 4 = 3)) AS INTEGER) AS doubles FROM k""")
+def f09_garbles(spark, sf):
+    """Of each four long words the second is broken in two, the fourth stands twice."""
+    words = F.filter(F.array_distinct(F.split(F.lower("text"), "[^a-z]+")), lambda x: F.length(x) >= 6)
+    gold = table(spark, sf, "benchmark").select("item_id", words.alias("a"))
+    # a mark of its own ends each word, so that no broken piece is a part of another
+    marked = F.transform("a", lambda t, k: F.concat(t, F.lit("0"), k.cast("string")))
+    whole = lambda t, k: F.concat(t, F.lit("0"), k.cast("string"))
+    read = F.flatten(F.transform("a", lambda t, k: F.when(k % 4 == 1, F.array(F.concat(t, F.lit("0")), k.cast("string"))).when(k % 4 == 3, F.array(whole(t, k), whole(t, k))).otherwise(F.array(whole(t, k)))))
+    g = gold.select("item_id", A.garbles_of(marked, read).alias("g"))
+    return g.select("item_id", "g.splits", "g.doubles")
+
+
+@query("f48_date_damage", """SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN [] WHEN 1 THEN ['field_year:' || (y + 20)] WHEN 2 THEN ['text_year:' || (y + 30)] WHEN 3 THEN ['year_symbol:' || left(CAST(y AS VARCHAR), 3) || '%'] WHEN 4 THEN ['five_digits:' || y || '7'] ELSE ['day:38'] END AS damage FROM (SELECT o_orderkey, 1900 + o_orderkey % 70 AS y FROM orders)""")
+def f48_date_damage(spark, sf):
+    k, y = F.col("o_orderkey") % 6, (1900 + F.col("o_orderkey") % 70).cast("int")
+    line = lambda year: F.concat(F.lit("An act amended by Statutes of 1871. [Approved by Governor March 3, "), year, F.lit(".]"))
+    year = y.cast("string")
+    text = (
+        F.when(k == 2, line((y + 30).cast("string")))
+        .when(k == 3, line(F.concat(F.substring(year, 1, 3), F.lit("%"))))
+        .when(k == 4, line(F.concat(year, F.lit("7"))))
+        .when(k == 5, F.concat(line(year), F.lit(" It ends on May 38.")))
+        .otherwise(line(year))
+    )
+    approved = F.when(k == 1, F.concat(F.lit("Approved March 3, "), (y + 20).cast("string"))).otherwise(F.concat(F.lit("Approved March 3, "), year))
+    return table(spark, sf, "orders").select("o_orderkey", D.date_damage(text, approved, y).alias("damage"))
+
+
+@query("c18_two_readings", r"""WITH k AS (SELECT item_id, len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')) AS n FROM benchmark), i AS (SELECT item_id, unnest(range(n)) AS i FROM k)
+SELECT item_id, count(*) AS n_tokens, count(*) FILTER (i % 5 = 2) AS wrong_one, count(*) FILTER (i % 7 = 2) AS wrong_both, count(*) FILTER (i % 5 = 2 AND i % 7 <> 2) AS fixed, count(*) FILTER (i % 7 = 2 AND i % 5 <> 2) AS regressed FROM i GROUP BY item_id""")
+def c18_two_readings(spark, sf):
+    """One reader's page and a consensus beside the true text."""
+    gold = table(spark, sf, "benchmark").select("item_id", F.col("text").alias("gold"), X.tokens(F.col("text")).alias("a"))
+    read = lambda m: F.array_join(F.transform("a", lambda t, k: F.when(k % m == 2, F.concat(F.lit("#"), k.cast("string"))).otherwise(t)), " ")
+    rows = H.two_readings(gold.withColumns({"one": read(5), "both": read(7)}), "gold", "one", "both")
+    return rows.select("item_id", "n_tokens", "wrong_one", "wrong_both", "fixed", "regressed")
+
+
 @query("c14_singletons")
 def c14_singletons(spark, sf):
     """Tested against brute force, since DuckDB's distance lets a place be edited twice."""

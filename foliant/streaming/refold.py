@@ -44,5 +44,23 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 3
 
 
 def counts_by_window(events: DataFrame, at: str = "ts", late: str = "1 hour", size: str = "1 day") -> DataFrame:
-    """Counts by event-time window, with a watermark after which a window is closed."""
+    """Counts by event-time window, with a watermark after which a window is closed: its state ends and later events of
+    it are dropped."""
     return events.withWatermark(at, late).groupBy(F.window(at, size)).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), "n")
+
+
+def sessions_by_key(events: DataFrame, key: str, at: str = "ts", gap: str = "6 hours", late: str = "1 day") -> DataFrame:
+    """(key, start, end, n) of a key's events that are less than ``gap`` apart."""
+    w = events.withWatermark(at, late).groupBy(key, F.session_window(at, gap).alias("w")).agg(F.count("*").alias("n"))
+    return w.select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
+
+
+def collected(stream: DataFrame, out: str, mode: str, checkpoint: str | None = None) -> None:
+    """Run a stream until it has read what there is; each batch's rows go to a folder of its number, which a batch that
+    runs again overwrites."""
+
+    def each(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    query = stream.writeStream.outputMode(mode).foreachBatch(each)
+    query.option("checkpointLocation", checkpoint or shared_path(stream.sparkSession, "offsets")).trigger(availableNow=True).start().awaitTermination()

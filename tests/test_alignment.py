@@ -1,12 +1,16 @@
 """Alignments against brute force, and defined results for nulls and empty texts."""
 
+import difflib
 import itertools
+import random
 
 from pyspark.sql import functions as F
 
 from foliant.functions import alignment as A
+from foliant.functions import dates as D
 from foliant.functions import pages as P
 from foliant.functions.text import tokens
+from foliant.operators import consensus as C
 
 
 def swaps(a, b):
@@ -42,3 +46,86 @@ def test_token_diff(spark):
 def test_pages_without_text(spark):
     got = spark.sql("SELECT CAST(NULL AS ARRAY<STRING>) t UNION ALL SELECT array() t").select(P.page_decision(F.col("t")).alias("d")).collect()
     assert [tuple(r.d) for r in got] == [("AMBIGUOUS", "no_text")] * 2
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        new = [i]
+        for j, d in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d)))
+        row = new
+    return row[-1]
+
+
+def test_nearest_span():
+    rng = random.Random(1)
+    for _ in range(400):
+        gold, text = ("".join(rng.choice("abc") for _ in range(rng.randint(0, n))) for n in (6, 12))
+        s, e, d = A.nearest_span(gold, text)
+        assert 0 <= s <= e <= len(text)
+        assert edits(gold, text[s:e]) == d == min(edits(gold, text[i:j]) for i in range(len(text) + 1) for j in range(i, len(text) + 1))
+
+
+def test_best_span(spark):
+    rows = [("legislature", "the 1egislatnre of"), ("a", ""), ("", "abc"), (None, "x"), ("x", None)]
+    got = spark.createDataFrame(rows, "g string, t string").select(A.best_span("g", "t").alias("s")).collect()
+    assert [tuple(r.s) if r.s else None for r in got][:3] == [("1egislatnre", 4, 2), ("", 0, 1), ("", 0, 0)]
+    assert all(r.s is None or r.s.distance is None for r in got[3:])
+
+
+def test_garbles():
+    gold = "the weights and measures of the state that that stands".split()
+    count = lambda read: A.count_garbles(gold, read.split())
+    none = dict.fromkeys(A.GARBLES.names, 0)
+    assert count("the weights and measures of the state that that stands") == none
+    assert count("the weights eights and measures") == none | {"slivers": 1, "total": 1}
+    assert count("meas measures of") == none | {"slivers": 1, "total": 1}
+    assert count("the w eights and") == none | {"splits": 1, "initials": 1, "total": 1}
+    assert count("meas ures and and of") == none | {"splits": 1, "doubles": 1, "total": 2}
+    assert count("") == none and A.count_garbles([], ["a", "a"]) == none | {"doubles": 1, "total": 1}
+
+
+def test_places_in_a_spine():
+    """Every word of the other stands once, in order, and what both share stands at the spine's place."""
+    rng = random.Random(2)
+    for _ in range(300):
+        spine, other = ([rng.choice("abcd") for _ in range(rng.randint(0, 9))] for _ in range(2))
+        got = list(C.places(spine, other))
+        assert [k for *_, k in got] == list(range(len(other)))
+        at = [(p, 1 << 30 if r < 0 else r) for p, r, _ in got]
+        assert at == sorted(at) and all(0 <= p <= len(spine) for p, _ in at)
+        blocks = [(b.a + k, b.b + k) for b in difflib.SequenceMatcher(None, spine, other, autojunk=False).get_matching_blocks() for k in range(b.size)]
+        assert {(p, k) for p, r, k in got if r < 0} >= set(blocks)
+    assert list(C.places("a b c d".split(), "a x y z c d".split())) == [(0, -1, 0), (1, -1, 1), (2, 0, 2), (2, 1, 3), (2, -1, 4), (3, -1, 5)]
+
+
+def test_consensus_by_plain_voting(spark):
+    """Whole pages: the aligned vote of readings against a vote over the same places in plain Python."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(30)]
+    rows, want = [], {}
+    for page in range(12):
+        true = rng.sample(words, 12)
+        for reader in range(3):
+            read = [w if (k + reader) % 3 else rng.choice(["zzz", "qqq", "yyy"]) + str(reader) for k, w in enumerate(true)]
+            rows.append((page, f"r{reader}", " ".join(read)))
+        want[page] = " ".join(true)  # two of three have each word
+    df = spark.createDataFrame(rows, "page long, reader string, text string")
+    got = {r.page: r for r in C.consensus(df, "page", "reader", "text").collect()}
+    assert {p: r.text for p, r in got.items()} == want
+    assert all(r.n_tokens == 12 and r.agreement == 1.0 and r.confidence == 0.6667 and r.method == "vote" for r in got.values())
+
+
+def test_date_damage(spark):
+    rows = [
+        ("[Approved March 3, 1913.] amend an act of 1871", "Approved March 3, 1013", 1913, ["field_year:1013"]),
+        ("Passed May 41, 1851", None, 1851, ["day:41"]),
+        ("Filed with\nSecretary of State 19638", "", 1963, ["five_digits:19638"]),
+        ("Approved by Governor June 1, 196%", "", 1963, ["year_symbol:196%"]),
+        ("Statutes of 1880. Approved April 2, 1880", "", 1901, []),
+        (None, None, 1901, []),
+    ]
+    df = spark.createDataFrame(rows, "t string, a string, y int, want array<string>")
+    for r in df.select("want", D.date_damage(F.col("t"), F.col("a"), F.col("y")).alias("got")).collect():
+        assert r.got == r.want, r
