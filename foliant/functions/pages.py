@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Words that mark pages.
-STATUTE_WORDS = ("section", "sections", "chapter", "chapters", "approved", "whereas", "shall", "enacted", "enact", "provided", "sec", "code", "amended", "repealed", "constitution")
 MONEY_WORDS = ("dollars", "appropriated", "appropriation", "thousand", "hundred", "salary", "sum", "expended")
 INDEX_WORDS = ("index", "contents", "table")
 ROSTER_WORDS = (
@@ -15,21 +14,24 @@ ROSTER_WORDS = (
 )
 ROSTER_STATUTE_WORDS = ("section", "chapter", "approved", "whereas", "act", "shall", "enact", "provided", "sec", "title")
 
-# Spellings of key words that only a misreading gives.
-CHAPTER_GARBLES = ("CHAPTEN", "CHAPIER", "CHAPTKR", "CHAPTR", "CHAPTFR", r"CHAPT\b")
-SECTION_GARBLES = ("Ncction", "SEcTION", "SECIION", "SEcTlON", "SECHON", "SECTON", "SECTIOX")
+# Patterns of key words' spellings that only a misreading gives.
+CHAPTER_GARBLES = r"(?im)^(?:CHAPTEN|CHAPIER|CHAPTKR|CHAPTR|CHAPTFR|CHAPT\b)"
+SECTION_GARBLES = r"(?m)^[ \t]*(?:Ncction|SEcTION|SECIION|SEcTlON|SECHON|SECTON|SECTIOX)\b"
 APPROVAL_GARBLES = (
-    "Approwee[a-z]+", "Appioved", "Appi[ao]ved", "LAppi[a-z]+", "Apyi", "JApprove[a-z]*", "Approyed", r"Fuled\s+with\s+Secretary",
-    r"Fuld\s+with\s+Secretary", r"Wiled\s+with\s+Secretary", r"Puled\s+with\s+Secretary", r"Fy\s+Governor", "Secreiary", "Secrelary",
-)
+    r"(?i)\b(?:Approwee[a-z]+|Appioved|Appi[ao]ved|LAppi[a-z]+|Apyi|JApprove[a-z]*|Approyed|Fuled\s+with\s+Secretary"
+    r"|Fuld\s+with\s+Secretary|Wiled\s+with\s+Secretary|Puled\s+with\s+Secretary|Fy\s+Governor|Secreiary|Secrelary)\b"
+)
 
-# How an act became law.
+# Patterns of how an act became law.
 VETO = (
-    r"over\s+the\s+Governor'?s?\s+objection", r"constitutional\s+majority\s+of\s+both\s+Houses", r"notwithstanding\s+the\s+objections?\s+of\s+the\s+Governor",
-    r"notwithstanding\s+the\s+veto\s+of\s+the\s+Governor", r"Passed\s+the\s+(?:Assembly|Senate)\s+notwithstanding",
-)
+    r"(?i)over\s+the\s+Governor'?s?\s+objection|constitutional\s+majority\s+of\s+both\s+Houses|notwithstanding\s+the\s+objections?\s+of\s+the\s+Governor"
+    r"|notwithstanding\s+the\s+veto\s+of\s+the\s+Governor|Passed\s+the\s+(?:Assembly|Senate)\s+notwithstanding"
+)
 LAPSE = r"bec[ao]me(?:s)?\s+(?:a\s+)?law(?!\s+effective)(?!\s+operative)(?!\s+on\s+or\s+before)"
 
+# Shares and counts by which a page is a roster or an index.
+FEW_MARKERS, STATUTE_FEW, NAMES_MANY, STATUTE_SCARCE, GARBLED_MANY, NAMES_SOME, PLACES_SOME, STATUTE_LITTLE, ENTRIES = 2, 0.008, 0.35, 0.003, 0.15, 0.18, 0.012, 0.005, 5
+
 
 def count_of(toks: Column, words: tuple[str, ...]) -> Column:
     return F.size(F.filter(toks, lambda t: t.isin(*words)))
@@ -71,10 +73,10 @@ def roster_rule(toks: Column, garbled: Column, names: Column, places: Column) ->
     head = F.slice(toks, 1, 20)
     titled = F.size(F.filter(head, lambda t, k: (t == "title") & (F.get(head, k + 1).isin("act", "acts") | F.get(head, k + 2).isin("act", "acts")))) > 0
     return (
-        F.when((markers >= 2) & (statute < 0.008), "R1_marker")
-        .when((names > 0.35) & (statute < 0.003), "R2_names")
-        .when((garbled >= 0.15) & (names >= 0.18) & (places >= 0.012) & (statute < 0.005), "R3_fingerprint")
-        .when((entries >= 5) & titled, "R4_titles")
+        F.when((markers >= FEW_MARKERS) & (statute < STATUTE_FEW), "R1_marker")
+        .when((names > NAMES_MANY) & (statute < STATUTE_SCARCE), "R2_names")
+        .when((garbled >= GARBLED_MANY) & (names >= NAMES_SOME) & (places >= PLACES_SOME) & (statute < STATUTE_LITTLE), "R3_fingerprint")
+        .when((entries >= ENTRIES) & titled, "R4_titles")
     )
 
 
@@ -109,15 +111,14 @@ def damaged_section(token: Column) -> Column:
 
 def misread_keywords(text: Column) -> Column:
     """Which key words of a text are misread: ``chapter``, ``section``, ``approval``."""
-    either = lambda words: "|".join(words)
     kinds = F.array(
-        F.when(text.rlike(rf"(?im)^(?:{either(CHAPTER_GARBLES)})"), "chapter"),
-        F.when(text.rlike(rf"(?m)^[ \t]*(?:{either(SECTION_GARBLES)})\b"), "section"),
-        F.when(text.rlike(rf"(?i)\b(?:{either(APPROVAL_GARBLES)})\b"), "approval"),
+        F.when(text.rlike(CHAPTER_GARBLES), "chapter"),
+        F.when(text.rlike(SECTION_GARBLES), "section"),
+        F.when(text.rlike(APPROVAL_GARBLES), "approval"),
     )
     return F.array_compact(kinds)
 
 
 def enactment_path(text: Column) -> Column:
     """veto_override, unsigned_lapse or, of all other texts, approved; a veto goes before a lapse."""
-    return F.when(text.rlike(f"(?i){'|'.join(VETO)}"), "veto_override").when(text.rlike(f"(?i){LAPSE}"), "unsigned_lapse").otherwise("approved")
+    return F.when(text.rlike(VETO), "veto_override").when(text.rlike(f"(?i){LAPSE}"), "unsigned_lapse").otherwise("approved")

@@ -383,15 +383,3 @@ def triage(words: DataFrame, known: DataFrame) -> DataFrame:
         .otherwise("GARBLE")
     )
     return words.select("tok").join(near, "tok", "left").join(part, "tok", "left").select("tok", category.alias("category"))
-
-
-def applied(stream: DataFrame, fixes: DataFrame, kind: str | Column) -> DataFrame:
-    """The stream with each word that has a fix replaced, ``before`` and ``kind`` set where one was."""
-    out = stream.join(fixes.select("tok", "fix"), "tok", "left")
-    changed = F.col("fix").isNotNull()
-    return out.select(
-        *(c for c in stream.columns if c != "tok"),
-        F.coalesce("fix", "tok").alias("tok"),
-        F.when(changed, F.col("tok")).alias("before"),
-        F.when(changed, F.lit(kind) if isinstance(kind, str) else kind).alias("kind"),
-    )

@@ -14,14 +14,17 @@ from ..sources.paths import shared_path
     "SELECT lang AS label, CAST(doc_id AS INT) AS page, md5(coalesce(text, '')) AS digest FROM documents",
 )
 def s01_s02_page_json(spark, sf):
-    """A JSON map from page number to record for each volume, the language standing in for the volume."""
+    """A JSON map from page number to record in each volume's folder, the language standing in for the volume. A
+    volume's pages are dealt out over files, so that none is held in one row."""
     docs = table(spark, sf, "documents")
     path = shared_path(spark, "pages")
-    # a volume's map is built by line and joined by the sink: no volume is held in one row
-    line = F.concat(F.to_json(F.map_from_arrays(F.array(F.col("doc_id").cast("string")), F.array(F.struct(F.coalesce("text", F.lit("")).alias("consensus_text"))))))
-    docs.select(F.concat(F.lit("production-"), "lang").alias("volume"), line.alias("value")).write.partitionBy("volume").text(path)
-    rows = spark.read.option("basePath", path).text(path).select(F.regexp_replace("volume", "^production-", "").alias("label"), F.explode(F.from_json("value", f"map<string,{readers.PAGE}>")).alias("key", "record"))
-    return rows.select("label", F.expr("try_cast(key AS int)").alias("page"), F.md5("record.consensus_text").alias("digest"))
+    record = F.struct(F.coalesce("text", F.lit("")).alias("consensus_text"))
+    files = docs.groupBy("lang", F.pmod("doc_id", F.lit(64))).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.col("doc_id").cast("string"), record)))).alias("value"))
+    # one map in each file
+    files.select(F.concat(F.lit("production-"), "lang").alias("volume"), "value").write.option("maxRecordsPerFile", 1).partitionBy("volume").text(path)
+    volumes = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(readers.label_of(F.replace("path", F.lit("volume=production-"), F.lit("production-"))).alias("label")).distinct()
+    named = readers.pages(spark, f"{path}/*/*.txt", r"production-([^/]+)/").join(volumes, "label", "left_semi")
+    return named.select("label", "page", F.md5("consensus_text").alias("digest"))
 
 
 @query(
@@ -34,7 +37,8 @@ def s05_parsed_acts(spark, sf):
     path = shared_path(spark, "acts")
     sure = F.col("chapter_int") % 4 != 0
     act = F.struct("chapter_int", "title")
-    n.agg(F.collect_list(F.when(sure, act)).alias("confident_acts"), F.collect_list(F.when(~sure, act)).alias("flagged_acts")).write.json(f"{path}/production-1850/")
+    each = n.groupBy(F.col("chapter_int") % 3).agg(F.collect_list(F.when(sure, act)).alias("confident_acts"), F.collect_list(F.when(~sure, act)).alias("flagged_acts"))
+    each.select("confident_acts", "flagged_acts").write.option("maxRecordsPerFile", 1).json(f"{path}/production-1850/")
     return readers.acts(spark, f"{path}/*/*.json").select("chapter_int", "title", "confident", "list")
 
 

@@ -114,8 +114,9 @@ def p03_overlap_pairs(spark, sf):
 
 @query(
     "d01_overlap",
-    f"""WITH {LOG} SELECT user_id, count(*) AS n_versions, count(*) FILTER (valid_from = valid_to) AS n_empty,
-CAST(0 AS BIGINT) AS n_overlaps FROM v GROUP BY user_id""",
+    f"""WITH {LOG}, i AS (SELECT user_id, event_id, coalesce(valid_from, DATE '0001-01-01') AS lo, coalesce(valid_to, DATE '9999-12-31') AS hi FROM v),
+p AS (SELECT b.user_id, count(DISTINCT b.event_id) AS n FROM i a JOIN i b ON a.user_id = b.user_id AND (a.lo, a.hi, a.event_id) < (b.lo, b.hi, b.event_id) AND a.lo < a.hi AND b.lo < b.hi AND a.hi > b.lo GROUP BY 1)
+SELECT i.user_id, count(*) AS n_versions, count(*) FILTER (lo >= hi) AS n_empty, coalesce(any_value(p.n), 0) AS n_overlaps FROM i LEFT JOIN p USING (user_id) GROUP BY i.user_id""",
 )
 def d01_overlap(spark, sf):
     return temporal.overlap_verdict(versions(spark, sf), "user_id", ["event_id"])

@@ -16,14 +16,14 @@ ACT = "struct<chapter:string,chapter_int:int,title:string,text:string,source_pag
 SECTION = "SectionNumber"
 
 
-def label_of(path: Column) -> Column:
+def label_of(path: Column, pattern: str = r"production-([^/]+)/") -> Column:
     """The label that a folder ``production-<label>`` names."""
-    return F.regexp_extract(path, r"production-([^/]+)/", 1)
+    return F.regexp_extract(path, pattern, 1)
 
 
-def pages(spark: SparkSession, path: str) -> DataFrame:
+def pages(spark: SparkSession, path: str, label: str = r"production-([^/]+)/") -> DataFrame:
     """(label, page, record) of JSON files with a map from page number to record, in each volume's folder."""
-    files = spark.read.text(path, wholetext=True).select(label_of(F.col("_metadata.file_path")).alias("label"), "value")
+    files = spark.read.text(path, wholetext=True).select(label_of(F.col("_metadata.file_path"), label).alias("label"), "value")
     rows = files.select("label", F.explode(F.from_json("value", f"map<string,{PAGE}>")).alias("key", "record"))
     return rows.select("label", F.expr("try_cast(key AS int)").alias("page"), "record.*")
 
