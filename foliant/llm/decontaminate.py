@@ -7,14 +7,15 @@ each run of other characters than letters and digits as one space.
 By the q-gram lemma, a window of w characters with at most k edits shares at least ``w + 1 - q * (k + 1)`` q-grams
 with the text, all on neighbouring diagonals. So the q-grams that a text shares with the benchmark are counted in
 diagonal bands that overlap by half, each at least k + 1 wide in its overlap; bands with too few shared q-grams in
-every stretch of w + k characters can't hold a match and go. What stays is verified by banded alignment. An item's
-edit budget is lowered where the lemma would ask for less than one q-gram; items shorter than q characters can't be
-evidence and are left out.
+every stretch of w + k characters can't hold a match and go. What stays is verified by banded alignment. For an item
+of which the lemma would ask for less than one q-gram of the usual length, q is shorter: its budget stays, and items of
+one length of q are searched for together. Items under ``Q`` characters have no budget and are found where they stand
+as whole words.
 
 The benchmark is a query set: it is searched for in blocks of at most ``block_chars`` characters, each block over
 all texts.
 
-Defined cases: a null text or item counts as empty; null ids pass through; repeated texts and repeated items each
+Defined cases: a null text counts as empty; a null item, or one without letters and digits, is found nowhere; null ids pass through; repeated texts and repeated items each
 give their own rows; an empty table gives no rows.
 """
 
@@ -88,17 +89,38 @@ def qgrams(codes: np.ndarray, q: int) -> np.ndarray:
             power = power * power
 
 
+def gram_length(size: int, q: int = Q, window: int = WINDOW, rate: float = RATE) -> int:
+    """The greatest q up to the usual one of which the lemma asks for one q-gram or more."""
+    w = min(size, window)
+    return max(1, min(q, w // (int(w * rate) + 1)))
+
+
+def bare(codes: np.ndarray) -> np.ndarray:
+    """Folded code points without a space at either end."""
+    return codes[(1 if len(codes) and codes[0] == 32 else 0) : len(codes) - (1 if len(codes) and codes[-1] == 32 else 0)]
+
+
+def benchmarks(items: list[tuple[object, str | None]], q: int = Q, window: int = WINDOW, rate: float = RATE) -> list[Benchmark]:
+    """A block of items, those with one length of q-grams together."""
+    codes, starts = fold([t or "" for _, t in items])
+    ends = np.r_[starts[1:] - 1, len(codes) - 1] if len(starts) else starts
+    by: dict[int, list] = {}
+    for (i, t), s, e in zip(items, starts, ends):
+        if size := len(bare(codes[s:e])):
+            by.setdefault(gram_length(size, q, window, rate), []).append((i, t))
+    return [Benchmark(some, n, window, rate, q) for n, some in sorted(by.items())]
+
+
 class Benchmark:
     """The q-grams of a block of items, and what the lemma asks of each item."""
 
-    def __init__(self, items: list[tuple[object, str | None]], q: int = Q, window: int = WINDOW, rate: float = RATE):
-        self.q = q
+    def __init__(self, items: list[tuple[object, str | None]], q: int = Q, window: int = WINDOW, rate: float = RATE, words_under: int = Q):
+        self.q, self.words_under = q, words_under
         codes, starts = fold([t or "" for _, t in items])
         ends = np.r_[starts[1:] - 1, len(codes) - 1] if len(starts) else starts
         self.items, self.codes = [], []
         for (i, _), s, e in zip(items, starts, ends):
-            text = codes[s:e]
-            text = text[(1 if len(text) and text[0] == 32 else 0) : len(text) - (1 if len(text) and text[-1] == 32 else 0)]
+            text = bare(codes[s:e])
             if len(text) >= q:
                 self.items.append(i)
                 self.codes.append(text)
@@ -163,6 +185,10 @@ class Benchmark:
     def verify(self, codes: np.ndarray, lo: int, hi: int, item: int, bands: list) -> int | None:
         """The fewest edits of any window of the item within the text ``codes[lo:hi]``, or None if over the budget."""
         w, k, text = int(self.w[item]), int(self.k[item]), self.codes[item]
+        if len(text) < self.words_under:  # the q-gram is the item; around it stand neither letters nor digits
+            at = np.concatenate([p for _, p, _ in bands])
+            whole = [p for p in np.unique(at) if lo <= p and p + w <= hi and codes[p - 1] <= 32 and codes[p + w] <= 32 and (codes[p : p + w] == text).all()]
+            return 0 if whole else None
         best = None
         seen = set()
         for diagonal, _, pos in bands:
@@ -245,18 +271,19 @@ def _search(rows: DataFrame, block, schema: T.StructType, q: int, window: int, r
     arrow = to_arrow_schema(schema)
 
     def run(batches):
-        bench = Benchmark(block.value, q, window, rate)
+        some = benchmarks(block.value, q, window, rate)
         for batch in batches:
             for b in sliced(batch):
                 codes, starts = fold([t or "" for t in b.column(1).to_pylist()])
                 ends = np.r_[starts[1:] - 1, len(codes) - 1]
                 texts, items, edits = [], [], []
-                for (t, i), bands in bench.candidates(codes, starts).items():
-                    d = bench.verify(codes, int(starts[t]), int(ends[t]), i, bands)
-                    if d is not None:
-                        texts.append(t)
-                        items.append(bench.items[i])
-                        edits.append(d)
+                for bench in some:
+                    for (t, i), bands in bench.candidates(codes, starts).items():
+                        d = bench.verify(codes, int(starts[t]), int(ends[t]), i, bands)
+                        if d is not None:
+                            texts.append(t)
+                            items.append(bench.items[i])
+                            edits.append(d)
                 if texts:
                     yield pa.RecordBatch.from_arrays(
                         [b.column(0).take(pa.array(texts)), pa.array(items, arrow.field(1).type), pa.array(edits, pa.int32())], schema=arrow

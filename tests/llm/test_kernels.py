@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from foliant.llm import bpe, decontaminate, license_scan, pii, quality_rules, simhash, token_output, warc
+from foliant.llm import bpe, decontaminate, license_scan, near_copies, pii, quality_rules, simhash, token_output, warc
 
 
 def slow_fingerprint(text):
@@ -46,6 +46,24 @@ def test_trie_pairs(depth):
     assert got == want and want
 
 
+def test_sketches_never_rule_out_a_similar_pair():
+    rng = np.random.default_rng(6)
+    ruled = 0
+    for n in (1, 2, 5, 40, 300, 9000):
+        for _ in range(60):
+            x = rng.integers(0, 2**64, n, dtype=np.uint64)
+            y = np.unique(np.r_[x[: int(n * rng.uniform(0.2, 1))], rng.integers(0, 2**64, int(n * rng.uniform(0, 0.5)), dtype=np.uint64)])
+            x = np.unique(x)
+            shared = len(np.intersect1d(x, y))
+            similar = shared >= 0.8 * (len(x) + len(y) - shared)
+            left = near_copies.may_be_similar(near_copies.sketch(x), near_copies.sketch(y), 0.8)
+            assert left or not similar
+            ruled += not left
+    assert ruled > 150
+    assert near_copies.may_be_similar(near_copies.sketch(np.zeros(0, np.uint64)), near_copies.sketch(np.zeros(0, np.uint64)), 0.8)
+    assert near_copies.sketch(np.arange(70_000, dtype=np.uint64)) == b"" and near_copies.may_be_similar(b"", near_copies.sketch(np.zeros(1, np.uint64)), 0.8)
+
+
 def slow_base(text):
     out = []
     for kind, pattern in (
@@ -377,20 +395,26 @@ def test_decontamination_by_brute_force():
         for n in (0, 2, 4, 6, 9):
             texts.append(" ".join(word() for _ in range(20)) + " " + edited(item, n) + " " + word())
             texts.append(edited(item[: max(40, len(item) // 2)], n // 2))
-    bench = decontaminate.Benchmark(list(enumerate(items)))
+    texts += ["it is a tiny thing", "tinyness", "xtiny", "TINY", "a short itam text here", "short xxem text", "twenty two charactersx i", "twentytwo charactarsx in"]
+    items += ["twenty two characters i", "...", ""]
     codes, starts = decontaminate.fold(texts)
     ends = np.r_[starts[1:] - 1, len(codes) - 1]
-    got = {}
-    for (t, i), bands in bench.candidates(codes, starts).items():
-        d = bench.verify(codes, int(starts[t]), int(ends[t]), i, bands)
-        if d is not None:
-            got[t, bench.items[i]] = d
-    want = {}
-    for t in range(len(texts)):
-        text = codes[starts[t] : ends[t]].tolist()
-        for i, item in enumerate(bench.codes):
-            w, k = int(bench.w[i]), int(bench.k[i])
-            best = min((slow_edits(item[s : s + w].tolist(), text) for s in range(0, len(item) - w + 1, 1)), default=99)
-            if best <= k:
-                want[t, bench.items[i]] = best
-    assert got == want and any(want.values()) and len(want) > 12
+    got, want = {}, {}
+    some = decontaminate.benchmarks(list(enumerate(items)))
+    assert sorted(i for b in some for i in b.items) == list(range(9)) and len(some) > 2
+    for bench in some:
+        for (t, i), bands in bench.candidates(codes, starts).items():
+            d = bench.verify(codes, int(starts[t]), int(ends[t]), i, bands)
+            if d is not None:
+                got[t, bench.items[i]] = d
+        for t in range(len(texts)):
+            text = codes[starts[t] : ends[t]].tolist()
+            for i, item in enumerate(bench.codes):
+                w, k = int(bench.w[i]), int(bench.k[i])
+                assert k == int(min(len(item), 80) * 0.05)
+                best = min((slow_edits(item[s : s + w].tolist(), text) for s in range(0, len(item) - w + 1, 1)), default=99)
+                if len(item) < 12:
+                    best = 0 if f" {''.join(map(chr, item))} " in f" {''.join(map(chr, text))} " else 99
+                if best <= k:
+                    want[t, bench.items[i]] = best
+    assert got == want and any(want.values()) and len(want) > 16
