@@ -378,3 +378,31 @@ def cascade(pages: DataFrame, words: Lexicon, pairs: DataFrame) -> tuple[DataFra
     for r in rates[1:]:
         rate = rate.unionByName(r)
     return pages, audit, rate
+
+
+# --- the three-pass corrector -------------------------------------------------------------------------
+
+#: How often a word must stand to be corrected, and a correction must stand and lead the next one.
+OFTEN, LEAST, LEAD = 10, 50, 3.0
+
+
+def three_passes(texts: DataFrame, words: Lexicon, volume: str, page: str, text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The corrected pages, the audit and the rates of the older corrector: words broken at line ends are put together,
+    run-on words are cut where there is one way to, and words that stand often are corrected to the word at one edit
+    that is far more frequent than any other.
+
+    A word one edit from a known one isn't cut: it is a misspelling and no run-on.
+    """
+    whole = pages_of(texts.withColumn(text, X.dehyphenated(F.col(text))), volume, page, text)
+    raw = stored(pages_of(texts, volume, page, text), "raw-pages")
+    joined = stored(whole, "joined-pages")
+    odd = _candidates(joined, words, 4).select("tok")
+    odd = odd.join(W.within_one_edit(odd, words.known).select("tok").distinct(), "tok", "left_anti")
+    cut, audit_b = replaced(joined, W.only_split(odd, words.known).select("tok", F.array_join("pieces", " ").alias("fix")), words, "demerge")
+    often = words.vocab.filter(F.col("freq") >= OFTEN).select("tok")
+    unsure = _candidates(cut, words, 2).select("tok").join(often, "tok", "left_semi")
+    done, audit_c = replaced(cut, W.dominant(W.within_one_edit(unsure, words.known), LEAD, LEAST), words, "spell")
+    rates = measured(raw, words, "raw")
+    for pages, stage in ((joined, "rejoin"), (cut, "demerge"), (done, "spell")):
+        rates = rates.unionByName(measured(pages, words, stage))
+    return done, audit_b.unionByName(audit_c), rates

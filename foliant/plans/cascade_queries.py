@@ -25,3 +25,13 @@ def c02_cascade(spark, sf):
     stage = F.when(F.col("kind").startswith("reunify"), "reunify").when(F.col("kind") == "autocorrect_e1", "autocorrect").otherwise(F.col("kind"))
     changes = audit.filter("kind <> 'context_weak'").groupBy(stage.alias("stage")).agg(F.count("*").alias("changes"))
     return rates.join(changes, "stage", "left").select("stage", "flagged", "tokens", F.coalesce("changes", F.lit(0)).alias("changes"))
+
+
+@query("c03_three_passes")
+def c03_three_passes(spark, sf):
+    """Flagged words before and after each pass, words of nine letters or more broken by a hyphen at a line's end; tested
+    on small pages."""
+    v, known = vocab_known(spark, sf)
+    broken = F.regexp_replace("text", r"(\p{L}{4})(\p{L}{5,})", "$1-\n$2")
+    texts = table(spark, sf, "documents").select(F.floor(F.col("doc_id") / 20).alias("volume"), (F.col("doc_id") % 20).alias("page"), broken.alias("text"))
+    return C.three_passes(texts, C.Lexicon.of(known, v), "volume", "page")[2]

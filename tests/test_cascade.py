@@ -96,6 +96,18 @@ def test_cascade_rates(spark, words):
     assert lines_of(empty[0]) == [[]] and {r.tokens for r in empty[2].collect()} == {0}
 
 
+def test_three_passes(spark):
+    known = spark.createDataFrame(list(WORDS.items()), "tok string, freq long")
+    often = {"rigbt": 12, "nlght": 2, "schooldistrict": 3, "boardof": 4, "watre": 30}
+    vocab = spark.createDataFrame([*WORDS.items(), *often.items()], "tok string, freq long")
+    texts = spark.createDataFrame([(1, 0, "the legis-\nlature of rigbt nlght schooldistrict\nboardof watre"), (1, 1, None)], "volume long, page long, text string")
+    out, audit, rates = C.three_passes(texts, C.Lexicon.of(known, vocab), "volume", "page")
+    # "nlght" stands too seldom to be corrected; "boardof" is cut at its stopword
+    assert lines_of(out) == [[["the", "legislature", "of", "right", "nlght", "school", "district"], ["board", "of", "water"]], []]
+    assert sorted((r.kind, r.before) for r in audit.collect()) == [("demerge", "boardof"), ("demerge", "schooldistrict"), ("spell", "rigbt"), ("spell", "watre")]
+    assert {r.stage: (r.flagged, r.tokens) for r in rates.collect()} == {"raw": (7, 9), "rejoin": (5, 8), "demerge": (3, 10), "spell": (1, 10)}
+
+
 # --- words against brute force ------------------------------------------------------------------------
 
 
