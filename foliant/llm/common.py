@@ -85,18 +85,26 @@ def rowwise(
 HOT_ROWS, HOT_KEYS = 1_000, 10_000
 
 
-def spread_join(left: DataFrame, right: DataFrame, key: str, total: int, count: str = "copies") -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, key: str, total: int, most: int, count: str = "copies") -> DataFrame:
     """Inner join of ``left`` with ``right``, where no task gets all rows of a hot key.
 
-    ``right`` has a row for each key and, in ``count``, how many rows of ``left`` have it; ``total`` is at least
-    the number of left's rows. There are fewer than ``HOT_KEYS`` hot keys whatever the size, so that they are
-    broadcast; all others are joined by key. ``left`` is read twice.
+    ``right`` has a row for each key and, in ``count``, how many rows of ``left`` have it, ``most`` at the most;
+    ``total`` is at least the number of left's rows. There are fewer than ``HOT_KEYS`` hot keys whatever the size, so
+    that they are broadcast; all others are joined by key. ``left`` is read twice if there are hot keys.
     """
-    hot = F.col(count) > max(HOT_ROWS, total // HOT_KEYS)
+    bound = max(HOT_ROWS, total // HOT_KEYS)
+    if most <= bound:
+        return left.join(right.drop(count), key)
+    hot = F.col(count) > bound
     few, rest = F.broadcast(right.filter(hot).drop(count)), right.filter(~hot).drop(count)
     return left.join(few, key).unionByName(left.join(few.select(key), key, "left_anti").join(rest, key))
 
 
+def greatest(df: DataFrame, column: str = "copies") -> int:
+    """The greatest value of a column, 0 if there is none."""
+    return df.agg(F.max(column)).first()[0] or 0
+
+
 #: A slice of a batch ends before this many bytes, or after one row.
 SLICE_BYTES = 8 << 20
 

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import picked, removed, rowwise, sliced, spread_join, written
+from .common import greatest, picked, removed, rowwise, sliced, spread_join, written
 from .simhash import AT_ONCE, BITS, SEED, classes, components, merge, trie_pairs, whole_groups
 
 WIDTH = 5
@@ -386,7 +386,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     a, b = (prints.select(F.col("fp").alias(c), F.col("unit").alias(f"{c}_unit")) for c in ("a", "b"))
     near = candidate_links(prints, count, similarity, recall).select("a", "b").distinct().join(a, "a").join(b, "b").select(F.col("a_unit").alias("a"), F.col("b_unit").alias("b"))
     units = distinct.count()
-    same = spread_join(distinct.select("fp", "unit"), prints.select("fp", F.col("unit").alias("a"), "copies"), "fp", units)
+    same = spread_join(distinct.select("fp", "unit"), prints.select("fp", F.col("unit").alias("a"), "copies"), "fp", units, greatest(prints))
     same = same.filter("unit <> a").select("a", F.col("unit").alias("b"))
     edges, _ = checked(texts, distinct, near.unionByName(same), similarity, width)
     removed(spark, prints_path)
@@ -403,4 +403,4 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     removed(spark, lists_path)
     linked = classes(roots, distinct.select(F.col("unit").alias("node"), F.col("id").alias("least")), units).withColumnRenamed("node", "unit")
     of_unit = distinct.join(linked, "unit", "left").select("unit", F.coalesce("component_id", "id").alias("component_id"), "copies")
-    return spread_join(rows.select("id", "unit"), of_unit, "unit", rows.count()).select(F.col("id").alias(id_col), "component_id")
+    return spread_join(rows.select("id", "unit"), of_unit, "unit", rows.count(), greatest(distinct)).select(F.col("id").alias(id_col), "component_id")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import picked, removed, rowwise, spread_join, written
+from .common import greatest, picked, removed, rowwise, spread_join, written
 
 BITS = 64
 SEED = 42
@@ -272,10 +272,10 @@ def components(edges: DataFrame, most_rounds: int = 50) -> tuple[DataFrame, list
         edges_both = 2 * now[0]
         both = at.unionByName(at.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("copies"))
-        large = spread_join(both, least, "u", edges_both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = spread_join(both, least, "u", edges_both, greatest(least)).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large, large_path = written(large.filter("u <> v").distinct(), "links")
         low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("copies"))
-        small = spread_join(large, low, "u", edges_both)
+        small = spread_join(large, low, "u", edges_both, greatest(low))
         small = small.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
         nxt, nxt_path = written(small.filter("u <> v").distinct(), "links")
         removed(spark, path, large_path)
@@ -291,7 +291,7 @@ def classes(roots: DataFrame, least: DataFrame, nodes: int) -> DataFrame:
     # a root is a node of its component too
     members = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     ids = members.join(least, "node").groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("copies"))
-    return spread_join(members, ids, "root", nodes).select("node", "component_id")
+    return spread_join(members, ids, "root", nodes, greatest(ids)).select("node", "component_id")
 
 
 # --- the operator ----------------------------------------------------------------------------------
@@ -315,6 +315,6 @@ def near_duplicates(
     # copies of a fingerprint and members of a class are spread over tasks
     of_fp = distinct.join(classes(roots, distinct.select(F.col("fp").alias("node"), "least"), distinct.count()), F.col("fp") == F.col("node"), "left")
     of_fp = of_fp.select("fp", F.coalesce("component_id", "least").alias("component_id"), "copies")
-    return spread_join(rows, of_fp, "fp", rows.count()).select(
+    return spread_join(rows, of_fp, "fp", rows.count(), greatest(distinct)).select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )

@@ -213,13 +213,13 @@ def write_warc(
     shared = rows.filter(F.length("payload") >= min_revisit_bytes).groupBy("digest", "id").count()
     shared = shared.groupBy("digest").agg(least.alias("least"), F.sum("count").alias("copies")).filter("copies > 1")
     shared, _ = written(shared.select("digest", F.col("least.id").alias("least"), (F.col("least.same") == 1).alias("once"), "copies"), "shared-digests")
-    n, copies = shared.agg(F.count("*"), F.sum("copies")).first()
+    n, copies, most = shared.agg(F.count("*"), F.sum("copies"), F.max("copies")).first()
     names = ("id", "url", "payload", "digest")
     if n <= broadcast_digests:
         marked = rows.join(F.broadcast(shared.drop("copies")), "digest", "left").select(*names, "least", "once")
     else:
         alone = rows.join(shared.select("digest"), "digest", "left_anti").select(*names, F.lit(None).cast(rows.schema["id"].dataType).alias("least"), F.lit(None).cast("boolean").alias("once"))
-        marked = spread_join(rows, shared, "digest", copies).select(*names, "least", "once").unionByName(alone)
+        marked = spread_join(rows, shared, "digest", copies, most).select(*names, "least", "once").unionByName(alone)
     refers = F.when(F.col("least").eqNullSafe(F.col("id")), F.lit(None)).otherwise(F.col("least"))
     marked = marked.select(*names, refers.alias("refers"), "once", F.monotonically_increasing_id().alias("serial"))
     schema = T.StructType([T.StructField("value", T.StringType())])
