@@ -19,7 +19,8 @@ path: in any one order of all shingles, two similar texts share one of the first
 each. These prefixes are taken with the frequent shingles of a sample last (the sample changes the work, never the
 result), and texts with a common shingle in both prefixes are a list. Pairs of a list whose sizes and places in the
 prefix allow the similarity, and that checked links haven't joined yet, are offered in rounds of growing distance in
-the list, until no pair is left. All links, of both kinds, are checked exactly on the shingles of both texts.
+the list, until no pair is left. All links, of both kinds, are checked: first by sketches, counts of a text's shingles
+by parts of the range of hashes, which bound from above what two texts may share, then exactly on the shingles of both.
 
 Texts are told apart by a 64-bit hash of their set of shingles, the ``unit``.
 
@@ -56,6 +57,10 @@ FIRST, GROWTH = 32, 8
 #: Frequent shingles that are known by name, and about as many texts as their sample has at least.
 COMMON, SAMPLE = 1 << 16, 5_000
 LIST_ROWS = 200_000
+#: Units up to this number (some 40 bytes each, counted first) are broadcast.
+BROADCAST_UNITS = 200_000
+#: A sketch has at most two to this power parts.
+SKETCH_BITS = 12
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -308,6 +313,7 @@ def offered(lists: DataFrame, roots: DataFrame, done: int, until: int, similarit
     """Pairs (a, b) of different classes that may be similar and are over ``done``, at most ``until`` apart in a list."""
     n = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kind = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+    roots = F.broadcast(roots) if roots.count() <= BROADCAST_UNITS else roots
     labelled = lists.join(roots, F.col("unit") == F.col("node"), "left").select("token", "place", "unit", F.coalesce("root", "unit").alias("label"))
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,14 +354,67 @@ def similar(rows: DataFrame, similarity: float, width: int) -> DataFrame:
     return rows.mapInArrow(run, kind)
 
 
+def sketch(hashes: np.ndarray) -> bytes:
+    """How many hashes fall into each of about as many equal parts of their range as there are hashes."""
+    bits = min(SKETCH_BITS, max(4, math.ceil(math.log2(max(1, len(hashes))))))
+    counts = np.bincount((hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype("<u2").tobytes() if len(hashes) < 1 << 16 else b""
+
+
+def may_be_similar(x: bytes, y: bytes, similarity: float) -> bool:
+    """Whether two sketches leave open that the sets have that similarity: they share no more in any part of the range
+    than the smaller count there. Sets too large for a sketch are left open."""
+    if not x or not y:
+        return True
+    p, q = np.frombuffer(x, "<u2").astype(np.int64), np.frombuffer(y, "<u2").astype(np.int64)
+    parts = min(len(p), len(q))
+    p, q = p.reshape(parts, -1).sum(1), q.reshape(parts, -1).sum(1)
+    shared = int(np.minimum(p, q).sum())
+    return shared >= similarity * (int(p.sum()) + int(q.sum()) - shared) - 1e-9
+
+
+def of_units(texts: DataFrame, distinct: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(unit, text) of the units in pairs (a, b), from the rows that stand for them; a repeated row comes repeatedly.
+
+    Up to ``BROADCAST_UNITS`` units are broadcast; beyond that the texts are shuffled.
+    """
+    ends = pairs.select(F.col("a").alias("unit")).unionByName(pairs.select(F.col("b").alias("unit"))).distinct()
+    needed, _ = written(ends.join(distinct, "unit").select("unit", F.col("id").alias("of"), F.col("hash").alias("of_hash")), "needed-units")
+    if needed.count() <= BROADCAST_UNITS:
+        needed = F.broadcast(needed)
+    return texts.join(needed, F.col("id").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("of_hash"))).select("unit", "text")
+
+
+def left_open(texts: DataFrame, distinct: DataFrame, found: DataFrame, similarity: float, width: int) -> DataFrame:
+    """Of pairs (a, b) of units those whose sketches don't rule the similarity out; texts stay where they are."""
+    kind = T.StructType([T.StructField("unit", T.LongType()), T.StructField("sketch", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in sliced(batch):
+                out = [sketch(shingles(t, width)) for t in b.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=kind.names)
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in sliced(batch):
+                keep = [may_be_similar(x, y, similarity) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    sketches, path = written(of_units(texts, distinct, found).mapInArrow(run, kind).groupBy("unit").agg(F.min("sketch").alias("sketch")), "sketches")
+    x, y = (sketches.select(F.col("unit").alias(c), F.col("sketch").alias(f"{c}_sketch")) for c in ("a", "b"))
+    both = found.join(x, "a").join(y, "b").select("a", "b", "a_sketch", "b_sketch")
+    out, _ = written(both.mapInArrow(bound, T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b")])), "left-open")
+    removed(found.sparkSession, path)
+    return out
+
+
 def checked(texts: DataFrame, distinct: DataFrame, pairs: DataFrame, similarity: float, width: int) -> tuple[DataFrame, str]:
-    """Of pairs (a, b) of units those that are similar, written."""
+    """Of pairs (a, b) of units those that are similar, written. Texts travel only for pairs that sketches leave open."""
     spark = texts.sparkSession
     found, found_path = written(pairs, "candidates")
-    ends = found.select(F.col("a").alias("unit")).unionByName(found.select(F.col("b").alias("unit"))).distinct()
-    needed = ends.join(distinct, "unit").select("unit", F.col("id").alias("of"), F.col("hash").alias("of_hash"))
-    wanted = texts.join(needed, F.col("id").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("of_hash"))).groupBy("unit").agg(F.min("text").alias("text"))
-    wanted, wanted_path = written(wanted, "wanted-texts")
+    found = left_open(texts, distinct, found, similarity, width)
+    wanted, wanted_path = written(of_units(texts, distinct, found).groupBy("unit").agg(F.min("text").alias("text")), "wanted-texts")
     left, right = (wanted.select(F.col("unit").alias(c), F.col("text").alias(f"{c}_text")) for c in ("a", "b"))
     out = written(similar(found.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text"), similarity, width), "near-copies")
     removed(spark, found_path, wanted_path)
