@@ -41,12 +41,11 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECES = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: The pattern of byte-level pre-tokenizers.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Words, and pieces made of them, whose encodings are remembered by a worker.
-WORDS_REMEMBERED = 500_000
-REMEMBERED = 200_000
+#: Pieces whose encodings are remembered by a worker.
+REMEMBERED = 120_000
 #: Words and pairs of tokens that a trie encoder remembers.
-TRIE_WORDS = 250_000
-PAIRS_REMEMBERED = 1_000_000
+TRIE_WORDS = 120_000
+PAIRS_REMEMBERED = 400_000
 #: Longer words aren't remembered.
 LONG_PIECE = 64
 

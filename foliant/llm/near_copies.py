@@ -358,15 +358,15 @@ def sketch(hashes: np.ndarray) -> bytes:
     """How many hashes fall into each of about as many equal parts of their range as there are hashes."""
     bits = min(SKETCH_BITS, max(4, math.ceil(math.log2(max(1, len(hashes))))))
     counts = np.bincount((hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-    return counts.astype("<u2").tobytes() if len(hashes) < 1 << 16 else b""
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
 
 
 def may_be_similar(x: bytes, y: bytes, similarity: float) -> bool:
     """Whether two sketches leave open that the sets have that similarity: they share no more in any part of the range
-    than the smaller count there. Sets too large for a sketch are left open."""
+    than the smaller count there. Sets with too many in one part have no sketch and are left open."""
     if not x or not y:
         return True
-    p, q = np.frombuffer(x, "<u2").astype(np.int64), np.frombuffer(y, "<u2").astype(np.int64)
+    p, q = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
     parts = min(len(p), len(q))
     p, q = p.reshape(parts, -1).sum(1), q.reshape(parts, -1).sum(1)
     shared = int(np.minimum(p, q).sum())
