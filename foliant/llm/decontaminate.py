@@ -33,6 +33,8 @@ Q = 12
 WINDOW = 80
 RATE = 0.05
 BLOCK_CHARS = 1_000_000
+#: Texts that are searched at once; a q-gram takes some 30 times its character's bytes.
+BATCH_BYTES = 2 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPREAD = np.uint64(0xD6E8FEB86659FD93)
@@ -273,7 +275,7 @@ def _search(rows: DataFrame, block, schema: T.StructType, q: int, window: int, r
     def run(batches):
         some = benchmarks(block.value, q, window, rate)
         for batch in batches:
-            for b in sliced(batch):
+            for b in sliced(batch, BATCH_BYTES):
                 codes, starts = fold([t or "" for t in b.column(1).to_pylist()])
                 ends = np.r_[starts[1:] - 1, len(codes) - 1]
                 texts, items, edits = [], [], []

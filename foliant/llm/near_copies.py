@@ -58,7 +58,7 @@ FIRST, GROWTH = 32, 8
 COMMON, SAMPLE = 1 << 16, 5_000
 LIST_ROWS = 200_000
 #: Units up to this number (some 40 bytes each, counted first) are broadcast.
-BROADCAST_UNITS = 200_000
+BROADCAST_UNITS = 20_000
 #: A sketch has at most two to this power parts.
 SKETCH_BITS = 12
 
