@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, license_scan, pii, quality_classifier, quality_rules, simhash, token_output, url_filter, warc
+from . import bpe, conversations, curriculum, decontaminate, license_scan, pii, quality_classifier, quality_rules, simhash, token_alignment, token_output, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,9 +65,35 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_roundtrip(table(spark, sf_dir, "pages"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audits(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curriculum.mixed(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.aligned(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_url_filter, op2_license_scan, op3_pii, op4_bpe, op5_decontaminate, op6_quality_rules, op7_simhash, op8_quality_classifier, op9_token_output, op10_warc)
+    for f in (
+        op1_url_filter,
+        op2_license_scan,
+        op3_pii,
+        op4_bpe,
+        op5_decontaminate,
+        op6_quality_rules,
+        op7_simhash,
+        op8_quality_classifier,
+        op9_token_output,
+        op10_warc,
+        op11_conversation_repair,
+        op12_curriculum,
+        op13_token_alignment,
+    )
 }
 
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
