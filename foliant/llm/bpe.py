@@ -41,8 +41,9 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECES = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: The pattern of byte-level pre-tokenizers.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Pieces whose encodings are remembered by a worker.
-REMEMBERED = 120_000
+#: What a worker remembers of pieces, in bytes, and what an entry takes beside its text and ids.
+REMEMBERED_BYTES = 32 << 20
+ENTRY_BYTES = 200
 #: Words and pairs of tokens that a trie encoder remembers.
 TRIE_WORDS = 120_000
 PAIRS_REMEMBERED = 400_000
@@ -111,6 +112,7 @@ class TrieBPE:
         self.longest = max(map(len, self.ids))
         self.last = {}  # (left, right) -> whether they may stand side by side
         self.pieces: dict[str, bytes] = {}
+        self.size = 0
         self.words = Generations(TRIE_WORDS)
         self._edges: tuple[dict, dict] = ({}, {})
         self._special = re.compile("|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
@@ -199,11 +201,17 @@ class TrieBPE:
             parts.append((b"", _PIECES.findall(t[at:])))
             cut.append(parts)
         known = self.pieces
-        new = list({p for parts in cut for _, ps in parts for p in ps if p not in known})
-        known.update(self._learn(new))
+        learnt = self._learn(list({p for parts in cut for _, ps in parts for p in ps if p not in known}))
+        known.update(learnt)
         out = [b"".join([b"".join([known[p] for p in ps]) + special for special, ps in parts]) for parts in cut]
-        if len(known) > REMEMBERED:
+        for p, ids in learnt.items():
+            if len(p) > LONG_PIECE:
+                del known[p]
+            else:
+                self.size += ENTRY_BYTES + len(p) + len(ids)
+        if self.size > REMEMBERED_BYTES:
             known.clear()
+            self.size = 0
         return out
 
     def decode(self, ids: bytes) -> bytes:

@@ -9,18 +9,25 @@ with the text, all on neighbouring diagonals. So the q-grams that a text shares
 diagonal bands that overlap by half, each at least k + 1 wide in its overlap; bands with too few shared q-grams in
 every stretch of w + k characters can't hold a match and go. What stays is verified by banded alignment. For an item
 of which the lemma would ask for less than one q-gram of the usual length, q is shorter: its budget stays, and items of
-one length of q are searched for together. Items under ``Q`` characters have no budget and are found where they stand
-as whole words.
+one length of q are searched for together. Items so short that their budget is 0 are found where they stand as whole
+words.
 
-The benchmark is a query set: it is searched for in blocks of at most ``block_chars`` characters, each block over
-all texts.
+A q-gram that is frequent in texts and items has many postings. They are never laid out all at once: stretches of texts
+and of items, overlapping by what a window needs, are looked at one by one, each of at most ``POSTINGS`` pairs of places
+or of two windows' length. In each, items that stand in a text unedited are found first, as runs of pairs on one
+diagonal, and are dropped from what is counted later.
 
-Defined cases: a null text counts as empty; a null item, or one without letters and digits, is found nowhere; null ids pass through; repeated texts and repeated items each
-give their own rows; an empty table gives no rows.
+The benchmark is a query set: its distinct texts are searched for in blocks of about ``block_chars`` characters, each
+block over all texts.
+
+Defined cases: a null text counts as empty; a null item, or one without letters and digits, is found nowhere; null ids
+pass through; repeated texts and repeated items each give their own rows; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,6 +42,10 @@ RATE = 0.05
 BLOCK_CHARS = 1_000_000
 #: Texts that are searched at once; a q-gram takes some 30 times its character's bytes.
 BATCH_BYTES = 2 << 20
+#: Pairs of a place in a text and one in an item that are looked at at once.
+POSTINGS = 500_000
+#: Windows whose edits are remembered within a batch.
+TRIED = 50_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPREAD = np.uint64(0xD6E8FEB86659FD93)
@@ -110,14 +121,14 @@ def benchmarks(items: list[tuple[object, str | None]], q: int = Q, window: int =
     for (i, t), s, e in zip(items, starts, ends):
         if size := len(bare(codes[s:e])):
             by.setdefault(gram_length(size, q, window, rate), []).append((i, t))
-    return [Benchmark(some, n, window, rate, q) for n, some in sorted(by.items())]
+    return [Benchmark(some, n, window, rate) for n, some in sorted(by.items())]
 
 
 class Benchmark:
     """The q-grams of a block of items, and what the lemma asks of each item."""
 
-    def __init__(self, items: list[tuple[object, str | None]], q: int = Q, window: int = WINDOW, rate: float = RATE, words_under: int = Q):
-        self.q, self.words_under = q, words_under
+    def __init__(self, items: list[tuple[object, str | None]], q: int = Q, window: int = WINDOW, rate: float = RATE):
+        self.q = q
         codes, starts = fold([t or "" for _, t in items])
         ends = np.r_[starts[1:] - 1, len(codes) - 1] if len(starts) else starts
         self.items, self.codes = [], []
@@ -131,13 +142,19 @@ class Benchmark:
         self.k = np.minimum((self.w * rate).astype(np.int64), np.maximum(0, self.w // q - 1))
         self.need = self.w + 1 - q * (self.k + 1)
         self.step = int(self.k.max(initial=0)) + 1
+        #: A match's characters in the text and in the item.
+        self.reach, self.span = int((self.w + self.k).max(initial=1)), int(self.w.max(initial=1))
+        #: Items one behind the other: where each begins. Between their q-grams lie some places without any.
+        self.begin = np.cumsum(size) - size
+        self.places = int(size.sum())
         grams = [qgrams(c, q) for c in self.codes]
         all_grams = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-        item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        pos = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
+        at = np.concatenate([b + np.arange(len(g)) for b, g in zip(self.begin, grams)]) if grams else np.zeros(0, np.int64)
         order = np.argsort(all_grams, kind="stable")
-        self.gram, self.first, self.count = np.unique(all_grams[order], return_index=True, return_counts=True)
-        self.item, self.pos = item[order], pos[order]
+        self.gram, count = np.unique(all_grams[order], return_counts=True)
+        self.at = at[order]
+        #: Postings by q-gram and place.
+        self.key = np.repeat(np.arange(len(self.gram)), count) * self.places + self.at
         self.present = np.zeros(1 << _BITS, bool)
         self.present[self._slot(self.gram)] = True
 
@@ -146,24 +163,99 @@ class Benchmark:
         with np.errstate(over="ignore"):
             return (h * _SPREAD) >> np.uint64(64 - _BITS)
 
-    def candidates(self, codes: np.ndarray, starts: np.ndarray) -> dict[tuple[int, int], list[tuple[int, np.ndarray, np.ndarray]]]:
-        """(text, item) to bands that meet the lemma: first diagonal, positions in the text and in the item."""
+    def _parts(self, at: np.ndarray, gram: np.ndarray, lo: int, hi: int, known: Callable[[int, int, int, int], bool]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Places in texts with the first and last posting of each, for items' places from ``lo`` to ``hi``: cut up, with
+        overlaps, until there are few pairs or two windows. ``known`` says of a stretch that nothing is left to find."""
+        if not len(at) or known(int(at[0]), int(at[-1]), lo, hi):
+            return
+        first, stop = (np.searchsorted(self.key, gram * self.places + x) for x in (lo, hi))
+        some = stop > first
+        at, gram, first, stop = at[some], gram[some], first[some], stop[some]
+        if not len(at):
+            return
+        long, wide = int(at[-1] - at[0]) > 2 * self.reach, hi - lo > 2 * self.span
+        if int((stop - first).sum()) <= POSTINGS or not (long or wide):
+            yield at, first, stop
+        elif long:
+            middle = int(at[0] + at[-1]) // 2
+            for k in (at < middle + self.reach, at >= middle):
+                yield from self._parts(at[k], gram[k], lo, hi, known)
+        else:
+            middle = (lo + hi) // 2
+            yield from self._parts(at, gram, lo, middle + self.span, known)
+            yield from self._parts(at, gram, middle, hi, known)
+
+    def found(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], int]:
+        """(text, item) to the fewest edits of any window of the item in the text, where these are within the budget."""
         if not len(self.gram):
             return {}
         h = qgrams(codes, self.q)
         at = np.flatnonzero(self.present[self._slot(h)])
-        k = np.minimum(np.searchsorted(self.gram, h[at]), len(self.gram) - 1)
-        same = self.gram[k] == h[at]
-        at, k = at[same], k[same]
-        many = self.count[k]
-        at_all = np.repeat(at, many)
-        if not len(at_all):
-            return {}
-        posting = np.repeat(self.first[k] - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(len(at_all))
-        item, pos = self.item[posting], self.pos[posting]
-        text = np.searchsorted(starts, at_all, "right") - 1
-        band = (at_all - pos) // self.step
-        item, pos, text, place = (np.r_[x, x] for x in (item, pos, text, at_all))
+        gram = np.minimum(np.searchsorted(self.gram, h[at]), len(self.gram) - 1)
+        same = self.gram[gram] == h[at]
+        at, gram = at[same], gram[same]
+        exact: dict[int, np.ndarray] = {}  # text to the items that stand in it unedited
+        for place, own, text, item in self._pairs(at, gram, starts, ends, exact):
+            rows = self._unedited(codes, place, own, text, item)
+            for t in np.unique(rows[:, 0]).tolist():
+                exact[t] = np.union1d(exact.get(t, rows[:0, 1]), rows[rows[:, 0] == t, 1])
+        best = {(t, i): 0 for t, some in exact.items() for i in some.tolist()}
+        tried: dict = {}
+        for place, own, text, item in self._pairs(at, gram, starts, ends, exact):
+            left = self.k[item] > 0
+            for (t, i), bands in self._bands(place[left], own[left] - self.begin[item[left]], text[left], item[left]).items():
+                d = self.verify(codes, int(starts[t]), int(ends[t]), i, bands, tried)
+                if d is not None and d < best.get((t, i), d + 1):
+                    best[t, i] = d
+        return best
+
+    def _pairs(self, at: np.ndarray, gram: np.ndarray, starts: np.ndarray, ends: np.ndarray, exact: dict[int, np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
+        """Places in texts and in items of shared q-grams, texts and items, some at a time, without what is in ``exact``."""
+
+        def known(a: int, b: int, lo: int, hi: int) -> bool:
+            t = int(np.searchsorted(starts, a, "right")) - 1
+            if t not in exact or b >= ends[t]:
+                return False
+            i, j = np.searchsorted(self.begin, [lo, hi - 1], "right") - 1
+            return np.diff(np.searchsorted(exact[t], [i, j + 1]))[0] == j + 1 - i
+
+        for at, first, stop in self._parts(at, gram, 0, self.places, known):
+            many = stop - first
+            place = np.repeat(at, many)
+            own = self.at[np.repeat(first - (np.cumsum(many) - many), many) + np.arange(len(place))]
+            text, item = np.searchsorted(starts, place, "right") - 1, np.searchsorted(self.begin, own, "right") - 1
+            if here := [t for t in range(text[0], text[-1] + 1) if t in exact]:
+                table = np.zeros((text[-1] - text[0] + 1, len(self.items)), bool)
+                for t in here:
+                    table[t - text[0], exact[t]] = True
+                left = ~table[text - text[0], item]
+                place, own, text, item = place[left], own[left], text[left], item[left]
+            if len(place):
+                yield place, own, text, item
+
+    def _unedited(self, codes: np.ndarray, place: np.ndarray, own: np.ndarray, text: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Distinct (text, item) of which a window stands in the text as it is: as many q-grams as it has, one behind the
+        other on one diagonal. No run goes from one text or item to the next, since q-grams hold no end."""
+        order = np.argsort((place - own + self.places << 32) + place)
+        p, d = place[order], (place - own)[order]
+        fresh = np.r_[True, (d[1:] != d[:-1]) | (p[1:] != p[:-1] + 1)]
+        begin = np.flatnonzero(fresh)
+        size = np.diff(np.r_[begin, len(p)])
+        k = order[begin]
+        enough = size >= (self.w - self.q + 1)[item[k]]
+        k, p = k[enough], p[begin][enough]
+        i = item[k]
+        # items without a budget stand as whole words
+        whole = (self.k[i] > 0) | ((codes[p - 1] <= 32) & (codes[np.minimum(p + self.w[i], len(codes) - 1)] <= 32))
+        return np.unique(np.c_[text[k][whole], i[whole]], axis=0).reshape(-1, 2)
+
+    def _bands(self, place: np.ndarray, pos: np.ndarray, text: np.ndarray, item: np.ndarray) -> dict[tuple[int, int], list[tuple[int, np.ndarray]]]:
+        """(text, item) to bands that meet the lemma: first diagonal, positions in the item."""
+        out: dict = {}
+        if not len(place):
+            return out
+        band = (place - pos) // self.step
+        item, pos, text, place = (np.r_[x, x] for x in (item, pos, text, place))
         band = np.r_[band, band - 1]
         order = np.lexsort((place, band, item, text))
         item, pos, text, place, band = (x[order] for x in (item, pos, text, place, band))
@@ -173,7 +265,6 @@ class Benchmark:
         i, j = i[inside], j[inside]
         full = (text[i] == text[j]) & (item[i] == item[j]) & (band[i] == band[j])
         full &= place[j] - place[i] <= (self.w + self.k)[item[i]] - self.q
-        out: dict = {}
         if not full.any():
             return out
         fresh = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1])])
@@ -181,34 +272,32 @@ class Benchmark:
         stops = np.r_[fresh[1:], len(item)]
         for g in group:
             s, e = fresh[g], stops[g]
-            out.setdefault((int(text[s]), int(item[s])), []).append((int(band[s]) * self.step, place[s:e], pos[s:e]))
+            out.setdefault((int(text[s]), int(item[s])), []).append((int(band[s]) * self.step, pos[s:e]))
         return out
 
-    def verify(self, codes: np.ndarray, lo: int, hi: int, item: int, bands: list) -> int | None:
-        """The fewest edits of any window of the item within the text ``codes[lo:hi]``, or None if over the budget."""
+    def verify(self, codes: np.ndarray, lo: int, hi: int, item: int, bands: list, tried: dict) -> int | None:
+        """The fewest edits of any window of the item within the text ``codes[lo:hi]``, or None if over the budget.
+
+        ``tried`` remembers windows, since items share passages."""
         w, k, text = int(self.w[item]), int(self.k[item]), self.codes[item]
-        if len(text) < self.words_under:  # the q-gram is the item; around it stand neither letters nor digits
-            at = np.concatenate([p for _, p, _ in bands])
-            whole = [p for p in np.unique(at) if lo <= p and p + w <= hi and codes[p - 1] <= 32 and codes[p + w] <= 32 and (codes[p : p + w] == text).all()]
-            return 0 if whole else None
         best = None
-        seen = set()
-        for diagonal, _, pos in bands:
+        for diagonal, pos in bands:
             hits = np.bincount(pos, minlength=len(text))
             sums = np.r_[0, np.cumsum(np.minimum(hits, 1))]
             first = np.arange(len(text) - w + 1)
             in_window = sums[first + w - self.q + 1] - sums[first]
             for s in first[np.argsort(-in_window, kind="stable")]:
                 if in_window[s] < self.need[item]:
-                    continue
-                if (int(s), diagonal) in seen:
-                    continue
-                seen.add((int(s), diagonal))
-                d = banded(text[s : s + w], codes, lo, hi, int(s) + diagonal - k, 2 * self.step + 2 * k + 1, k)
+                    break
+                key = (text[s : s + w].tobytes(), int(s) + diagonal)
+                if (d := tried.get(key, w)) == w:
+                    if len(tried) >= TRIED:
+                        tried.clear()
+                    d = tried[key] = banded(text[s : s + w], codes, lo, hi, int(s) + diagonal - k, 2 * self.step + 2 * k + 1, k)
                 if d is not None and (best is None or d < best):
                     best = d
-                    if best == 0:
-                        return 0
+                    if best <= 1:  # unedited ones are known
+                        return best
         return best
 
 
@@ -251,20 +340,19 @@ def contaminated(
     of edits of any window."""
     spark = docs.sparkSession
     rows = picked(docs, id=id_col, text=text_col)
-    items = picked(benchmark, item=item_col, text=item_text_col)
-    schema = T.StructType(
-        [T.StructField(id_col, rows.schema["id"].dataType), T.StructField(item_col, items.schema["item"].dataType), T.StructField("edits", T.IntegerType())]
-    )
-    chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    items = picked(benchmark, item=item_col, text=item_text_col).withColumn("digest", F.sha2("text", 256))
+    distinct = items.filter("text IS NOT NULL").groupBy("digest").agg(F.first("text").alias("text"))
+    schema = T.StructType([T.StructField(id_col, rows.schema["id"].dataType), T.StructField("digest", T.StringType()), T.StructField("edits", T.IntegerType())])
+    chars = distinct.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = int(chars // block_chars) + 1
-    out = spark.createDataFrame([], schema)
+    out = None
     for k in range(blocks):
-        block = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k) if blocks > 1 else items
-        found = [(r.item, r.text) for r in block.collect()]
-        if found:
-            part = _search(rows, spark.sparkContext.broadcast(found), schema, q, window, rate)
-            out = part if k == 0 and blocks == 1 else out.unionByName(part)
-    return out
+        block = distinct.filter(F.pmod(F.xxhash64("digest"), F.lit(blocks)) == k) if blocks > 1 else distinct
+        found = [(r.digest, r.text) for r in block.collect()]
+        part = _search(rows, spark.sparkContext.broadcast(found), schema, q, window, rate)
+        out = part if out is None else out.unionByName(part)
+    owners = items.select("digest", F.col("item").alias(item_col))
+    return out.join(owners, "digest").select(F.col(f"`{id_col}`"), F.col(f"`{item_col}`"), "edits")
 
 
 def _search(rows: DataFrame, block, schema: T.StructType, q: int, window: int, rate: float) -> DataFrame:
@@ -280,12 +368,10 @@ def _search(rows: DataFrame, block, schema: T.StructType, q: int, window: int, r
                 ends = np.r_[starts[1:] - 1, len(codes) - 1]
                 texts, items, edits = [], [], []
                 for bench in some:
-                    for (t, i), bands in bench.candidates(codes, starts).items():
-                        d = bench.verify(codes, int(starts[t]), int(ends[t]), i, bands)
-                        if d is not None:
-                            texts.append(t)
-                            items.append(bench.items[i])
-                            edits.append(d)
+                    for (t, i), d in bench.found(codes, starts, ends).items():
+                        texts.append(t)
+                        items.append(bench.items[i])
+                        edits.append(d)
                 if texts:
                     yield pa.RecordBatch.from_arrays(
                         [b.column(0).take(pa.array(texts)), pa.array(items, arrow.field(1).type), pa.array(edits, pa.int32())], schema=arrow

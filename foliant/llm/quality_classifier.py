@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import picked, rowwise, sliced
+from .common import picked, removed, rowwise, sliced, written
 
 FEATURES = 1 << 16
 SIZES = (2, 3, 4)
@@ -33,6 +33,8 @@ SIZES = (2, 3, 4)
 REPEATS = (2, 4, 8)
 #: Labelled rows in a fit.
 SAMPLE_ROWS = 6_000
+#: Bytes of slots that are fitted, two for each.
+SAMPLE_BYTES = 64 << 20
 COST = 1.0
 ROUNDS = 12
 SMOOTH = 1.0
@@ -162,8 +164,13 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """A model from labelled rows that aren't held out."""
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> Model:
+    """A model from labelled rows that aren't held out.
+
+    At most ``sample_rows`` ids are fitted, those with the least hashes; of ids with several texts, the one whose slots
+    are least. Of these, in the order of hashes, as many are taken as have ``sample_bytes`` of slots together. Both
+    bounds are of what is fitted only; every row is scored.
+    """
     of = picked(labels, id=id_col, label=label_col).filter("id IS NOT NULL AND label IS NOT NULL").filter(~held_out(F.col("id")))
     chosen = of.groupBy("id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(sample_rows)
     # at most sample_rows ids and labels: a bounded side
@@ -174,8 +181,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         schema,
         lambda: lambda b: {"id": b.column(0), "label": b.column(1).cast("int32"), "slots": [slots(t).astype("<u2").tobytes() for t in b.column(2).to_pylist()]},
     )
-    got = sorted({(r.id, r.label, bytes(r.slots)) for r in features.limit(2 * sample_rows).collect()}, key=lambda r: (r[0], r[2]))
-    return fit([np.frombuffer(r[2], "<u2").astype(np.int32) for r in got], np.array([r[1] for r in got], int))
+    features, path = written(features.groupBy("id", "label").agg(F.min("slots").alias("slots")).withColumn("hash", F.xxhash64("id")), "features")
+    sizes = sorted(features.select("hash", F.length("slots").alias("bytes")).collect())  # at most sample_rows
+    fits = np.cumsum([r.bytes for r in sizes]) <= sample_bytes
+    last = sizes[fits.sum() - 1].hash if fits.any() else None
+    got = sorted(features.filter(F.col("hash") <= F.lit(last).cast("long")).collect(), key=lambda r: (r.hash, r.id))
+    removed(docs.sparkSession, path)
+    return fit([np.frombuffer(r.slots, "<u2").astype(np.int32) for r in got], np.array([r.label for r in got], int))
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -139,5 +139,35 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND n_words <= 1000000 AND word_chars BETWEEN 2 * n_words AND 25 * n_words
          AND 4 * n_symbols <= n_words AND 10 * n_dup_lines <= 3 * greatest(1, n_lines) AND 2 * n_upper <= n_words AS kept
 FROM b
+""",
+    # sources are held at their bounds in the order in which a rising level reaches these
+    "op12_curriculum": r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), ':', coalesce(text, ''))) AS digest
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS plan
+  FROM d GROUP BY source),
+w AS (SELECT *, CAST(CASE plan WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS DOUBLE) AS weight, 2 * CAST(source_size AS DOUBLE) AS bound FROM s),
+l AS (
+  SELECT *, CAST(1.5 AS DOUBLE) * sum(source_size) OVER ()
+            - coalesce(sum(bound) OVER (ORDER BY bound / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS words,
+         sum(weight) OVER (ORDER BY bound / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free
+  FROM w),
+v AS (SELECT words, free FROM l WHERE bound * free >= weight * words ORDER BY bound / weight, source LIMIT 1),
+t AS (SELECT source, source_size, plan, least(bound, weight * v.words / v.free) AS target FROM w CROSS JOIN v),
+r AS (
+  SELECT doc_id, size, source_size, plan, target, CAST(round(target) AS BIGINT) AS goal,
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY digest, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begin
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+k AS (SELECT *, CAST(greatest(0, least(size, goal - begin)) AS BIGINT) AS one, CAST(greatest(0, least(size, goal - begin - source_size)) AS BIGINT) AS two FROM r),
+p AS (SELECT *, CASE WHEN one > 0 THEN least((begin + one / 2) / target, 1.0) END AS part FROM k)
+SELECT doc_id, size, source_size, target, one + two AS taken,
+       CASE WHEN plan = 0 THEN least(2 * (part * 3.0::DOUBLE) / (4.0::DOUBLE + sqrt(greatest(16.0::DOUBLE - 4.0::DOUBLE * (part * 3.0::DOUBLE), 0))), 1)
+            WHEN plan = 1 THEN part
+            WHEN part * 2 <= 0.625 THEN least(2 * (part * 2) / (1 + sqrt(1 + 2 * (part * 2))), 0.5)
+            ELSE least(0.5::DOUBLE + 2 * (part * 2 - 0.625::DOUBLE) / (1.5::DOUBLE + sqrt(2.25::DOUBLE + 10 * (part * 2 - 0.625::DOUBLE))), 1) END AS position
+FROM p
 """,
 }
