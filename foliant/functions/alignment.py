@@ -7,7 +7,7 @@ import unicodedata
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,42 +125,52 @@ def best_span(gold: pd.Series, text: pd.Series) -> pd.DataFrame:
 GARBLES = T.StructType([T.StructField(c, T.IntegerType()) for c in ("slivers", "splits", "initials", "doubles", "total")])
 
 
-def count_garbles(gold: list[str], read: list[str]) -> dict[str, int]:
-    """What a reading has twice or in pieces, by keys of words, each word in one defect at most.
+def with_garbles(df: DataFrame, gold: Column, read: Column, name: str = "garbles") -> DataFrame:
+    """``df`` with what a reading has twice or in pieces beside gold's tokens, as a struct of :data:`GARBLES`; case and
+    punctuation around tokens don't count, a null array counts as empty.
 
-    ``splits``: two words that are one of gold's, not both gold's themselves (``initials`` of them begin with a lone
-    character that isn't gold's); ``slivers``: a word that isn't gold's, of two characters or more, beside one of gold's
-    that begins or ends with it; ``doubles``: a word twice in a row that gold never has so.
+    Each pair of neighbours in the reading has at most one signature, from what its words are to gold:
+
+    * ``doubles``: a word twice in a row that gold never has so;
+    * ``splits``: put together they are one of gold's words, and not both are gold's themselves; ``initials`` are those
+      that begin with a lone character which isn't gold's;
+    * ``slivers``: one is gold's, and the other, of two characters or more and not gold's, begins or ends it.
+
+    A word counts in one split or sliver only: signatures are taken from left to right.
     """
-    known, twice = {k for k in gold if k}, {a for a, b in zip(gold, gold[1:]) if a == b}
-    out, free = dict.fromkeys(GARBLES.names, 0), [True] * len(read)
-    part = lambda a, b: len(a) >= 2 and a not in known and b in known and (b.startswith(a) or b.endswith(a))
-    for k, (a, b) in enumerate(zip(read, read[1:])):
-        if a and a == b and a not in twice:
-            out["doubles"] += 1
-        if not (a and b and free[k] and free[k + 1]):
-            continue
-        if a + b in known and not (a in known and b in known):
-            out["splits"] += 1
-            out["initials"] += len(a) == 1 and a not in known
-            free[k] = free[k + 1] = False
-        elif part(b, a):
-            out["slivers"] += 1
-            free[k + 1] = False
-        elif part(a, b):
-            out["slivers"] += 1
-            free[k] = False
-    out["total"] = out["slivers"] + out["splits"] + out["doubles"]
-    return out
-
-
-@F.pandas_udf(GARBLES)
-def garbles(gold: pd.Series, read: pd.Series) -> pd.DataFrame:
-    """:func:`count_garbles` of arrays of keys; a null array counts as empty."""
-    listed = lambda x: [] if x is None else list(x)
-    return pd.DataFrame([count_garbles(listed(g), listed(r)) for g, r in zip(gold, read)], columns=GARBLES.names).astype("int32")
-
-
-def garbles_of(gold: Column, read: Column) -> Column:
-    """Garbles of a reading's tokens beside gold's; case and punctuation around tokens don't count."""
-    return garbles(F.transform(gold, vote_key), F.transform(read, vote_key))
+    keys = lambda c: F.coalesce(F.transform(c, vote_key), F.array().cast("array<string>"))
+    pairs = lambda c: F.zip_with(F.slice(c, 1, F.greatest(F.size(c) - 1, F.lit(0))), F.slice(c, 2, F.size(c)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    own = df.withColumns({"gold_": keys(gold), "read_": keys(read)})
+    repeated = F.transform(F.filter(pairs(F.col("gold_")), lambda p: p["a"] == p["b"]), lambda p: p["a"])
+    own = own.withColumns({"known_": F.array_remove(F.array_distinct("gold_"), ""), "repeated_": repeated, "pairs_": pairs(F.col("read_"))})
+    known = lambda w: F.array_contains("known_", w)
+
+    def signed(p: Column) -> Column:
+        a, b = p["a"], p["b"]
+        in_a, in_b = known(a), known(b)
+        piece = lambda x, x_known, y, y_known: (F.length(x) >= 2) & ~x_known & y_known & (y.startswith(x) | y.endswith(x))
+        sign = F.when((a == "") | (b == ""), None).when(~(in_a & in_b) & known(F.concat(a, b)), "split").when(piece(b, in_b, a, in_a), "right").when(piece(a, in_a, b, in_b), "left")
+        return F.struct(sign.alias("sign"), ((F.length(a) == 1) & ~in_a).alias("initial"), ((a != "") & (a == b) & ~F.array_contains("repeated_", a)).alias("double"))
+
+    own = own.withColumn("signs_", F.transform("pairs_", signed))
+    # which signatures are taken: none whose left word is used by the pair before
+    start = F.struct(F.lit(False).alias("used"), F.array().cast("array<boolean>").alias("taken"))
+
+    def step(acc: Column, s: Column) -> Column:
+        taken = ~acc["used"] & s["sign"].isNotNull()
+        return F.struct(F.coalesce(taken & s["sign"].isin("split", "right"), F.lit(False)).alias("used"), F.concat(acc["taken"], F.array(taken)).alias("taken"))
+
+    own = own.withColumn("taken_", F.aggregate("signs_", start, step)["taken"])
+    own = own.withColumn("signs_", F.zip_with("signs_", "taken_", lambda s, t: F.struct(F.when(t, s["sign"]).alias("sign"), s["initial"], s["double"])))
+    count = lambda test: F.size(F.filter("signs_", test))
+    own = own.withColumns(
+        {
+            "slivers_": count(lambda s: s["sign"].isin("left", "right")),
+            "splits_": count(lambda s: s["sign"] == "split"),
+            "initials_": count(lambda s: (s["sign"] == "split") & s["initial"]),
+            "doubles_": count(lambda s: s["double"]),
+        }
+    )
+    total = F.col("slivers_") + F.col("splits_") + F.col("doubles_")
+    counts = F.struct(*(F.col(f"{c}_").alias(c) for c in GARBLES.names[:-1]), total.alias("total"))
+    return own.select(*df.columns, counts.alias(name))

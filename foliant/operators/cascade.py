@@ -4,23 +4,19 @@ A table of pages has ``volume``, ``page`` (consecutive whole numbers within a vo
 with any) and ``hyphens`` (of each line the word before a hyphen at its end, or null). Each stage is a table of pages
 again, written before the next one reads it, with an audit of what it changed.
 
-What words are is looked up by joins: for a page the words that aren't known, and of the words that its parts may make
-the known ones, come to it as small arrays; the rules that depend on the order of words then run over a page at a time.
-Splits, corrections and mended characters are decided once for each distinct word.
+What words are is looked up by joins. The words of a page that aren't known come to it as a small array; what its parts
+may make are rows, of which those that make a known word are left and chosen from by rank. Splits, corrections and mended
+characters are decided once for each distinct word.
 
 Defined cases: a null text has no lines; a page without lines passes through; repeated pages are each corrected.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions import text as X
 from ..sources.paths import stored
@@ -32,8 +28,6 @@ LOOKAHEAD, PIECES, REACH = 6, 4, 6
 # Zipf values of words that may be joined, of pieces of a split, and of pieces of a long word.
 STRONG, SPLIT, LONG = 2.8, 3.2, 3.0
 
-Lines = list[list[str | None]]
-
 
 @dataclass
 class Lexicon:
@@ -69,8 +63,6 @@ def pages_of(texts: DataFrame, volume: str, page: str, text: str = "text") -> Da
 
 
 AT = ("volume", "page")
-_LINES = T.ArrayType(T.ArrayType(T.StringType()))
-_ODD = "array<struct<tok:string,head:boolean,tail:boolean>>"
 
 
 def unknown_places(pages: DataFrame, words: Lexicon) -> DataFrame:
@@ -81,163 +73,100 @@ def unknown_places(pages: DataFrame, words: Lexicon) -> DataFrame:
 
 def measured(pages: DataFrame, words: Lexicon, stage: str) -> DataFrame:
     """(stage, flagged, tokens): words of two letters or more that aren't known, and all."""
-    each = pages.select(F.explode(F.flatten("lines")).alias("tok")).filter(F.length("tok") >= 2)
-    flags = W.join_words(each, words.known.select("tok", F.lit(1).alias("k_")), words.vocab, "left")
-    return flags.agg((F.count("*") - F.count("k_")).alias("flagged"), F.count("*").alias("tokens")).select(F.lit(stage).alias("stage"), "flagged", "tokens")
+    each = pages.select(F.explode(F.flatten("lines")).alias("tok")).filter(F.length("tok") >= 2).groupBy("tok").agg(F.count("*").alias("n"))
+    flags = each.join(words.known.select("tok", F.lit(1).alias("k_")), "tok", "left")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return flags.agg(total(F.when(F.col("k_").isNull(), F.col("n"))).alias("flagged"), total("n").alias("tokens")).select(F.lit(stage).alias("stage"), "flagged", "tokens")
 
 
 # --- reunify: words in pieces -------------------------------------------------------------------------
+#
+# What could be put together is a row: its page, the places of its words, the word they make, and its rank. Of rows with
+# a place in common the one with the least rank is taken, and then of those that are left.
+
+#: A word's place on its page: its line times this, and its number in the line.
+LINE = 1 << 20
+# Names of the rules in audits.
+SPACE, BREAK, XPAGE, WINDOW = "reunify_space", "reunify_break", "reunify_xpage", "reunify_window"
+
+
+def _placed(lines: Column) -> Column:
+    """The words of a page in reading order: ``at``, ``tok``."""
+    of_line = lambda toks, k: F.transform(toks, lambda w, j: F.struct((k.cast("long") * LINE + j).alias("at"), w.alias("tok")))
+    return F.flatten(F.transform(lines, of_line))
+
+
+def _is_odd(word: Column) -> Column:
+    return F.array_contains("odd.tok", word)
+
+
+def _taken(proposed: DataFrame, kind: str) -> DataFrame:
+    """(volume, page, kind, before, after, places) of what is put together on each page.
+
+    ``proposed``: (volume, page, rank, places, before, after).
+    """
+    one = F.struct("rank", "places", "before", "after")
+    start = F.struct(F.array().cast("array<bigint>").alias("used"), F.array().cast("array<struct<places:array<bigint>,before:string,after:string>>").alias("kept"))
+    fold = F.aggregate(
+        F.array_sort(F.collect_list(one)),
+        start,
+        lambda acc, c: F.when(F.arrays_overlap(acc["used"], c["places"]), acc).otherwise(
+            F.struct(F.concat(acc["used"], c["places"]).alias("used"), F.concat(acc["kept"], F.array(F.struct(c["places"], c["before"], c["after"]))).alias("kept"))
+        ),
+    )
+    rows = proposed.groupBy(*AT).agg(fold["kept"].alias("k_")).select(*AT, F.explode("k_").alias("k_"))
+    return stored(rows.select(*AT, F.lit(kind).alias("kind"), "k_.before", "k_.after", "k_.places"), "put-together")
+
+
+def _put_together(pages: DataFrame, taken: DataFrame) -> DataFrame:
+    """Pages in which the first place of each row of ``taken`` has the whole word and its other places are gone."""
+    word = lambda t: F.transform(t["places"], lambda p, k: F.struct(p.alias("at"), F.when(k == 0, t["after"]).otherwise("").alias("tok")))
+    edits = taken.groupBy(*AT).agg(F.map_from_entries(F.flatten(F.transform(F.collect_list(F.struct("places", "after")), word))).alias("m_"))
+    new = lambda k: lambda w, j: F.coalesce(F.try_element_at("m_", k.cast("long") * LINE + j), w)
+    lines = F.transform("lines", lambda toks, k: F.filter(F.transform(toks, new(k)), lambda w: w != ""))
+    return pages.join(edits, list(AT), "left").withColumn("lines", F.when(F.col("m_").isNull(), F.col("lines")).otherwise(lines)).drop("m_")
 
 
-def space_runs(lines: Lines, hyphens: list, odd: dict) -> Iterator[str]:
-    """What runs of words in a line make, if one of them at least isn't known."""
-    for toks in lines:
-        for i in range(len(toks)):
-            for size in range(2, min(PIECES, len(toks) - i) + 1):
-                if _run_fits(toks[i : i + size], odd):
-                    yield "".join(toks[i : i + size])
-
-
-def _run_fits(run: list[str], odd: dict) -> bool:
-    strange = [w for w in run if w in odd]
-    return bool(strange) and all(len(w) >= 2 for w in run) and all(len(w) >= 3 for w in strange) and sum(map(len, run)) >= 5
-
-
-def join_spaces(lines: Lines, hyphens: list, odd: dict, good: dict) -> tuple[Lines, list]:
-    """Runs that are one strong word put together, from left to right, the longest first."""
-    out, audit = [], []
-    for toks in lines:
-        new, i = [], 0
-        while i < len(toks):
-            for size in range(min(PIECES, len(toks) - i), 1, -1):
-                run = toks[i : i + size]
-                if good.get(whole := "".join(run)) and _run_fits(run, odd):
-                    audit.append(("reunify_space", " ".join(run), whole))
-                    new.append(whole)
-                    i += size
-                    break
-            else:
-                new.append(toks[i])
-                i += 1
-        out.append(new)
-    return out, audit
-
-
-def _line_head(toks: list[str], hyphen: str | None, odd: dict) -> str | None:
-    if not toks:
-        return None
-    return hyphen or (toks[-1] if toks[-1] in odd and len(toks[-1]) >= 3 else None)
-
-
-def line_breaks(lines: Lines, hyphens: list, odd: dict) -> Iterator[str]:
-    """What a line's last word makes with words that may come to stand first in a later line."""
-    for i, toks in enumerate(lines):
-        if (head := _line_head(toks, hyphens[i], odd)) is not None:
-            for later in lines[i + 1 : i + 1 + LOOKAHEAD]:
-                yield from (head + w for w in later[:LOOKAHEAD])
-
-
-def join_breaks(lines: Lines, hyphens: list, odd: dict, good: dict) -> tuple[Lines, list]:
-    """A line's last word and the first of one of the next lines that are a known word, where not both are known."""
-    lines, audit = [list(x) for x in lines], []
-    for i in range(len(lines) - 1):
-        if (head := _line_head(lines[i], hyphens[i], odd)) is None:
-            continue
-        for later in lines[i + 1 : i + 1 + LOOKAHEAD]:
-            if later and (head + later[0]) in good and (head in odd or later[0] in odd):
-                tail = later.pop(0)
-                lines[i][-1] = head + tail
-                audit.append(("reunify_break", f"{head}|{tail}", head + tail))
-                break
-    return lines, audit
-
-
-def window_pairs(lines: Lines, hyphens: list, odd: dict) -> Iterator[str]:
-    """What a piece makes with the words up to ``REACH`` before or after it."""
-    flat = [w for toks in lines for w in toks]
-    for i, w in enumerate(flat):
-        if len(w) >= 3 and w in odd:
-            head, tail = odd[w]
-            if tail:
-                yield from (x + w for x in flat[max(0, i - REACH) : i] if len(x) >= 2)
-            if head:
-                yield from (w + x for x in flat[i + 1 : i + 1 + REACH] if len(x) >= 2)
-
-
-def join_windows(lines: Lines, hyphens: list, odd: dict, good: dict) -> tuple[Lines, list]:
-    """Ends of words look back for their beginnings, and beginnings forward for their ends, within ``REACH`` places of
-    reading order; a known word that doesn't make a strong one with the piece ends the search. A word that was put
-    together isn't a partner again."""
-    at = [(k, j) for k, toks in enumerate(lines) for j in range(len(toks))]
-    flat: list[str | None] = [lines[k][j] for k, j in at]
-    audit = []
-
-    def partner(i: int, step: int, whole: Callable[[str], str]) -> int | None:
-        for d in range(1, REACH + 1):
-            j = i + d * step
-            if not 0 <= j < len(flat):
-                return None
-            w = flat[j]
-            if w is None:
-                continue
-            if len(w) >= 2 and good.get(whole(w)):
-                return j
-            if w not in odd:
-                return None
-        return None
-
-    for i, w in enumerate(flat):
-        if w is None or len(w) < 3 or w not in odd:
-            continue
-        head, tail = odd[w]
-        if tail and (j := partner(i, -1, lambda x: x + w)) is not None:
-            audit.append(("reunify_window", f"{flat[j]}+{w}", flat[j] + w))
-            flat[j], flat[i] = flat[j] + w, None
-        elif head and (j := partner(i, 1, lambda x: w + x)) is not None:
-            audit.append(("reunify_window", f"{w}+{flat[j]}", w + flat[j]))
-            flat[i], flat[j] = w + flat[j], None
-    out: Lines = [[] for _ in lines]
-    for (k, _), w in zip(at, flat):
-        if w is not None:
-            out[k].append(w)
-    return out, audit
-
-
-_AUDIT = T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in ("kind", "before", "after")]))
-
-
-def _odd(row: dict) -> dict:
-    return {x["tok"]: (x["head"], x["tail"]) for x in row["odd"] or ()}
-
-
-def _rejoined(pages: DataFrame, words: Lexicon, propose: Callable, join: Callable) -> tuple[DataFrame, DataFrame]:
-    """Pages after one rule, and its audit: what words may make is proposed, looked up, and then put together."""
-    kind = T.StructType([pages.schema["volume"], T.StructField("page", T.LongType()), T.StructField("joined", T.StringType())])
-    arrow = to_arrow_schema(kind)
-
-    def proposals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = [{"volume": r["volume"], "page": r["page"], "joined": j} for r in b.to_pylist() if r["odd"] or any(r["hyphens"]) for j in sorted(set(propose(r["lines"], r["hyphens"], _odd(r))))]
-            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
-
-    found = W.join_words(pages.mapInArrow(proposals, kind), words.known.select(F.col("tok").alias("joined")), words.vocab, "left_semi", "joined")
-    found = W.join_words(found, words.strong.select(F.col("tok").alias("joined"), F.lit(True).alias("strong")), words.vocab, "left", "joined")
-    good = found.groupBy(*AT).agg(F.collect_set(F.struct("joined", F.coalesce("strong", F.lit(False)).alias("strong"))).alias("good"))
-    done = T.StructType([*pages.schema.fields, T.StructField("audit", _AUDIT)])
-    out_arrow = to_arrow_schema(done)
-
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for r in b.to_pylist():
-                lines, audit = r["lines"], []
-                if r["good"]:
-                    lines, audit = join(r["lines"], r["hyphens"], _odd(r), {g["joined"]: g["strong"] for g in r["good"]})
-                rows.append({**r, "lines": lines, "audit": [dict(zip(("kind", "before", "after"), a)) for a in audit]})
-            yield pa.RecordBatch.from_pylist([{k: r[k] for k in out_arrow.names} for r in rows], schema=out_arrow)
-
-    result = stored(pages.join(good, list(AT), "left").select(*pages.columns, "good").mapInArrow(joined, done), "reunified")
-    return result.drop("audit"), result.select(*AT, F.explode("audit").alias("a")).select(*AT, "a.*")
+def _making(proposed: DataFrame, words: DataFrame, lexicon: Lexicon) -> DataFrame:
+    return W.join_words(proposed, words.select(F.col("tok").alias("after")), lexicon.vocab, "left_semi", "after")
+
+
+def within_lines(pages: DataFrame, words: Lexicon) -> DataFrame:
+    """Runs of up to ``PIECES`` words of a line that make a strong word: from left to right, the longest first.
+
+    Some word of a run isn't known; all have two letters, those that aren't known three, and five together.
+    """
+    run = lambda toks, k: F.transform(toks, lambda w, j: F.struct((k.cast("long") * LINE + j).alias("at"), F.slice(toks, j + 1, PIECES).alias("run")))
+    runs = F.filter(F.flatten(F.transform("lines", run)), lambda r: F.arrays_overlap(r["run"], F.col("odd.tok")) & (F.size(r["run"]) > 1))
+    rows = pages.filter("odd IS NOT NULL").select(*AT, "odd", F.explode(runs).alias("r")).select(*AT, "odd", "r.at", F.explode(F.transform(F.sequence(F.lit(2), F.size("r.run")), lambda n: F.slice("r.run", 1, n))).alias("run"))
+    fits = F.forall("run", lambda w: (F.length(w) >= 2) & ((F.length(w) >= 3) | ~_is_odd(w))) & F.arrays_overlap("run", F.col("odd.tok"))
+    rows = rows.filter(fits).withColumn("after", F.array_join("run", "")).filter(F.length("after") >= 5)
+    n = F.size("run")
+    rows = rows.select(*AT, F.struct(F.col("at"), (-n).alias("n")).alias("rank"), F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.col("at") + k).alias("places"), F.array_join("run", " ").alias("before"), "after")
+    return _taken(_making(rows, words.strong, words), SPACE)
+
+
+def over_lines(pages: DataFrame, words: Lexicon) -> DataFrame:
+    """A line's last word, if a hyphen stands behind it or it isn't known, and the first word of one of the next lines, the
+    nearest that makes a known word with it; they aren't both known."""
+    last = lambda toks: F.element_at(toks, -1)
+    heads = F.transform(
+        "lines",
+        lambda toks, k: F.struct(
+            (k.cast("long") * LINE + F.size(toks) - 1).alias("at"),
+            last(toks).alias("head"),
+            (F.coalesce(F.get("hyphens", k) == last(toks), F.lit(False)) | (_is_odd(last(toks)) & (F.length(last(toks)) >= 3))).alias("open"),
+            F.filter(
+                F.transform(F.slice("lines", k + 2, LOOKAHEAD), lambda later, d: F.struct(((k + 1 + d).cast("long") * LINE).alias("at"), F.get(later, F.lit(0)).alias("tail"))),
+                lambda t: t["tail"].isNotNull(),
+            ).alias("tails"),
+        ),
+    )
+    open_ = F.filter(F.filter(heads, lambda h: h["head"].isNotNull()), lambda h: h["open"])
+    rows = pages.filter("odd IS NOT NULL OR exists(hyphens, h -> h IS NOT NULL)").select(*AT, "odd", F.explode(open_).alias("h"))
+    rows = rows.select(*AT, "odd", "h.at", "h.head", F.explode("h.tails").alias("t")).filter(F.coalesce(_is_odd(F.col("head")) | _is_odd(F.col("t.tail")), F.lit(False)))
+    rows = rows.select(*AT, F.struct(F.col("at"), F.col("t.at").alias("to")).alias("rank"), F.array("at", "t.at").alias("places"), F.concat_ws("|", "head", "t.tail").alias("before"), F.concat("head", "t.tail").alias("after"))
+    return _taken(_making(rows, words.known, words), BREAK)
 
 
 def _over_pages(pages: DataFrame, words: Lexicon) -> tuple[DataFrame, DataFrame]:
@@ -264,21 +193,80 @@ def _over_pages(pages: DataFrame, words: Lexicon) -> tuple[DataFrame, DataFrame]
     return out, found.select(*AT, F.lit("reunify_xpage").alias("kind"), F.concat_ws("|", "head", "tail").alias("before"), F.col("joined").alias("after"))
 
 
+def within_reach(pages: DataFrame, words: Lexicon) -> DataFrame:
+    """Pieces that end a known word and a word up to ``REACH`` places before them, or that begin one and a word as far
+    behind them, in the reading order of the volume, also over a page's end. A known word ends the search, if it isn't
+    itself the partner. The nearest place in reading order is first, and a piece looks back before it looks ahead.
+
+    ``places`` are of the page on which the partners' first one stands; ``other`` is the page of the second one.
+    """
+    flat = F.transform(_placed(F.col("lines")), lambda w: F.struct(F.col("page").alias("page"), w["at"].alias("at"), w["tok"].alias("tok"), F.coalesce(_is_odd(w["tok"]), F.lit(False)).alias("odd")))
+    each = pages.select(*AT, "odd", flat.alias("flat"))
+    # the words at a page's ends go to the pages beside it
+    n = F.size("flat")
+    ends = each.select("volume", F.explode(F.array(F.struct((F.col("page") + 1).alias("page"), F.lit(0).alias("side"), F.slice("flat", F.greatest(n - REACH + 1, F.lit(1)), REACH).alias("x")), F.struct((F.col("page") - 1).alias("page"), F.lit(1).alias("side"), F.slice("flat", 1, REACH).alias("x")))).alias("e")).select("volume", "e.*")
+    ends = ends.groupBy(*AT).agg(F.max(F.when(F.col("side") == 0, F.col("x"))).alias("before_"), F.max(F.when(F.col("side") == 1, F.col("x"))).alias("behind_"))
+    near = each.filter("odd IS NOT NULL").join(ends, list(AT), "left")
+    none = F.slice("flat", 1, 0)
+    near = near.select(*AT, "odd", F.coalesce(F.size("before_"), F.lit(0)).alias("from_"), F.size("flat").alias("n_"), F.concat(F.coalesce("before_", none), "flat", F.coalesce("behind_", none)).alias("all_"))
+    pieces = F.filter(F.transform("all_", lambda w, k: F.struct(k.alias("k"), w.alias("w"))), lambda p: (p["k"] >= F.col("from_")) & (p["k"] < F.col("from_") + F.col("n_")) & p["w"]["odd"] & (F.length(p["w"]["tok"]) >= 3))
+    rows = near.withColumn("p", F.explode(pieces)).withColumn("part", F.filter("odd", lambda o: o["tok"] == F.col("p.w.tok"))[0]).filter("part.head OR part.tail")
+    k = F.col("p.k")
+    sides = F.array(
+        F.struct(F.lit(0).alias("side"), F.reverse(F.slice("all_", F.greatest(k - REACH + 1, F.lit(1)), F.least(k, F.lit(REACH)))).alias("x")),
+        F.struct(F.lit(1).alias("side"), F.slice("all_", k + 2, REACH).alias("x")),
+    )
+    rows = rows.select(*AT, "p", "part", F.explode(sides).alias("s")).filter((F.col("part.tail") & (F.col("s.side") == 0)) | (F.col("part.head") & (F.col("s.side") == 1)))
+    rows = rows.select(*AT, "p", "s.side", F.posexplode("s.x").alias("d", "o"), F.col("s.x").alias("x"))
+    # no known word stands between
+    rows = rows.filter((F.length("o.tok") >= 2) & ~F.exists(F.slice("x", F.lit(1), F.col("d")), lambda w: ~w["odd"]))
+    back = F.col("side") == 0
+    first, second = (F.when(back, F.col(a)).otherwise(F.col(b)) for a, b in (("o", "p.w"), ("p.w", "o")))
+    rows = rows.select(*AT, F.struct(F.col("page").alias("page_"), F.col("p.w.at").alias("at_"), "side", "d").alias("rank"), first.alias("a"), second.alias("b"))
+    rows = rows.select("volume", "rank", "a", "b", F.concat_ws("+", "a.tok", "b.tok").alias("before"), F.concat("a.tok", "b.tok").alias("after"))
+    return _making(rows, words.strong, words)
+
+
+def _joined_in_reach(pages: DataFrame, words: Lexicon) -> tuple[DataFrame, DataFrame]:
+    """Pages after one round of :func:`within_reach`, and what was put together.
+
+    Partners of one page are taken by rank; those over a page's end where none of their words is taken so, each word by
+    the least rank.
+    """
+    rows = stored(within_reach(pages, words), "in-reach")
+    same = F.col("a.page") == F.col("b.page")
+    inside = _taken(rows.filter(same).select("volume", F.col("a.page").alias("page"), "rank", F.array("a.at", "b.at").alias("places"), "before", "after"), WINDOW)
+    across = rows.filter(~same).withColumn("id_", F.struct("a.page", "a.at", F.col("b.page").alias("page_b"), F.col("b.at").alias("at_b"), "rank"))
+    ends = across.select("volume", "id_", "rank", F.explode(F.array("a", "b")).alias("w")).select("volume", F.col("w.page").alias("page"), F.col("w.at").alias("at"), "rank", "id_")
+    used = inside.select(*AT, F.explode("places").alias("at"))
+    ends = ends.join(used.withColumn("used_", F.lit(True)), [*AT, "at"], "left").withColumn("best_", F.min("rank").over(Window.partitionBy(*AT, "at")))
+    won = ends.groupBy("volume", "id_").agg(F.every(F.col("used_").isNull() & (F.col("rank") == F.col("best_"))).alias("won_")).filter("won_").select("volume", "id_")
+    across = stored(across.join(won, ["volume", "id_"], "left_semi").select("volume", F.col("a.page").alias("page"), F.lit(WINDOW).alias("kind"), "before", "after", F.array("a.at").alias("places"), F.col("b.page").alias("page_b"), F.col("b.at").alias("at_b")), "over-pages")
+    gone = across.select("volume", F.col("page_b").alias("page"), F.lit(WINDOW).alias("kind"), F.lit("").alias("before"), F.lit("").alias("after"), F.array("at_b").alias("places"))
+    audit = inside.unionByName(across.drop("page_b", "at_b"))
+    return stored(_put_together(pages, audit.unionByName(gone)), "in-reach"), audit.drop("places")
+
+
 def reunify(pages: DataFrame, words: Lexicon) -> tuple[DataFrame, DataFrame]:
-    """Words in pieces put together: in a line, over line ends, over page ends, and within a window of a page."""
+    """Words in pieces put together: in a line, over line ends, over page ends, and within reach in a volume.
+
+    The last rule is repeated until it finds nothing more, so that a word which was put together can be a partner.
+    """
     places = stored(unknown_places(pages, words), "unknown-places")
     part = W.fragments(places.select("tok").distinct(), words.known, shortest=1)
     odd = places.join(part, "tok").groupBy(*AT).agg(F.collect_list(F.struct("tok", F.col("is_head").alias("head"), F.col("is_tail").alias("tail"))).alias("odd"))
     pages = stored(pages.join(odd, list(AT), "left"), "pages")
-    audits = []
-    for propose, join in ((space_runs, join_spaces), (line_breaks, join_breaks), (None, None), (window_pairs, join_windows)):
-        pages, audit = _rejoined(pages, words, propose, join) if propose else _over_pages(pages, words)
-        audits.append(audit)
-    out = pages.drop("odd")
-    a, *rest = audits
-    for x in rest:
-        a = a.unionByName(x)
-    return out, a
+    audit = within_lines(pages, words)
+    pages = _put_together(pages, audit)
+    breaks = over_lines(pages, words)
+    audit = audit.unionByName(breaks).drop("places")
+    pages, over = _over_pages(_put_together(pages, breaks), words)
+    audit = audit.unionByName(over)
+    while True:
+        pages, more = _joined_in_reach(pages, words)
+        if more.isEmpty():
+            return pages.drop("odd"), audit
+        audit = audit.unionByName(more)
 
 
 # --- decisions for distinct words ---------------------------------------------------------------------

@@ -110,6 +110,7 @@ def two_readings(pages: DataFrame, gold: str, one: str, both: str) -> DataFrame:
     toks = lambda c: X.tokens(F.col(c))
     rate = lambda c: F.round(A.best_span(X.normalised(F.col(gold)), X.normalised(F.col(c)))["distance"] / F.greatest(F.length(X.normalised(F.col(gold))), F.lit(1)), 4)
     wrong = pages.withColumns({"w1_": A.token_errors(toks(gold), toks(one)), "w2_": A.token_errors(toks(gold), toks(both))})
+    wrong = A.with_garbles(A.with_garbles(wrong, toks(gold), toks(one), "g1_"), toks(gold), toks(both), "g2_")
     size = lambda c: F.size(c).cast("long")
     return wrong.withColumns(
         {
@@ -120,10 +121,10 @@ def two_readings(pages: DataFrame, gold: str, one: str, both: str) -> DataFrame:
             "wrong_both": size("w2_"),
             "fixed": size(F.array_except("w1_", "w2_")),
             "regressed": size(F.array_except("w2_", "w1_")),
-            "garbles_one": A.garbles_of(toks(gold), toks(one))["total"],
-            "garbles_both": A.garbles_of(toks(gold), toks(both))["total"],
+            "garbles_one": F.col("g1_.total"),
+            "garbles_both": F.col("g2_.total"),
         }
-    ).drop("w1_", "w2_")
+    ).drop("w1_", "w2_", "g1_", "g2_")
 
 
 def summed_readings(rows: DataFrame, by: str) -> DataFrame:

@@ -193,7 +193,7 @@ def f09_garbles(spark, sf):
     marked = F.transform("a", lambda t, k: F.concat(t, F.lit("0"), k.cast("string")))
     whole = lambda t, k: F.concat(t, F.lit("0"), k.cast("string"))
     read = F.flatten(F.transform("a", lambda t, k: F.when(k % 4 == 1, F.array(F.concat(t, F.lit("0")), k.cast("string"))).when(k % 4 == 3, F.array(whole(t, k), whole(t, k))).otherwise(F.array(whole(t, k)))))
-    g = gold.select("item_id", A.garbles_of(marked, read).alias("g"))
+    g = A.with_garbles(gold, marked, read, "g")
     return g.select("item_id", "g.splits", "g.doubles")
 
 

@@ -74,16 +74,23 @@ def test_best_span(spark):
     assert all(r.s is None or r.s.distance is None for r in got[3:])
 
 
-def test_garbles():
-    gold = "the weights and measures of the state that that stands".split()
-    count = lambda read: A.count_garbles(gold, read.split())
+def test_garbles(spark):
+    gold = "the weights and measures of the state that that stands"
+    want = {
+        gold: {},
+        "the weights eights and measures": {"slivers": 1, "total": 1},
+        "meas measures of": {"slivers": 1, "total": 1},
+        "the w eights and": {"splits": 1, "initials": 1, "total": 1},
+        "meas ures and and of": {"splits": 1, "doubles": 1, "total": 2},
+        "The W. eights eights, wei weights": {"splits": 1, "initials": 1, "slivers": 1, "doubles": 1, "total": 3},
+        "meas ures ures measures": {"splits": 1, "slivers": 1, "doubles": 1, "total": 3},
+        "": {},
+    }
+    df = spark.createDataFrame([(gold, r) for r in want] + [(None, "a a"), (gold, None)], "gold string, read string")
+    got = A.with_garbles(df, F.split("gold", " "), F.split("read", " ")).collect()
     none = dict.fromkeys(A.GARBLES.names, 0)
-    assert count("the weights and measures of the state that that stands") == none
-    assert count("the weights eights and measures") == none | {"slivers": 1, "total": 1}
-    assert count("meas measures of") == none | {"slivers": 1, "total": 1}
-    assert count("the w eights and") == none | {"splits": 1, "initials": 1, "total": 1}
-    assert count("meas ures and and of") == none | {"splits": 1, "doubles": 1, "total": 2}
-    assert count("") == none and A.count_garbles([], ["a", "a"]) == none | {"doubles": 1, "total": 1}
+    assert {r.read: r.garbles.asDict() for r in got if r.gold} == {r: none | w for r, w in want.items()} | {None: none}
+    assert [r.garbles.asDict() for r in got if not r.gold] == [none | {"doubles": 1, "total": 1}]
 
 
 def test_places_in_a_spine():
