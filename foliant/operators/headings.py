@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import alignment as A
 from ..functions import text as X
+from ..sources.paths import stored
 from .tokens import fragments, residual_classes, two_piece_splits, within_two_edits
 
 # What may stand between an entry's number and its title, and a bill's number.
@@ -86,6 +87,14 @@ def page_cover(held: DataFrame, page: str, tok: str) -> DataFrame:
     return first.groupBy(F.col("f_.p_").alias(page)).agg((-F.min("f_.k_")).alias("n_tokens"), F.count("*").alias("n_new"))
 
 
+def _clear_pairs(pairs: DataFrame, page: str, margin: float) -> DataFrame:
+    """(page, id, other) of the pairs (page, id, other, d) that are each other's nearest, with no other one near ``id``."""
+    own, back = Window.partitionBy(page, "id").orderBy("d", "other"), Window.partitionBy(page, "other").orderBy("d", "id")
+    ranked = pairs.withColumns({"r_": F.row_number().over(own), "s_": F.row_number().over(back), "next_": F.lead("d").over(own)})
+    clear = F.col("next_").isNull() | (F.col("next_") - F.col("d") >= margin)
+    return ranked.filter((F.col("r_") == 1) & (F.col("s_") == 1) & clear).select(page, "id", "other")
+
+
 def paired_headings(kept: DataFrame, other: DataFrame, page: str, tolerance: float = 0.18, margin: float = 0.04) -> DataFrame:
     """(page, id, other): headings of two readings of a page that stand at the same place.
 
@@ -94,10 +103,31 @@ def paired_headings(kept: DataFrame, other: DataFrame, page: str, tolerance: flo
     """
     pairs = kept.select(page, "id", "pos").join(other.select(page, F.col("id").alias("other"), F.col("pos").alias("pos_")), page)
     pairs = pairs.withColumn("d", F.abs(F.col("pos") - F.col("pos_"))).filter(F.col("d") <= tolerance)
-    own, back = Window.partitionBy(page, "id").orderBy("d", "other"), Window.partitionBy(page, "other").orderBy("d", "id")
-    ranked = pairs.withColumns({"r_": F.row_number().over(own), "s_": F.row_number().over(back), "next_": F.lead("d").over(own)})
-    clear = F.col("next_").isNull() | (F.col("next_") - F.col("d") >= margin)
-    return ranked.filter((F.col("r_") == 1) & (F.col("s_") == 1) & clear).select(page, "id", "other")
+    return _clear_pairs(pairs, page, margin)
+
+
+def aligned_headings(kept: DataFrame, other: DataFrame, page: str, tolerance: float = 0.18, margin: float = 0.04) -> DataFrame:
+    """(page, place, id, other): all headings of a page in order, those of two readings that stand at the same place as one.
+
+    :func:`paired_headings` is repeated among the headings without a partner, until no more are found: a heading that has
+    one is no rival any more. What has no partner in the first reading goes back where it stands, before the heading of
+    the first one at its place.
+    """
+    near = kept.select(page, "id", "pos").join(other.select(page, F.col("id").alias("other"), F.col("pos").alias("pos_")), page)
+    left = stored(near.withColumn("d", F.abs(F.col("pos") - F.col("pos_"))).filter(F.col("d") <= tolerance).select(page, "id", "other", "d"), "near")
+    pairs = left.select(page, "id", "other").limit(0)
+    while True:
+        more = stored(_clear_pairs(left, page, margin), "pairs")
+        if more.isEmpty():
+            break
+        pairs = pairs.unionByName(more)
+        left = left.join(more.select(page, "id"), [page, "id"], "left_anti").join(more.select(page, "other"), [page, "other"], "left_anti")
+        left = stored(left, "near")
+    first = kept.select(page, "id", "pos").join(pairs, [page, "id"], "left").select(page, "pos", F.lit(1).alias("side_"), "id", "other")
+    rest = other.select(page, F.col("id").alias("other"), "pos").join(pairs.select(page, "other"), [page, "other"], "left_anti")
+    rest = rest.select(page, "pos", F.lit(0).alias("side_"), F.lit(None).cast(kept.schema["id"].dataType).alias("id"), "other")
+    by = Window.partitionBy(page).orderBy("pos", "side_", F.coalesce("id", "other"))
+    return first.unionByName(rest).select(page, F.row_number().over(by).alias("place"), "id", "other")
 
 
 def two_readings(pages: DataFrame, gold: str, one: str, both: str) -> DataFrame:
