@@ -13,8 +13,12 @@ Defined cases: a null text has no lines; a page without lines passes through; re
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,14 +94,46 @@ LINE = 1 << 20
 SPACE, BREAK, XPAGE, WINDOW = "reunify_space", "reunify_break", "reunify_xpage", "reunify_window"
 
 
+#: Marks of words that aren't known: that alone, and with it that a known word begins with it, or ends with it.
+ODD, HEAD, TAIL = 1, 2, 4
+_MARKED = "array<array<struct<tok:string,m:int>>>"
+
+
 def _placed(lines: Column) -> Column:
-    """The words of a page in reading order: ``at``, ``tok``."""
-    of_line = lambda toks, k: F.transform(toks, lambda w, j: F.struct((k.cast("long") * LINE + j).alias("at"), w.alias("tok")))
+    """The words of a page in reading order: ``at``, ``tok``, ``m``."""
+    of_line = lambda toks, k: F.transform(toks, lambda w, j: F.struct((k.cast("long") * LINE + j).alias("at"), w["tok"].alias("tok"), w["m"].alias("m")))
     return F.flatten(F.transform(lines, of_line))
 
 
-def _is_odd(word: Column) -> Column:
-    return F.array_contains("odd.tok", word)
+def _looked_up(lines: pa.Array, keys: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of a batch's pages, and of each its first place among ``keys``, or -1."""
+    flat = lines.flatten().flatten()
+    found = pc.index_in(flat, value_set=keys) if len(keys) else pa.nulls(len(flat), pa.int32())
+    return flat, pc.fill_null(found, -1).to_numpy(zero_copy_only=False)
+
+
+def _nested(lines: pa.Array, sizes: np.ndarray, flat: pa.Array) -> pa.Array:
+    """``flat`` in the pages and lines of ``lines``, whose words have become so many each."""
+    ends = np.r_[0, np.cumsum(sizes)]
+    inner = np.r_[0, np.cumsum(pc.list_value_length(lines.flatten()).to_numpy(zero_copy_only=False))]
+    outer = np.r_[0, np.cumsum(pc.list_value_length(lines).to_numpy(zero_copy_only=False))]
+    return pa.ListArray.from_arrays(pa.array(outer, pa.int32()), pa.ListArray.from_arrays(pa.array(ends[inner], pa.int32()), flat))
+
+
+def marked(pages: DataFrame) -> DataFrame:
+    """``pages`` with words as (tok, m), by the ``odd`` words that came to them: looked up for a batch of pages at once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            odd, lines = b.column("odd").flatten(), b.column("lines")
+            flat, at = _looked_up(lines, odd.field("tok"))
+            flag = lambda name: pc.fill_null(odd.field(name), False).to_numpy(zero_copy_only=False).astype(np.int32)
+            marks = np.r_[ODD + HEAD * flag("head") + TAIL * flag("tail"), 0].astype(np.int32)[at]
+            words = pa.StructArray.from_arrays([flat, pa.array(marks)], names=["tok", "m"])
+            yield pa.RecordBatch.from_arrays([b.column("volume"), b.column("page"), b.column("hyphens"), _nested(lines, np.ones(len(flat), np.int64), words)], names=["volume", "page", "hyphens", "lines"])
+
+    kind = pages.schema["volume"].dataType.simpleString()
+    return pages.select(*AT, "hyphens", "lines", "odd").mapInArrow(run, f"volume {kind}, page long, hyphens array<string>, lines {_MARKED}")
 
 
 def _taken(proposed: DataFrame, kind: str) -> DataFrame:
@@ -122,8 +158,9 @@ def _put_together(pages: DataFrame, taken: DataFrame) -> DataFrame:
     """Pages in which the first place of each row of ``taken`` has the whole word and its other places are gone."""
     word = lambda t: F.transform(t["places"], lambda p, k: F.struct(p.alias("at"), F.when(k == 0, t["after"]).otherwise("").alias("tok")))
     edits = taken.groupBy(*AT).agg(F.map_from_entries(F.flatten(F.transform(F.collect_list(F.struct("places", "after")), word))).alias("m_"))
-    new = lambda k: lambda w, j: F.coalesce(F.try_element_at("m_", k.cast("long") * LINE + j), w)
-    lines = F.transform("lines", lambda toks, k: F.filter(F.transform(toks, new(k)), lambda w: w != ""))
+    whole = lambda t: F.when(t.isNotNull(), F.struct(t.alias("tok"), F.lit(0).alias("m")))
+    new = lambda k: lambda w, j: F.coalesce(whole(F.try_element_at("m_", k.cast("long") * LINE + j)), w)
+    lines = F.transform("lines", lambda toks, k: F.filter(F.transform(toks, new(k)), lambda w: w["tok"] != ""))
     return pages.join(edits, list(AT), "left").withColumn("lines", F.when(F.col("m_").isNull(), F.col("lines")).otherwise(lines)).drop("m_")
 
 
@@ -137,12 +174,12 @@ def within_lines(pages: DataFrame, words: Lexicon) -> DataFrame:
     Some word of a run isn't known; all have two letters, those that aren't known three, and five together.
     """
     run = lambda toks, k: F.transform(toks, lambda w, j: F.struct((k.cast("long") * LINE + j).alias("at"), F.slice(toks, j + 1, PIECES).alias("run")))
-    runs = F.filter(F.flatten(F.transform("lines", run)), lambda r: F.arrays_overlap(r["run"], F.col("odd.tok")) & (F.size(r["run"]) > 1))
-    rows = pages.filter("odd IS NOT NULL").select(*AT, "odd", F.explode(runs).alias("r")).select(*AT, "odd", "r.at", F.explode(F.transform(F.sequence(F.lit(2), F.size("r.run")), lambda n: F.slice("r.run", 1, n))).alias("run"))
-    fits = F.forall("run", lambda w: (F.length(w) >= 2) & ((F.length(w) >= 3) | ~_is_odd(w))) & F.arrays_overlap("run", F.col("odd.tok"))
-    rows = rows.filter(fits).withColumn("after", F.array_join("run", "")).filter(F.length("after") >= 5)
+    runs = F.filter(F.flatten(F.transform("lines", run)), lambda r: F.exists(r["run"], lambda w: w["m"] > 0) & (F.size(r["run"]) > 1))
+    rows = pages.select(*AT, F.explode(runs).alias("r")).select(*AT, "r.at", F.explode(F.transform(F.sequence(F.lit(2), F.size("r.run")), lambda n: F.slice("r.run", 1, n))).alias("run"))
+    fits = F.forall("run", lambda w: (F.length(w["tok"]) >= 2) & ((F.length(w["tok"]) >= 3) | (w["m"] == 0))) & F.exists("run", lambda w: w["m"] > 0)
+    rows = rows.filter(fits).withColumn("after", F.array_join("run.tok", "")).filter(F.length("after") >= 5)
     n = F.size("run")
-    rows = rows.select(*AT, F.struct(F.col("at"), (-n).alias("n")).alias("rank"), F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.col("at") + k).alias("places"), F.array_join("run", " ").alias("before"), "after")
+    rows = rows.select(*AT, F.struct(F.col("at"), (-n).alias("n")).alias("rank"), F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.col("at") + k).alias("places"), F.array_join("run.tok", " ").alias("before"), "after")
     return _taken(_making(rows, words.strong, words), SPACE)
 
 
@@ -154,29 +191,31 @@ def over_lines(pages: DataFrame, words: Lexicon) -> DataFrame:
         "lines",
         lambda toks, k: F.struct(
             (k.cast("long") * LINE + F.size(toks) - 1).alias("at"),
-            last(toks).alias("head"),
-            (F.coalesce(F.get("hyphens", k) == last(toks), F.lit(False)) | (_is_odd(last(toks)) & (F.length(last(toks)) >= 3))).alias("open"),
+            last(toks)["tok"].alias("head"),
+            (last(toks)["m"] > 0).alias("odd"),
+            (F.coalesce(F.get("hyphens", k) == last(toks)["tok"], F.lit(False)) | ((last(toks)["m"] > 0) & (F.length(last(toks)["tok"]) >= 3))).alias("open"),
             F.filter(
                 F.transform(F.slice("lines", k + 2, LOOKAHEAD), lambda later, d: F.struct(((k + 1 + d).cast("long") * LINE).alias("at"), F.get(later, F.lit(0)).alias("tail"))),
                 lambda t: t["tail"].isNotNull(),
             ).alias("tails"),
         ),
     )
+    # a line that has lost its words has neither a last nor a first one
     open_ = F.filter(F.filter(heads, lambda h: h["head"].isNotNull()), lambda h: h["open"])
-    rows = pages.filter("odd IS NOT NULL OR exists(hyphens, h -> h IS NOT NULL)").select(*AT, "odd", F.explode(open_).alias("h"))
-    rows = rows.select(*AT, "odd", "h.at", "h.head", F.explode("h.tails").alias("t")).filter(F.coalesce(_is_odd(F.col("head")) | _is_odd(F.col("t.tail")), F.lit(False)))
-    rows = rows.select(*AT, F.struct(F.col("at"), F.col("t.at").alias("to")).alias("rank"), F.array("at", "t.at").alias("places"), F.concat_ws("|", "head", "t.tail").alias("before"), F.concat("head", "t.tail").alias("after"))
+    rows = pages.select(*AT, F.explode(open_).alias("h"))
+    rows = rows.select(*AT, "h.at", "h.head", "h.odd", F.explode("h.tails").alias("t")).filter(F.col("odd") | (F.col("t.tail.m") > 0))
+    rows = rows.select(*AT, F.struct(F.col("at"), F.col("t.at").alias("to")).alias("rank"), F.array("at", "t.at").alias("places"), F.concat_ws("|", "head", "t.tail.tok").alias("before"), F.concat("head", "t.tail.tok").alias("after"))
     return _taken(_making(rows, words.known, words), BREAK)
 
 
 def _over_pages(pages: DataFrame, words: Lexicon) -> tuple[DataFrame, DataFrame]:
     """A page's last word, if it isn't known, and the first word of the next page that begins with one, if both are a
     known word. Of pages that would take the same word the nearest before it does."""
-    last = F.element_at(F.get("lines", F.size("lines") - 1), -1)
     # only the last line's last word, and the first line's first, where these lines have one
-    ends = pages.filter((F.size("lines") > 0) & (F.size(F.get("lines", F.size("lines") - 1)) > 0)).select(*AT, last.alias("tok")).filter(F.length("tok") >= 3)
-    heads = W.join_words(ends, words.known.select("tok"), words.vocab, "left_anti")
-    first = F.get(F.get("lines", F.lit(0)), F.lit(0))
+    ends = pages.filter((F.size("lines") > 0) & (F.size(F.get("lines", F.size("lines") - 1)) > 0))
+    last = F.element_at(F.get("lines", F.size("lines") - 1), -1)
+    heads = ends.select(*AT, last["tok"].alias("tok"), last["m"].alias("m")).filter((F.length("tok") >= 3) & (F.col("m") > 0))
+    first = F.get(F.get("lines", F.lit(0)), F.lit(0))["tok"]
     starts = pages.select("volume", F.col("page").alias("at_"), first.alias("tail")).filter("tail IS NOT NULL")
     ahead = heads.select(*AT, F.col("tok").alias("head"), F.explode(F.sequence(F.col("page") + 1, F.col("page") + LOOKAHEAD)).alias("at_"))
     near = ahead.join(starts, ["volume", "at_"]).groupBy(*AT, "head").agg(F.min_by(F.struct("at_", "tail"), "at_").alias("t_")).select(*AT, "head", "t_.*")
@@ -188,7 +227,7 @@ def _over_pages(pages: DataFrame, words: Lexicon) -> tuple[DataFrame, DataFrame]
     n = F.size("lines")
     cut = F.transform("lines", lambda x, k: F.when(F.col("gone_") & (k == 0), F.slice(x, F.lit(2), F.size(x))).otherwise(x))
     out = out.withColumn("lines", cut)
-    put_in = F.transform("lines", lambda x, k: F.when(F.col("put_").isNotNull() & (k == n - 1), F.concat(F.slice(x, F.lit(1), F.size(x) - 1), F.array("put_"))).otherwise(x))
+    put_in = F.transform("lines", lambda x, k: F.when(F.col("put_").isNotNull() & (k == n - 1), F.concat(F.slice(x, F.lit(1), F.size(x) - 1), F.array(F.struct(F.col("put_").alias("tok"), F.lit(0).alias("m"))))).otherwise(x))
     out = stored(out.withColumn("lines", put_in).select(*pages.columns), "over-pages")
     return out, found.select(*AT, F.lit("reunify_xpage").alias("kind"), F.concat_ws("|", "head", "tail").alias("before"), F.col("joined").alias("after"))
 
@@ -200,26 +239,28 @@ def within_reach(pages: DataFrame, words: Lexicon) -> DataFrame:
 
     ``places`` are of the page on which the partners' first one stands; ``other`` is the page of the second one.
     """
-    flat = F.transform(_placed(F.col("lines")), lambda w: F.struct(F.col("page").alias("page"), w["at"].alias("at"), w["tok"].alias("tok"), F.coalesce(_is_odd(w["tok"]), F.lit(False)).alias("odd")))
-    each = pages.select(*AT, "odd", flat.alias("flat"))
+    flat = F.transform(_placed(F.col("lines")), lambda w: F.struct(F.col("page").alias("page"), w["at"].alias("at"), w["tok"].alias("tok"), w["m"].alias("m")))
+    each = pages.select(*AT, flat.alias("flat"))
     # the words at a page's ends go to the pages beside it
     n = F.size("flat")
     ends = each.select("volume", F.explode(F.array(F.struct((F.col("page") + 1).alias("page"), F.lit(0).alias("side"), F.slice("flat", F.greatest(n - REACH + 1, F.lit(1)), REACH).alias("x")), F.struct((F.col("page") - 1).alias("page"), F.lit(1).alias("side"), F.slice("flat", 1, REACH).alias("x")))).alias("e")).select("volume", "e.*")
     ends = ends.groupBy(*AT).agg(F.max(F.when(F.col("side") == 0, F.col("x"))).alias("before_"), F.max(F.when(F.col("side") == 1, F.col("x"))).alias("behind_"))
-    near = each.filter("odd IS NOT NULL").join(ends, list(AT), "left")
+    near = each.filter(F.exists("flat", lambda w: w["m"] > ODD)).join(ends, list(AT), "left")
     none = F.slice("flat", 1, 0)
-    near = near.select(*AT, "odd", F.coalesce(F.size("before_"), F.lit(0)).alias("from_"), F.size("flat").alias("n_"), F.concat(F.coalesce("before_", none), "flat", F.coalesce("behind_", none)).alias("all_"))
-    pieces = F.filter(F.transform("all_", lambda w, k: F.struct(k.alias("k"), w.alias("w"))), lambda p: (p["k"] >= F.col("from_")) & (p["k"] < F.col("from_") + F.col("n_")) & p["w"]["odd"] & (F.length(p["w"]["tok"]) >= 3))
-    rows = near.withColumn("p", F.explode(pieces)).withColumn("part", F.filter("odd", lambda o: o["tok"] == F.col("p.w.tok"))[0]).filter("part.head OR part.tail")
-    k = F.col("p.k")
-    sides = F.array(
+    near = near.select(*AT, F.coalesce(F.size("before_"), F.lit(0)).alias("from_"), F.size("flat").alias("n_"), F.concat(F.coalesce("before_", none), "flat", F.coalesce("behind_", none)).alias("all_"))
+    around = lambda k: F.array(
         F.struct(F.lit(0).alias("side"), F.reverse(F.slice("all_", F.greatest(k - REACH + 1, F.lit(1)), F.least(k, F.lit(REACH)))).alias("x")),
         F.struct(F.lit(1).alias("side"), F.slice("all_", k + 2, REACH).alias("x")),
     )
-    rows = rows.select(*AT, "p", "part", F.explode(sides).alias("s")).filter((F.col("part.tail") & (F.col("s.side") == 0)) | (F.col("part.head") & (F.col("s.side") == 1)))
+    own = lambda p: (p["k"] >= F.col("from_")) & (p["k"] < F.col("from_") + F.col("n_")) & (p["w"]["m"] > ODD) & (F.length(p["w"]["tok"]) >= 3)
+    pieces = F.filter(F.transform("all_", lambda w, k: F.struct(k.alias("k"), w.alias("w"))), own)
+    pieces = F.transform(pieces, lambda p: F.struct(p["w"].alias("w"), around(p["k"]).alias("sides")))
+    rows = near.select(*AT, F.explode(pieces).alias("p")).select(*AT, F.struct("p.w").alias("p"), F.explode("p.sides").alias("s"))
+    bit = lambda b: F.col("p.w.m").bitwiseAND(b) > 0
+    rows = rows.filter((bit(TAIL) & (F.col("s.side") == 0)) | (bit(HEAD) & (F.col("s.side") == 1)))
     rows = rows.select(*AT, "p", "s.side", F.posexplode("s.x").alias("d", "o"), F.col("s.x").alias("x"))
     # no known word stands between
-    rows = rows.filter((F.length("o.tok") >= 2) & ~F.exists(F.slice("x", F.lit(1), F.col("d")), lambda w: ~w["odd"]))
+    rows = rows.filter((F.length("o.tok") >= 2) & ~F.exists(F.slice("x", F.lit(1), F.col("d")), lambda w: w["m"] == 0))
     back = F.col("side") == 0
     first, second = (F.when(back, F.col(a)).otherwise(F.col(b)) for a, b in (("o", "p.w"), ("p.w", "o")))
     rows = rows.select(*AT, F.struct(F.col("page").alias("page_"), F.col("p.w.at").alias("at_"), "side", "d").alias("rank"), first.alias("a"), second.alias("b"))
@@ -255,7 +296,8 @@ def reunify(pages: DataFrame, words: Lexicon) -> tuple[DataFrame, DataFrame]:
     places = stored(unknown_places(pages, words), "unknown-places")
     part = W.fragments(places.select("tok").distinct(), words.known, shortest=1)
     odd = places.join(part, "tok").groupBy(*AT).agg(F.collect_list(F.struct("tok", F.col("is_head").alias("head"), F.col("is_tail").alias("tail"))).alias("odd"))
-    pages = stored(pages.join(odd, list(AT), "left"), "pages")
+    none = F.array().cast("array<struct<tok:string,head:boolean,tail:boolean>>")
+    pages = stored(marked(pages.join(odd, list(AT), "left").withColumn("odd", F.coalesce("odd", none))), "pages")
     audit = within_lines(pages, words)
     pages = _put_together(pages, audit)
     breaks = over_lines(pages, words)
@@ -265,22 +307,41 @@ def reunify(pages: DataFrame, words: Lexicon) -> tuple[DataFrame, DataFrame]:
     while True:
         pages, more = _joined_in_reach(pages, words)
         if more.isEmpty():
-            return pages.drop("odd"), audit
+            return pages.withColumn("lines", F.transform("lines", lambda x: F.transform(x, lambda w: w["tok"]))).select(*AT, "lines", "hyphens"), audit
         audit = audit.unionByName(more)
 
 
 # --- decisions for distinct words ---------------------------------------------------------------------
 
 
-def replaced(pages: DataFrame, fixes: DataFrame, words: Lexicon, kind: str) -> tuple[DataFrame, DataFrame]:
+def replaced(pages: DataFrame, fixes: DataFrame, words: Lexicon, kind_of: str) -> tuple[DataFrame, DataFrame]:
     """Pages with each word of ``fixes`` (tok, fix) replaced, by several words if the fix has spaces, and the audit."""
     fixes = stored(fixes.select("tok", "fix"), "fixes")
     each = pages.select(*AT, F.explode(F.flatten("lines")).alias("tok"))
-    changed = stored(W.join_words(each, fixes, words.vocab).select(*AT, F.lit(kind).alias("kind"), F.col("tok").alias("before"), F.col("fix").alias("after")), "changes")
-    by_page = changed.groupBy(*AT).agg(F.map_from_entries(F.collect_set(F.struct("before", "after"))).alias("m_"))
-    new = lambda w: F.coalesce(F.split(F.try_element_at(F.col("m_"), w), " "), F.array(w))
-    lines = F.when(F.col("m_").isNull(), F.col("lines")).otherwise(F.transform("lines", lambda x: F.flatten(F.transform(x, new))))
-    return stored(pages.join(by_page, list(AT), "left").withColumn("lines", lines).drop("m_"), kind), changed
+    changed = stored(W.join_words(each, fixes, words.vocab).select(*AT, F.lit(kind_of).alias("kind"), F.col("tok").alias("before"), F.col("fix").alias("after")), "changes")
+    by_page = changed.groupBy(*AT).agg(F.collect_set(F.struct("before", "after")).alias("fixes"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            some, lines = b.column("fixes").flatten(), b.column("lines")
+            own = [b.column("volume"), b.column("page"), b.column("hyphens")]
+            if not len(some):  # nothing changes, and there may be no words
+                yield pa.RecordBatch.from_arrays([*own, lines], names=["volume", "page", "hyphens", "lines"])
+                continue
+            flat, at = _looked_up(lines, some.field("before"))
+            new = pc.split_pattern(some.field("after"), " ")
+            begin = np.r_[len(flat) + np.cumsum(n := pc.list_value_length(new).to_numpy(zero_copy_only=False).astype(np.int64)) - n, 0]
+            sizes = np.r_[n, 1][at]
+            ends = np.cumsum(sizes)
+            first = np.where(at < 0, np.arange(len(flat)), begin[at])
+            source = np.repeat(first - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+            words = pa.concat_arrays([flat, new.flatten()]).take(pa.array(source))
+            yield pa.RecordBatch.from_arrays([*own, _nested(lines, sizes, words)], names=["volume", "page", "hyphens", "lines"])
+
+    kind = pages.schema["volume"].dataType.simpleString()
+    joined = pages.join(by_page, list(AT), "left").select(*AT, "hyphens", "lines", F.coalesce("fixes", F.array().cast("array<struct<before:string,after:string>>")).alias("fixes"))
+    out = joined.mapInArrow(run, f"volume {kind}, page long, hyphens array<string>, lines array<array<string>>").select(*pages.columns)
+    return stored(out, kind_of), changed
 
 
 def _candidates(pages: DataFrame, words: Lexicon, shortest: int) -> DataFrame:

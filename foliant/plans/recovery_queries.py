@@ -57,7 +57,7 @@ def c06_recovery(spark, sf):
 
 @query(
     "w32_silent_windows",
-    r"""WITH p AS (SELECT doc_id // 400 AS vol, doc_id % 400 + 1 AS page, regexp_matches(coalesce(text, ''), '[A-Za-z0-9]@[a-z]') AS heading, regexp_matches(coalesce(text, ''), '(?i) (the|der|les) ') AS body FROM documents),
+    r"""WITH p AS (SELECT doc_id // 400 AS vol, doc_id % 400 + 1 AS page, regexp_matches(coalesce(text, ''), 'MIT') AS heading, regexp_matches(coalesce(text, ''), ' (der|les|la) ') AS body FROM documents),
 t AS (SELECT vol, max(page) AS n FROM p GROUP BY vol HAVING max(page) >= 150),
 w AS (SELECT vol, s AS a, s + 74 AS b FROM t, range(1, 400, 37) r(s) WHERE s <= n - 75),
 e AS (SELECT * FROM w WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.vol = w.vol AND p.page BETWEEN a AND b AND heading)
@@ -66,9 +66,9 @@ g AS (SELECT *, sum(CASE WHEN a <= lb + 1 THEN 0 ELSE 1 END) OVER (PARTITION BY
 SELECT vol, min(a) AS first_page, max(b) AS last_page FROM g GROUP BY vol, run""",
 )
 def w32_silent_windows(spark, sf):
-    """Documents as pages of volumes of 400; an address is a heading, common words are the text of a long act."""
+    """Documents as pages of volumes of 400; a licence's name is a heading, common words are the text of a long act."""
     text = F.coalesce("text", F.lit(""))
-    pages = table(spark, sf, "documents").select(F.floor(F.col("doc_id") / 400).alias("vol"), (F.col("doc_id") % 400 + 1).alias("page"), text.rlike("[A-Za-z0-9]@[a-z]").alias("heading"), text.rlike("(?i) (the|der|les) ").alias("body"))
+    pages = table(spark, sf, "documents").select(F.floor(F.col("doc_id") / 400).alias("vol"), (F.col("doc_id") % 400 + 1).alias("page"), text.rlike("MIT").alias("heading"), text.rlike(" (der|les|la) ").alias("body"))
     return R.silent_windows(pages, "vol", "page", F.col("heading"), F.col("body"))
 
 
