@@ -381,52 +381,94 @@ def increasing_chain(values: Sequence[int]) -> list[int]:
     return out[::-1]
 
 
-#: Slopes of a volume that are held at once.
-SLOPES_AT_ONCE = 1 << 20
-
-
-def upper_median_slope(x: np.ndarray, y: np.ndarray, at_once: int = SLOPES_AT_ONCE) -> float | None:
-    """The upper median of the slopes of all pairs with different ``x``, exact, with ``at_once`` slopes in memory.
-
-    Where there are more, passes over the pairs count slopes by bins and narrow the range to the median's bin, until
-    its slopes can be listed: the time is that of the pairs, the memory is not.
+#: Slopes that are listed at once, and those that are drawn to narrow them down.
+SLOPES_AT_ONCE, DRAWN = 1 << 20, 1 << 16
+
+
+def _merged(values: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """A merge sort's steps: places in blocks' sorted first halves, those in second halves, and for each of these where
+    in the first ones those that are greater begin, or as great, and where its block's end."""
+    n = len(values)
+    rank = np.unique(values, return_inverse=True)[1].astype(np.int64)
+    width = 1
+    while width < n:
+        block, second = np.arange(n) // (2 * width), (np.arange(n) // width) % 2 == 1
+        key = block * n + rank
+        left, right = np.flatnonzero(~second), np.flatnonzero(second)
+        left = left[np.argsort(key[left], kind="stable")]
+        stop = np.searchsorted(block[left], block[right], "right")
+        yield left, right, np.searchsorted(key[left], key[right], "right"), stop
+        width *= 2
+
+
+def _inversions(values: np.ndarray, ranks: np.ndarray | None = None) -> np.ndarray:
+    """The pairs of places (i, j), i < j, with values[j] < values[i]: all, or of these those with the given ranks."""
+    pairs, before = [np.zeros((0, 2), np.int64)], 0
+    for left, right, first, stop in _merged(values):
+        many = stop - first
+        ends = np.cumsum(many)
+        own = np.arange(ends[-1]) if ranks is None else ranks[(ranks >= before) & (ranks < before + ends[-1])] - before
+        j = np.searchsorted(ends, own, "right")
+        pairs.append(np.c_[left[first[j] + own - ends[j] + many[j]], right[j]])
+        before += int(ends[-1])
+    return np.concatenate(pairs)
+
+
+def upper_median_slope(x: np.ndarray, y: np.ndarray, at_once: int = SLOPES_AT_ONCE, drawn: int = DRAWN) -> float | None:
+    """The upper median of the slopes of all pairs of whole points with different ``x``: exact, in n log^2 n steps.
+
+    Of points in the order of x, a pair's slope is under p / q if q y - p x falls, so that pairs up to a slope are
+    counted as inversions. Slopes drawn from those between two bounds give nearer bounds, until the rest can be listed.
+    Coordinates are whole numbers whose products have 62 bits at the most.
     """
-    order = np.argsort(x, kind="stable")
-    x, y = x[order], y[order]
+    order = np.lexsort((y, x))
+    x, y = x[order].astype(np.int64), y[order].astype(np.int64)
     n = len(x)
-    rows = max(1, at_once // max(1, n))
-
-    def slopes():
-        for s in range(0, n, rows):
-            dx, dy = x[None, :] - x[s : s + rows, None], y[None, :] - y[s : s + rows, None]
-            ahead = dx > 0
-            yield dy[ahead] / dx[ahead]
-
-    count, lo, hi = 0, np.inf, -np.inf
-    for v in slopes():
-        if len(v):
-            count, lo, hi = count + len(v), min(lo, v.min()), max(hi, v.max())
-    if not count:
+    runs, same = np.unique(x, return_counts=True)[1], np.unique(np.c_[x, y], axis=0, return_counts=True)[1]
+    choose = lambda k: int((k * (k - 1) // 2).sum())
+    total, twice = n * (n - 1) // 2 - choose(runs), choose(same)
+    if not total:
         return None
-    rank = count // 2
-    while True:
-        inside = [v[(v >= lo) & (v <= hi)] for v in slopes()] if count <= at_once else None
-        if inside is not None:
-            return float(np.sort(np.concatenate(inside))[rank])
-        edges = np.linspace(lo, hi, 1 << 12)
-        if not (edges[1:] > edges[:-1]).any():
-            return float(lo)
-        bins = np.zeros(len(edges) - 1, np.int64)
-        for v in slopes():
-            v = v[(v >= lo) & (v <= hi)]
-            bins += np.bincount(np.clip(np.searchsorted(edges, v, "right") - 1, 0, len(bins) - 1), minlength=len(bins))
-        k = int(np.searchsorted(np.cumsum(bins), rank, "right"))
-        below = int(bins[:k].sum())
-        # the bin holds [edges[k], edges[k + 1]), the last one its end too
-        new_hi = hi if k == len(bins) - 1 else float(np.nextafter(edges[k + 1], -np.inf))
-        if edges[k] == lo and new_hi == hi:
-            return float(lo)
-        rank, count, lo, hi = rank - below, int(bins[k]), float(edges[k]), new_hi
+    rank = total // 2
+    low = high = None  # slopes as fractions; the median's is over low and under high
+    below, above = 0, total
+    rng = np.random.default_rng(0)
+
+    def counts(p: int, q: int) -> tuple[int, int]:
+        """How many slopes are under p / q, and how many at most that. Equal points are as high at any slope."""
+        values = q * y - p * x
+        under = sum(int((stop - first).sum()) for _, _, first, stop in _merged(values))
+        return under, under + choose(np.unique(values, return_counts=True)[1]) - twice
+
+    def between(ranks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        # where pairs up to low are turned round, those under high are inversions
+        first = np.arange(n) if low is None else np.lexsort((-np.arange(n), low[1] * y - low[0] * x))
+        values = -np.arange(n) if high is None else (high[1] * y - high[0] * x)[first]
+        i, j = first[_inversions(values, ranks)].T
+        ahead = x[i] < x[j]
+        return y[j[ahead]] - y[i[ahead]], x[j[ahead]] - x[i[ahead]]
+
+    while above - below > at_once:
+        most = n * (n - 1) // 2 if high is None else above - below
+        dy, dx = between(np.unique(rng.integers(0, most, drawn)))
+        if not len(dx):
+            continue
+        by_slope = np.argsort(dy / dx, kind="stable")
+        middle, slack = len(dx) * (rank - below) / (above - below), 3 * np.sqrt(len(dx))
+        for at in (middle - slack, middle, middle + slack):
+            k = by_slope[int(np.clip(at, 0, len(dx) - 1))]
+            p, q = int(dy[k]), int(dx[k])
+            if (low and p * low[1] <= low[0] * q) or (high and p * high[1] >= high[0] * q):
+                continue
+            under, up_to = counts(p, q)
+            if under <= rank < up_to:
+                return p / q
+            if up_to <= rank:
+                low, below = (p, q), up_to
+            else:
+                high, above = (p, q), under
+    dy, dx = between()
+    return float(np.sort(dy / dx)[rank - below])
 
 
 def robust_line(x: np.ndarray, y: np.ndarray, factor: float = 5.0, floor: float = 25.0) -> np.ndarray:
