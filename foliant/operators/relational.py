@@ -175,3 +175,17 @@ def dangling(child: DataFrame, column: str, parent: DataFrame, key: str, name: s
     """(constraint, n): child rows whose non-null reference has no parent."""
     lost = child.select(F.col(column).alias("k_")).filter("k_ IS NOT NULL").join(parent.select(F.col(key).alias("k_")).distinct(), "k_", "left_anti")
     return lost.agg(F.lit(name).alias("constraint"), F.count("*").alias("n"))
+
+
+def purged(kept: DataFrame, tables: Sequence[tuple[str, DataFrame, str]]) -> dict[str, DataFrame]:
+    """Each table without the rows whose ancestors are gone: child before parent in the result, parents first in reading.
+
+    ``tables`` go from parent to child: (name, rows, the column that names the row above), keys in ``id``. A first table's
+    rows stay if ``kept`` has their parent's ``id``; a later one's if their parent's row stays. Null parents are orphans.
+    """
+    out: dict[str, DataFrame] = {}
+    above = kept.select("id")
+    for name, rows, parent in tables:
+        rows = rows.join(above.select(F.col("id").alias(parent)).distinct(), parent, "left_semi")
+        out[name], above = rows, rows
+    return dict(reversed(out.items()))

@@ -284,6 +284,14 @@ def a19_top_clusters(spark, sf):
     return c.select("user_id", "bad", R.ratio(F.col("bad"), F.col("n")).alias("density")).orderBy(F.desc("bad"), "user_id").limit(20)
 
 
+@query("a19_densest_clusters", """WITH c AS (SELECT user_id, count(*) FILTER (event_type = 'error') AS bad, count(*) AS n FROM events GROUP BY user_id HAVING count(*) >= 5)
+SELECT user_id, bad, round(bad / n, 6) AS density FROM c ORDER BY bad / n DESC, bad DESC, user_id LIMIT 20""")
+def a19_densest_clusters(spark, sf):
+    """Clusters of five or more, by the share of what is flagged in them."""
+    c = table(spark, sf, "events").groupBy("user_id").agg(F.count_if(F.col("event_type") == "error").alias("bad"), F.count("*").alias("n")).filter("n >= 5")
+    return c.select("user_id", "bad", R.ratio(F.col("bad"), F.col("n")).alias("density"), (F.col("bad") / F.col("n")).alias("d_")).orderBy(F.desc("d_"), F.desc("bad"), "user_id").limit(20).drop("d_")
+
+
 @query("a20_sums", "SELECT lang, count(*) AS docs, CAST(sum(n_chars) AS BIGINT) AS chars, CAST(sum(len(string_split(text, chr(10)))) AS BIGINT) AS lines FROM documents GROUP BY lang")
 def a20_sums(spark, sf):
     return table(spark, sf, "documents").groupBy("lang").agg(F.count("*").alias("docs"), F.sum("n_chars").alias("chars"), F.sum(F.size(F.split("text", "\n"))).alias("lines"))

@@ -151,6 +151,25 @@ def i03_feed(spark, sf):
     return feed.join(seen, "chapter", "left_anti").withColumn("status", F.when(F.col("action") == "repeal", "repealed").otherwise("active"))
 
 
+@query(
+    "i03_orphan_purge",
+    """WITH doc AS (SELECT c_custkey AS id FROM customer WHERE c_custkey % 5 <> 0),
+act AS (SELECT o_orderkey AS id FROM orders WHERE o_custkey IN (SELECT id FROM doc)),
+ev AS (SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT id FROM act))
+SELECT 'event' AS kind, count(*) AS kept, (SELECT count(*) FROM lineitem) - count(*) AS purged FROM ev UNION ALL
+SELECT 'act', count(*), (SELECT count(*) FROM orders) - count(*) FROM act""",
+)
+def i03_orphan_purge(spark, sf):
+    """Customers as documents, orders as their acts, lines as the acts' events: a fifth of the documents are withdrawn."""
+    documents = table(spark, sf, "customer").filter("c_custkey % 5 <> 0").select(F.col("c_custkey").alias("id"))
+    acts = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("document"))
+    events = table(spark, sf, "lineitem").select(F.concat_ws("/", "l_orderkey", "l_linenumber").alias("id"), F.col("l_orderkey").alias("act"))
+    left = relational.purged(documents, [("act", acts, "document"), ("event", events, "act")])
+    whole = {"act": acts, "event": events}
+    counts = [rows.agg(F.count("*").alias("kept")).crossJoin(whole[k].agg(F.count("*").alias("n_"))).select(F.lit(k).alias("kind"), "kept", (F.col("n_") - F.col("kept")).alias("purged")) for k, rows in left.items()]
+    return counts[0].unionByName(counts[1])
+
+
 @query(
     "i03_status",
     """WITH v AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY CAST(ts AS DATE) DESC NULLS LAST, event_id DESC) AS k FROM events)

@@ -5,11 +5,14 @@ Every reader declares its schema, so no file is read to infer one, and bad lines
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from xml.etree import ElementTree
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 PAGE = "struct<tess_text:string,doctr_text:string,surya_text:string,consensus_text:string,agreement_ratio:double>"
 ACT = "struct<chapter:string,chapter_int:int,title:string,text:string,source_page:int,confident:boolean>"
@@ -58,23 +61,52 @@ def decoded(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.element_at(F.split("path", "/"), -1).alias("file"), text.alias("text"))
 
 
+def _sections(text: str | None) -> list[dict]:
+    """A bill's sections in document order, those within others too, and one row with an error if it isn't XML."""
+    name = lambda e: e.tag.rpartition("}")[2] if isinstance(e.tag, str) else ""
+
+    def own(e: ElementTree.Element) -> Iterator[ElementTree.Element]:
+        """What lies in a section and not in one within it."""
+        for x in e:
+            if name(x) != "BillSection":
+                yield x
+                yield from own(x)
+
+    def words(e: ElementTree.Element) -> Iterator[str]:
+        yield e.text or ""
+        for x in e:
+            if name(x) != "BillSection":
+                yield from words(x)
+            yield x.tail or ""
+
+    def first(e: ElementTree.Element, tag: str) -> str:
+        found = next((x for x in own(e) if name(x) == tag), None)
+        return "" if found is None else " ".join(" ".join(words(found)).split())
+
+    try:
+        root = ElementTree.fromstring(text or "")
+    except ElementTree.ParseError as e:
+        return [{"order": None, "number": None, "action": None, "text": None, "error": str(e)}]
+    some = [e for e in root.iter() if name(e) == "BillSection"]
+    return [{"order": k, "number": first(e, "Num"), "action": e.get("action", ""), "text": first(e, "Content"), "error": None} for k, e in enumerate(some, 1)]
+
+
 def bill_actions(files: DataFrame) -> DataFrame:
-    """Section actions of bills in XML, whatever their namespace: (file, order, number, action, text).
+    """Section actions of bills in XML, whatever their namespace: (file, order, number, action, text, error).
 
-    Processing instructions, by which editors track changes, go first.
+    Sections stand anywhere, also within others, whose text they aren't part of. Processing instructions, by which
+    editors track changes, don't count, CDATA is text. A file that isn't well-formed gives one row that has ``error`` only.
     """
-    bare = F.regexp_replace(F.regexp_replace("text", r"(?s)<\?.*?\?>", ""), r"(</?)[A-Za-z0-9]+:", "$1")
-    found = F.regexp_extract_all(bare, F.lit(r"(?s)<BillSection\b[^>]*>.*?</BillSection>"), F.lit(0))
-    rows = files.select("file", F.posexplode(found).alias("pos", "xml"))
-    inner = lambda tag: F.regexp_extract("xml", rf"(?s)<{tag}\b[^>]*>(.*?)</{tag}>", 1)
-    plain = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, r"<[^>]*>", " "), r"\s+", " "))
-    return rows.select(
-        "file",
-        (F.col("pos") + 1).cast("int").alias("order"),
-        plain(inner("Num")).alias("number"),
-        F.regexp_extract("xml", r'<BillSection\b[^>]*\baction="([a-z]+)"', 1).alias("action"),
-        plain(inner("Content")).alias("text"),
-    )
+    text = [T.StructField(c, T.StringType()) for c in ("number", "action", "text", "error")]
+    schema = T.StructType([files.schema["file"], T.StructField("order", T.IntegerType()), *text])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                yield pa.RecordBatch.from_pylist([{"file": r["file"], **x} for x in _sections(r["text"])], schema=arrow)
+
+    return files.select("file", "text").mapInArrow(run, schema)
 
 
 def log_fields(spark: SparkSession, path: str, patterns: dict[str, str]) -> DataFrame:

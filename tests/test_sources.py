@@ -19,3 +19,15 @@ def test_volumes_are_found_by_their_folders(spark, tmp_path):
         (tmp_path / f"production-{label}" / "ocr_consensus" / "page_ocr_results.json").write_text(text)
     rows = readers.pages(spark, f"{tmp_path}/*/ocr_consensus/page_ocr_results.json").orderBy("label", "page").collect()
     assert [(r.label, r.page, r.consensus_text) for r in rows] == [("1850", 9, "a"), ("1850", 10, "b"), ("1863-64", 0, "")]
+
+
+def test_bills(spark):
+    """Namespaces, sections within sections, CDATA, processing instructions, no content, and damaged files."""
+    bill = """<?xml version="1.0"?><b:Bill xmlns:b="urn:x" xmlns:c="urn:y"><b:Part><c:BillSection action="amend"><c:Num> 1. </c:Num><c:Content><?ins start?>Old <i>text</i>
+      here<b:BillSection action="repeal"><b:Num>1a</b:Num></b:BillSection> ends.</c:Content></c:BillSection></b:Part>
+      <b:BillSection><b:Num>2</b:Num><b:Content><![CDATA[a < b & c]]></b:Content></b:BillSection><!-- <BillSection/> --></b:Bill>"""
+    files = spark.createDataFrame([("a", bill), ("b", "<Bill><BillSection>"), ("c", None), ("d", "<Bill/>")], "file string, text string")
+    got = [tuple(r)[:5] for r in readers.bill_actions(files).filter("error IS NULL").orderBy("file", "order").collect()]
+    assert got == [("a", 1, "1.", "amend", "Old text here ends."), ("a", 2, "1a", "repeal", ""), ("a", 3, "2", "", "a < b & c")]
+    wrong = readers.bill_actions(files).filter("error IS NOT NULL").collect()
+    assert sorted(r.file for r in wrong) == ["b", "c"] and all(r.order is None for r in wrong)
