@@ -27,6 +27,24 @@ def c02_cascade(spark, sf):
     return rates.join(changes, "stage", "left").select("stage", "flagged", "tokens", F.coalesce("changes", F.lit(0)).alias("changes"))
 
 
+def context_lists(spark, sf):
+    v, known = vocab_known(spark, sf)
+    texts = table(spark, sf, "documents").select(F.floor(F.col("doc_id") / 20).alias("volume"), (F.col("doc_id") % 20).alias("page"), "text")
+    return C.context_lists(C.pages_of(texts, "volume", "page"), C.Lexicon.of(known, v), T.bigrams(docs(spark, sf), known))
+
+
+@query("c20_no_context")
+def c20_no_context(spark, sf):
+    """Tested on small pages."""
+    return context_lists(spark, sf)[0]
+
+
+@query("c20_context_weak")
+def c20_context_weak(spark, sf):
+    """Tested on small pages."""
+    return context_lists(spark, sf)[1]
+
+
 @query("c03_three_passes")
 def c03_three_passes(spark, sf):
     """Flagged words before and after each pass, words of nine letters or more broken by a hyphen at a line's end; tested

@@ -84,6 +84,16 @@ def test_context_needs_a_clear_lead(spark, words):
     assert sorted((r.kind, r.before, r.after) for r in audit.collect()) == [("context", "fight", "right"), ("context", "kight", "right")]
 
 
+def test_context_lists(spark, words):
+    """No pair has a candidate of the first word; two candidates of the second one fit as well."""
+    df = pages(spark, "of the people and the state of the county sbction amended xq\nthe kight")
+    known = spark.createDataFrame([("right", 300), ("night", 300), *((w, n) for w, n in WORDS.items() if w not in ("right", "night"))], "tok string, freq long")
+    pairs = spark.createDataFrame([("the", "right", 5), ("the", "night", 5)], "prev string, next string, n long")
+    lost, weak = C.context_lists(df, C.Lexicon.of(known, known), pairs)
+    assert [tuple(r) for r in lost.collect()] == [(1, 0, 0, 9, "sbction", "people and the state of the county <<sbction>> amended xq", "section")]
+    assert [tuple(r) for r in weak.collect()] == [("kight", "night|right", 1)]
+
+
 def test_cascade_rates(spark, words):
     texts = ["the legis lature of the state", "schooldistrict and the rigbt of water", "nothing here is aword xyzzy"]
     out, audit, rates = C.cascade(pages(spark, *texts), words, spark.createDataFrame([], "prev string, next string, n long"))
