@@ -13,6 +13,10 @@ from .tokens import fragments, residual_classes, two_piece_splits, within_two_ed
 # What may stand between an entry's number and its title, and a bill's number.
 SEPARATOR = "[|)\\];}:.,\\-—–‒�•*]"
 BILL = r"(?i)[ASB]\s*\.?\s*[ABCJR]\s*\.?\s*(?:R\s*\.?\s*)?[0-9]{1,4}"
+#: What a bill's number begins with, at the end of a text; how many lines it may fill, each with one character, and how
+#: much of a line's end: that many characters and the spaces between.
+BILL_BEGINS = r"(?i)[ASB]\s*\.?\s*(?:[ABCJR]\s*\.?\s*(?:R\s*\.?\s*)?)?$"
+BROKEN, ENDING = 6, 12
 
 
 def index_entries(lines: DataFrame, volume: str, at: str = "line_no", line: str = "line") -> DataFrame:
@@ -20,13 +24,21 @@ def index_entries(lines: DataFrame, volume: str, at: str = "line_no", line: str
     last number in it, bills' numbers aside, and null if the chapter's own number is the only one.
 
     Each line is reduced to its count of numbers and the last of them, so that a long entry is never gathered. A bill's
-    number broken over two lines isn't recognised.
+    number may be broken over lines: before a line comes what the lines before it in its entry end with, if a bill's
+    number may begin so. Its letters and points fill ``BROKEN`` lines at the most.
     """
     begins = F.regexp_extract(line, rf"(?i)^\s*([0-9]{{1,4}})\s*[.,]?\s*{SEPARATOR}+\s*An\s+Act\b", 1).try_cast("int")
-    numbers = F.regexp_extract_all(F.regexp_replace(line, BILL, " "), F.lit("[0-9]{1,4}"), 0)
-    rows = lines.select(volume, at, F.when(begins.between(1, 5000), begins).alias("chapter"), F.size(numbers).alias("n"), F.try_element_at(numbers, F.lit(-1)).alias("last"))
-    rows = rows.filter("chapter IS NOT NULL OR n > 0").withColumn("entry", F.count("chapter").over(Window.partitionBy(volume).orderBy(at)))
-    entries = rows.filter("entry > 0").groupBy(volume, "entry").agg(
+    by = Window.partitionBy(volume).orderBy(at)
+    rows = lines.select(volume, at, F.when(begins.between(1, 5000), begins).alias("chapter"), F.regexp_replace(line, r"\s+", " ").alias("line_")).filter("trim(line_) <> ''")
+    rows = rows.withColumn("entry", F.count("chapter").over(by)).filter("entry > 0")
+    # a line's end is all that a bill's number can begin with
+    end = F.struct("entry", F.right("line_", F.lit(ENDING)).alias("end"))
+    before = [F.lag(end, k).over(by) for k in range(BROKEN, 0, -1)]
+    ends = F.concat_ws(" ", *(F.when(x["entry"] == F.col("entry"), x["end"]) for x in before))
+    rows = rows.withColumn("open_", F.regexp_extract(ends, BILL_BEGINS, 0))
+    numbers = F.regexp_extract_all(F.regexp_replace(F.concat_ws(" ", "open_", "line_"), BILL, " "), F.lit("[0-9]{1,4}"), 0)
+    rows = rows.select(volume, at, "chapter", "entry", F.size(numbers).alias("n"), F.try_element_at(numbers, F.lit(-1)).alias("last"))
+    entries = rows.groupBy(volume, "entry").agg(
         F.min(at).alias(at), F.max("chapter").alias("chapter"), F.sum("n").alias("n"), F.max_by("last", F.when(F.col("n") > 0, F.col(at))).cast("int").alias("last")
     )
     alone = (F.col("n") == 1) & (F.col("last") == F.col("chapter"))

@@ -138,6 +138,24 @@ def f51_index_entries(spark, sf):
     return H.index_entries(o.withColumn("line", line), "o_custkey")
 
 
+_BROKEN = (" | An Act to amend", "an act, A.", "B. 122 and others, S.", "B. C. ", ". R", "", ". 9 relating to roads ", "continued B. R.", "77")
+
+
+@query("f51_broken_bills", rf"""WITH o AS (SELECT o_custkey, o_orderkey AS line_no, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS k FROM orders),
+l AS (SELECT o_custkey, line_no, k // 9 AS entry, CAST(line_no % 4999 + 1 AS VARCHAR) AS c,
+  CASE k % 9 {' '.join(f"WHEN {k} THEN '{t}'" for k, t in enumerate(_BROKEN))} END || CASE WHEN k % 9 = 6 THEN CAST(line_no % 700 + 1 AS VARCHAR) ELSE '' END AS t, k % 9 = 0 AS begins FROM o),
+e AS (SELECT o_custkey, min(line_no) AS line_no, CAST(max(c) FILTER (begins) AS INTEGER) AS chapter, string_agg(CASE WHEN begins THEN c ELSE '' END || t, ' ' ORDER BY line_no) AS block FROM l GROUP BY o_custkey, entry),
+n AS (SELECT *, regexp_extract_all(regexp_replace(block, '(?i)[ASB]\s*\.?\s*[ABCJR]\s*\.?\s*(?:R\s*\.?\s*)?[0-9]{{1,4}}', ' ', 'g'), '[0-9]{{1,4}}') AS v FROM e)
+SELECT o_custkey, line_no, chapter, CASE WHEN NOT (len(v) = 1 AND CAST(v[1] AS INTEGER) = chapter) THEN CAST(v[-1] AS INTEGER) END AS page FROM n""")
+def f51_broken_bills(spark, sf):
+    """Bills' numbers broken over up to five lines, an empty one among them; the oracle joins each entry's lines."""
+    by = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    o = table(spark, sf, "orders").select("o_custkey", F.col("o_orderkey").alias("line_no"), ((F.row_number().over(by) - 1) % 9).alias("k"))
+    text = chosen(F.col("k"), _BROKEN)
+    line = F.when(F.col("k") == 0, F.concat((F.col("line_no") % 4999 + 1).cast("string"), text)).when(F.col("k") == 6, F.concat(text, (F.col("line_no") % 700 + 1).cast("string"))).otherwise(text)
+    return H.index_entries(o.withColumn("line", line), "o_custkey")
+
+
 # --- tokens -----------------------------------------------------------------------------------------------
 
 
