@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import alignment as A
 from ..functions import text as X
 from ..sources.paths import stored
-from .tokens import fragments, residual_classes, two_piece_splits, within_two_edits
+from .tokens import fragments, join_words, residual_classes, two_piece_splits, within_two_edits
 
 # What may stand between an entry's number and its title, and a bill's number.
 SEPARATOR = "[|)\\];}:.,\\-—–‒�•*]"
@@ -87,6 +89,24 @@ def recoverable_buckets(unknown: DataFrame, known: DataFrame, names: DataFrame)
     return out.groupBy(bucket.alias("bucket"), tier.alias("tier")).agg(F.count("*").alias("types"), F.sum("freq").alias("occurrences"))
 
 
+def listed_words(rows: DataFrame, columns: Sequence[str], shortest: int, without: Sequence[str] = ()) -> DataFrame:
+    """(tok): the words of names, in lower case, of so many letters, but for common parts of names."""
+    each = rows.select(F.explode(F.concat(*(F.split(F.lower(F.coalesce(c, F.lit(""))), " ") for c in columns))).alias("tok"))
+    return each.filter((F.length("tok") >= shortest) & F.col("tok").rlike(r"^\p{L}+$") & ~F.col("tok").isin(*without)).distinct()
+
+
+def shares(pages: DataFrame, page: str, toks: str, vocab: DataFrame, **lists: DataFrame) -> DataFrame:
+    """``pages`` with the share of each page's words that stand in each list (tok), null for pages without words.
+
+    A page's distinct words are counted before they are looked up, so that its size doesn't multiply with the lists'.
+    """
+    each = pages.select(page, F.explode(toks).alias("tok")).groupBy(page, "tok").agg(F.count("*").alias("n_"))
+    for name, words in lists.items():
+        each = join_words(each, words.select("tok", F.lit(1).alias(name)), vocab, "left")
+    counts = each.groupBy(page).agg(*((F.coalesce(F.sum(F.when(F.col(name) == 1, F.col("n_"))), F.lit(0)) / F.sum("n_")).alias(name) for name in lists))
+    return pages.join(counts, page, "left")
+
+
 def page_cover(held: DataFrame, page: str, tok: str) -> DataFrame:
     """(page, n_tokens, n_new) of pages that together hold all tokens: taken by their count of distinct tokens, most
     first (ties: the least page), each that has a token no page before it has.

@@ -70,6 +70,38 @@ def f43_roster_rule(spark, sf):
     return page_tokens(spark, sf, ROSTERS).select("doc_id", P.roster_rule(F.col("toks"), k % 7 / 20, k % 11 / 20, k % 3 / 100).alias("rule"))
 
 
+#: Parts of places' names that say nothing.
+PLACE_PARTS = ("san", "santa", "los", "del", "contra", "lake", "orange", "luis", "new", "el")
+
+
+@query("f43_roster_shares", rf"""WITH names AS (SELECT string_agg(n_name, ' ' ORDER BY n_nationkey) AS g FROM nation),
+pg AS (SELECT doc_id, regexp_extract_all(lower({chosen_sql('doc_id', ROSTERS)} || ' ' || repeat(g || ' ', doc_id % 10) || coalesce(text, '')), '\p{{L}}+') AS toks FROM documents, names),
+e AS (SELECT doc_id, unnest(toks) AS tok, generate_subscripts(toks, 1) AS k FROM pg),
+gaz AS (SELECT DISTINCT tok FROM (SELECT unnest(string_split(lower(n_name), ' ')) AS tok FROM nation UNION ALL SELECT unnest(string_split(lower(r_name), ' ')) FROM region) WHERE length(tok) >= 3 AND regexp_full_match(tok, '\p{{L}}+')),
+plc AS (SELECT DISTINCT tok FROM (SELECT unnest(string_split(lower(r_name), ' ')) AS tok FROM region UNION ALL SELECT unnest(string_split(lower(n_name), ' ')) FROM nation WHERE n_regionkey < 2) WHERE length(tok) >= 4 AND tok NOT IN {PLACE_PARTS}),
+bad AS (SELECT tok FROM e GROUP BY tok HAVING count(DISTINCT doc_id) = 1 AND length(tok) >= 6),
+s AS (SELECT e.*, lead(e.tok) OVER w AS t1, lead(e.tok, 2) OVER w AS t2, gaz.tok IS NOT NULL AS is_name, plc.tok IS NOT NULL AS is_place, bad.tok IS NOT NULL AS is_bad
+  FROM e LEFT JOIN gaz ON gaz.tok = e.tok LEFT JOIN plc ON plc.tok = e.tok LEFT JOIN bad ON bad.tok = e.tok WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
+c AS (SELECT doc_id, count(*) AS n, count(DISTINCT tok) FILTER (k <= 40 AND tok IN {listed(P.ROSTER_WORDS)}) AS markers, count(*) FILTER (tok IN {listed(P.ROSTER_STATUTE_WORDS)}) / count(*) AS st, count(*) FILTER (tok = 'an' AND t1 = 'act') AS entries,
+coalesce(bool_or(tok = 'title' AND (k <= 19 AND t1 IN ('act', 'acts') OR k <= 18 AND t2 IN ('act', 'acts'))), false) AS titled, count(*) FILTER (is_name) / count(*) AS names, count(*) FILTER (is_bad) / count(*) AS garbled, count(*) FILTER (is_place) / count(*) AS places FROM s GROUP BY doc_id)
+SELECT pg.doc_id, round(names, 6) AS names, round(places, 6) AS places, round(garbled, 6) AS garbled, CASE WHEN markers >= 2 AND st < 0.008 THEN 'R1_marker' WHEN names > 0.35 AND st < 0.003 THEN 'R2_names' WHEN garbled >= 0.15 AND names >= 0.18 AND places >= 0.012 AND st < 0.005 THEN 'R3_fingerprint' WHEN entries >= 5 AND titled THEN 'R4_titles' END AS rule
+FROM pg LEFT JOIN c USING (doc_id)""")
+def f43_roster_shares(spark, sf):
+    """Shares counted from the pages' words: nations and regions as the gazetteer, words that one page alone has as
+    garbled ones. Pages are documents behind up to nine lists of nations."""
+    nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
+    listing = nation.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))), lambda x: x["n_name"]), " ").alias("g"))  # 25 rows
+    docs_ = table(spark, sf, "documents").crossJoin(F.broadcast(listing))
+    text = F.concat(chosen(F.col("doc_id"), ROSTERS), F.lit(" "), F.expr("repeat(concat(g, ' '), CAST(doc_id % 10 AS INT))"), F.coalesce("text", F.lit("")))
+    pages = stored(docs_.select("doc_id", X.words(text).alias("toks")), "pages")
+    vocab = stored(pages.select("doc_id", F.explode("toks").alias("tok")).groupBy("tok").agg(F.count("*").alias("freq"), F.count_distinct("doc_id").alias("docs")), "vocab")
+    names = H.listed_words(nation.select(F.col("n_name").alias("x")).unionByName(region.select(F.col("r_name").alias("x"))), ["x"], 3)
+    places = H.listed_words(region.select(F.col("r_name").alias("x")).unionByName(nation.filter("n_regionkey < 2").select(F.col("n_name").alias("x"))), ["x"], 4, PLACE_PARTS)
+    found = H.shares(pages, "doc_id", "toks", vocab, names=names, places=places, garbled=vocab.filter("docs = 1 AND length(tok) >= 6"))
+    rule = P.roster_rule(F.col("toks"), F.col("garbled"), F.col("names"), F.col("places")).alias("rule")
+    return found.select("doc_id", *(F.round(c, 6).alias(c) for c in ("names", "places", "garbled")), rule)
+
+
 # --- headings and numerals --------------------------------------------------------------------------------
 
 HEADINGS = (("CHAPTER 12.", 12), ("-- UHAPTER 1O2 An Act", 102), ("CIIAPTER l7.", 17), ("chapter 877 of the statutes", None), ("CHAPTER II.", None), ("SECTION 12", None), ("CHAPTER 12345", None), ("Chaptcr 9 . OF", None), ("see CHAPTER 4", None), ("CHAPTERS 31, 32", 31))
