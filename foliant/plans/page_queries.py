@@ -296,7 +296,11 @@ def c15_recoverable(spark, sf):
 def f02_swap_distance(spark, sf):
     """Neighbouring words of a line, at most three edits apart."""
     pairs = T.pair_counts(docs(spark, sf)).select(F.col("prev").alias("tok"), "next")
-    return pairs.withColumn("d", A.swap_distance("tok", "next", F.lit(3))).filter("d <= 3")
+    # a swap is two plain edits at the most, and where one is enough there is none
+    plain = F.levenshtein("tok", "next", 6)
+    near = stored(pairs.filter(F.abs(F.length("tok") - F.length("next")) <= 3).withColumn("d", plain).filter("d >= 0"), "near-pairs")
+    far = near.filter("d > 1").withColumn("d", A.swap_distance("tok", "next", F.lit(3))).filter("d <= 3")
+    return near.filter("d <= 1").unionByName(far)
 
 
 @query("a18_page_cover", f"""WITH {VOCAB}, p AS (SELECT DISTINCT doc_id, s.tok FROM stream s JOIN vocab v ON v.tok = s.tok WHERE doc_freq BETWEEN 2 AND 24 AND length(s.tok) >= 6),
