@@ -268,13 +268,20 @@ def within_reach(pages: DataFrame, words: Lexicon) -> DataFrame:
     return _making(rows, words.strong, words)
 
 
-def _joined_in_reach(pages: DataFrame, words: Lexicon) -> tuple[DataFrame, DataFrame]:
+def _joined_in_reach(pages: DataFrame, words: Lexicon, changed: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     """Pages after one round of :func:`within_reach`, and what was put together.
 
-    Partners of one page are taken by rank; those over a page's end where none of their words is taken so, each word by
-    the least rank.
+    Only pages that have changed, and those beside them, are looked at, if ``changed`` (volume, page) is given. Partners
+    of one page are taken by rank; those over a page's end where none of their words is taken so, each word by the least
+    rank.
     """
-    rows = stored(within_reach(pages, words), "in-reach")
+    some = pages
+    if changed is not None:
+        beside = changed.select("volume", F.explode(F.sequence(F.col("page") - 1, F.col("page") + 1)).alias("page")).distinct()
+        some = pages.join(beside, list(AT), "left_semi")
+    rows = stored(within_reach(some, words), "in-reach")
+    if rows.isEmpty():
+        return pages, rows.select("volume", F.lit(0).cast("long").alias("page"), F.lit(WINDOW).alias("kind"), "before", "after")
     same = F.col("a.page") == F.col("b.page")
     inside = _taken(rows.filter(same).select("volume", F.col("a.page").alias("page"), "rank", F.array("a.at", "b.at").alias("places"), "before", "after"), WINDOW)
     across = rows.filter(~same).withColumn("id_", F.struct("a.page", "a.at", F.col("b.page").alias("page_b"), F.col("b.at").alias("at_b"), "rank"))
@@ -304,8 +311,9 @@ def reunify(pages: DataFrame, words: Lexicon) -> tuple[DataFrame, DataFrame]:
     audit = audit.unionByName(breaks).drop("places")
     pages, over = _over_pages(_put_together(pages, breaks), words)
     audit = audit.unionByName(over)
+    more = None
     while True:
-        pages, more = _joined_in_reach(pages, words)
+        pages, more = _joined_in_reach(pages, words, more)
         if more.isEmpty():
             return pages.withColumn("lines", F.transform("lines", lambda x: F.transform(x, lambda w: w["tok"]))).select(*AT, "lines", "hyphens"), audit
         audit = audit.unionByName(more)

@@ -60,6 +60,13 @@ def test_reunify_each_way(spark, words):
     assert got == [(0, "reunify_space", "legislature"), (1, "reunify_break", "supervisors"), (2, "reunify_xpage", "incorporated"), (5, "reunify_window", "incorporated")]
 
 
+def test_pieces_over_page_ends(spark, words):
+    """Within reach over a page's end, where the next page's first word isn't the other piece; two heads of one tail."""
+    out, audit = C.reunify(pages(spark, "of the incor", "xq porated and the legis", "xz legis zq lature of"), words)
+    assert lines_of(out) == [[["of", "the", "incorporated"]], [["xq", "and", "the", "legis"]], [["xz", "legislature", "zq", "of"]]]
+    assert sorted((r.page, r.kind, r.before) for r in audit.collect()) == [(0, "reunify_window", "incor+porated"), (2, "reunify_window", "legis+lature")]
+
+
 def test_split_correct_and_mend(spark, words):
     df = pages(spark, "schooldistrict of the schooldistrictwater ofthe smyth rigbt sbction amxnded watér\nboardx xxvii bcdfgh")
     split, audit = C.replaced(df, C.split_fixes(df, words), words, "split")
