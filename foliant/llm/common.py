@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -48,6 +49,13 @@ def removed(spark: SparkSession, *paths: str) -> None:
         at.getFileSystem(conf).delete(at, True)
 
 
+def shuffles_freed(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs: it does so when the driver has collected what stood for them,
+    which it otherwise does at long intervals only (``spark.cleaner.periodicGC.interval``)."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def picked(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under the names given as keywords: other columns can't clash."""
     return df.select(*(F.col(f"`{source}`").alias(name) for name, source in columns.items()))

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import greatest, picked, removed, rowwise, sliced, spread_join, written
+from .common import greatest, picked, removed, shuffles_freed, rowwise, sliced, spread_join, written
 from .simhash import AT_ONCE, BITS, SEED, classes, components, merge, trie_pairs, whole_groups
 
 WIDTH = 5
@@ -413,7 +413,9 @@ def checked(texts: DataFrame, distinct: DataFrame, pairs: DataFrame, similarity:
     """Of pairs (a, b) of units those that are similar, written. Texts travel only for pairs that sketches leave open."""
     spark = texts.sparkSession
     found, found_path = written(pairs, "candidates")
+    shuffles_freed(spark)
     found = left_open(texts, distinct, found, similarity, width)
+    shuffles_freed(spark)
     wanted, wanted_path = written(of_units(texts, distinct, found).groupBy("unit").agg(F.min("text").alias("text")), "wanted-texts")
     left, right = (wanted.select(F.col("unit").alias(c), F.col("text").alias(f"{c}_text")) for c in ("a", "b"))
     out = written(similar(found.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text"), similarity, width), "near-copies")
@@ -449,12 +451,15 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     same = same.filter("unit <> a").select("a", F.col("unit").alias("b"))
     edges, _ = checked(texts, distinct, near.unionByName(same), similarity, width)
     removed(spark, prints_path)
+    shuffles_freed(spark)
     roots, _ = components(edges)
     lists, lists_path = written(prefix_lists(texts, similarity, width, *common_shingles(texts, count, width)), "prefixes")
+    shuffles_freed(spark)
     longest = lists.groupBy("token").count().agg(F.max("count")).first()[0] or 0
     done, until = 0, FIRST
     while done < longest - 1:
         more, _ = checked(texts, distinct, offered(lists, roots, done, until, similarity), similarity, width)
+        shuffles_freed(spark)
         if more.take(1):
             edges = edges.unionByName(more)
             roots, _ = components(edges)
