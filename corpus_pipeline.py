@@ -18,6 +18,8 @@ from foliant.llm import bpe, decontaminate, near_copies, pii, quality_classifier
 from foliant.llm.common import written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: What a worker remembers of encoded pieces: less than alone, since it outlives the stage and other stages need memory.
+REMEMBERED_BYTES = 8 << 20
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,7 +75,7 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Counts and digests of each document's tokens and decoded text."""
-    return bpe.bpe_roundtrip(docs, with_ids=False)
+    return bpe.bpe_roundtrip(docs, with_ids=False, remembered=REMEMBERED_BYTES)
 
 
 STAGES = [

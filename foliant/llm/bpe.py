@@ -44,7 +44,7 @@ _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 #: What a worker remembers of pieces, in bytes, and what an entry takes beside its text and ids.
 REMEMBERED_BYTES = 32 << 20
 ENTRY_BYTES = 200
-#: Words and pairs of tokens that a trie encoder remembers.
+#: Words and pairs of tokens that a trie encoder remembers with that many bytes of pieces; in proportion with fewer.
 TRIE_WORDS = 120_000
 PAIRS_REMEMBERED = 400_000
 #: Longer words aren't remembered.
@@ -91,7 +91,9 @@ class Generations:
 class TrieBPE:
     """Encoder and decoder of a byte-level tokenizer file of the tokenizers library."""
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, remembered: int | None = None):
+        self.most = remembered or REMEMBERED_BYTES
+        self.pairs = int(PAIRS_REMEMBERED * self.most / REMEMBERED_BYTES)
         spec = json.loads(spec)
         model, back = spec["model"], byte_alphabet()
         raw = lambda token: bytes(back[c] for c in token)
@@ -113,7 +115,7 @@ class TrieBPE:
         self.last = {}  # (left, right) -> whether they may stand side by side
         self.pieces: dict[str, bytes] = {}
         self.size = 0
-        self.words = Generations(TRIE_WORDS)
+        self.words = Generations(int(TRIE_WORDS * self.most / REMEMBERED_BYTES))
         self._edges: tuple[dict, dict] = ({}, {})
         self._special = re.compile("|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
 
@@ -147,7 +149,7 @@ class TrieBPE:
                     j += 1
                     if j == len(b):
                         break
-            if len(self.last) > PAIRS_REMEMBERED:
+            if len(self.last) > self.pairs:
                 self.last.clear()
             self.last[key] = known
         return known
@@ -209,7 +211,7 @@ class TrieBPE:
                 del known[p]
             else:
                 self.size += ENTRY_BYTES + len(p) + len(ids)
-        if self.size > REMEMBERED_BYTES:
+        if self.size > self.most:
             known.clear()
             self.size = 0
         return out
@@ -222,9 +224,9 @@ class TrieBPE:
 
 
 @lru_cache(maxsize=2)
-def encoder(spec: str) -> TrieBPE:
+def encoder(spec: str, remembered: int | None = None) -> TrieBPE:
     """One encoder for each tokenizer and worker; what it remembers outlives tasks."""
-    return TrieBPE(spec)
+    return TrieBPE(spec, remembered)
 
 
 def read_spec(path: str) -> str:
@@ -239,10 +241,10 @@ def default_tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def bpe_roundtrip(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
+def bpe_roundtrip(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True, remembered: int | None = None) -> DataFrame:
     """A row for each row of ``docs``: its id, ``ids``, ``n_tokens``, ``decoded`` and digests of ids and decoded text.
 
-    ``with_ids`` False leaves out ``ids`` and ``decoded``.
+    ``with_ids`` False leaves out ``ids`` and ``decoded``. ``remembered`` bounds the bytes of pieces that a worker remembers.
     """
     rows = picked(docs, id=id_col, text=text_col)
     spec = rows.sparkSession.sparkContext.broadcast(read_spec(tokenizer or default_tokenizer("byte_bpe_50k.json")))
@@ -256,7 +258,7 @@ def bpe_roundtrip(docs: DataFrame, tokenizer: str | None = None, id_col: str = "
         fields += [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
 
     def build():
-        bpe = encoder(spec.value)
+        bpe = encoder(spec.value, remembered)
 
         def step(b):
             all_ids = bpe.encode_batch([t or "" for t in b.column(1).to_pylist()])
