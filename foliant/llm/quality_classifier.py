@@ -16,6 +16,7 @@ the share of label 1, or 0.5 without any label; a null id is never a training ro
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from operator import eq
 
@@ -90,7 +91,7 @@ def log_count_ratio(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     return np.log(up / (2 * SMOOTH + (y > 0).sum())) - np.log(down / (2 * SMOOTH + (y < 0).sum()))
 
 
-def dual_coordinate_descent(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, cost: np.ndarray, rounds: int) -> tuple[np.ndarray, float]:
+def dual_coordinate_descent(rows: list[np.ndarray], values: Sequence[np.ndarray], y: np.ndarray, cost: np.ndarray, rounds: int) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise half the squared norm plus ``cost`` times the hinge losses."""
     w, bias, alpha = np.zeros(FEATURES), 0.0, np.zeros(len(rows))
     norm = np.array([v @ v + 1.0 for v in values])
@@ -98,11 +99,12 @@ def dual_coordinate_descent(rows: list[np.ndarray], values: list[np.ndarray], y:
     for _ in range(rounds):
         moved = 0.0
         for i in rng.permutation(len(rows)):
-            gradient = y[i] * (w[rows[i]] @ values[i] + bias) - 1.0
+            v = values[i]
+            gradient = y[i] * (w[rows[i]] @ v + bias) - 1.0
             new = min(max(alpha[i] - gradient / norm[i], 0.0), cost[i])
             step = (new - alpha[i]) * y[i]
             if step:
-                w[rows[i]] += step * values[i]
+                w[rows[i]] += step * v
                 bias += step
                 moved = max(moved, abs(step))
                 alpha[i] = new
@@ -111,13 +113,23 @@ def dual_coordinate_descent(rows: list[np.ndarray], values: list[np.ndarray], y:
     return w, bias
 
 
+class Scaled(Sequence):
+    """Each row's ratios at length 1, computed when asked for: the driver holds slots and no values."""
+
+    def __init__(self, rows: list[np.ndarray], ratio: np.ndarray):
+        self.rows, self.ratio = rows, ratio
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        r = self.ratio[self.rows[i]]
+        return r / max(np.sqrt(r @ r), 1e-12)
+
+
 def _fit_linear(rows: list[np.ndarray], y: np.ndarray, cost: float, rounds: int) -> tuple[np.ndarray, np.ndarray, float]:
     ratio = log_count_ratio(rows, y)
-    values = []
-    for on in rows:
-        r = ratio[on]
-        values.append(r / max(np.sqrt(r @ r), 1e-12))
-    w, b = dual_coordinate_descent(rows, values, y, np.full(len(y), cost), rounds)
+    w, b = dual_coordinate_descent(rows, Scaled(rows, ratio), y, np.full(len(y), cost), rounds)
     return ratio, w, b
 
 
@@ -187,7 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     last = sizes[fits.sum() - 1].hash if fits.any() else None
     got = sorted(features.filter(F.col("hash") <= F.lit(last).cast("long")).collect(), key=lambda r: (r.hash, r.id))
     removed(docs.sparkSession, path)
-    return fit([np.frombuffer(r.slots, "<u2").astype(np.int32) for r in got], np.array([r.label for r in got], int))
+    return fit([np.frombuffer(r.slots, "<u2") for r in got], np.array([r.label for r in got], int))
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
