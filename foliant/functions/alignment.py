@@ -88,25 +88,22 @@ SPAN = T.StructType([T.StructField("span", T.StringType()), T.StructField("start
 
 
 def nearest_span(gold: str, text: str) -> tuple[int, int, int]:
-    """(start, end, distance) of the stretch of ``text`` with the fewest edits to ``gold``; of equal ones the first end.
+    """(start, end, distance) of the stretch of ``text`` with the fewest edits to ``gold``; of equal ones the longest, then
+    the first.
 
     One pass over the table of edit distances in which a stretch may begin anywhere: no window sizes or steps are
-    tried, so no better stretch is missed.
+    tried, so no better stretch is missed. An entry is the distance times ``edit`` plus the first start that has it.
     """
     codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    place = np.arange(len(codes) + 1)
-    row, start = np.zeros(len(codes) + 1, np.int64), place.copy()
+    place, edit = np.arange(len(codes) + 1), len(codes) + 1
+    row = place.copy()
     for k, c in enumerate(np.frombuffer(gold.encode("utf-32-le"), np.uint32), 1):
-        swap, gone = row[:-1] + (codes != c), row[1:] + 1
-        new = np.r_[k, np.minimum(swap, gone)]
-        origin = np.r_[0, np.where(swap <= gone, start[:-1], start[1:])]
+        new = np.r_[k * edit, np.minimum(row[:-1] + edit * (codes != c), row[1:] + edit)]
         # characters of the text that gold lacks: each costs one more than the place before
-        flat = new - place
-        best = np.minimum.accumulate(flat)
-        at = np.maximum.accumulate(np.where(flat == best, place, 0))
-        row, start = best + place, origin[at]
-    end = int(np.argmin(row))
-    return int(start[end]), end, int(row[end])
+        row = np.minimum.accumulate(new - edit * place) + edit * place
+    distance, start = row // edit, row % edit
+    end = int(np.lexsort((start - place, distance))[0])
+    return int(start[end]), end, int(distance[end])
 
 
 @F.pandas_udf(SPAN)

@@ -21,3 +21,10 @@ def test_distances_of_all_pairs(spark, tmp_path):
     got = QUERIES["f04_levenshtein"](spark, folder)
     assert got.count() == 10 * 9 // 2 - 1
     assert agrees(spark, "f04_levenshtein", folder) == ""
+
+
+def test_spans_with_damage_at_their_end(spark, tmp_path):
+    """Texts of 37 characters or twice that: the last strange character stands just before the text's end marks."""
+    rows = [(k, ("the quick brown fox jumps over a dog, " * 4)[:n]) for k, n in enumerate((36, 37, 38, 74, 75, 111))]
+    folder = written(spark, tmp_path, benchmark=(rows, "item_id long, text string"))
+    assert agrees(spark, "f07_best_span", folder) == ""
