@@ -28,3 +28,10 @@ def test_spans_with_damage_at_their_end(spark, tmp_path):
     rows = [(k, ("the quick brown fox jumps over a dog, " * 4)[:n]) for k, n in enumerate((36, 37, 38, 74, 75, 111))]
     folder = written(spark, tmp_path, benchmark=(rows, "item_id long, text string"))
     assert agrees(spark, "f07_best_span", folder) == ""
+
+
+def test_no_third_piece_of_one_letter(spark, tmp_path):
+    rows = [(k, "something is a") for k in range(25)] + [(99, "somethingisa somethingisis")]
+    folder = written(spark, tmp_path, documents=(rows, "doc_id long, text string"))
+    assert [tuple(r) for r in QUERIES["f36_only_split"](spark, folder).collect()] == [("somethingisis", "something is is")]
+    assert agrees(spark, "f36_only_split", folder) == ""
