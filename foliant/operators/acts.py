@@ -3,6 +3,9 @@
 A heading opens an act if "An Act" stands on its line or one of the next four with content; the act runs to the next
 heading that opens one. Headings are found page by page, each page with the first lines of the pages after it, and an
 act takes its lines from the pages that it spans: no volume is gathered or sorted line by line in one task.
+
+Pages and acts are joined by sorting both: what a table has on disk says little of its texts' size once they are taken
+apart, so left to itself Spark may broadcast them through the driver.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ def headings(pages: DataFrame, volume: str = "volume", page: str = "page", text:
     heads = trimmed.select("volume", "page", F.slice(filled(F.col("lines")), 1, AHEAD).alias("first")).filter(F.size("first") > 0)
     on = heads.select("volume", F.explode(F.sequence(F.col("page") - PAGES_AHEAD, F.col("page") - 1)).alias("page"), F.struct(F.col("page").alias("of"), "first").alias("f"))
     after = on.groupBy("volume", "page").agg(F.flatten(F.transform(F.array_sort(F.collect_list("f")), lambda f: f["first"])).alias("after"))
-    whole = trimmed.filter(F.exists("lines", lambda x: A.heading_number(x).isNotNull())).join(after, ["volume", "page"], "left")
+    whole = trimmed.filter(F.exists("lines", lambda x: A.heading_number(x).isNotNull())).join(after.hint("merge"), ["volume", "page"], "left")
     at = F.transform("lines", lambda x, k: F.struct(k.alias("line_no"), A.heading_number(x).alias("raw"), x.alias("line")))
     each = whole.select("volume", "page", "lines", "after", F.explode(F.filter(at, lambda h: h["raw"].isNotNull())).alias("h"))
     rest = F.slice(F.concat(filled(F.slice("lines", F.col("h.line_no") + 2, F.size("lines"))), F.coalesce("after", F.array().cast("array<string>"))), 1, AHEAD)
@@ -42,7 +45,7 @@ def bodies(pages: DataFrame, volume: str = "volume", page: str = "page", text: s
     spans = order.join(last, "volume").withColumn("to_", F.coalesce("next_.page", "last_"))
     parts = spans.withColumn("on_", F.explode(F.sequence("page", "to_")))
     lines = pages.select(F.col(volume).alias("volume"), F.col(page).cast("long").alias("on_"), F.split(F.coalesce(F.col(text), F.lit("")), "\n").alias("lines"))
-    held = parts.join(lines, ["volume", "on_"])
+    held = parts.join(lines.hint("merge"), ["volume", "on_"])
     first = F.when(F.col("on_") == F.col("page"), F.col("line_no")).otherwise(0)
     end = F.when(F.col("on_") == F.col("next_.page"), F.col("next_.line_no")).otherwise(F.size("lines"))
     cut = held.select("volume", "in_act_order", "page", "raw", "on_", F.slice("lines", first + 1, F.greatest(end - first, F.lit(0))).alias("part"))
@@ -118,12 +121,12 @@ def planned_acts(acts: DataFrame, pages: DataFrame, witnesses: DataFrame) -> Dat
     real = acts.filter("reject IS NULL AND confident")
     spans = real.withColumn("start_page", F.col("source_page") - 1).withColumn("next_", F.lead("start_page").over(by)).join(last, "volume")
     spans = spans.withColumn("end_page", F.greatest("start_page", F.coalesce("next_", "last_"))).drop("next_", "last_")
-    on = spans.select("volume", "in_act_order", F.explode(F.sequence("start_page", "end_page")).alias("page")).join(pages, ["volume", "page"], "left")
+    on = spans.select("volume", "in_act_order", F.explode(F.sequence("start_page", "end_page")).alias("page")).join(pages.hint("merge"), ["volume", "page"], "left")
     signal = on.groupBy("volume", "in_act_order").agg(
         F.count("confidence").alias("pages_read"),
         F.round(F.sum(F.col("confidence") * F.col("tokens")) / F.nullif(F.sum(F.when(F.col("confidence").isNotNull(), F.col("tokens"))), F.lit(0)), 4).alias("quality"),
     )
     said = witnesses.groupBy("volume", "in_act_order").agg(F.array_distinct(F.collect_list("numeral")).alias("said"))
-    out = spans.join(signal, ["volume", "in_act_order"], "left").join(said, ["volume", "in_act_order"], "left")
+    out = spans.join(signal.hint("merge"), ["volume", "in_act_order"], "left").join(said.hint("merge"), ["volume", "in_act_order"], "left")
     agreed = F.coalesce((F.size("said") == 1) & (F.get("said", F.lit(0)) == F.col("chapter")), F.lit(False))
     return out.select("volume", "in_act_order", "chapter", "title", "approved", "path", "start_page", "end_page", "pages_read", "quality", ((F.col("chapter") >= 1) & agreed).alias("confident_number"))
