@@ -92,9 +92,9 @@ def resolve(rows: DataFrame, key: str, maps: Sequence[tuple[DataFrame, str, str]
 
 def pages_in_spans(spans: DataFrame, pages: DataFrame, key: str, lo: str, hi: str, page: str) -> DataFrame:
     """Span rows with each page row that they contain. Spans are bounded, so each becomes its pages and the join is by
-    equal keys, which a range join isn't."""
+    equal keys, which a range join isn't. Pages are many for each row that they are made of: they are never broadcast."""
     each = spans.withColumn(page, F.explode(F.sequence(F.col(lo), F.greatest(F.col(lo), F.col(hi)))))
-    return each.join(pages, [key, page])
+    return each.join(pages.hint("merge"), [key, page])
 
 
 def mode_first_seen(df: DataFrame, key: Sequence[str], value: str, order: Sequence[str]) -> DataFrame:
