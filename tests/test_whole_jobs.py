@@ -42,3 +42,12 @@ def test_garbage_by_shape_alone_is_not_recoverable(spark, tmp_path):
     rows = [(k, "abstttract") for k in range(1)] + [(k, "absttract") for k in range(1, 26)] + [(99, "plain")]
     folder = written(spark, tmp_path, documents=(rows, "doc_id long, text string"), nation=([("plain",)], "n_name string"))
     assert agrees(spark, "c15_recoverable", folder) == ""
+
+
+def test_odd_letters_between_known_ends(spark, tmp_path):
+    """One or two odd characters at a word's beginning, middle and end; repeated letters, for which a gap may lie anywhere."""
+    known = ["balloon", "bal", "ba", "b", "oon", "book", "bok"]
+    rows = [(k, " ".join(known)) for k in range(25)] + [(99, "b balloon balloon ballñon ñalloon ballooñ bañ ñb ñ ñü balñüoon boñk ñüoon xñy")]
+    folder = written(spark, tmp_path, documents=(rows, "doc_id long, text string"))
+    assert QUERIES["f38_mojibake"](spark, folder).count() > 3
+    assert agrees(spark, "f38_mojibake", folder) == ""
