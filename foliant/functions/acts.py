@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,9 +59,16 @@ def is_real(title: Column, text: Column, approved: Column) -> Column:
     return F.coalesce((F.length(F.trim(text)) >= BODY) & (has_clause(text) | (titled & approved.isNotNull())), F.lit(False))
 
 
+def bound(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of`` a value that is computed once, however often it is used in it."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def _dates(text: Column, pattern: str) -> Column:
-    found = F.arrays_zip(*(F.regexp_extract_all(text, F.lit(pattern), k).alias(n) for k, n in ((1, "m"), (2, "d"), (3, "y"))))
-    date = lambda f: F.try_make_timestamp_ntz(f["y"].try_cast("int"), month_number(f["m"]), day_number(f["d"]), F.lit(0), F.lit(0), F.lit(0)).cast("date")
+    """A text is searched once, and what is found again for its parts."""
+    found = F.regexp_extract_all(text, F.lit(pattern), 0)
+    part = lambda f, k: F.regexp_extract(f, pattern, k)
+    date = lambda f: F.try_make_timestamp_ntz(part(f, 3).try_cast("int"), bound(part(f, 1), month_number), bound(part(f, 2), day_number), F.lit(0), F.lit(0), F.lit(0)).cast("date")
     return F.filter(F.transform(found, date), lambda d: d.isNotNull())
 
 
@@ -70,12 +79,15 @@ def act_date(text: Column, year: Column, apart: int = YEARS_APART) -> Column:
     Dates by the Governor or the Secretary of State go first, then early ones with all their misreadings, then the day
     on which an act became law without a signature. Without ``year`` any year will do.
     """
-    lapse = lapse_date(text)
-    dates = F.concat(_dates(text, MODERN_DATE), _dates(text, EARLY_DATE), F.when(lapse.isNotNull(), F.array(lapse)).otherwise(F.array().cast("array<date>")))
+    dates = F.concat(_dates(text, MODERN_DATE), _dates(text, EARLY_DATE), F.array_compact(F.array(lapse_date(text))))
     near = lambda d: year.isNull() | (F.abs(F.year(d) - year) <= apart)
-    first = F.array_position(F.transform(dates, near), True)
-    before = F.when(first > 0, F.slice(dates, F.lit(1), (first - 1).cast("int"))).otherwise(dates)
-    return F.struct(F.when(first > 0, F.get(dates, (first - 1).cast("int"))).alias("date"), F.transform(before, F.year).alias("rejected"))
+
+    def chosen(d: Column) -> Column:
+        first = F.array_position(F.transform(d["dates"], near), True)
+        before = F.when(first > 0, F.slice(d["dates"], F.lit(1), (first - 1).cast("int"))).otherwise(d["dates"])
+        return F.struct(F.when(first > 0, F.get(d["dates"], (first - 1).cast("int"))).alias("date"), F.transform(before, F.year).alias("rejected"))
+
+    return bound(F.struct(dates.alias("dates")), chosen)
 
 
 def flush_reject(header: Column, text: Column) -> Column:

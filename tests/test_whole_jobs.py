@@ -1,6 +1,7 @@
 """Queries on small tables of their own: whole jobs, and rows that the test tables lack."""
 
 from compare import differences
+from pyspark.sql import functions as F
 
 from foliant.queries import ORACLES, QUERIES
 
@@ -51,3 +52,39 @@ def test_odd_letters_between_known_ends(spark, tmp_path):
     folder = written(spark, tmp_path, documents=(rows, "doc_id long, text string"))
     assert QUERIES["f38_mojibake"](spark, folder).count() > 3
     assert agrees(spark, "f38_mojibake", folder) == ""
+
+
+def planned(df):
+    return df._jdf.queryExecution().optimizedPlan().toString(), df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dates_are_searched_once(spark):
+    from foliant.functions import acts as A
+
+    text = spark.createDataFrame([("Passed May 1st, 1860. Approved June 3, 1999.", 1999)], "t string, y int")
+    found = text.select(A.act_date(F.col("t"), F.col("y")).alias("f"))
+    assert planned(found.select("f.date", "f.rejected"))[0].count("regexp_extract_all(") == 2
+    assert [tuple(r) for r in found.select(F.col("f.date").cast("string"), "f.rejected").collect()] == [("1999-06-03", [1860])]
+
+
+def test_forms_and_pages_are_not_broadcast(spark, tmp_path):
+    """Tables in small files, which Spark would broadcast."""
+    from foliant.operators import acts, headings, relational
+    from foliant.operators import tokens as T
+
+    tables = {
+        "words": ([("word", 3), ("ward", 4)], "tok string, freq long"),
+        "places": ([("word", "a", "b")], "tok string, prev string, next string"),
+        "pages": ([(1, 1, "CHAPTER I.\nAn Act.")], "volume int, page int, text string"),
+        "spans": ([(1, 1, 2)], "k int, a int, b int"),
+    }
+    folder = written(spark, tmp_path, **tables)
+    words, places, pages, spans = (spark.read.parquet(f"{folder}/{t}.parquet") for t in tables)
+    for df in (
+        T.within_two_edits(words, words),
+        T.fragments(words, words),
+        relational.pages_in_spans(spans, spans.select("k", F.col("a").alias("page")), "k", "a", "b", "page"),
+    ):
+        assert "BroadcastHashJoin" not in planned(df)[1]
+    counts = [planned(df)[1].count("BroadcastHashJoin") for df in (acts.bodies(pages), headings.singleton_classes(places, words))]
+    assert counts[0] <= 1 and counts[1] <= 5, counts  # of known words
