@@ -302,7 +302,7 @@ def reunify(pages: DataFrame, words: Lexicon) -> tuple[DataFrame, DataFrame]:
     """
     places = stored(unknown_places(pages, words), "unknown-places")
     part = W.fragments(places.select("tok").distinct(), words.known, shortest=1)
-    odd = places.join(part, "tok").groupBy(*AT).agg(F.collect_list(F.struct("tok", F.col("is_head").alias("head"), F.col("is_tail").alias("tail"))).alias("odd"))
+    odd = places.join(part.hint("merge"), "tok").groupBy(*AT).agg(F.collect_list(F.struct("tok", F.col("is_head").alias("head"), F.col("is_tail").alias("tail"))).alias("odd"))
     none = F.array().cast("array<struct<tok:string,head:boolean,tail:boolean>>")
     pages = stored(marked(pages.join(odd, list(AT), "left").withColumn("odd", F.coalesce("odd", none))), "pages")
     audit = within_lines(pages, words)
@@ -405,7 +405,7 @@ def _choices(pages: DataFrame, words: Lexicon, pairs: DataFrame) -> tuple[DataFr
     each = pages.select(*AT, F.explode(F.flatten(F.transform("lines", toks))).alias("p")).select(*AT, "p.*")
     at = stored(W.join_words(each, candidates.select("tok").distinct(), words.vocab, "left_semi").withColumn("place", F.struct(*AT, "line", "tok_no")), "places")
     chosen = stored(W.context_choice(at.select("place", "tok", "prev", "next"), candidates, pairs, "place"), "chosen")
-    return candidates, at.join(chosen, "place")
+    return candidates, at.join(chosen.hint("merge"), "place")
 
 
 def by_context(pages: DataFrame, words: Lexicon, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -435,8 +435,8 @@ def context_lists(pages: DataFrame, words: Lexicon, pairs: DataFrame) -> tuple[D
     """
     candidates, rows = _choices(pages, words, pairs)
     named = candidates.groupBy("tok").agg(F.array_join(F.slice(F.array_sort(F.collect_set("candidate")), 1, NAMED), "|").alias("candidates"))
-    rows = rows.select(*AT, "line", "tok_no", "tok", "status").join(named, "tok")
-    lost = rows.filter("status = 'no_ctx'").join(pages.select(*AT, "lines"), list(AT))
+    rows = rows.select(*AT, "line", "tok_no", "tok", "status").join(named.hint("merge"), "tok")
+    lost = rows.filter("status = 'no_ctx'").join(pages.select(*AT, "lines").hint("merge"), list(AT))
     own = F.get("lines", "line")
     begin = F.greatest(F.col("tok_no") - SHOWN, F.lit(0))
     shown = F.concat(F.slice(own, begin + 1, F.col("tok_no") - begin), F.array(F.concat(F.lit("<<"), "tok", F.lit(">>"))), F.slice(own, F.col("tok_no") + 2, SHOWN))
