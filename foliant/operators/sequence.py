@@ -28,7 +28,8 @@ def _before(key: Sequence[str], order: Sequence[str]):
 
 
 def _after(key: Sequence[str], order: Sequence[str]):
-    return Window.partitionBy(*key).orderBy(*order).rowsBetween(1, Window.unboundedFollowing)
+    """The rows after each, the nearest last: a frame that grows. One that shrinks is read anew for each row."""
+    return Window.partitionBy(*key).orderBy(*(F.desc(c) for c in order)).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def ordinals(df: DataFrame, key: Sequence[str], order: Sequence[Column | str], name: str = "ordinal") -> DataFrame:
@@ -57,7 +58,7 @@ def neighbours(stream: DataFrame, key: Sequence[str], order: Sequence[str], trus
     out = stream.withColumns(
         {
             "p_": F.last(one, ignorenulls=True).over(_before(key, order)),
-            "n_": F.first(one, ignorenulls=True).over(_after(key, order)),
+            "n_": F.last(one, ignorenulls=True).over(_after(key, order)),
         }
     )
     return out.select("*", *(F.col(f"p_.{v}").alias(f"prev_{v}") for v in values), *(F.col(f"n_.{v}").alias(f"next_{v}") for v in values)).drop("p_", "n_")

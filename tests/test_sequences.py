@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from foliant.operators import lineage
 from foliant.operators import sequence as S
@@ -87,3 +88,13 @@ def test_reached_by_brute_force(spark):
             want.update({(start, b): depth for b in front})
     assert got == want
     assert {r.start: r.cyclic for r in lineage.cyclic(df, spark.range(30)).collect()} == {s: (s, s) in want for s in range(30)}
+
+
+def test_neighbours_frames_only_grow(spark):
+    """A frame up to a key's end is read anew for each row: its time grows with the square of the key's rows."""
+    rows = [(k, p, (p * 7 + k) % 10, (p * p + k) % 4 == 0) for k in range(3) for p in range(40)]
+    got = S.neighbours(spark.createDataFrame(rows, "k int, pos int, n int, t boolean"), ["k"], ["pos"], F.col("t"), ["n"])
+    assert "unboundedfollowing" not in got._jdf.queryExecution().toString().lower()
+    for r in got.collect():
+        before, behind = ([x[2] for x in rows if x[0] == r.k and x[3] and side * x[1] > side * r.pos] for side in (-1, 1))
+        assert (r.prev_n, r.next_n) == (before[-1] if before else None, behind[0] if behind else None)
