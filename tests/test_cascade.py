@@ -218,6 +218,10 @@ def test_rejoined_by_brute_force(spark):
             else:
                 i += 1
     assert got == want and want
+    # the lines are read once, for runs that are written: their words are in no later plan
+    assert "toks" not in T.rejoined(df, k, k)._jdf.queryExecution().toString()
+    odd = spark.createDataFrame([(1, 0, None), (2, 0, []), (3, 0, ["ab"]), (4, 0, ["cde", "fgh", "ab"] * 3000)], df.schema)
+    assert {(r.doc_id, r.start, r.joined) for r in T.rejoined(odd, k.unionByName(spark.createDataFrame([("cdefghab", 5)], k.schema)), k).collect()} == {(4, 3 * i, "cdefghab") for i in range(3000)}
 
 
 def test_hot_words_are_joined_all_the_same(spark, monkeypatch):
