@@ -139,12 +139,13 @@ def lapse_date(text: Column) -> Column:
     return F.coalesce(date(spelled_year(a(3)), month_number(a(2)), spelled_day(a(1))), date(b(3).try_cast("int"), month_number(b(1)), day_number(b(2))))
 
 
-#: How far a date's year may be from the volume's, and words that lines of approval begin with.
+#: How far a date's year may be from the volume's, and words that lines of approval begin with. Before words
+#: of several kinds stand their first two letters, so that most places of a text are passed by at once.
 YEARS_NEAR = 4
-APPROVAL = r"(?:Appro[a-z]{1,6}|Filed\s+with\s+Secr)"
-APPROVAL_YEAR = r"(?is)(?:Appro[a-z]{1,6}|Filed\s+with\s+Secr|Passed|Pussed|APry\b).{0,80}?\b(1[0-9]{3})\b"
-AMENDED_YEAR = r"(?i)(?:amend(?:atory|ed)?\s+[^;.]{0,60}?|Statutes\s+of\s+|Stats[.,]\s*)\b(1[0-9]{3})\b"
-ANY_MONTH = "(?:January|February|March|April|May|June|July|August|September|October|November|December|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sept|Sep|Oct|Nov|Dec)"
+APPROVAL = r"(?=[AF][pi])(?:Appro[a-z]{1,6}|Filed\s+with\s+Secr)"
+APPROVAL_YEAR = r"(?is)(?=[AFP][piau])(?:Appro[a-z]{1,6}|Filed\s+with\s+Secr|Passed|Pussed|APry\b).{0,80}?\b(1[0-9]{3})\b"
+AMENDED_YEAR = r"(?i)(?=[as][mt])(?:amend(?:atory|ed)?\s+[^;.]{0,60}?|Statutes\s+of\s+|Stats[.,]\s*)\b(1[0-9]{3})\b"
+ANY_MONTH = "(?=[JFMASOND][aepuco])(?:January|February|March|April|May|June|July|August|September|October|November|December|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sept|Sep|Oct|Nov|Dec)"
 
 
 def _without_one(s: Column) -> Column:
@@ -170,15 +171,16 @@ def date_damage(text: Column, approved: Column, volume_year: Column) -> Column:
     """
     first = lambda a: F.get(a, F.lit(0))
     bad = lambda a: F.filter(a, lambda y: year_implausible(y, volume_year))
-    amended = F.regexp_extract_all(text, F.lit(AMENDED_YEAR), 1)
-    in_text = F.filter(F.regexp_extract_all(text, F.lit(APPROVAL_YEAR), 1), lambda y: ~F.array_contains(amended, y))
-    symbol = F.nullif(F.regexp_extract(text, rf"(?is){APPROVAL}.{{0,120}}?\b(1[0-9]{{2}}[^\d\s\w])", 1), F.lit(""))
+    # each search is named once: an expression that is named twice is computed twice
+    unnamed = lambda years: F.array_except(years, F.regexp_extract_all(text, F.lit(AMENDED_YEAR), 1))
+    in_text = F.filter(F.transform(F.array(bad(F.regexp_extract_all(text, F.lit(APPROVAL_YEAR), 1))), lambda y: F.when(F.size(y) > 0, unnamed(y))), lambda y: y.isNotNull())
+    symbol = F.regexp_extract_all(text, F.lit(rf"(?is){APPROVAL}.{{0,120}}?\b(1[0-9]{{2}}[^\d\s\w])"), 1)
     near = lambda y, more: F.abs(y.try_cast("int") - volume_year) <= YEARS_NEAR + more
     fives = F.filter(
         F.regexp_extract_all(text, F.lit(rf"(?is){APPROVAL}.{{0,120}}?\b(1[0-9]{{4}})\b"), 1),
         lambda y: near(F.substring(y, 1, 4), 1) | near(F.substring(y, 2, 4), 1) | F.exists(_without_one(y), lambda x: near(x, 0)),
     )
     day = first(F.filter(F.regexp_extract_all(text, F.lit(rf"(?i){ANY_MONTH}\s+(\d{{2,4}})\b"), 1), lambda d: d.try_cast("int") > 31))
-    named = lambda kind, v: F.when(v.isNotNull(), F.concat(F.lit(f"{kind}:"), v))
+    named = lambda kind, v: F.concat(F.lit(f"{kind}:"), v)
     own = first(bad(F.regexp_extract_all(F.coalesce(approved, F.lit("")), F.lit(r"\b(1[0-9]{3})\b"), 1)))
-    return F.array_compact(F.array(named("field_year", own), named("text_year", first(bad(in_text))), named("year_symbol", symbol), named("five_digits", first(fives)), named("day", day)))
+    return F.array_compact(F.array(named("field_year", own), named("text_year", first(first(in_text))), named("year_symbol", first(symbol)), named("five_digits", first(fives)), named("day", day)))

@@ -18,7 +18,7 @@ ROSTER_STATUTE_WORDS = ("section", "chapter", "approved", "whereas", "act", "sha
 CHAPTER_GARBLES = r"(?im)^(?:CHAPTEN|CHAPIER|CHAPTKR|CHAPTR|CHAPTFR|CHAPT\b)"
 SECTION_GARBLES = r"(?m)^[ \t]*(?:Ncction|SEcTION|SECIION|SEcTlON|SECHON|SECTON|SECTIOX)\b"
 APPROVAL_GARBLES = (
-    r"(?i)\b(?:Approwee[a-z]+|Appioved|Appi[ao]ved|LAppi[a-z]+|Apyi|JApprove[a-z]*|Approyed|Fuled\s+with\s+Secretary"
+    r"(?i)(?=[ALJFWPS][pauiye])\b(?:Approwee[a-z]+|Appioved|Appi[ao]ved|LAppi[a-z]+|Apyi|JApprove[a-z]*|Approyed|Fuled\s+with\s+Secretary"
     r"|Fuld\s+with\s+Secretary|Wiled\s+with\s+Secretary|Puled\s+with\s+Secretary|Fy\s+Governor|Secreiary|Secrelary)\b"
 )
 
@@ -93,7 +93,7 @@ def damaged_numbers(text: Column) -> Column:
     """How many tokens of 3 to 10 letters and digits mix both; ordinals, numbers with a short ending or a short
     beginning of letters don't count."""
     mixed = lambda t: t.rlike("[0-9]") & t.rlike("[A-Za-z]") & ~t.rlike("(?i)^[0-9]+(?:st|nd|rd|th|[a-z]{1,2})$") & ~t.rlike("^[A-Za-z]{1,3}[0-9]+$")
-    return F.size(F.filter(F.regexp_extract_all(text, F.lit(r"\b[A-Za-z0-9]{3,10}\b"), 0), mixed))
+    return F.size(F.filter(F.regexp_extract_all(text, F.lit(r"\b(?=[A-Za-z]{0,9}[0-9])[A-Za-z0-9]{3,10}\b"), 0), mixed))
 
 
 def surely_damaged(text: Column) -> Column:

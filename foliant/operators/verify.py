@@ -76,16 +76,20 @@ def act_flags(acts: DataFrame) -> DataFrame:
     c, text = F.col, F.coalesce("text", F.lit(""))
     heads = F.regexp_extract_all(text, F.lit(r"(?im)^[ \t]*Sec(?:tion|\.)\s*([0-9A-Za-z.]{1,8})"), 1)
     bare = F.transform(heads, lambda t: F.regexp_replace(t, "[.,;:()]+$", ""))
-    whole = F.filter(F.transform(bare, lambda t: t.try_cast("int")), lambda n: n.isNotNull())
-    leaps = F.exists(F.arrays_zip(whole.alias("a"), F.slice(whole, F.lit(2), F.size(whole)).alias("b")), lambda p: (F.abs(p["b"] - p["a"]) > SECTION_STEP) & (p["b"] > 100))
+    whole = lambda some: F.filter(F.transform(some, lambda t: t.try_cast("int")), lambda n: n.isNotNull())
+    leaps = lambda n: F.exists(F.arrays_zip(n.alias("a"), F.slice(n, F.lit(2), F.size(n)).alias("b")), lambda p: (F.abs(p["b"] - p["a"]) > SECTION_STEP) & (p["b"] > 100))
     of = lambda name, a: F.transform(a, lambda x: F.struct(F.lit(name).alias("check"), x.alias("detail")))
     when = lambda name, cond, detail: of(name, F.when(F.coalesce(cond, F.lit(False)), F.array(detail)).otherwise(F.array().cast("array<string>")))
+    # section numbers are searched for once: a transform's argument is a name for what it is given
+    sections = F.flatten(F.transform(F.array(bare), lambda b: F.concat(
+        when("sections", F.exists(b, P.damaged_section), F.lit("damaged")),
+        F.flatten(F.transform(F.array(whole(b)), lambda n: when("sections", (F.size(n) >= 3) & leaps(n), F.lit("leap")))),
+    )))
     simple = F.concat(
         when("range", (c("chapter") < 1) | (c("chapter") > c("ceiling")), c("chapter").cast("string")),
         of("dates", F.coalesce(D.date_damage(text, c("approved"), c("year")), F.array().cast("array<string>"))),
         of("keywords", P.misread_keywords(text)),
-        when("sections", F.exists(bare, P.damaged_section), F.lit("damaged")),
-        when("sections", (F.size(whole) >= 3) & leaps, F.lit("leap")),
+        sections,
         when("sections", P.damaged_numbers(text) >= DAMAGED_NUMBERS, F.lit("dense")),
         when("formula", (F.length(text) >= 200) & ~text.rlike(r"(?i)do\s+enact\b"), F.lit("missing")),
     )

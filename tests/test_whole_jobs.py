@@ -88,3 +88,20 @@ def test_forms_and_pages_are_not_broadcast(spark, tmp_path):
         assert "BroadcastHashJoin" not in planned(df)[1]
     counts = [planned(df)[1].count("BroadcastHashJoin") for df in (acts.bodies(pages), headings.singleton_classes(places, words))]
     assert counts[0] <= 1 and counts[1] <= 5, counts  # of known words
+
+
+def test_each_search_of_an_act_is_computed_once(spark):
+    """An expression that is named twice in an array's function is computed twice, and its cost is the query's."""
+    from foliant.functions import dates, pages
+
+    damage = str(dates.date_damage(F.col("text"), F.col("approved"), F.col("year")))
+    assert [damage.count(x) for x in ("Pussed", "atory", "January", "{0,120}")] == [1, 1, 1, 2]
+    months = "January February March April May June July August September October November December jan FEB mar apr jun jul aug sept sep oct nov dec".split()
+    rows = [(f"so. {m} 45, and", "day:45") for m in months] + [(f"{w} May 3, 1950.", "text_year:1950") for w in ("Approved", "APPROVED", "Filed with Secr", "Passed", "pussed", "APry")]
+    rows += [("Approved May 3, 1950; amended in 1950", None), ("Approved May 3, 18912.", "five_digits:18912"), ("Filed with Secretary 189*", "year_symbol:189*"), ("Statutes of 1950. Passed 1950", None), ("", None)]
+    got = spark.createDataFrame(rows, "text string, want string").select("want", dates.date_damage(F.col("text"), F.lit("May 3, 1890"), F.lit(1890)).alias("got")).collect()
+    assert [r.got for r in got] == [[] if r.want is None else [r.want] for r in got]
+    words = ["Approwees", "Appioved", "appiaved", "LAppix", "Apyi", "JApproved", "Approyed", "Fuled with Secretary", "Wiled  with Secretary", "Puled with Secretary", "fy governor", "Secreiary", "Secrelary"]
+    found = spark.createDataFrame([(w,) for w in words], "t string").select(pages.misread_keywords(F.col("t")).alias("k")).collect()
+    assert all(r.k == ["approval"] for r in found)
+    assert spark.createDataFrame([("12x4 1st ab12 a1b abc 12345678901x2 x12345678l0 l23o",)], "t string").select(pages.damaged_numbers(F.col("t")).alias("n")).first().n == 3
