@@ -8,10 +8,15 @@ from __future__ import annotations
 
 import difflib
 from collections.abc import Iterator
+from itertools import islice
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.text import tokens, vote_key
 
@@ -67,17 +72,32 @@ def places(spine: list[str], other: list[str]) -> Iterator[tuple[int, int, int]]
         here, there = block.a + block.size, block.b + block.size
 
 
-def aligned(rows: DataFrame) -> DataFrame:
-    """(page, reader, place, rank, tok) from rows with the keys of spine and reading."""
-    page = rows.schema["page"].dataType.simpleString()
-    reader = rows.schema["reader"].dataType.simpleString()
+#: Readings that are aligned at once, and rows of aligned tokens that are returned at once.
+ROWS, AT_ONCE = 64, 1 << 14
+
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            out = [(r.page, r.reader, place, rank, r.toks[k]) for r in f.itertuples(index=False) for place, rank, k in places(list(r.spine_keys), list(r.keys))]
-            yield pd.DataFrame(out, columns=["page", "reader", "place", "rank", "tok"])
+def aligned(rows: DataFrame) -> DataFrame:
+    """(page, reader, place, rank, tok) from rows with the keys of spine and reading.
 
-    return rows.select("page", "reader", "toks", "spine_keys", "keys").mapInPandas(run, f"page {page}, reader {reader}, place int, rank int, tok string")
+    What is held is a batch as it came, the words of ``ROWS`` readings, and ``AT_ONCE`` rows of the result.
+    """
+    schema = T.StructType([rows.schema["page"], rows.schema["reader"], T.StructField("place", T.IntegerType()), T.StructField("rank", T.IntegerType()), T.StructField("tok", T.StringType())])
+    arrow = to_arrow_schema(schema)
+
+    def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All words of some rows, and where each row's begin."""
+        return column.flatten().to_numpy(zero_copy_only=False), np.r_[0, np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (batch.slice(k, ROWS) for batch in batches for k in range(0, batch.num_rows, ROWS)):
+            (spine, s), (keys, n) = words(b.column("spine_keys")), words(b.column("keys"))
+            each = ((k, place, rank, n[k] + at) for k in range(b.num_rows) for place, rank, at in places(spine[s[k] : s[k + 1]].tolist(), keys[n[k] : n[k + 1]].tolist()))
+            toks = b.column("toks").flatten()  # a key for each
+            while some := list(islice(each, AT_ONCE)):
+                row, place, rank, at = (pa.array(c, pa.int32()) for c in zip(*some))
+                yield pa.RecordBatch.from_arrays([b.column("page").take(row), b.column("reader").take(row), place, rank, toks.take(at)], schema=arrow)
+
+    return rows.select("page", "reader", "toks", "spine_keys", "keys").mapInArrow(run, schema)
 
 
 def consensus(df: DataFrame, page: str, reader: str, text: str, agreeing: int = 2) -> DataFrame:

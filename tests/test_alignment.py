@@ -136,3 +136,13 @@ def test_date_damage(spark):
     df = spark.createDataFrame(rows, "t string, a string, y int, want array<string>")
     for r in df.select("want", D.date_damage(F.col("t"), F.col("a"), F.col("y")).alias("got")).collect():
         assert r.got == r.want, r
+
+
+def test_aligned_words_are_returned_by_parts(spark, monkeypatch):
+    """Nothing of a whole batch of readings is held as Python objects: results of one batch are many."""
+    monkeypatch.setattr(C, "ROWS", 3)
+    monkeypatch.setattr(C, "AT_ONCE", 7)
+    toks = [["a", "b", "c", "d"] * (k % 4) + [f"x{k}"] for k in range(20)]
+    rows = spark.createDataFrame([(1, k, t, toks[3], t) for k, t in enumerate(toks)], "page int, reader int, toks array<string>, spine_keys array<string>, keys array<string>").coalesce(1)
+    got = sorted(tuple(r) for r in C.aligned(rows).collect())
+    assert got == sorted((1, k, place, rank, t[at]) for k, t in enumerate(toks) for place, rank, at in C.places(toks[3], t))
