@@ -1,5 +1,6 @@
 """Steps whose cost once grew faster than the input, on small tables."""
 
+from foliant.operators import lineage
 from foliant.operators import tokens as T
 
 
@@ -33,3 +34,18 @@ def test_pairs_of_known_words_with_and_without_a_broadcast(spark, monkeypatch):
 def test_no_pair_over_a_line_end_in_a_batch_without_blanks(spark):
     docs = spark.createDataFrame([(1, "a b\nc d")], "doc_id long, text string")
     assert sorted(map(tuple, T.pair_counts(docs).collect())) == [("a", "b", 1), ("c", "d", 1)]
+
+
+def test_both_ways_by_one_walk_as_by_two(spark):
+    """Branches, a diamond, two edges between the same nodes and a cycle; rows are shuffled once for each start."""
+    from pyspark.sql import functions as F
+
+    pairs = [(1, 2), (1, 3), (2, 4), (3, 4), (3, 4), (4, 5), (5, 6), (6, 4), (6, 7), (4, None)]
+    edges = spark.createDataFrame([(k, a, b, "xy"[k % 2]) for k, (a, b) in enumerate(pairs)], "edge_id long, from_id long, to_id long, edge_type string")
+    start = spark.createDataFrame([(k,) for k in [*range(1, 9), None]], "id long")
+    one, two = lineage.both_ways(edges, start, every=True), lineage.both_ways(edges, start)
+    shuffles = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(start")
+    assert shuffles(one) == 1 and shuffles(one.groupBy("start").agg(F.count("*"))) == 1
+    assert one.columns == two.columns and one.dtypes == two.dtypes
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert rows(one) == rows(two) and len(rows(one)) > 60
