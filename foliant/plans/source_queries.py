@@ -9,21 +9,26 @@ from ..sources import readers
 from ..sources.paths import shared_path
 
 
+#: Pages of all volumes for each file of a volume, over 64 times as many.
+FILE_PAGES = 2_000
+
+
 @query(
     "s01_s02_page_json",
     "SELECT lang AS label, CAST(doc_id AS INT) AS page, md5(coalesce(text, '')) AS digest FROM documents",
 )
 def s01_s02_page_json(spark, sf):
     """A JSON map from page number to record in each volume's folder, the language standing in for the volume. A
-    volume's pages are dealt out over files, so that none is held in one row."""
+    volume's pages are dealt out over files, more of them the more pages there are, so that none is held in one row."""
     docs = table(spark, sf, "documents")
     path = shared_path(spark, "pages")
     record = F.struct(F.coalesce("text", F.lit("")).alias("consensus_text"))
-    files = docs.groupBy("lang", F.pmod("doc_id", F.lit(64))).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.col("doc_id").cast("string"), record)))).alias("value"))
+    dealt = F.pmod(F.xxhash64("doc_id"), F.lit(max(64, -(-docs.count() // FILE_PAGES))))
+    files = docs.groupBy("lang", dealt).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.col("doc_id").cast("string"), record)))).alias("value"))
     # one map in each file
     files.select(F.concat(F.lit("production-"), "lang").alias("volume"), "value").write.option("maxRecordsPerFile", 1).partitionBy("volume").text(path)
     volumes = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(readers.label_of(F.replace("path", F.lit("volume=production-"), F.lit("production-"))).alias("label")).distinct()
-    named = readers.pages(spark, f"{path}/*/*.txt", r"production-([^/]+)/").join(volumes, "label", "left_semi")
+    named = readers.pages(spark, f"{path}/*/*.txt", r"production-([^/]+)/").join(F.broadcast(volumes), "label", "left_semi")  # few names; pages aren't dealt by them
     return named.select("label", "page", F.md5("consensus_text").alias("digest"))
 
 
