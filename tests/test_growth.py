@@ -49,3 +49,28 @@ def test_both_ways_by_one_walk_as_by_two(spark):
     assert one.columns == two.columns and one.dtypes == two.dtypes
     rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
     assert rows(one) == rows(two) and len(rows(one)) > 60
+
+
+def test_windows_stay_in_their_line(spark, monkeypatch):
+    monkeypatch.setattr(T, "WINDOWS", 2)
+    docs = spark.createDataFrame([(1, "\na b c\n\nd"), (2, None), (1, "e f"), (3, "\n")], "doc_id long, text string").coalesce(1)
+    want = [(1, 0, 0, "e f"), (1, 0, 1, "e f"), (1, 1, 0, "a b"), (1, 1, 1, "a b c"), (1, 1, 2, "b c"), (1, 3, 0, "d")]
+    assert sorted(map(tuple, T.context_windows(docs, 1).collect())) == want
+
+
+def test_pages_of_a_language_are_not_sent_to_one_task(spark):
+    from conftest import DATA
+
+    from foliant.queries import QUERIES
+
+    plan = QUERIES["s01_s02_page_json"](spark, f"{DATA}/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(label" not in plan.split("BroadcastExchange")[0]
+
+
+def test_numbers_are_dealt_out_once(spark):
+    from conftest import DATA
+
+    from foliant.queries import QUERIES
+
+    plan = QUERIES["c17_key_triage"](spark, f"{DATA}/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
