@@ -13,7 +13,7 @@ Defined cases: a null text has no lines; a page without lines passes through; re
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,26 +58,101 @@ class Lexicon:
         return self.known.filter(W.zipf(F.col("freq"), self.total) >= zipf)
 
 
+#: Letters outside A to Z and À to ÿ that in lower case are among these.
+_STRANGE = "[\u0178\u1e9e\u212a\u212b]"
+# A word before a hyphen at a line's end, which may be one that only ends lines beside "\n".
+_HYPHENED = r"(?P<word>[A-Za-zÀ-ÿ]{2,})-[ \t\r]*[\x{85}\x{2028}\x{2029}]?$"
+
+
 def pages_of(texts: DataFrame, volume: str, page: str, text: str = "text") -> DataFrame:
-    """Pages from texts, their words in lower case."""
-    of_line = lambda x: F.struct(X.words(x).alias("toks"), F.lower(F.nullif(F.regexp_extract(x, "([A-Za-zÀ-ÿ]{2,})-[ \\t\\r]*$", 1), F.lit(""))).alias("hyphen"))
-    lines = F.filter(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), of_line), lambda x: F.size(x["toks"]) > 0)
-    rows = texts.select(F.col(volume).alias("volume"), F.col(page).cast("long").alias("page"), lines.alias("l_"))
-    return rows.select("volume", "page", F.transform("l_", lambda x: x["toks"]).alias("lines"), F.transform("l_", lambda x: x["hyphen"]).alias("hyphens"))
+    """Pages from texts, their words in lower case: made for a batch of texts at once."""
+    low, own = F.lower(F.coalesce(F.col(text), F.lit(""))), F.when(F.col(text).rlike(_STRANGE), F.col(text))
+    rows = texts.select(F.col(volume).alias("volume"), F.col(page).cast("long").alias("page"), low.alias("low"), own.alias("own"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in W._sliced(batch):
+                words, code, row = W._numbered(b.column("low"), True)
+                line = (np.cumsum(code < 0) + row)[code >= 0]  # of all lines of these texts
+                code, row = code[code >= 0], row[code >= 0]
+                first = np.flatnonzero(np.r_[True, line[1:] != line[:-1]]) if len(line) else line
+                hyphens = _hyphened(pc.split_pattern(pc.coalesce(b.column("own"), b.column("low")), "\n").flatten().take(pa.array(line[first])))
+                outer = np.searchsorted(row[first], np.arange(b.num_rows + 1))
+                inner = pa.ListArray.from_arrays(pa.array(np.r_[first, len(code)], pa.int32()), words.take(pa.array(code)))
+                nested = [pa.ListArray.from_arrays(pa.array(outer, pa.int32()), x) for x in (inner, hyphens)]
+                yield pa.RecordBatch.from_arrays([b.column("volume"), b.column("page"), *nested], names=["volume", "page", "lines", "hyphens"])
+
+    return rows.mapInArrow(run, f"volume {rows.schema['volume'].dataType.simpleString()}, page long, lines array<array<string>>, hyphens array<string>")
+
+
+def _hyphened(lines: pa.Array) -> pa.Array:
+    """The word before a hyphen at each line's end, or null."""
+    at = np.flatnonzero(pc.match_substring_regex(lines, _HYPHENED).to_numpy(zero_copy_only=False))
+    found = pc.utf8_lower(pc.extract_regex(lines.take(pa.array(at)), _HYPHENED).field("word"))
+    place = np.full(len(lines), -1)
+    place[at] = np.arange(len(at))
+    return found.take(pa.array(place, mask=place < 0))
 
 
 AT = ("volume", "page")
 
 
+def _one_after_another(*words: pa.Array) -> pa.Array:
+    """Words of several arrays; empty ones that Spark sends may lack offsets."""
+    return pa.concat_arrays([x for x in words if len(x)] or [pa.array([], pa.string())])
+
+
+def _by_batch(pages: DataFrame, schema: str, count: Callable[[pa.RecordBatch, pa.Array], list[pa.Array]], *columns: str) -> DataFrame:
+    """What ``count`` gives for some pages and their words, a slice of a batch at once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in W._sliced(batch):
+                yield pa.RecordBatch.from_arrays(count(b, b.column("lines").flatten().flatten()), names=names)
+
+    names = [x.split()[0] for x in schema.split(", ")]
+    return pages.select(*columns, "lines").mapInArrow(run, schema)
+
+
 def unknown_places(pages: DataFrame, words: Lexicon) -> DataFrame:
     """(volume, page, tok) of the distinct words of each page that aren't known."""
-    each = pages.select(*AT, F.explode(F.array_distinct(F.array_compact(F.concat(F.flatten("lines"), "hyphens")))).alias("tok"))
+
+    def count(b: pa.RecordBatch, flat: pa.Array) -> list[pa.Array]:
+        hyphens = b.column("hyphens")
+        coded = _one_after_another(flat, hyphens.flatten()).dictionary_encode()
+        outer, inner = _ends(b.column("lines"))
+        row = np.r_[np.repeat(np.arange(b.num_rows), np.diff(inner[outer])), np.repeat(np.arange(b.num_rows), pc.list_value_length(hyphens).to_numpy(zero_copy_only=False))]
+        own = pc.is_valid(coded.indices).to_numpy(zero_copy_only=False)  # most lines have no hyphen
+        code, n = pc.fill_null(coded.indices, 0).to_numpy(zero_copy_only=False).astype(np.int64), max(1, len(coded.dictionary))
+        held = W._distinct(row[own] * n + code[own])
+        at = pa.array(held // n)
+        return [b.column("volume").take(at), b.column("page").take(at), coded.dictionary.take(pa.array(held % n))]
+
+    each = _by_batch(pages, f"volume {pages.schema['volume'].dataType.simpleString()}, page long, tok string", count, *AT, "hyphens")
     return W.join_words(each, words.known.select("tok"), words.vocab, "left_anti")
 
 
+def unknown_words(pages: DataFrame, words: Lexicon, shortest: int = 1) -> DataFrame:
+    """(tok): the distinct words of all pages, of so many letters, that aren't known; those of a batch are found before
+    anything is looked up."""
+
+    def count(b: pa.RecordBatch, flat: pa.Array) -> list[pa.Array]:
+        each = pc.drop_null(pc.unique(_one_after_another(flat, b.column("hyphens").flatten())))
+        return [each.filter(pc.greater_equal(pc.utf8_length(each), shortest))]
+
+    each = _by_batch(pages, "tok string", count, "hyphens")
+    return W.join_words(each, words.known.select("tok"), words.vocab, "left_anti").distinct()
+
+
 def measured(pages: DataFrame, words: Lexicon, stage: str) -> DataFrame:
     """(stage, flagged, tokens): words of two letters or more that aren't known, and all."""
-    each = pages.select(F.explode(F.flatten("lines")).alias("tok")).filter(F.length("tok") >= 2).groupBy("tok").agg(F.count("*").alias("n"))
+
+    def count(_: pa.RecordBatch, flat: pa.Array) -> list[pa.Array]:
+        each, n = pc.value_counts(flat).flatten()
+        long = pc.greater_equal(pc.utf8_length(each), 2)
+        return [each.filter(long), n.filter(long)]
+
+    each = _by_batch(pages, "tok string, n long", count).groupBy("tok").agg(F.sum("n").alias("n"))
     flags = each.join(words.known.select("tok", F.lit(1).alias("k_")), "tok", "left")
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))
     return flags.agg(total(F.when(F.col("k_").isNull(), F.col("n"))).alias("flagged"), total("n").alias("tokens")).select(F.lit(stage).alias("stage"), "flagged", "tokens")
@@ -112,6 +187,20 @@ def _looked_up(lines: pa.Array, keys: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat, pc.fill_null(found, -1).to_numpy(zero_copy_only=False)
 
 
+def _ends(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where each page's lines begin among all lines of a batch, and each line's words among all words, and the ends."""
+    size = lambda x: np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(x), 0).to_numpy(zero_copy_only=False), dtype=np.int64)]
+    return size(lines), size(lines.flatten())
+
+
+def _places(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's page, by number in the batch, and its place on it."""
+    outer, inner = _ends(lines)
+    line = np.repeat(np.arange(len(inner) - 1), np.diff(inner))
+    row = np.repeat(np.arange(len(outer) - 1), np.diff(outer))[line]
+    return row, (line - outer[row]) * LINE + np.arange(len(line)) - inner[line]
+
+
 def _nested(lines: pa.Array, sizes: np.ndarray, flat: pa.Array) -> pa.Array:
     """``flat`` in the pages and lines of ``lines``, whose words have become so many each."""
     ends = np.r_[0, np.cumsum(sizes)]
@@ -137,31 +226,65 @@ def marked(pages: DataFrame) -> DataFrame:
 
 
 def _taken(proposed: DataFrame, kind: str) -> DataFrame:
-    """(volume, page, kind, before, after, places) of what is put together on each page.
+    """(volume, page, kind, before, after, places) of what is put together on each page: by rank, what has no place that is
+    taken.
 
     ``proposed``: (volume, page, rank, places, before, after).
     """
-    one = F.struct("rank", "places", "before", "after")
-    start = F.struct(F.array().cast("array<bigint>").alias("used"), F.array().cast("array<struct<places:array<bigint>,before:string,after:string>>").alias("kept"))
-    fold = F.aggregate(
-        F.array_sort(F.collect_list(one)),
-        start,
-        lambda acc, c: F.when(F.arrays_overlap(acc["used"], c["places"]), acc).otherwise(
-            F.struct(F.concat(acc["used"], c["places"]).alias("used"), F.concat(acc["kept"], F.array(F.struct(c["places"], c["before"], c["after"]))).alias("kept"))
-        ),
-    )
-    rows = proposed.groupBy(*AT).agg(fold["kept"].alias("k_")).select(*AT, F.explode("k_").alias("k_"))
-    return stored(rows.select(*AT, F.lit(kind).alias("kind"), "k_.before", "k_.after", "k_.places"), "put-together")
+    ranked = proposed.groupBy(*AT).agg(F.array_sort(F.collect_list(F.struct("rank", "places", "before", "after"))).alias("c_"))
+    ranked = ranked.select(*AT, F.transform("c_", lambda c: F.struct(c["places"].alias("places"), c["before"].alias("before"), c["after"].alias("after"))).alias("c_"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in W._sliced(batch):
+                each = b.column("c_").flatten()
+                row = np.repeat(np.arange(b.num_rows), pc.list_value_length(b.column("c_")).to_numpy(zero_copy_only=False))
+                kept, page, used = [], -1, set()
+                for k, (at, places) in enumerate(zip(row.tolist(), each.field("places").to_pylist())):
+                    if at != page:
+                        page, used = at, set()
+                    if used.isdisjoint(places):
+                        used.update(places)
+                        kept.append(k)
+                own, at = each.take(pa.array(kept, pa.int64())), pa.array(row[np.array(kept, np.int64)])
+                yield pa.RecordBatch.from_arrays([b.column("volume").take(at), b.column("page").take(at), *(own.field(c) for c in ("before", "after", "places"))], names=["volume", "page", "before", "after", "places"])
+
+    rows = ranked.mapInArrow(run, f"volume {proposed.schema['volume'].dataType.simpleString()}, page long, before string, after string, places array<long>")
+    return stored(rows.select(*AT, F.lit(kind).alias("kind"), "before", "after", "places"), "put-together")
 
 
 def _put_together(pages: DataFrame, taken: DataFrame) -> DataFrame:
     """Pages in which the first place of each row of ``taken`` has the whole word and its other places are gone."""
-    word = lambda t: F.transform(t["places"], lambda p, k: F.struct(p.alias("at"), F.when(k == 0, t["after"]).otherwise("").alias("tok")))
-    edits = taken.groupBy(*AT).agg(F.map_from_entries(F.flatten(F.transform(F.collect_list(F.struct("places", "after")), word))).alias("m_"))
-    whole = lambda t: F.when(t.isNotNull(), F.struct(t.alias("tok"), F.lit(0).alias("m")))
-    new = lambda k: lambda w, j: F.coalesce(whole(F.try_element_at("m_", k.cast("long") * LINE + j)), w)
-    lines = F.transform("lines", lambda toks, k: F.filter(F.transform(toks, new(k)), lambda w: w["tok"] != ""))
-    return pages.join(edits, list(AT), "left").withColumn("lines", F.when(F.col("m_").isNull(), F.col("lines")).otherwise(lines)).drop("m_")
+    edits = taken.groupBy(*AT).agg(F.collect_list(F.struct("places", "after")).alias("edits"))
+    none = F.array().cast("array<struct<places:array<bigint>,after:string>>")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in W._sliced(batch):
+                lines, edits = b.column("lines"), b.column("edits")
+                some, flat = edits.flatten(), lines.flatten().flatten()
+                outer, inner = _ends(lines)
+                n = pc.list_value_length(some.field("places")).to_numpy(zero_copy_only=False)
+                place = some.field("places").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                edit = np.repeat(np.arange(len(n)), n)
+                row = np.repeat(np.arange(b.num_rows), pc.list_value_length(edits).to_numpy(zero_copy_only=False))[edit]
+                line = outer[row] + place // LINE
+                there = line < outer[row + 1]
+                line = np.where(there, line, 0)
+                word = inner[line] + place % LINE
+                there &= word < inner[line + 1]  # repeated pages may differ
+                whole = there & (np.r_[True, edit[1:] != edit[:-1]] if len(edit) else there) & pc.not_equal(some.field("after"), "").to_numpy(zero_copy_only=False)[edit]
+                source, marks = np.arange(len(flat)), flat.field("m").to_numpy(zero_copy_only=False).copy()
+                source[word[whole]], marks[word[whole]] = len(flat) + edit[whole], 0
+                sizes = np.ones(len(flat), np.int64)
+                sizes[word[there & ~whole]] = 0
+                left = np.flatnonzero(sizes)
+                words = _one_after_another(flat.field("tok"), some.field("after")).take(pa.array(source[left]))
+                words = pa.StructArray.from_arrays([words, pa.array(marks[left], pa.int32())], names=["tok", "m"])
+                yield pa.RecordBatch.from_arrays([b.column("volume"), b.column("page"), b.column("hyphens"), _nested(lines, sizes, words)], names=["volume", "page", "hyphens", "lines"])
+
+    joined = pages.join(edits, list(AT), "left").select(*AT, "hyphens", "lines", F.coalesce("edits", none).alias("edits"))
+    return joined.mapInArrow(run, f"volume {pages.schema['volume'].dataType.simpleString()}, page long, hyphens array<string>, lines {_MARKED}").select(*pages.columns)
 
 
 def _making(proposed: DataFrame, words: DataFrame, lexicon: Lexicon) -> DataFrame:
@@ -173,14 +296,31 @@ def within_lines(pages: DataFrame, words: Lexicon) -> DataFrame:
 
     Some word of a run isn't known; all have two letters, those that aren't known three, and five together.
     """
-    run = lambda toks, k: F.transform(toks, lambda w, j: F.struct((k.cast("long") * LINE + j).alias("at"), F.slice(toks, j + 1, PIECES).alias("run")))
-    runs = F.filter(F.flatten(F.transform("lines", run)), lambda r: F.exists(r["run"], lambda w: w["m"] > 0) & (F.size(r["run"]) > 1))
-    rows = pages.select(*AT, F.explode(runs).alias("r")).select(*AT, "r.at", F.explode(F.transform(F.sequence(F.lit(2), F.size("r.run")), lambda n: F.slice("r.run", 1, n))).alias("run"))
-    fits = F.forall("run", lambda w: (F.length(w["tok"]) >= 2) & ((F.length(w["tok"]) >= 3) | (w["m"] == 0))) & F.exists("run", lambda w: w["m"] > 0)
-    rows = rows.filter(fits).withColumn("after", F.array_join("run.tok", "")).filter(F.length("after") >= 5)
-    n = F.size("run")
-    rows = rows.select(*AT, F.struct(F.col("at"), (-n).alias("n")).alias("rank"), F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.col("at") + k).alias("places"), F.array_join("run.tok", " ").alias("before"), "after")
-    return _taken(_making(rows, words.strong, words), SPACE)
+    names = ["volume", "page", "at", "n", "before", "after"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in W._sliced(batch):
+                flat, (row, place) = b.column("lines").flatten().flatten(), _places(b.column("lines"))
+                tok = flat.field("tok")
+                letters, odd = pc.utf8_length(tok).to_numpy(zero_copy_only=False), flat.field("m").to_numpy(zero_copy_only=False) > 0
+                fit = (letters >= 2) & ((letters >= 3) | ~odd)
+                total, fits, some = letters.copy(), fit, odd
+                for n in range(2, PIECES + 1):  # words from each place on, in the same line
+                    k = len(tok) - n + 1
+                    if k <= 0:
+                        break
+                    same = (row[:k] == row[n - 1 :]) & (place[n - 1 :] - place[:k] == n - 1)
+                    total, fits, some = total[:k] + letters[n - 1 :], fits[:k] & fit[n - 1 :] & same, some[:k] | odd[n - 1 :]
+                    at = np.flatnonzero(fits & some & (total >= 5))
+                    if len(at):
+                        own, parts = pa.array(row[at]), [tok.take(pa.array(at + j)) for j in range(n)]
+                        joined = [pc.binary_join_element_wise(*parts, by) for by in (" ", "")]
+                        yield pa.RecordBatch.from_arrays([b.column("volume").take(own), b.column("page").take(own), pa.array(place[at]), pa.array(np.full(len(at), n), pa.int32()), *joined], names=names)
+
+    rows = pages.select(*AT, "lines").mapInArrow(run, f"volume {pages.schema['volume'].dataType.simpleString()}, page long, at long, n int, before string, after string")
+    rows = _making(rows, words.strong, words)
+    return _taken(rows.select(*AT, F.struct(F.col("at"), (-F.col("n")).alias("n")).alias("rank"), F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda k: F.col("at") + k).alias("places"), "before", "after"), SPACE)
 
 
 def over_lines(pages: DataFrame, words: Lexicon) -> DataFrame:
@@ -354,7 +494,7 @@ def replaced(pages: DataFrame, fixes: DataFrame, words: Lexicon, kind_of: str) -
 
 def _candidates(pages: DataFrame, words: Lexicon, shortest: int) -> DataFrame:
     """(tok, affix) of the distinct unknown words of so many letters, and whether each begins or ends a known word."""
-    each = unknown_places(pages, words).filter(F.length("tok") >= shortest).select("tok").distinct()
+    each = unknown_words(pages, words, shortest)
     return stored(W.fragments(each, words.known, shortest=1).select("tok", (F.col("is_head") | F.col("is_tail")).alias("affix")), "unknown")
 
 
@@ -384,7 +524,7 @@ def correction_fixes(pages: DataFrame, words: Lexicon) -> DataFrame:
 
 
 def mojibake_fixes(pages: DataFrame, words: Lexicon) -> DataFrame:
-    return W.mojibake_fixes(unknown_places(pages, words).select("tok").distinct().filter(F.col("tok").rlike(r"[^\x00-\x7F]")), words.known)
+    return W.mojibake_fixes(unknown_words(pages, words).filter(F.col("tok").rlike(r"[^\x00-\x7F]")), words.known)
 
 
 # --- context ------------------------------------------------------------------------------------------

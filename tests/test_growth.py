@@ -74,3 +74,32 @@ def test_numbers_are_dealt_out_once(spark):
 
     plan = QUERIES["c17_key_triage"](spark, f"{DATA}/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_pages_are_made_in_batches_as_by_patterns(spark):
+    """As Python's patterns find words and hyphens, line by line; no function is applied row by row for it."""
+    import re
+
+    from foliant.operators import cascade as C
+
+    texts = ["Legis-\nlature—x\n\n12\nAB- \t\r\nof", None, "", "\n", "x-\nabK-\nŸab-\nÉtÉ-\nab- \na-b -\nİab-", "-\nABẞ-\n中文-", "A\rb-\rc-\r"]
+    letters = "[^\\W\\d_]+"
+    want = []
+    for t in texts:
+        lines = [(re.findall(letters, x.lower()), re.search("([A-Za-zÀ-ÿ]{2,})-[ \\t\\r]*[\x85  ]?$", x)) for x in (t or "").split("\n")]
+        want.append(([a for a, _ in lines if a], [h and h[1].lower() for a, h in lines if a]))
+    df = C.pages_of(spark.createDataFrame([(1, k, t) for k, t in enumerate(texts)], "volume long, page long, text string"), "volume", "page")
+    assert [(r.lines, r.hyphens) for r in df.orderBy("page").collect()] == want
+    assert "regexp_extract_all" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_put_together_by_places_not_by_look_up(spark):
+    """Places beyond a page's words are let pass; the first place of an edit takes the whole word, the others go."""
+    from foliant.operators import cascade as C
+
+    pages = spark.createDataFrame([(1, 1, ["a"], [[("sta", 1), ("tute", 1), ("of", 0)], [("x", 1)]]), (1, 2, [None], [])], "volume long, page long, hyphens array<string>, lines array<array<struct<tok:string,m:int>>>")
+    edits = [(1, 1, [0, 1], "statute"), (1, 1, [C.LINE], ""), (1, 1, [C.LINE * 5, 2], "beyond"), (1, 2, [0, 1], "none")]
+    out = C._put_together(pages, spark.createDataFrame(edits, "volume long, page long, places array<long>, after string"))
+    assert [r.lines for r in out.orderBy("page").collect()] == [[[("statute", 0)], []], []]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "map_from_entries" not in plan and "try_element_at" not in plan
