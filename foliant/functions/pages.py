@@ -62,16 +62,27 @@ def page_decision(toks: Column) -> Column:
     return F.struct(decision.alias("decision"), why.alias("why"))
 
 
-def roster_rule(toks: Column, garbled: Column, names: Column, places: Column) -> Column:
-    """The first rule by which a page is a roster or an index, null for a body page.
-
-    ``garbled``, ``names`` and ``places`` are shares of its tokens.
-    """
+def roster_signs(toks: Column) -> Column:
+    """What the rules ask of a page's tokens: share of statutes' words, markers, entries, and whether it is titled so."""
     statute = F.try_divide(count_of(toks, ROSTER_STATUTE_WORDS), F.size(toks))
     markers = F.size(F.array_intersect(F.slice(toks, 1, 40), F.array(*map(F.lit, ROSTER_WORDS))))
     entries = F.size(F.filter(toks, lambda t, k: (t == "an") & (F.get(toks, k + 1) == "act")))
     head = F.slice(toks, 1, 20)
     titled = F.size(F.filter(head, lambda t, k: (t == "title") & (F.get(head, k + 1).isin("act", "acts") | F.get(head, k + 2).isin("act", "acts")))) > 0
+    return F.struct(statute.alias("statute"), markers.alias("markers"), entries.alias("entries"), titled.alias("titled"))
+
+
+def roster_rule(toks: Column, garbled: Column, names: Column, places: Column) -> Column:
+    """The first rule by which a page is a roster or an index, null for a body page.
+
+    ``garbled``, ``names`` and ``places`` are shares of its tokens.
+    """
+    return rule_of_signs(roster_signs(toks), garbled, names, places)
+
+
+def rule_of_signs(signs: Column, garbled: Column, names: Column, places: Column) -> Column:
+    """:func:`roster_rule` by a page's :func:`roster_signs`."""
+    statute, markers, entries, titled = (signs[c] for c in ("statute", "markers", "entries", "titled"))
     return (
         F.when((markers >= FEW_MARKERS) & (statute < STATUTE_FEW), "R1_marker")
         .when((names > NAMES_MANY) & (statute < STATUTE_SCARCE), "R2_names")

@@ -93,12 +93,14 @@ def f43_roster_shares(spark, sf):
     listing = nation.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))), lambda x: x["n_name"]), " ").alias("g"))  # 25 rows
     docs_ = table(spark, sf, "documents").crossJoin(F.broadcast(listing))
     text = F.concat(chosen(F.col("doc_id"), ROSTERS), F.lit(" "), F.expr("repeat(concat(g, ' '), CAST(doc_id % 10 AS INT))"), F.coalesce("text", F.lit("")))
-    pages = stored(docs_.select("doc_id", X.words(text).alias("toks")), "pages")
-    vocab = stored(pages.select("doc_id", F.explode("toks").alias("tok")).groupBy("tok").agg(F.count("*").alias("freq"), F.count_distinct("doc_id").alias("docs")), "vocab")
+    texts = docs_.select("doc_id", text.alias("text"))
+    pages = stored(texts.select("doc_id", X.words(F.col("text")).alias("toks")), "pages")
+    own = T.words_of_one(texts).filter("length(tok) >= 6").groupBy("doc_id").agg(F.sum("freq").alias("n"))
     names = H.listed_words(nation.select(F.col("n_name").alias("x")).unionByName(region.select(F.col("r_name").alias("x"))), ["x"], 3)
     places = H.listed_words(region.select(F.col("r_name").alias("x")).unionByName(nation.filter("n_regionkey < 2").select(F.col("n_name").alias("x"))), ["x"], 4, PLACE_PARTS)
-    found = H.shares(pages, "doc_id", "toks", vocab, names=names, places=places, garbled=vocab.filter("docs = 1 AND length(tok) >= 6"))
-    rule = P.roster_rule(F.col("toks"), F.col("garbled"), F.col("names"), F.col("places")).alias("rule")
+    found = H.shares(pages, "doc_id", "toks", T.vocabulary(texts), {"garbled": own}, names=names, places=places)
+    found = pages.select("doc_id", P.roster_signs(F.col("toks")).alias("signs")).join(found, "doc_id", "left")
+    rule = P.rule_of_signs(F.col("signs"), F.col("garbled"), F.col("names"), F.col("places")).alias("rule")
     return found.select("doc_id", *(F.round(c, 6).alias(c) for c in ("names", "places", "garbled")), rule)
 
 

@@ -103,3 +103,17 @@ def test_put_together_by_places_not_by_look_up(spark):
     assert [r.lines for r in out.orderBy("page").collect()] == [[[("statute", 0)], []], []]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "map_from_entries" not in plan and "try_element_at" not in plan
+
+
+def test_words_of_one_id_and_shares_by_pages(spark):
+    """Repeated ids, null ones and null texts; a page's words are not shuffled."""
+    from foliant.operators import headings as H
+
+    docs = spark.createDataFrame([(1, "one two\nboth"), (1, "one three"), (2, "both four four"), (None, "two five"), (3, None), (4, "—")], "doc_id long, text string")
+    rows = sorted(map(tuple, T.words_of_one(docs).collect()))
+    assert rows == [("four", 2, 2), ("one", 1, 2), ("three", 1, 1), ("two", 1, 1)]
+    pages = spark.createDataFrame([(1, ["a", "b", "a"]), (1, ["c"]), (2, ["b"]), (3, []), (4, None)], "doc_id long, toks array<string>")
+    a, ab = (spark.createDataFrame([(w,) for w in x], "tok string") for x in ("a", "ab"))
+    got = H.shares(pages, "doc_id", "toks", docs, {"own": spark.createDataFrame([(2, 1)], "doc_id long, n long")}, first=a, both=ab)
+    assert sorted(map(tuple, got.collect())) == [(1, 0.5, 0.75, 0.0), (2, 0.0, 1.0, 1.0)]
+    assert "tok" not in "".join(x for x in got._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning" in x)
