@@ -198,8 +198,7 @@ w AS (SELECT doc_id, unnest(regexp_extract_all(t, '[A-Za-zÀ-ÿ]+(?:-[A-Za-zÀ-
 SELECT doc_id, w AS tok, count(*) AS n FROM p WHERE length(w) >= 2 GROUP BY ALL""")
 def f50_composed_tokens(spark, sf):
     t = F.concat(F.replace("text", F.lit("\u00e9"), F.lit("e\u0301")), F.lit(" Well-to-do x"))
-    docs = table(spark, sf, "documents").select("doc_id", A.composed(t).alias("t"))
-    return docs.select("doc_id", F.explode(X.index_tokens(F.col("t"))).alias("tok")).groupBy("doc_id", "tok").agg(F.count("*").alias("n"))
+    return T.index_counts(table(spark, sf, "documents").select("doc_id", t.alias("text")))
 
 
 _TURNS = r"""c AS (SELECT conv_id, turn, coalesce(text, '') AS new, coalesce(lag(text) OVER (PARTITION BY conv_id ORDER BY turn), '') AS old FROM conversations),

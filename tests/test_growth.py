@@ -117,3 +117,18 @@ def test_words_of_one_id_and_shares_by_pages(spark):
     got = H.shares(pages, "doc_id", "toks", docs, {"own": spark.createDataFrame([(2, 1)], "doc_id long, n long")}, first=a, both=ab)
     assert sorted(map(tuple, got.collect())) == [(1, 0.5, 0.75, 0.0), (2, 0.0, 1.0, 1.0)]
     assert "tok" not in "".join(x for x in got._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning" in x)
+
+
+def test_index_counts_as_by_patterns(spark):
+    """As the row by row functions have it; words are counted before they are taken apart."""
+    from pyspark.sql import functions as F
+
+    from foliant.functions import alignment as A
+    from foliant.functions import text as X
+
+    texts = ["Well-to-do x-y a--b -cd- É-é éé", None, "", "a×b÷c ×÷ —ok no\x85yes \x01two\x7fthree", "Kab ÅŸ İstanbul ẞa-ßb ŒUVRE œuvre", "中文ab Σας ab1cd", "same same Same-same"]
+    docs = spark.createDataFrame([(k // 2, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    want = docs.select("doc_id", F.explode(X.index_tokens(A.composed(F.col("text")))).alias("tok")).groupBy("doc_id", "tok").agg(F.count("*").alias("n"))
+    got = T.index_counts(docs)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 25
+    assert "Generate" not in got._jdf.queryExecution().executedPlan().toString()
