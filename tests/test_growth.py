@@ -132,3 +132,13 @@ def test_index_counts_as_by_patterns(spark):
     got = T.index_counts(docs)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 25
     assert "Generate" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_batch_is_counted_in_slices_of_a_megabyte():
+    """A worker holds what one slice takes, some twenty times its bytes, however many rows a batch has."""
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4000)), pa.array(["some words of a text " * 160] * 4000)], names=["doc_id", "text"])
+    slices = list(T._sliced(batch))
+    assert max(b.nbytes for b in slices) <= 1 << 20
+    assert pa.Table.from_batches(slices).column("doc_id").to_pylist() == list(range(4000))
