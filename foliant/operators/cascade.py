@@ -4,9 +4,9 @@ A table of pages has ``volume``, ``page`` (consecutive whole numbers within a vo
 with any) and ``hyphens`` (of each line the word before a hyphen at its end, or null). Each stage is a table of pages
 again, written before the next one reads it, with an audit of what it changed.
 
-What words are is looked up by joins. The words of a page that aren't known come to it as a small array; what its parts
-may make are rows, of which those that make a known word are left and chosen from by rank. Splits, corrections and mended
-characters are decided once for each distinct word.
+What is stored of pages is two strings, and words are looked up, put together and replaced for a batch of pages at once, in
+tables of words that every worker holds (:mod:`lookup`). What goes over a page's end, and the choice by context, are rows,
+of a page's ends and of single words. Splits, corrections and mended characters are decided once for each distinct word.
 
 Defined cases: a null text has no lines; a page without lines passes through; repeated pages are each corrected.
 """
@@ -14,17 +14,20 @@ Defined cases: a null text has no lines; a page without lines passes through; re
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as X
 from ..sources.paths import stored
 from . import tokens as W
+from .lookup import Held, held
 
 STAGES = ("reunify", "split", "autocorrect", "mojibake", "context")
 # How far a line's or page's last word looks ahead, how many pieces and how far apart a word may be.
@@ -46,6 +49,7 @@ class Lexicon:
     vocab: DataFrame
     total: int
     names: DataFrame
+    _held: list = field(default_factory=list)
 
     @classmethod
     def of(cls, known: DataFrame, vocab: DataFrame, names: DataFrame | None = None) -> Lexicon:
@@ -54,10 +58,23 @@ class Lexicon:
         strong = known.filter(W.zipf(F.col("freq"), total) >= STRONG).select("tok")
         return cls(known, strong, vocab, total, known.select("tok").limit(0) if names is None else names.select("tok"))
 
+    def held(self, pieces: DataFrame | None = None) -> Broadcast[Held]:
+        """Known words and what they may be used for, for lookups in batches; and ``pieces`` (tok, m) of them."""
+        if pieces is None and self._held:
+            return self._held[0]
+        strong = F.when(W.zipf(F.col("freq"), self.total) >= STRONG, STRONG_).otherwise(0)
+        each = self.known.select("tok", (KNOWN + strong).alias("m"))
+        if pieces is not None:
+            return held(each.unionByName(pieces))
+        self._held.append(held(each))
+        return self._held[0]
+
     def at_least(self, zipf: float) -> DataFrame:
         return self.known.filter(W.zipf(F.col("freq"), self.total) >= zipf)
 
 
+AT = ("volume", "page")
+
 #: Letters outside A to Z and À to ÿ that in lower case are among these.
 _STRANGE = "[\u0178\u1e9e\u212a\u212b]"
 # A word before a hyphen at a line's end, which may be one that only ends lines beside "\n".
@@ -69,20 +86,136 @@ def pages_of(texts: DataFrame, volume: str, page: str, text: str = "text") -> Da
     low, own = F.lower(F.coalesce(F.col(text), F.lit(""))), F.when(F.col(text).rlike(_STRANGE), F.col(text))
     rows = texts.select(F.col(volume).alias("volume"), F.col(page).cast("long").alias("page"), low.alias("low"), own.alias("own"))
 
+    def make(b: pa.RecordBatch) -> list[pa.Array]:
+        words, code, row = W._numbered(b.column("low"), True)
+        line = (np.cumsum(code < 0) + row)[code >= 0]  # of all lines of these texts
+        code, row = code[code >= 0], row[code >= 0]
+        first = np.flatnonzero(np.r_[True, line[1:] != line[:-1]]) if len(line) else line
+        hyphens = _hyphened(pc.split_pattern(pc.coalesce(b.column("own"), b.column("low")), "\n").flatten().take(pa.array(line[first])))
+        outer = np.searchsorted(row[first], np.arange(b.num_rows + 1))  # lines with words
+        full = np.diff(outer)
+        begin = np.r_[0, np.cumsum(np.maximum(full, 1))]
+        number = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(code)]))
+        none = full == 0
+        ends = pc.binary_join(pa.ListArray.from_arrays(pa.array(outer, pa.int32()), pc.fill_null(hyphens, "")), "\n")
+        return [_written(_Words(words, code, row, begin[row] + number - outer[row], begin, none)), pc.if_else(pa.array(none), pa.scalar(None, pa.string()), ends)]
+
+    return _as_pages(_by_slice(rows, make, "flat string, ends string"))
+
+
+def _as_pages(flat: DataFrame) -> DataFrame:
+    """Pages with ``lines`` and ``hyphens`` for those who want them; what is stored and read in batches are two strings."""
+    lines = F.transform(F.split("flat", " *\n *"), lambda x: F.filter(F.split(x, " "), lambda w: w != ""))
+    hyphens = F.transform(F.split("ends", "\n"), lambda x: F.nullif(x, F.lit("")))
+    none = lambda kind: F.array().cast(kind)
+    return flat.select(*AT, F.coalesce(lines, none("array<array<string>>")).alias("lines"), F.coalesce(hyphens, none("array<string>")).alias("hyphens"), "flat", "ends")
+
+
+def _flat(pages: DataFrame) -> DataFrame:
+    """(volume, page, flat, ends): a page's words with a blank between, and a line's end as a word; each line's hyphened word
+    or nothing. Both are null for a page without lines."""
+    if "flat" in pages.columns:
+        return pages.select(*AT, "flat", "ends")
+    some = F.size("lines") > 0
+    flat = F.array_join(F.transform("lines", lambda x: F.array_join(x, " ")), " \n ")
+    ends = F.array_join(F.transform("lines", lambda _, k: F.coalesce(F.get("hyphens", k), F.lit(""))), "\n")
+    return pages.select(*AT, F.when(some, flat).alias("flat"), F.when(some, ends).alias("ends"))
+
+
+def _kept(pages: DataFrame, name: str) -> DataFrame:
+    return _as_pages(stored(_flat(pages), name))
+
+
+@dataclass
+class _Words:
+    """The words of some pages: each place's distinct word, page and line by number. ``begin`` has each page's first line and
+    the end, ``none`` says which pages have no lines."""
+
+    words: pa.Array
+    code: np.ndarray
+    row: np.ndarray
+    line: np.ndarray
+    begin: np.ndarray
+    none: np.ndarray
+
+    def place(self, at: np.ndarray) -> np.ndarray:
+        """Places on their pages: ``LINE`` times the line and the number in it."""
+        line = self.line[at]
+        return (line - self.begin[self.row[at]]) * LINE + at - np.searchsorted(self.line, line)
+
+    def at(self, row: np.ndarray, place: np.ndarray, own: pa.Array) -> np.ndarray:
+        """Where a page has a word at a place; -1 where it has none or another one there."""
+        line = self.begin[row] + place // LINE
+        at = np.searchsorted(self.line, line) + place % LINE
+        there = at < len(self.code)
+        at = np.where(there, at, 0)
+        if len(self.code) and len(at):
+            there &= (line < self.begin[row + 1]) & (self.line[at] == line)
+            there &= pc.equal(self.words.take(pa.array(self.code[at])), own).to_numpy(zero_copy_only=False)
+        return np.where(there, at, -1)
+
+    def edited(self, first: np.ndarray, put: pa.Array, gone: np.ndarray) -> _Words:
+        """With words put at some places and others gone."""
+        new = put.dictionary_encode()
+        code, left = self.code.copy(), np.ones(len(self.code), bool)
+        code[first] = len(self.words) + new.indices.to_numpy(zero_copy_only=False)
+        left[gone] = False
+        return _Words(_one_after_another(self.words, new.dictionary), code[left], self.row[left], self.line[left], self.begin, self.none)
+
+
+def _read(flat: pa.Array) -> _Words:
+    split = pc.split_pattern(pc.fill_null(flat, ""), " ")
+    coded = split.values.dictionary_encode()
+    words, code = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(flat)), np.diff(split.offsets.to_numpy()))
+    ends = code == pc.index(words, "\n").as_py() if pc.index(words, "\n").as_py() >= 0 else np.zeros(len(code), bool)
+    left = ~ends & (code != pc.index(words, "").as_py())
+    begin = np.r_[0, np.cumsum(np.bincount(row[ends], minlength=len(flat)) + 1)]
+    line = np.cumsum(ends) + row
+    return _Words(words, code[left], row[left], line[left], begin, pc.is_null(flat).to_numpy(zero_copy_only=False))
+
+
+def _written(w: _Words) -> pa.Array:
+    count = np.bincount(w.line, minlength=w.begin[-1])
+    size = count + 1
+    size[w.begin[1:] - 1] -= 1  # no end behind a page's last line
+    ends = np.r_[0, np.cumsum(size)]
+    out = np.full(ends[-1], len(w.words))
+    out[ends[w.line] + np.arange(len(w.code)) - (np.cumsum(count) - count)[w.line]] = w.code
+    each = pa.ListArray.from_arrays(pa.array(ends[w.begin], pa.int32()), _one_after_another(w.words, pa.array(["\n"])).take(pa.array(out)))
+    return pc.if_else(pa.array(w.none), pa.scalar(None, pa.string()), pc.binary_join(each, " "))
+
+
+def _by_slice(rows: DataFrame, make: Callable[[pa.RecordBatch], list[pa.Array]], schema: str) -> DataFrame:
+    """``volume`` and ``page`` of some rows, and what ``make`` gives for each, a slice of a batch at once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in W._sliced(batch):
-                words, code, row = W._numbered(b.column("low"), True)
-                line = (np.cumsum(code < 0) + row)[code >= 0]  # of all lines of these texts
-                code, row = code[code >= 0], row[code >= 0]
-                first = np.flatnonzero(np.r_[True, line[1:] != line[:-1]]) if len(line) else line
-                hyphens = _hyphened(pc.split_pattern(pc.coalesce(b.column("own"), b.column("low")), "\n").flatten().take(pa.array(line[first])))
-                outer = np.searchsorted(row[first], np.arange(b.num_rows + 1))
-                inner = pa.ListArray.from_arrays(pa.array(np.r_[first, len(code)], pa.int32()), words.take(pa.array(code)))
-                nested = [pa.ListArray.from_arrays(pa.array(outer, pa.int32()), x) for x in (inner, hyphens)]
-                yield pa.RecordBatch.from_arrays([b.column("volume"), b.column("page"), *nested], names=["volume", "page", "lines", "hyphens"])
+                out = make(b)
+                yield pa.RecordBatch.from_arrays([b.column("volume"), b.column("page"), *out], names=names)
+
+    names = [*AT, *T.StructType.fromDDL(schema).names]
+    return rows.mapInArrow(run, f"volume {rows.schema['volume'].dataType.simpleString()}, page long, {schema}")
+
+
+def _many(pages: DataFrame, make: Callable[[pa.RecordBatch, _Words], list[pa.Array]], schema: str, *columns: str) -> DataFrame:
+    """Rows that ``make`` gives for some pages and their words, a slice of a batch at once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in W._sliced(batch):
+                yield pa.RecordBatch.from_arrays(make(b, _read(b.column("flat"))), names=names)
+
+    names = T.StructType.fromDDL(schema).names
+    return _flat(pages).select(*columns, "flat").mapInArrow(run, schema)
 
-    return rows.mapInArrow(run, f"volume {rows.schema['volume'].dataType.simpleString()}, page long, lines array<array<string>>, hyphens array<string>")
+
+def _listed(row: np.ndarray, n: int, **columns: pa.Array) -> pa.Array:
+    """Structs in a list for each of ``n`` rows, in their order."""
+    order = pa.array(np.argsort(row, kind="stable"))
+    each = pa.StructArray.from_arrays([c.take(order) for c in columns.values()], names=list(columns))
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(np.sort(row), np.arange(n + 1)), pa.int32()), each)
 
 
 def _hyphened(lines: pa.Array) -> pa.Array:
@@ -94,74 +227,41 @@ def _hyphened(lines: pa.Array) -> pa.Array:
     return found.take(pa.array(place, mask=place < 0))
 
 
-AT = ("volume", "page")
-
 
 def _one_after_another(*words: pa.Array) -> pa.Array:
     """Words of several arrays; empty ones that Spark sends may lack offsets."""
     return pa.concat_arrays([x for x in words if len(x)] or [pa.array([], pa.string())])
 
 
-def _by_batch(pages: DataFrame, schema: str, count: Callable[[pa.RecordBatch, pa.Array], list[pa.Array]], *columns: str) -> DataFrame:
-    """What ``count`` gives for some pages and their words, a slice of a batch at once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in W._sliced(batch):
-                yield pa.RecordBatch.from_arrays(count(b, b.column("lines").flatten().flatten()), names=names)
-
-    names = [x.split()[0] for x in schema.split(", ")]
-    return pages.select(*columns, "lines").mapInArrow(run, schema)
-
-
-def unknown_places(pages: DataFrame, words: Lexicon) -> DataFrame:
-    """(volume, page, tok) of the distinct words of each page that aren't known."""
-
-    def count(b: pa.RecordBatch, flat: pa.Array) -> list[pa.Array]:
-        hyphens = b.column("hyphens")
-        coded = _one_after_another(flat, hyphens.flatten()).dictionary_encode()
-        outer, inner = _ends(b.column("lines"))
-        row = np.r_[np.repeat(np.arange(b.num_rows), np.diff(inner[outer])), np.repeat(np.arange(b.num_rows), pc.list_value_length(hyphens).to_numpy(zero_copy_only=False))]
-        own = pc.is_valid(coded.indices).to_numpy(zero_copy_only=False)  # most lines have no hyphen
-        code, n = pc.fill_null(coded.indices, 0).to_numpy(zero_copy_only=False).astype(np.int64), max(1, len(coded.dictionary))
-        held = W._distinct(row[own] * n + code[own])
-        at = pa.array(held // n)
-        return [b.column("volume").take(at), b.column("page").take(at), coded.dictionary.take(pa.array(held % n))]
-
-    each = _by_batch(pages, f"volume {pages.schema['volume'].dataType.simpleString()}, page long, tok string", count, *AT, "hyphens")
-    return W.join_words(each, words.known.select("tok"), words.vocab, "left_anti")
-
-
 def unknown_words(pages: DataFrame, words: Lexicon, shortest: int = 1) -> DataFrame:
-    """(tok): the distinct words of all pages, of so many letters, that aren't known; those of a batch are found before
-    anything is looked up."""
+    """(tok): the distinct words of all pages, of so many letters, that aren't known; those of a slice are found before
+    anything is shuffled."""
+    table = words.held()
 
-    def count(b: pa.RecordBatch, flat: pa.Array) -> list[pa.Array]:
-        each = pc.drop_null(pc.unique(_one_after_another(flat, b.column("hyphens").flatten())))
-        return [each.filter(pc.greater_equal(pc.utf8_length(each), shortest))]
+    def make(_: pa.RecordBatch, w: _Words) -> list[pa.Array]:
+        each = w.words.take(pa.array(np.unique(w.code)))
+        each = each.filter(pc.greater_equal(pc.utf8_length(each), shortest))
+        return [each.filter(pa.array(table.value.find(each) < 0))]
 
-    each = _by_batch(pages, "tok string", count, "hyphens")
-    return W.join_words(each, words.known.select("tok"), words.vocab, "left_anti").distinct()
+    return _many(pages, make, "tok string").distinct()
 
 
 def measured(pages: DataFrame, words: Lexicon, stage: str) -> DataFrame:
     """(stage, flagged, tokens): words of two letters or more that aren't known, and all."""
+    table = words.held()
 
-    def count(_: pa.RecordBatch, flat: pa.Array) -> list[pa.Array]:
-        each, n = pc.value_counts(flat).flatten()
-        long = pc.greater_equal(pc.utf8_length(each), 2)
-        return [each.filter(long), n.filter(long)]
+    def make(_: pa.RecordBatch, w: _Words) -> list[pa.Array]:
+        n = np.bincount(w.code, minlength=len(w.words)) * (pc.utf8_length(w.words).to_numpy(zero_copy_only=False) >= 2)
+        return [pa.array([n[table.value.find(w.words) < 0].sum()], pa.int64()), pa.array([n.sum()], pa.int64())]
+
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    return _many(pages, make, "flagged long, tokens long").agg(total("flagged"), total("tokens")).select(F.lit(stage).alias("stage"), "flagged", "tokens")
 
-    each = _by_batch(pages, "tok string, n long", count).groupBy("tok").agg(F.sum("n").alias("n"))
-    flags = each.join(words.known.select("tok", F.lit(1).alias("k_")), "tok", "left")
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
-    return flags.agg(total(F.when(F.col("k_").isNull(), F.col("n"))).alias("flagged"), total("n").alias("tokens")).select(F.lit(stage).alias("stage"), "flagged", "tokens")
 
 
 # --- reunify: words in pieces -------------------------------------------------------------------------
 #
-# What could be put together is a row: its page, the places of its words, the word they make, and its rank. Of rows with
-# a place in common the one with the least rank is taken, and then of those that are left.
+# Of what could be put together and has a place in common that with the least rank is taken, and then of what is left.
 
 #: A word's place on its page: its line times this, and its number in the line.
 LINE = 1 << 20
@@ -169,23 +269,11 @@ LINE = 1 << 20
 SPACE, BREAK, XPAGE, WINDOW = "reunify_space", "reunify_break", "reunify_xpage", "reunify_window"
 
 
-#: Marks of words that aren't known: that alone, and with it that a known word begins with it, or ends with it.
-ODD, HEAD, TAIL = 1, 2, 4
+#: What is known of a word: that alone, that parts may be joined to it, and that a known word begins or ends with it.
+KNOWN, STRONG_, HEAD, TAIL = 1, 2, 4, 8
 _MARKED = "array<array<struct<tok:string,m:int>>>"
 
 
-def _placed(lines: Column) -> Column:
-    """The words of a page in reading order: ``at``, ``tok``, ``m``."""
-    of_line = lambda toks, k: F.transform(toks, lambda w, j: F.struct((k.cast("long") * LINE + j).alias("at"), w["tok"].alias("tok"), w["m"].alias("m")))
-    return F.flatten(F.transform(lines, of_line))
-
-
-def _looked_up(lines: pa.Array, keys: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """All words of a batch's pages, and of each its first place among ``keys``, or -1."""
-    flat = lines.flatten().flatten()
-    found = pc.index_in(flat, value_set=keys) if len(keys) else pa.nulls(len(flat), pa.int32())
-    return flat, pc.fill_null(found, -1).to_numpy(zero_copy_only=False)
-
 
 def _ends(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Where each page's lines begin among all lines of a batch, and each line's words among all words, and the ends."""
@@ -193,14 +281,6 @@ def _ends(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return size(lines), size(lines.flatten())
 
 
-def _places(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Each word's page, by number in the batch, and its place on it."""
-    outer, inner = _ends(lines)
-    line = np.repeat(np.arange(len(inner) - 1), np.diff(inner))
-    row = np.repeat(np.arange(len(outer) - 1), np.diff(outer))[line]
-    return row, (line - outer[row]) * LINE + np.arange(len(line)) - inner[line]
-
-
 def _nested(lines: pa.Array, sizes: np.ndarray, flat: pa.Array) -> pa.Array:
     """``flat`` in the pages and lines of ``lines``, whose words have become so many each."""
     ends = np.r_[0, np.cumsum(sizes)]
@@ -209,52 +289,8 @@ def _nested(lines: pa.Array, sizes: np.ndarray, flat: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(outer, pa.int32()), pa.ListArray.from_arrays(pa.array(ends[inner], pa.int32()), flat))
 
 
-def marked(pages: DataFrame) -> DataFrame:
-    """``pages`` with words as (tok, m), by the ``odd`` words that came to them: looked up for a batch of pages at once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            odd, lines = b.column("odd").flatten(), b.column("lines")
-            flat, at = _looked_up(lines, odd.field("tok"))
-            flag = lambda name: pc.fill_null(odd.field(name), False).to_numpy(zero_copy_only=False).astype(np.int32)
-            marks = np.r_[ODD + HEAD * flag("head") + TAIL * flag("tail"), 0].astype(np.int32)[at]
-            words = pa.StructArray.from_arrays([flat, pa.array(marks)], names=["tok", "m"])
-            yield pa.RecordBatch.from_arrays([b.column("volume"), b.column("page"), b.column("hyphens"), _nested(lines, np.ones(len(flat), np.int64), words)], names=["volume", "page", "hyphens", "lines"])
-
-    kind = pages.schema["volume"].dataType.simpleString()
-    return pages.select(*AT, "hyphens", "lines", "odd").mapInArrow(run, f"volume {kind}, page long, hyphens array<string>, lines {_MARKED}")
-
-
-def _taken(proposed: DataFrame, kind: str) -> DataFrame:
-    """(volume, page, kind, before, after, places) of what is put together on each page: by rank, what has no place that is
-    taken.
-
-    ``proposed``: (volume, page, rank, places, before, after).
-    """
-    ranked = proposed.groupBy(*AT).agg(F.array_sort(F.collect_list(F.struct("rank", "places", "before", "after"))).alias("c_"))
-    ranked = ranked.select(*AT, F.transform("c_", lambda c: F.struct(c["places"].alias("places"), c["before"].alias("before"), c["after"].alias("after"))).alias("c_"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in W._sliced(batch):
-                each = b.column("c_").flatten()
-                row = np.repeat(np.arange(b.num_rows), pc.list_value_length(b.column("c_")).to_numpy(zero_copy_only=False))
-                kept, page, used = [], -1, set()
-                for k, (at, places) in enumerate(zip(row.tolist(), each.field("places").to_pylist())):
-                    if at != page:
-                        page, used = at, set()
-                    if used.isdisjoint(places):
-                        used.update(places)
-                        kept.append(k)
-                own, at = each.take(pa.array(kept, pa.int64())), pa.array(row[np.array(kept, np.int64)])
-                yield pa.RecordBatch.from_arrays([b.column("volume").take(at), b.column("page").take(at), *(own.field(c) for c in ("before", "after", "places"))], names=["volume", "page", "before", "after", "places"])
-
-    rows = ranked.mapInArrow(run, f"volume {proposed.schema['volume'].dataType.simpleString()}, page long, before string, after string, places array<long>")
-    return stored(rows.select(*AT, F.lit(kind).alias("kind"), "before", "after", "places"), "put-together")
-
-
 def _put_together(pages: DataFrame, taken: DataFrame) -> DataFrame:
-    """Pages in which the first place of each row of ``taken`` has the whole word and its other places are gone."""
+    """Pages of marked words, not in flat form, in which the first place of each row of ``taken`` has the whole word and its other places are gone."""
     edits = taken.groupBy(*AT).agg(F.collect_list(F.struct("places", "after")).alias("edits"))
     none = F.array().cast("array<struct<places:array<bigint>,after:string>>")
 
@@ -287,152 +323,265 @@ def _put_together(pages: DataFrame, taken: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, f"volume {pages.schema['volume'].dataType.simpleString()}, page long, hyphens array<string>, lines {_MARKED}").select(*pages.columns)
 
 
-def _making(proposed: DataFrame, words: DataFrame, lexicon: Lexicon) -> DataFrame:
-    return W.join_words(proposed, words.select(F.col("tok").alias("after")), lexicon.vocab, "left_semi", "after")
-
-
-def within_lines(pages: DataFrame, words: Lexicon) -> DataFrame:
+@dataclass
+class _Looked:
+    """The distinct words of a slice as the table has them: ``m`` of each, letters, hash and bytes."""
+
+    table: Held
+    words: pa.Array
+
+    def __post_init__(self) -> None:
+        self.hashed, self.size = self.table.hashes.of(self.words)
+        at = self.table.find(self.words, self.hashed)
+        self.bits = np.r_[self.table.columns["m"].to_numpy(zero_copy_only=False), 0].astype(np.int64)
+        self.m = self.bits[at]
+        self.letters = pc.utf8_length(self.words).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def made(self, hashed: np.ndarray, parts: list[np.ndarray], bit: int) -> tuple[np.ndarray, pa.Array]:
+        """Which words of these hashes, made of these parts, have a bit in the table; and they themselves."""
+        at = self.table.at(hashed)
+        some = np.flatnonzero(self.bits[at] & bit)
+        words = pc.binary_join_element_wise(*(self.words.take(pa.array(p[some])) for p in parts), "")
+        same = self.table.same(at[some], words)
+        return some[same], words.filter(pa.array(same))
+
+
+def _disjoint(*places: np.ndarray) -> np.ndarray:
+    """Which of some rows are taken: one after another, those with no place that is taken."""
+    used, out = set(), []
+    for k, each in enumerate(zip(*(p.tolist() for p in places))):
+        if used.isdisjoint(each):
+            used.update(each)
+            out.append(k)
+    return np.array(out, np.int64)
+
+
+def _within_lines(w: _Words, table: Held) -> tuple[_Words, list]:
     """Runs of up to ``PIECES`` words of a line that make a strong word: from left to right, the longest first.
 
-    Some word of a run isn't known; all have two letters, those that aren't known three, and five together.
+    Some word of a run isn't known; all have two letters, those that aren't known three, and five together. Returns
+    also the rows, kinds, and words before and after.
     """
-    names = ["volume", "page", "at", "n", "before", "after"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in W._sliced(batch):
-                flat, (row, place) = b.column("lines").flatten().flatten(), _places(b.column("lines"))
-                tok = flat.field("tok")
-                letters, odd = pc.utf8_length(tok).to_numpy(zero_copy_only=False), flat.field("m").to_numpy(zero_copy_only=False) > 0
-                fit = (letters >= 2) & ((letters >= 3) | ~odd)
-                total, fits, some = letters.copy(), fit, odd
-                for n in range(2, PIECES + 1):  # words from each place on, in the same line
-                    k = len(tok) - n + 1
-                    if k <= 0:
-                        break
-                    same = (row[:k] == row[n - 1 :]) & (place[n - 1 :] - place[:k] == n - 1)
-                    total, fits, some = total[:k] + letters[n - 1 :], fits[:k] & fit[n - 1 :] & same, some[:k] | odd[n - 1 :]
-                    at = np.flatnonzero(fits & some & (total >= 5))
-                    if len(at):
-                        own, parts = pa.array(row[at]), [tok.take(pa.array(at + j)) for j in range(n)]
-                        joined = [pc.binary_join_element_wise(*parts, by) for by in (" ", "")]
-                        yield pa.RecordBatch.from_arrays([b.column("volume").take(own), b.column("page").take(own), pa.array(place[at]), pa.array(np.full(len(at), n), pa.int32()), *joined], names=names)
-
-    rows = pages.select(*AT, "lines").mapInArrow(run, f"volume {pages.schema['volume'].dataType.simpleString()}, page long, at long, n int, before string, after string")
-    rows = _making(rows, words.strong, words)
-    return _taken(rows.select(*AT, F.struct(F.col("at"), (-F.col("n")).alias("n")).alias("rank"), F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda k: F.col("at") + k).alias("places"), "before", "after"), SPACE)
-
-
-def over_lines(pages: DataFrame, words: Lexicon) -> DataFrame:
+    x, code = _Looked(table, w.words), w.code
+    letters, odd = x.letters[code], (x.m & KNOWN)[code] == 0
+    fit = (letters >= 2) & ((letters >= 3) | ~odd)
+    total, fits, some, hashed, size = letters, fit, odd, x.hashed[code], x.size[code]
+    first, count, put = [], [], []
+    for n in range(2, PIECES + 1):  # words from each place on, in the same line
+        k = len(code) - n + 1
+        if k <= 0:
+            break
+        hashed = table.hashes.joined(hashed[:k], size[:k], x.hashed[code[n - 1 :]])
+        size, total = size[:k] + x.size[code[n - 1 :]], total[:k] + letters[n - 1 :]
+        fits, some = fits[:k] & fit[n - 1 :] & (w.line[:k] == w.line[n - 1 :]), some[:k] | odd[n - 1 :]
+        at = np.flatnonzero(fits & some & (total >= 5))
+        found, made = x.made(hashed[at], [code[at + j] for j in range(n)], STRONG_)
+        first.append(at[found])
+        count.append(np.full(len(found), n))
+        put.append(made)
+    none = np.zeros(0, np.int64)
+    first, count, put = np.concatenate(first or [none]), np.concatenate(count or [none]), _one_after_another(*put)
+    order = np.lexsort((-count, first))
+    free, kept = 0, []
+    for k, at, n in zip(order.tolist(), first[order].tolist(), count[order].tolist()):
+        if at >= free:
+            free = at + n
+            kept.append(k)
+    kept = np.array(kept, np.int64)
+    first, count, put = first[kept], count[kept], put.take(pa.array(kept))
+    ends = np.cumsum(count)
+    each = np.repeat(first - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)
+    before = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), w.words.take(pa.array(code[each]))), " ")
+    gone = np.setdiff1d(each, first, assume_unique=True)
+    return w.edited(first, put, gone), [w.row[first], SPACE, before, put]
+
+
+def _over_lines(w: _Words, hyphens: pa.Array, table: Held) -> tuple[_Words, list]:
     """A line's last word, if a hyphen stands behind it or it isn't known, and the first word of one of the next lines, the
     nearest that makes a known word with it; they aren't both known."""
-    last = lambda toks: F.element_at(toks, -1)
-    heads = F.transform(
-        "lines",
-        lambda toks, k: F.struct(
-            (k.cast("long") * LINE + F.size(toks) - 1).alias("at"),
-            last(toks)["tok"].alias("head"),
-            (last(toks)["m"] > 0).alias("odd"),
-            (F.coalesce(F.get("hyphens", k) == last(toks)["tok"], F.lit(False)) | ((last(toks)["m"] > 0) & (F.length(last(toks)["tok"]) >= 3))).alias("open"),
-            F.filter(
-                F.transform(F.slice("lines", k + 2, LOOKAHEAD), lambda later, d: F.struct(((k + 1 + d).cast("long") * LINE).alias("at"), F.get(later, F.lit(0)).alias("tail"))),
-                lambda t: t["tail"].isNotNull(),
-            ).alias("tails"),
-        ),
-    )
-    # a line that has lost its words has neither a last nor a first one
-    open_ = F.filter(F.filter(heads, lambda h: h["head"].isNotNull()), lambda h: h["open"])
-    rows = pages.select(*AT, F.explode(open_).alias("h"))
-    rows = rows.select(*AT, "h.at", "h.head", "h.odd", F.explode("h.tails").alias("t")).filter(F.col("odd") | (F.col("t.tail.m") > 0))
-    rows = rows.select(*AT, F.struct(F.col("at"), F.col("t.at").alias("to")).alias("rank"), F.array("at", "t.at").alias("places"), F.concat_ws("|", "head", "t.tail.tok").alias("before"), F.concat("head", "t.tail.tok").alias("after"))
-    return _taken(_making(rows, words.known, words), BREAK)
+    x, code = _Looked(table, w.words), w.code
+    first = np.flatnonzero(np.r_[True, w.line[1:] != w.line[:-1]]) if len(code) else np.zeros(0, np.int64)
+    last, line = np.r_[first[1:], len(code)][: len(first)] - 1, w.line[first]
+    odd = (x.m & KNOWN)[code] == 0
+    split = pc.split_pattern(pc.fill_null(hyphens, ""), "\n")
+    own = np.diff(split.offsets.to_numpy()) == np.diff(w.begin)
+    at = np.where(own[w.row[first]], split.offsets.to_numpy()[w.row[first]] + line - w.begin[w.row[first]], 0)
+    open_ = own[w.row[first]] & pc.equal(split.values.take(pa.array(at)), w.words.take(pa.array(code[last]))).to_numpy(zero_copy_only=False)
+    open_ |= odd[last] & (x.letters[code[last]] >= 3)
+    number = np.full(w.begin[-1] + LOOKAHEAD + 1, -1)  # of a line among those with words
+    number[line] = np.arange(len(line))
+    heads, tails = [], []
+    for d in range(1, LOOKAHEAD + 1):
+        to = number[line + d]
+        ok = open_ & (to >= 0)
+        to = first[to[ok]]
+        ok, to = (y[w.row[to] == w.row[last[ok]]] for y in (last[ok], to))
+        some = odd[ok] | odd[to]
+        heads.append(ok[some])
+        tails.append(to[some])
+    heads, tails = np.concatenate(heads), np.concatenate(tails)
+    found, put = x.made(table.hashes.joined(x.hashed[code[heads]], x.size[code[heads]], x.hashed[code[tails]]), [code[heads], code[tails]], KNOWN)
+    heads, tails = heads[found], tails[found]
+    order = np.lexsort((tails, heads))
+    order = order[_disjoint(heads[order], tails[order])]
+    heads, tails, put = heads[order], tails[order], put.take(pa.array(order))
+    before = pc.binary_join_element_wise(w.words.take(pa.array(code[heads])), w.words.take(pa.array(code[tails])), "|")
+    return w.edited(heads, put, tails), [w.row[heads], BREAK, before, put]
+
+
+_AUDIT = "array<struct<kind:string,before:string,after:string>>"
+
+
+def within_pages(pages: DataFrame, table: Broadcast[Held]) -> DataFrame:
+    """Pages (flat) with words in pieces put together in a line and then over line ends, what was changed, and the words at a
+    page's ends: ``head`` (at, tok), its last line's last word if that isn't known, and ``tail``, its first line's first."""
+
+    def make(b: pa.RecordBatch) -> list[pa.Array]:
+        w = _read(b.column("flat"))
+        w, one = _within_lines(w, table.value)
+        w, two = _over_lines(w, b.column("ends"), table.value)
+        kinds = pa.array(np.repeat([SPACE, BREAK], [len(one[0]), len(two[0])]).tolist(), pa.string())
+        edits = _listed(np.r_[one[0], two[0]], b.num_rows, kind=kinds, before=_one_after_another(one[2], two[2]), after=_one_after_another(one[3], two[3]))
+        # only the last line's last word, and the first line's first, where these lines have one
+        x, n = _Looked(table.value, w.words), len(w.code)
+        if not n:
+            none = pa.nulls(b.num_rows, pa.string())
+            return [_written(w), b.column("ends"), edits, pa.nulls(b.num_rows, pa.int64()), none, none]
+        last, first = np.searchsorted(w.line, w.begin[1:] - 1, "right") - 1, np.minimum(np.searchsorted(w.line, w.begin[:-1]), n - 1)
+        code = w.code[last]
+        ok = (last >= 0) & (w.line[last] == w.begin[1:] - 1) & (x.letters[code] >= 3) & (x.m[code] & KNOWN == 0)
+        tail = w.words.take(pa.array(w.code[first], mask=w.line[first] != w.begin[:-1]))
+        return [_written(w), b.column("ends"), edits, pa.array(w.place(last), mask=~ok), w.words.take(pa.array(code, mask=~ok)), tail]
+
+    return _by_slice(pages, make, f"flat string, ends string, edits {_AUDIT}, at long, head string, tail string")
 
 
 def _over_pages(pages: DataFrame, words: Lexicon) -> tuple[DataFrame, DataFrame]:
     """A page's last word, if it isn't known, and the first word of the next page that begins with one, if both are a
-    known word. Of pages that would take the same word the nearest before it does."""
-    # only the last line's last word, and the first line's first, where these lines have one
-    ends = pages.filter((F.size("lines") > 0) & (F.size(F.get("lines", F.size("lines") - 1)) > 0))
-    last = F.element_at(F.get("lines", F.size("lines") - 1), -1)
-    heads = ends.select(*AT, last["tok"].alias("tok"), last["m"].alias("m")).filter((F.length("tok") >= 3) & (F.col("m") > 0))
-    first = F.get(F.get("lines", F.lit(0)), F.lit(0))["tok"]
-    starts = pages.select("volume", F.col("page").alias("at_"), first.alias("tail")).filter("tail IS NOT NULL")
-    ahead = heads.select(*AT, F.col("tok").alias("head"), F.explode(F.sequence(F.col("page") + 1, F.col("page") + LOOKAHEAD)).alias("at_"))
-    near = ahead.join(starts, ["volume", "at_"]).groupBy(*AT, "head").agg(F.min_by(F.struct("at_", "tail"), "at_").alias("t_")).select(*AT, "head", "t_.*")
+    known word; of pages that would take the same word the nearest before it does. As changes, and as the audit."""
+    starts = pages.select("volume", F.col("page").alias("at_"), "tail").filter("tail IS NOT NULL")
+    ahead = pages.filter("head IS NOT NULL").select(*AT, "at", "head", F.explode(F.sequence(F.col("page") + 1, F.col("page") + LOOKAHEAD)).alias("at_"))
+    near = ahead.join(starts, ["volume", "at_"]).groupBy(*AT, "at", "head").agg(F.min_by(F.struct("at_", "tail"), "at_").alias("t_")).select(*AT, "at", "head", "t_.*")
     near = near.withColumn("joined", F.concat("head", "tail"))
     found = W.join_words(near, words.known.select(F.col("tok").alias("joined")), words.vocab, "left_semi", "joined")
-    found = stored(found.groupBy("volume", "at_").agg(F.max_by(F.struct("page", "head", "tail", "joined"), "page").alias("f_")).select("volume", "at_", "f_.*"), "over-pages")
-    put, gone = found.select(*AT, F.col("joined").alias("put_")), found.select("volume", F.col("at_").alias("page"), F.lit(True).alias("gone_"))
-    out = pages.join(put, list(AT), "left").join(gone, list(AT), "left")
-    n = F.size("lines")
-    cut = F.transform("lines", lambda x, k: F.when(F.col("gone_") & (k == 0), F.slice(x, F.lit(2), F.size(x))).otherwise(x))
-    out = out.withColumn("lines", cut)
-    put_in = F.transform("lines", lambda x, k: F.when(F.col("put_").isNotNull() & (k == n - 1), F.concat(F.slice(x, F.lit(1), F.size(x) - 1), F.array(F.struct(F.col("put_").alias("tok"), F.lit(0).alias("m"))))).otherwise(x))
-    out = stored(out.withColumn("lines", put_in).select(*pages.columns), "over-pages")
-    return out, found.select(*AT, F.lit("reunify_xpage").alias("kind"), F.concat_ws("|", "head", "tail").alias("before"), F.col("joined").alias("after"))
-
-
-def within_reach(pages: DataFrame, words: Lexicon) -> DataFrame:
+    found = stored(found.groupBy("volume", "at_").agg(F.max_by(F.struct("page", "at", "head", "tail", "joined"), "page").alias("f_")).select("volume", "at_", "f_.*"), "over-pages")
+    put = found.select(*AT, "at", F.col("head").alias("own"), F.col("joined").alias("put"))
+    gone = found.select("volume", F.col("at_").alias("page"), F.lit(0).cast("long").alias("at"), F.col("tail").alias("own"), F.lit("").alias("put"))
+    return put.unionByName(gone), found.select(*AT, F.lit(XPAGE).alias("kind"), F.concat_ws("|", "head", "tail").alias("before"), F.col("joined").alias("after"))
+
+
+def _with_changes(pages: DataFrame, changes: DataFrame) -> DataFrame:
+    """Pages with ``changes`` (volume, page, at, own, put) of theirs in an array: the word at a place, and what it becomes."""
+    each = changes.groupBy(*AT).agg(F.collect_list(F.struct("at", "own", "put")).alias("changes"))
+    return pages.join(each, list(AT), "left").withColumn("changes", F.coalesce("changes", F.array().cast("array<struct<at:bigint,own:string,put:string>>")))
+
+
+def _changed(w: _Words, changes: pa.Array) -> _Words:
+    each = changes.flatten()
+    row = np.repeat(np.arange(len(changes)), pc.list_value_length(changes).to_numpy(zero_copy_only=False))
+    at = w.at(row, each.field("at").to_numpy(zero_copy_only=False).astype(np.int64), each.field("own"))
+    put = pc.not_equal(each.field("put"), "").to_numpy(zero_copy_only=False)
+    some = np.flatnonzero((at >= 0) & put)
+    return w.edited(at[some], each.field("put").take(pa.array(some)), at[(at >= 0) & ~put])
+
+
+def _reach(w: _Words, x: _Looked) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
     """Pieces that end a known word and a word up to ``REACH`` places before them, or that begin one and a word as far
-    behind them, in the reading order of the volume, also over a page's end. A known word ends the search, if it isn't
-    itself the partner. The nearest place in reading order is first, and a piece looks back before it looks ahead.
+    behind them, in reading order, that make a strong word. A known word ends the search, if it isn't itself the partner.
 
-    ``places`` are of the page on which the partners' first one stands; ``other`` is the page of the second one.
-    """
-    flat = F.transform(_placed(F.col("lines")), lambda w: F.struct(F.col("page").alias("page"), w["at"].alias("at"), w["tok"].alias("tok"), w["m"].alias("m")))
-    each = pages.select(*AT, flat.alias("flat"))
-    # the words at a page's ends go to the pages beside it
-    n = F.size("flat")
-    ends = each.select("volume", F.explode(F.array(F.struct((F.col("page") + 1).alias("page"), F.lit(0).alias("side"), F.slice("flat", F.greatest(n - REACH + 1, F.lit(1)), REACH).alias("x")), F.struct((F.col("page") - 1).alias("page"), F.lit(1).alias("side"), F.slice("flat", 1, REACH).alias("x")))).alias("e")).select("volume", "e.*")
-    ends = ends.groupBy(*AT).agg(F.max(F.when(F.col("side") == 0, F.col("x"))).alias("before_"), F.max(F.when(F.col("side") == 1, F.col("x"))).alias("behind_"))
-    near = each.filter(F.exists("flat", lambda w: w["m"] > ODD)).join(ends, list(AT), "left")
-    none = F.slice("flat", 1, 0)
-    near = near.select(*AT, F.coalesce(F.size("before_"), F.lit(0)).alias("from_"), F.size("flat").alias("n_"), F.concat(F.coalesce("before_", none), "flat", F.coalesce("behind_", none)).alias("all_"))
-    around = lambda k: F.array(
-        F.struct(F.lit(0).alias("side"), F.reverse(F.slice("all_", F.greatest(k - REACH + 1, F.lit(1)), F.least(k, F.lit(REACH)))).alias("x")),
-        F.struct(F.lit(1).alias("side"), F.slice("all_", k + 2, REACH).alias("x")),
-    )
-    own = lambda p: (p["k"] >= F.col("from_")) & (p["k"] < F.col("from_") + F.col("n_")) & (p["w"]["m"] > ODD) & (F.length(p["w"]["tok"]) >= 3)
-    pieces = F.filter(F.transform("all_", lambda w, k: F.struct(k.alias("k"), w.alias("w"))), own)
-    pieces = F.transform(pieces, lambda p: F.struct(p["w"].alias("w"), around(p["k"]).alias("sides")))
-    rows = near.select(*AT, F.explode(pieces).alias("p")).select(*AT, F.struct("p.w").alias("p"), F.explode("p.sides").alias("s"))
-    bit = lambda b: F.col("p.w.m").bitwiseAND(b) > 0
-    rows = rows.filter((bit(TAIL) & (F.col("s.side") == 0)) | (bit(HEAD) & (F.col("s.side") == 1)))
-    rows = rows.select(*AT, "p", "s.side", F.posexplode("s.x").alias("d", "o"), F.col("s.x").alias("x"))
-    # no known word stands between
-    rows = rows.filter((F.length("o.tok") >= 2) & ~F.exists(F.slice("x", F.lit(1), F.col("d")), lambda w: w["m"] == 0))
-    back = F.col("side") == 0
-    first, second = (F.when(back, F.col(a)).otherwise(F.col(b)) for a, b in (("o", "p.w"), ("p.w", "o")))
-    rows = rows.select(*AT, F.struct(F.col("page").alias("page_"), F.col("p.w.at").alias("at_"), "side", "d").alias("rank"), first.alias("a"), second.alias("b"))
-    rows = rows.select("volume", "rank", "a", "b", F.concat_ws("+", "a.tok", "b.tok").alias("before"), F.concat("a.tok", "b.tok").alias("after"))
-    return _making(rows, words.strong, words)
-
-
-def _joined_in_reach(pages: DataFrame, words: Lexicon, changed: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Pages after one round of :func:`within_reach`, and what was put together.
-
-    Only pages that have changed, and those beside them, are looked at, if ``changed`` (volume, page) is given. Partners
-    of one page are taken by rank; those over a page's end where none of their words is taken so, each word by the least
-    rank.
+    By rank, in which the nearest place is first and a piece looks back before it looks ahead: each piece's place, side
+    and distance, the places of both words, and what they make.
     """
-    some = pages
-    if changed is not None:
-        beside = changed.select("volume", F.explode(F.sequence(F.col("page") - 1, F.col("page") + 1)).alias("page")).distinct()
-        some = pages.join(beside, list(AT), "left_semi")
-    rows = stored(within_reach(some, words), "in-reach")
-    if rows.isEmpty():
-        return pages, rows.select("volume", F.lit(0).cast("long").alias("page"), F.lit(WINDOW).alias("kind"), "before", "after")
-    same = F.col("a.page") == F.col("b.page")
-    inside = _taken(rows.filter(same).select("volume", F.col("a.page").alias("page"), "rank", F.array("a.at", "b.at").alias("places"), "before", "after"), WINDOW)
-    across = rows.filter(~same).withColumn("id_", F.struct("a.page", "a.at", F.col("b.page").alias("page_b"), F.col("b.at").alias("at_b"), "rank"))
-    ends = across.select("volume", "id_", "rank", F.explode(F.array("a", "b")).alias("w")).select("volume", F.col("w.page").alias("page"), F.col("w.at").alias("at"), "rank", "id_")
-    used = inside.select(*AT, F.explode("places").alias("at"))
-    ends = ends.join(used.withColumn("used_", F.lit(True)), [*AT, "at"], "left").withColumn("best_", F.min("rank").over(Window.partitionBy(*AT, "at")))
-    won = ends.groupBy("volume", "id_").agg(F.every(F.col("used_").isNull() & (F.col("rank") == F.col("best_"))).alias("won_")).filter("won_").select("volume", "id_")
-    across = stored(across.join(won, ["volume", "id_"], "left_semi").select("volume", F.col("a.page").alias("page"), F.lit(WINDOW).alias("kind"), "before", "after", F.array("a.at").alias("places"), F.col("b.page").alias("page_b"), F.col("b.at").alias("at_b")), "over-pages")
-    gone = across.select("volume", F.col("page_b").alias("page"), F.lit(WINDOW).alias("kind"), F.lit("").alias("before"), F.lit("").alias("after"), F.array("at_b").alias("places"))
-    audit = inside.unionByName(across.drop("page_b", "at_b"))
-    return stored(_put_together(pages, audit.unionByName(gone)), "in-reach"), audit.drop("places")
+    code = w.code
+    m, letters = x.m[code], x.letters[code]
+    odd = m & KNOWN == 0
+    out = []
+    for side, bit in ((0, TAIL), (1, HEAD)):
+        own = np.flatnonzero((m & bit > 0) & odd & (letters >= 3))
+        for d in range(REACH):
+            to = own + (d + 1 if side else -d - 1)
+            inside = (to >= 0) & (to < len(code))
+            own, to = own[inside], to[inside]
+            inside = w.row[own] == w.row[to]
+            own, to = own[inside], to[inside]
+            long = letters[to] >= 2
+            a, b = (own[long], to[long]) if side else (to[long], own[long])
+            found, put = x.made(x.table.hashes.joined(x.hashed[code[a]], x.size[code[a]], x.hashed[code[b]]), [code[a], code[b]], STRONG_)
+            out.append((own[long][found], np.full(len(found), side), np.full(len(found), d), a[found], b[found], put))
+            own = own[odd[to]]
+    own, sides, far, a, b = (np.concatenate([o[k] for o in out]) for k in range(5))
+    order = np.lexsort((far, sides, own))
+    return *(y[order] for y in (own, sides, far, a, b)), _one_after_another(*(o[5] for o in out)).take(pa.array(order))
+
+
+_ENDS = "array<struct<tok:string,at:bigint,new:bigint,used:boolean>>"
+
+
+def within_reach(pages: DataFrame, table: Broadcast[Held]) -> DataFrame:
+    """Pages with their ``changes`` made and then pieces within reach on a page put together by rank, what was changed, and
+    the words at a page's beginning and end: where they stood, where they stand, and whether they were taken."""
+
+    def make(b: pa.RecordBatch) -> list[pa.Array]:
+        w = _changed(_read(b.column("flat")), b.column("changes"))
+        *_, first, second, put = _reach(w, _Looked(table.value, w.words))
+        taken = _disjoint(first, second)
+        first, second, put = first[taken], second[taken], put.take(pa.array(taken))
+        before = pc.binary_join_element_wise(*(w.words.take(pa.array(w.code[k])) for k in (first, second)), "+")
+        edits = _listed(w.row[first], b.num_rows, kind=pa.array([WINDOW] * len(first), pa.string()), before=before, after=put)
+        out = w.edited(first, put, second)
+        begin = np.searchsorted(w.row, np.arange(b.num_rows + 1))
+        used, left = np.zeros(len(w.code), bool), np.ones(len(w.code), bool)
+        used[first] = used[second] = True
+        left[second] = False
+        new = np.zeros(len(w.code), np.int64)
+        new[left] = out.place(np.arange(len(out.code)))
+
+        def ends(low: np.ndarray, high: np.ndarray) -> pa.Array:
+            stops = np.cumsum(high - low)
+            at = np.repeat(high - stops, high - low) + np.arange(stops[-1])
+            return _listed(np.repeat(np.arange(b.num_rows), high - low), b.num_rows, tok=w.words.take(pa.array(w.code[at])), at=pa.array(w.place(at)), new=pa.array(new[at]), used=pa.array(used[at]))
+
+        return [_written(out), b.column("ends"), edits, ends(begin[:-1], np.minimum(begin[1:], begin[:-1] + REACH)), ends(np.maximum(begin[:-1], begin[1:] - REACH), begin[1:])]
+
+    return _by_slice(pages, make, f"flat string, ends string, edits {_AUDIT}, first {_ENDS}, last {_ENDS}")
+
+
+def _reach_over_pages(pages: DataFrame, table: Broadcast[Held]) -> tuple[DataFrame, DataFrame]:
+    """The same over a page's end: each word by the least rank, where none of both is taken on its page. As changes, and as
+    the audit."""
+    last = pages.select("volume", F.col("page").alias("page_a"), (F.col("page") + 1).alias("page"), "last")
+    both = last.join(pages.select(*AT, "first"), list(AT)).select("volume", "page_a", "page", F.size("last").alias("n"), F.concat("last", "first").alias("both"))
+    kind, word = pages.schema["volume"].dataType.simpleString(), "struct<page:bigint,at:bigint,tok:string,new:bigint,used:boolean>"
+    schema = f"volume {kind}, rank struct<page:bigint,at:bigint,side:int,d:int>, a {word}, b {word}, before string, after string"
+    names = T.StructType.fromDDL(schema).names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in W._sliced(batch):
+                each, size = b.column("both").flatten(), pc.list_value_length(b.column("both")).to_numpy(zero_copy_only=False).astype(np.int64)
+                row, coded = np.repeat(np.arange(b.num_rows), size), each.field("tok").dictionary_encode()
+                behind = np.arange(len(row)) - (np.cumsum(size) - size)[row] >= b.column("n").to_numpy(zero_copy_only=False)[row]
+                w = _Words(coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), row, row, np.arange(b.num_rows + 1), np.zeros(b.num_rows, bool))
+                own, side, d, *ab, put = _reach(w, _Looked(table.value, w.words))
+                over = np.flatnonzero(behind[ab[0]] != behind[ab[1]])
+                own, side, d, put = own[over], side[over], d[over], put.take(pa.array(over))
+                pages_ = [x.to_numpy(zero_copy_only=False) for x in (b.column("page_a"), b.column("page"))]
+                page = lambda at, r=row, p=pages_, k=behind: pa.array(np.where(k[at], p[1][r[at]], p[0][r[at]]))
+                of = lambda c, at, e=each: e.field(c).take(pa.array(at))
+                rank = pa.StructArray.from_arrays([page(own), of("at", own), pa.array(side, pa.int32()), pa.array(d, pa.int32())], names=["page", "at", "side", "d"])
+                parts = [pa.StructArray.from_arrays([page(at), *(of(c, at) for c in ("at", "tok", "new", "used"))], names=["page", "at", "tok", "new", "used"]) for at in (k[over] for k in ab)]
+                before = pc.binary_join_element_wise(*(p.field("tok") for p in parts), "+")
+                yield pa.RecordBatch.from_arrays([b.column("volume").take(pa.array(row[own])), rank, *parts, before, put], names=names)
+
+    rows = stored(both.mapInArrow(run, schema).dropDuplicates(), "in-reach")
+    rows = rows.withColumn("id_", F.struct("a.page", "a.at", F.col("b.page").alias("page_b"), F.col("b.at").alias("at_b"), "rank"))
+    ends = rows.select("volume", "id_", "rank", F.explode(F.array("a", "b")).alias("w")).select("volume", "id_", "rank", "w.page", "w.at", "w.used")
+    ends = ends.withColumn("best_", F.min("rank").over(Window.partitionBy(*AT, "at")))
+    won = ends.groupBy("volume", "id_").agg(F.every(~F.col("used") & (F.col("rank") == F.col("best_"))).alias("won_")).filter("won_").select("volume", "id_")
+    rows = stored(rows.join(won, ["volume", "id_"], "left_semi").drop("id_"), "over-pages")
+    changes = lambda w, put: rows.select("volume", F.col(f"{w}.page").alias("page"), F.col(f"{w}.new").alias("at"), F.col(f"{w}.tok").alias("own"), put.alias("put"))
+    audit = rows.select("volume", F.col("a.page").alias("page"), F.lit(WINDOW).alias("kind"), "before", "after")
+    return changes("a", F.col("after")).unionByName(changes("b", F.lit(""))), audit
 
 
 def reunify(pages: DataFrame, words: Lexicon) -> tuple[DataFrame, DataFrame]:
@@ -440,23 +589,19 @@ def reunify(pages: DataFrame, words: Lexicon) -> tuple[DataFrame, DataFrame]:
 
     The last rule is repeated until it finds nothing more, so that a word which was put together can be a partner.
     """
-    places = stored(unknown_places(pages, words), "unknown-places")
-    part = W.fragments(places.select("tok").distinct(), words.known, shortest=1)
-    odd = places.join(part.hint("merge"), "tok").groupBy(*AT).agg(F.collect_list(F.struct("tok", F.col("is_head").alias("head"), F.col("is_tail").alias("tail"))).alias("odd"))
-    none = F.array().cast("array<struct<tok:string,head:boolean,tail:boolean>>")
-    pages = stored(marked(pages.join(odd, list(AT), "left").withColumn("odd", F.coalesce("odd", none))), "pages")
-    audit = within_lines(pages, words)
-    pages = _put_together(pages, audit)
-    breaks = over_lines(pages, words)
-    audit = audit.unionByName(breaks).drop("places")
-    pages, over = _over_pages(_put_together(pages, breaks), words)
-    audit = audit.unionByName(over)
-    more = None
+    pages = _flat(pages)
+    part = W.fragments(unknown_words(pages, words), words.known, shortest=1).filter("is_head OR is_tail")
+    table = words.held(part.select("tok", (F.col("is_head").cast("int") * HEAD + F.col("is_tail").cast("int") * TAIL).alias("m")))
+    edits = lambda df: df.select(*AT, F.explode("edits").alias("e")).select(*AT, "e.*")
+    pages = stored(within_pages(pages, table), "within-pages")
+    changes, over = _over_pages(pages, words)
+    audit = edits(pages).unionByName(over)
     while True:
-        pages, more = _joined_in_reach(pages, words, more)
-        if more.isEmpty():
-            return pages.withColumn("lines", F.transform("lines", lambda x: F.transform(x, lambda w: w["tok"]))).select(*AT, "lines", "hyphens"), audit
-        audit = audit.unionByName(more)
+        pages = stored(within_reach(_with_changes(pages.select(*AT, "flat", "ends"), changes), table), "in-reach")
+        changes, over = _reach_over_pages(pages, table)
+        if over.isEmpty() and edits(pages).isEmpty():
+            return _as_pages(pages), audit
+        audit = audit.unionByName(edits(pages)).unionByName(over)
 
 
 # --- decisions for distinct words ---------------------------------------------------------------------
@@ -464,32 +609,29 @@ def reunify(pages: DataFrame, words: Lexicon) -> tuple[DataFrame, DataFrame]:
 
 def replaced(pages: DataFrame, fixes: DataFrame, words: Lexicon, kind_of: str) -> tuple[DataFrame, DataFrame]:
     """Pages with each word of ``fixes`` (tok, fix) replaced, by several words if the fix has spaces, and the audit."""
-    fixes = stored(fixes.select("tok", "fix"), "fixes")
-    each = pages.select(*AT, F.explode(F.flatten("lines")).alias("tok"))
-    changed = stored(W.join_words(each, fixes, words.vocab).select(*AT, F.lit(kind_of).alias("kind"), F.col("tok").alias("before"), F.col("fix").alias("after")), "changes")
-    by_page = changed.groupBy(*AT).agg(F.collect_set(F.struct("before", "after")).alias("fixes"))
+    table = held(stored(fixes.select("tok", "fix"), "fixes"))
+
+    def make(b: pa.RecordBatch) -> list[pa.Array]:
+        w, fix = _read(b.column("flat")), table.value.columns["fix"]
+        at = table.value.find(w.words)
+        known = np.flatnonzero(at >= 0)
+        put = pc.fill_null(fix.take(pa.array(at[known])), "")
+        new = pc.split_pattern(put, " ")
+        n, begin = np.ones(len(w.words), np.int64), np.arange(len(w.words))
+        n[known] = pc.list_value_length(new).to_numpy(zero_copy_only=False)
+        begin[known] = len(w.words) + np.cumsum(n[known]) - n[known]
+        some = np.flatnonzero(at[w.code] >= 0)
+        edit = np.searchsorted(known, w.code[some])
+        edits = _listed(w.row[some], b.num_rows, before=w.words.take(pa.array(w.code[some])), after=put.take(pa.array(edit)))
+        size = n[w.code]
+        ends = np.cumsum(size)
+        code = np.repeat(begin[w.code] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+        out = _Words(_one_after_another(w.words, new.flatten()), code, np.repeat(w.row, size), np.repeat(w.line, size), w.begin, w.none)
+        return [_written(out), b.column("ends"), edits]
+
+    out = stored(_by_slice(_flat(pages), make, "flat string, ends string, edits array<struct<before:string,after:string>>"), kind_of)
+    return _as_pages(out), out.select(*AT, F.explode("edits").alias("e")).select(*AT, F.lit(kind_of).alias("kind"), "e.before", "e.after")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            some, lines = b.column("fixes").flatten(), b.column("lines")
-            own = [b.column("volume"), b.column("page"), b.column("hyphens")]
-            if not len(some):  # nothing changes, and there may be no words
-                yield pa.RecordBatch.from_arrays([*own, lines], names=["volume", "page", "hyphens", "lines"])
-                continue
-            flat, at = _looked_up(lines, some.field("before"))
-            new = pc.split_pattern(some.field("after"), " ")
-            begin = np.r_[len(flat) + np.cumsum(n := pc.list_value_length(new).to_numpy(zero_copy_only=False).astype(np.int64)) - n, 0]
-            sizes = np.r_[n, 1][at]
-            ends = np.cumsum(sizes)
-            first = np.where(at < 0, np.arange(len(flat)), begin[at])
-            source = np.repeat(first - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
-            words = pa.concat_arrays([flat, new.flatten()]).take(pa.array(source))
-            yield pa.RecordBatch.from_arrays([*own, _nested(lines, sizes, words)], names=["volume", "page", "hyphens", "lines"])
-
-    kind = pages.schema["volume"].dataType.simpleString()
-    joined = pages.join(by_page, list(AT), "left").select(*AT, "hyphens", "lines", F.coalesce("fixes", F.array().cast("array<struct<before:string,after:string>>")).alias("fixes"))
-    out = joined.mapInArrow(run, f"volume {kind}, page long, hyphens array<string>, lines array<array<string>>").select(*pages.columns)
-    return stored(out, kind_of), changed
 
 
 def _candidates(pages: DataFrame, words: Lexicon, shortest: int) -> DataFrame:
@@ -530,9 +672,43 @@ def mojibake_fixes(pages: DataFrame, words: Lexicon) -> DataFrame:
 # --- context ------------------------------------------------------------------------------------------
 
 
+def _word_places(pages: DataFrame, some: DataFrame, shown: int = 0) -> DataFrame:
+    """(place, tok, prev, next) of some words' places (volume, page, line, tok_no), with the words beside them in the line or
+    nothing; or (place, context), the word marked among up to ``shown`` ones on either side."""
+    table = held(some.select("tok"))
+    kind = pages.schema["volume"].dataType.simpleString()
+
+    def make(b: pa.RecordBatch, w: _Words) -> list[pa.Array]:
+        at = np.flatnonzero((table.value.find(w.words) >= 0)[w.code])
+        row, place = pa.array(w.row[at]), w.place(at)
+        place = pa.StructArray.from_arrays([b.column("volume").take(row), b.column("page").take(row), pa.array(place // LINE, pa.int32()), pa.array(place % LINE, pa.int32())], names=[*AT, "line", "tok_no"])
+        tok = w.words.take(pa.array(w.code[at]))
+        if shown:
+            first, last = np.searchsorted(w.line, w.line[at]), np.searchsorted(w.line, w.line[at], "right")
+            low, high = np.maximum(first, at - shown), np.minimum(last, at + shown + 1)
+            ends = np.cumsum(high - low)
+            near = np.repeat(high - ends, high - low) + np.arange(ends[-1] if len(ends) else 0)
+            code = w.code[near]
+            own = near == np.repeat(at, high - low)
+            code[own] += len(w.words)
+            mark = pc.binary_join_element_wise("<<", w.words, ">>", "")
+            around = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), _one_after_another(w.words, mark).take(pa.array(code)))
+            return [place, pc.binary_join(around, " ")]
+        line, code = np.r_[-1, w.line, -1], np.r_[0, w.code, 0]
+
+        def beside(k: np.ndarray) -> pa.Array:
+            near = line[k] == w.line[at]
+            return pc.fill_null(w.words.take(pa.array(code[k], mask=~near)), "")
+
+        return [place, tok, beside(at), beside(at + 2)]
+
+    columns = "context string" if shown else "tok string, prev string, next string"
+    return _many(pages, make, f"place struct<volume:{kind},page:bigint,line:int,tok_no:int>, {columns}", *AT)
+
+
 def _choices(pages: DataFrame, words: Lexicon, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(tok, candidate) of unknown words, and each of their places (volume, page, line, tok_no, tok) with the candidate that
-    fits its neighbours best and how well it does.
+    """(tok, candidate) of unknown words, and each of their places (volume, page, line, tok_no) and words with the candidate
+    that fits its neighbours best and how well it does.
 
     Candidates are the known words at one edit and the lookup's at two; ``pairs`` (prev, next, n) says how often words
     stand together.
@@ -541,11 +717,9 @@ def _choices(pages: DataFrame, words: Lexicon, pairs: DataFrame) -> tuple[DataFr
     near = W.within_one_edit(odd, words.known).select("tok", "candidate")
     far = W.symmetric_lookup(odd.filter(F.length("tok") >= 5), words.known).select("tok", F.col("fix").alias("candidate"))
     candidates = stored(near.unionByName(far).distinct(), "candidates")
-    toks = lambda x, k: F.transform(x, lambda w, j: F.struct(k.alias("line"), j.alias("tok_no"), w.alias("tok"), F.coalesce(F.get(x, j - 1), F.lit("")).alias("prev"), F.coalesce(F.get(x, j + 1), F.lit("")).alias("next")))
-    each = pages.select(*AT, F.explode(F.flatten(F.transform("lines", toks))).alias("p")).select(*AT, "p.*")
-    at = stored(W.join_words(each, candidates.select("tok").distinct(), words.vocab, "left_semi").withColumn("place", F.struct(*AT, "line", "tok_no")), "places")
-    chosen = stored(W.context_choice(at.select("place", "tok", "prev", "next"), candidates, pairs, "place"), "chosen")
-    return candidates, at.join(chosen.hint("merge"), "place")
+    at = stored(_word_places(pages, candidates.select("tok").distinct()), "places")
+    chosen = stored(W.context_choice(at, candidates, pairs, "place"), "chosen")
+    return candidates, at.select("place", "tok").join(chosen.hint("merge"), "place")
 
 
 def by_context(pages: DataFrame, words: Lexicon, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -555,11 +729,16 @@ def by_context(pages: DataFrame, words: Lexicon, pairs: DataFrame) -> tuple[Data
     """
     _, rows = _choices(pages, words, pairs)
     rows = rows.withColumn("pick", F.when(F.col("status") == "resolved", F.col("pick")))
-    audit = rows.filter("status <> 'no_ctx'").select(*AT, F.when(F.col("pick").isNotNull(), "context").otherwise("context_weak").alias("kind"), F.col("tok").alias("before"), F.col("pick").alias("after"))
-    by_page = rows.filter("pick IS NOT NULL").groupBy(*AT).agg(F.map_from_entries(F.collect_list(F.struct(F.struct("line", "tok_no"), "pick"))).alias("m_"))
-    out = pages.join(by_page, list(AT), "left")
-    lines = F.transform("lines", lambda x, k: F.transform(x, lambda w, j: F.coalesce(F.try_element_at(F.col("m_"), F.struct(k.alias("line"), j.alias("tok_no"))), w)))
-    return stored(out.withColumn("lines", F.when(F.col("m_").isNull(), F.col("lines")).otherwise(lines)).drop("m_"), "context"), audit
+    audit = stored(rows.filter("status <> 'no_ctx'").select("place", F.when(F.col("pick").isNotNull(), "context").otherwise("context_weak").alias("kind"), F.col("tok").alias("before"), F.col("pick").alias("after")), "by-context")
+    at = F.col("place.line").cast("long") * LINE + F.col("place.tok_no")
+    edits = audit.filter("after IS NOT NULL").select("place.volume", "place.page", at.alias("at"), F.col("before").alias("own"), F.col("after").alias("put"))
+
+    def make(b: pa.RecordBatch) -> list[pa.Array]:
+        return [_written(_changed(_read(b.column("flat")), b.column("changes"))), b.column("ends")]
+
+    out = _by_slice(_with_changes(_flat(pages), edits), make, "flat string, ends string")
+    return _kept(out, "context"), audit.select("place.volume", "place.page", "kind", "before", "after")
+
 
 
 #: Words on either side of one that a list shows, and candidates that it names.
@@ -573,24 +752,23 @@ def context_lists(pages: DataFrame, words: Lexicon, pairs: DataFrame) -> tuple[D
     The first as (volume, page, line, tok_no, tok, context, candidates), the word marked among those around it; the second
     as (tok, candidates, n). Candidates are named in their order, six at the most.
     """
+    pages = _kept(pages, "pages")
     candidates, rows = _choices(pages, words, pairs)
     named = candidates.groupBy("tok").agg(F.array_join(F.slice(F.array_sort(F.collect_set("candidate")), 1, NAMED), "|").alias("candidates"))
-    rows = rows.select(*AT, "line", "tok_no", "tok", "status").join(named.hint("merge"), "tok")
-    lost = rows.filter("status = 'no_ctx'").join(pages.select(*AT, "lines").hint("merge"), list(AT))
-    own = F.get("lines", "line")
-    begin = F.greatest(F.col("tok_no") - SHOWN, F.lit(0))
-    shown = F.concat(F.slice(own, begin + 1, F.col("tok_no") - begin), F.array(F.concat(F.lit("<<"), "tok", F.lit(">>"))), F.slice(own, F.col("tok_no") + 2, SHOWN))
-    lost = lost.select(*AT, "line", "tok_no", "tok", F.array_join(shown, " ").alias("context"), "candidates")
-    weak = rows.filter("status NOT IN ('no_ctx', 'resolved')").groupBy("tok", "candidates").agg(F.count("*").alias("n"))
+    named = rows.select("place", "tok", "status").join(named.hint("merge"), "tok")
+    around = _word_places(pages, candidates.select("tok").distinct(), SHOWN)
+    lost = named.filter("status = 'no_ctx'").join(around.hint("merge"), "place").select("place.*", "tok", "context", "candidates")
+    weak = named.filter("status NOT IN ('no_ctx', 'resolved')").groupBy("tok", "candidates").agg(F.count("*").alias("n"))
     return lost, weak
 
 
+
 # --- the cascade --------------------------------------------------------------------------------------
 
 
 def cascade(pages: DataFrame, words: Lexicon, pairs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The corrected pages, the audit (volume, page, kind, before, after) and the rates (stage, flagged, tokens)."""
-    pages = stored(pages, "pages")
+    pages = _kept(pages, "pages")
     rates, audits = [measured(pages, words, "raw")], []
     for stage in STAGES:
         if stage == "reunify":
@@ -624,8 +802,8 @@ def three_passes(texts: DataFrame, words: Lexicon, volume: str, page: str, text:
     A word one edit from a known one isn't cut: it is a misspelling and no run-on.
     """
     whole = pages_of(texts.withColumn(text, X.dehyphenated(F.col(text))), volume, page, text)
-    raw = stored(pages_of(texts, volume, page, text), "raw-pages")
-    joined = stored(whole, "joined-pages")
+    raw = _kept(pages_of(texts, volume, page, text), "raw-pages")
+    joined = _kept(whole, "joined-pages")
     odd = _candidates(joined, words, 4).select("tok")
     odd = odd.join(W.within_one_edit(odd, words.known).select("tok").distinct(), "tok", "left_anti")
     cut, audit_b = replaced(joined, W.only_split(odd, words.known).select("tok", F.array_join("pieces", " ").alias("fix")), words, "demerge")

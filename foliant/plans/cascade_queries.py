@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import cascade as C
 from ..operators import tokens as T
 from ..registry import query, table
+from ..sources.paths import stored
 from .token_queries import docs, vocab_known
 
 
@@ -15,7 +16,7 @@ def cascaded(spark, sf):
     words = C.Lexicon.of(known, v)
     broken = F.regexp_replace("text", r"(\p{L}{4})(\p{L}{5,})", "$1 $2")
     texts = table(spark, sf, "documents").select(F.floor(F.col("doc_id") / 20).alias("volume"), (F.col("doc_id") % 20).alias("page"), broken.alias("text"))
-    return C.cascade(C.pages_of(texts, "volume", "page"), words, T.bigrams(docs(spark, sf), known))
+    return C.cascade(C.pages_of(texts, "volume", "page"), words, stored(T.bigrams(docs(spark, sf), known), "bigrams"))
 
 
 @query("c02_cascade")
@@ -30,7 +31,7 @@ def c02_cascade(spark, sf):
 def context_lists(spark, sf):
     v, known = vocab_known(spark, sf)
     texts = table(spark, sf, "documents").select(F.floor(F.col("doc_id") / 20).alias("volume"), (F.col("doc_id") % 20).alias("page"), "text")
-    return C.context_lists(C.pages_of(texts, "volume", "page"), C.Lexicon.of(known, v), T.bigrams(docs(spark, sf), known))
+    return C.context_lists(C.pages_of(texts, "volume", "page"), C.Lexicon.of(known, v), stored(T.bigrams(docs(spark, sf), known), "bigrams"))
 
 
 @query("c20_no_context")
