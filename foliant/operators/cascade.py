@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from ..functions import text as X
 from ..sources.paths import stored
 from . import tokens as W
-from .lookup import Held, held
+from .lookup import HEAD, KNOWN, MADE, TAIL, Held, Looked, held, one_after_another, runs
 
 STAGES = ("reunify", "split", "autocorrect", "mojibake", "context")
 # How far a line's or page's last word looks ahead, how many pieces and how far apart a word may be.
@@ -62,7 +62,7 @@ class Lexicon:
         """Known words and what they may be used for, for lookups in batches; and ``pieces`` (tok, m) of them."""
         if pieces is None and self._held:
             return self._held[0]
-        strong = F.when(W.zipf(F.col("freq"), self.total) >= STRONG, STRONG_).otherwise(0)
+        strong = F.when(W.zipf(F.col("freq"), self.total) >= STRONG, MADE).otherwise(0)
         each = self.known.select("tok", (KNOWN + strong).alias("m"))
         if pieces is not None:
             return held(each.unionByName(pieces))
@@ -160,7 +160,7 @@ class _Words:
         code, left = self.code.copy(), np.ones(len(self.code), bool)
         code[first] = len(self.words) + new.indices.to_numpy(zero_copy_only=False)
         left[gone] = False
-        return _Words(_one_after_another(self.words, new.dictionary), code[left], self.row[left], self.line[left], self.begin, self.none)
+        return _Words(one_after_another(self.words, new.dictionary), code[left], self.row[left], self.line[left], self.begin, self.none)
 
 
 def _read(flat: pa.Array) -> _Words:
@@ -182,7 +182,7 @@ def _written(w: _Words) -> pa.Array:
     ends = np.r_[0, np.cumsum(size)]
     out = np.full(ends[-1], len(w.words))
     out[ends[w.line] + np.arange(len(w.code)) - (np.cumsum(count) - count)[w.line]] = w.code
-    each = pa.ListArray.from_arrays(pa.array(ends[w.begin], pa.int32()), _one_after_another(w.words, pa.array(["\n"])).take(pa.array(out)))
+    each = pa.ListArray.from_arrays(pa.array(ends[w.begin], pa.int32()), one_after_another(w.words, pa.array(["\n"])).take(pa.array(out)))
     return pc.if_else(pa.array(w.none), pa.scalar(None, pa.string()), pc.binary_join(each, " "))
 
 
@@ -228,11 +228,6 @@ def _hyphened(lines: pa.Array) -> pa.Array:
 
 
 
-def _one_after_another(*words: pa.Array) -> pa.Array:
-    """Words of several arrays; empty ones that Spark sends may lack offsets."""
-    return pa.concat_arrays([x for x in words if len(x)] or [pa.array([], pa.string())])
-
-
 def unknown_words(pages: DataFrame, words: Lexicon, shortest: int = 1) -> DataFrame:
     """(tok): the distinct words of all pages, of so many letters, that aren't known; those of a slice are found before
     anything is shuffled."""
@@ -269,8 +264,6 @@ LINE = 1 << 20
 SPACE, BREAK, XPAGE, WINDOW = "reunify_space", "reunify_break", "reunify_xpage", "reunify_window"
 
 
-#: What is known of a word: that alone, that parts may be joined to it, and that a known word begins or ends with it.
-KNOWN, STRONG_, HEAD, TAIL = 1, 2, 4, 8
 _MARKED = "array<array<struct<tok:string,m:int>>>"
 
 
@@ -315,7 +308,7 @@ def _put_together(pages: DataFrame, taken: DataFrame) -> DataFrame:
                 sizes = np.ones(len(flat), np.int64)
                 sizes[word[there & ~whole]] = 0
                 left = np.flatnonzero(sizes)
-                words = _one_after_another(flat.field("tok"), some.field("after")).take(pa.array(source[left]))
+                words = one_after_another(flat.field("tok"), some.field("after")).take(pa.array(source[left]))
                 words = pa.StructArray.from_arrays([words, pa.array(marks[left], pa.int32())], names=["tok", "m"])
                 yield pa.RecordBatch.from_arrays([b.column("volume"), b.column("page"), b.column("hyphens"), _nested(lines, sizes, words)], names=["volume", "page", "hyphens", "lines"])
 
@@ -323,29 +316,6 @@ def _put_together(pages: DataFrame, taken: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, f"volume {pages.schema['volume'].dataType.simpleString()}, page long, hyphens array<string>, lines {_MARKED}").select(*pages.columns)
 
 
-@dataclass
-class _Looked:
-    """The distinct words of a slice as the table has them: ``m`` of each, letters, hash and bytes."""
-
-    table: Held
-    words: pa.Array
-
-    def __post_init__(self) -> None:
-        self.hashed, self.size = self.table.hashes.of(self.words)
-        at = self.table.find(self.words, self.hashed)
-        self.bits = np.r_[self.table.columns["m"].to_numpy(zero_copy_only=False), 0].astype(np.int64)
-        self.m = self.bits[at]
-        self.letters = pc.utf8_length(self.words).to_numpy(zero_copy_only=False).astype(np.int64)
-
-    def made(self, hashed: np.ndarray, parts: list[np.ndarray], bit: int) -> tuple[np.ndarray, pa.Array]:
-        """Which words of these hashes, made of these parts, have a bit in the table; and they themselves."""
-        at = self.table.at(hashed)
-        some = np.flatnonzero(self.bits[at] & bit)
-        words = pc.binary_join_element_wise(*(self.words.take(pa.array(p[some])) for p in parts), "")
-        same = self.table.same(at[some], words)
-        return some[same], words.filter(pa.array(same))
-
-
 def _disjoint(*places: np.ndarray) -> np.ndarray:
     """Which of some rows are taken: one after another, those with no place that is taken."""
     used, out = set(), []
@@ -357,41 +327,12 @@ def _disjoint(*places: np.ndarray) -> np.ndarray:
 
 
 def _within_lines(w: _Words, table: Held) -> tuple[_Words, list]:
-    """Runs of up to ``PIECES`` words of a line that make a strong word: from left to right, the longest first.
-
-    Some word of a run isn't known; all have two letters, those that aren't known three, and five together. Returns
-    also the rows, kinds, and words before and after.
-    """
-    x, code = _Looked(table, w.words), w.code
-    letters, odd = x.letters[code], (x.m & KNOWN)[code] == 0
-    fit = (letters >= 2) & ((letters >= 3) | ~odd)
-    total, fits, some, hashed, size = letters, fit, odd, x.hashed[code], x.size[code]
-    first, count, put = [], [], []
-    for n in range(2, PIECES + 1):  # words from each place on, in the same line
-        k = len(code) - n + 1
-        if k <= 0:
-            break
-        hashed = table.hashes.joined(hashed[:k], size[:k], x.hashed[code[n - 1 :]])
-        size, total = size[:k] + x.size[code[n - 1 :]], total[:k] + letters[n - 1 :]
-        fits, some = fits[:k] & fit[n - 1 :] & (w.line[:k] == w.line[n - 1 :]), some[:k] | odd[n - 1 :]
-        at = np.flatnonzero(fits & some & (total >= 5))
-        found, made = x.made(hashed[at], [code[at + j] for j in range(n)], STRONG_)
-        first.append(at[found])
-        count.append(np.full(len(found), n))
-        put.append(made)
-    none = np.zeros(0, np.int64)
-    first, count, put = np.concatenate(first or [none]), np.concatenate(count or [none]), _one_after_another(*put)
-    order = np.lexsort((-count, first))
-    free, kept = 0, []
-    for k, at, n in zip(order.tolist(), first[order].tolist(), count[order].tolist()):
-        if at >= free:
-            free = at + n
-            kept.append(k)
-    kept = np.array(kept, np.int64)
-    first, count, put = first[kept], count[kept], put.take(pa.array(kept))
+    """Runs of up to ``PIECES`` words of a line that make a strong word, of five letters together. Returns also the rows,
+    kinds, and words before and after."""
+    first, count, put = runs(Looked(table, w.words), w.code, w.line, PIECES, 5, MADE)
     ends = np.cumsum(count)
     each = np.repeat(first - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)
-    before = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), w.words.take(pa.array(code[each]))), " ")
+    before = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), w.words.take(pa.array(w.code[each]))), " ")
     gone = np.setdiff1d(each, first, assume_unique=True)
     return w.edited(first, put, gone), [w.row[first], SPACE, before, put]
 
@@ -399,7 +340,7 @@ def _within_lines(w: _Words, table: Held) -> tuple[_Words, list]:
 def _over_lines(w: _Words, hyphens: pa.Array, table: Held) -> tuple[_Words, list]:
     """A line's last word, if a hyphen stands behind it or it isn't known, and the first word of one of the next lines, the
     nearest that makes a known word with it; they aren't both known."""
-    x, code = _Looked(table, w.words), w.code
+    x, code = Looked(table, w.words), w.code
     first = np.flatnonzero(np.r_[True, w.line[1:] != w.line[:-1]]) if len(code) else np.zeros(0, np.int64)
     last, line = np.r_[first[1:], len(code)][: len(first)] - 1, w.line[first]
     odd = (x.m & KNOWN)[code] == 0
@@ -441,9 +382,9 @@ def within_pages(pages: DataFrame, table: Broadcast[Held]) -> DataFrame:
         w, one = _within_lines(w, table.value)
         w, two = _over_lines(w, b.column("ends"), table.value)
         kinds = pa.array(np.repeat([SPACE, BREAK], [len(one[0]), len(two[0])]).tolist(), pa.string())
-        edits = _listed(np.r_[one[0], two[0]], b.num_rows, kind=kinds, before=_one_after_another(one[2], two[2]), after=_one_after_another(one[3], two[3]))
+        edits = _listed(np.r_[one[0], two[0]], b.num_rows, kind=kinds, before=one_after_another(one[2], two[2]), after=one_after_another(one[3], two[3]))
         # only the last line's last word, and the first line's first, where these lines have one
-        x, n = _Looked(table.value, w.words), len(w.code)
+        x, n = Looked(table.value, w.words), len(w.code)
         if not n:
             none = pa.nulls(b.num_rows, pa.string())
             return [_written(w), b.column("ends"), edits, pa.nulls(b.num_rows, pa.int64()), none, none]
@@ -485,7 +426,7 @@ def _changed(w: _Words, changes: pa.Array) -> _Words:
     return w.edited(at[some], each.field("put").take(pa.array(some)), at[(at >= 0) & ~put])
 
 
-def _reach(w: _Words, x: _Looked) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+def _reach(w: _Words, x: Looked) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
     """Pieces that end a known word and a word up to ``REACH`` places before them, or that begin one and a word as far
     behind them, in reading order, that make a strong word. A known word ends the search, if it isn't itself the partner.
 
@@ -506,12 +447,12 @@ def _reach(w: _Words, x: _Looked) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
             own, to = own[inside], to[inside]
             long = letters[to] >= 2
             a, b = (own[long], to[long]) if side else (to[long], own[long])
-            found, put = x.made(x.table.hashes.joined(x.hashed[code[a]], x.size[code[a]], x.hashed[code[b]]), [code[a], code[b]], STRONG_)
+            found, put = x.made(x.table.hashes.joined(x.hashed[code[a]], x.size[code[a]], x.hashed[code[b]]), [code[a], code[b]], MADE)
             out.append((own[long][found], np.full(len(found), side), np.full(len(found), d), a[found], b[found], put))
             own = own[odd[to]]
     own, sides, far, a, b = (np.concatenate([o[k] for o in out]) for k in range(5))
     order = np.lexsort((far, sides, own))
-    return *(y[order] for y in (own, sides, far, a, b)), _one_after_another(*(o[5] for o in out)).take(pa.array(order))
+    return *(y[order] for y in (own, sides, far, a, b)), one_after_another(*(o[5] for o in out)).take(pa.array(order))
 
 
 _ENDS = "array<struct<tok:string,at:bigint,new:bigint,used:boolean>>"
@@ -523,7 +464,7 @@ def within_reach(pages: DataFrame, table: Broadcast[Held]) -> DataFrame:
 
     def make(b: pa.RecordBatch) -> list[pa.Array]:
         w = _changed(_read(b.column("flat")), b.column("changes"))
-        *_, first, second, put = _reach(w, _Looked(table.value, w.words))
+        *_, first, second, put = _reach(w, Looked(table.value, w.words))
         taken = _disjoint(first, second)
         first, second, put = first[taken], second[taken], put.take(pa.array(taken))
         before = pc.binary_join_element_wise(*(w.words.take(pa.array(w.code[k])) for k in (first, second)), "+")
@@ -562,7 +503,7 @@ def _reach_over_pages(pages: DataFrame, table: Broadcast[Held]) -> tuple[DataFra
                 row, coded = np.repeat(np.arange(b.num_rows), size), each.field("tok").dictionary_encode()
                 behind = np.arange(len(row)) - (np.cumsum(size) - size)[row] >= b.column("n").to_numpy(zero_copy_only=False)[row]
                 w = _Words(coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), row, row, np.arange(b.num_rows + 1), np.zeros(b.num_rows, bool))
-                own, side, d, *ab, put = _reach(w, _Looked(table.value, w.words))
+                own, side, d, *ab, put = _reach(w, Looked(table.value, w.words))
                 over = np.flatnonzero(behind[ab[0]] != behind[ab[1]])
                 own, side, d, put = own[over], side[over], d[over], put.take(pa.array(over))
                 pages_ = [x.to_numpy(zero_copy_only=False) for x in (b.column("page_a"), b.column("page"))]
@@ -626,7 +567,7 @@ def replaced(pages: DataFrame, fixes: DataFrame, words: Lexicon, kind_of: str) -
         size = n[w.code]
         ends = np.cumsum(size)
         code = np.repeat(begin[w.code] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
-        out = _Words(_one_after_another(w.words, new.flatten()), code, np.repeat(w.row, size), np.repeat(w.line, size), w.begin, w.none)
+        out = _Words(one_after_another(w.words, new.flatten()), code, np.repeat(w.row, size), np.repeat(w.line, size), w.begin, w.none)
         return [_written(out), b.column("ends"), edits]
 
     out = stored(_by_slice(_flat(pages), make, "flat string, ends string, edits array<struct<before:string,after:string>>"), kind_of)
@@ -692,7 +633,7 @@ def _word_places(pages: DataFrame, some: DataFrame, shown: int = 0) -> DataFrame
             own = near == np.repeat(at, high - low)
             code[own] += len(w.words)
             mark = pc.binary_join_element_wise("<<", w.words, ">>", "")
-            around = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), _one_after_another(w.words, mark).take(pa.array(code)))
+            around = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), one_after_another(w.words, mark).take(pa.array(code)))
             return [place, pc.binary_join(around, " ")]
         line, code = np.r_[-1, w.line, -1], np.r_[0, w.code, 0]
 

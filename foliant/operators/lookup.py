@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame
 
 # An odd number whose powers are a byte's weights, and words that are hashed at once.
 _BASE, _AT_ONCE = 0x9E3779B97F4A7C15, 1 << 16
+#: What a table's ``m`` may say of a word: that it is known, that parts may be joined to it, and that a known word begins or
+#: ends with it.
+KNOWN, MADE, HEAD, TAIL = 1, 2, 4, 8
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -104,3 +107,61 @@ class Held:
 def held(words: DataFrame):
     """A broadcast of a table of distinct words, its first column."""
     return words.sparkSession.sparkContext.broadcast(Held(words.toArrow()))
+
+
+def one_after_another(*words: pa.Array) -> pa.Array:
+    """Words of several arrays; empty ones that Spark sends may lack offsets."""
+    return pa.concat_arrays([x for x in words if len(x)] or [pa.array([], pa.string())])
+
+
+class Looked:
+    """The distinct words of a slice as a table with ``m`` has them: their ``m``, letters, hashes and bytes."""
+
+    def __init__(self, table: Held, words: pa.Array):
+        self.table, self.words = table, words
+        self.hashed, self.size = table.hashes.of(words)
+        self.bits = np.r_[table.columns["m"].to_numpy(zero_copy_only=False), 0].astype(np.int64)
+        self.m = self.bits[table.find(words, self.hashed)]
+        self.letters = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def made(self, hashed: np.ndarray, parts: list[np.ndarray], bit: int) -> tuple[np.ndarray, pa.Array]:
+        """Which words of these hashes, made of these parts, have a bit in the table; and they themselves."""
+        at = self.table.at(hashed)
+        some = np.flatnonzero(self.bits[at] & bit)
+        words = pc.binary_join_element_wise(*(self.words.take(pa.array(p[some])) for p in parts), "")
+        same = self.table.same(at[some], words)
+        return some[same], words.filter(pa.array(same))
+
+
+def runs(x: Looked, code: np.ndarray, line: np.ndarray, most: int, shortest: int, bit: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Where runs of up to ``most`` words of a line begin that make a word with a bit in the table, how many words they have,
+    and what they make: from left to right, the longest first, without overlap.
+
+    Some word of a run isn't known; all have two letters, those that aren't known three, and ``shortest`` together.
+    """
+    letters, odd = x.letters[code], (x.m & KNOWN)[code] == 0
+    fit = (letters >= 2) & ((letters >= 3) | ~odd)
+    total, fits, some, hashed, size = letters, fit, odd, x.hashed[code], x.size[code]
+    none = np.zeros(0, np.int64)
+    first, count, put = [none], [none], []
+    for n in range(2, most + 1):  # words from each place on, in the same line
+        k = len(code) - n + 1
+        if k <= 0:
+            break
+        hashed = x.table.hashes.joined(hashed[:k], size[:k], x.hashed[code[n - 1 :]])
+        size, total = size[:k] + x.size[code[n - 1 :]], total[:k] + letters[n - 1 :]
+        fits, some = fits[:k] & fit[n - 1 :] & (line[:k] == line[n - 1 :]), some[:k] | odd[n - 1 :]
+        at = np.flatnonzero(fits & some & (total >= shortest))
+        found, made = x.made(hashed[at], [code[at + j] for j in range(n)], bit)
+        first.append(at[found])
+        count.append(np.full(len(found), n))
+        put.append(made)
+    first, count = np.concatenate(first), np.concatenate(count)
+    free, kept = 0, []
+    order = np.lexsort((-count, first))
+    for k, at, n in zip(order.tolist(), first[order].tolist(), count[order].tolist()):
+        if at >= free:
+            free = at + n
+            kept.append(k)
+    kept = np.array(kept, np.int64)
+    return first[kept], count[kept], one_after_another(*put).take(pa.array(kept))

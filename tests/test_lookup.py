@@ -86,3 +86,15 @@ def test_pairs_of_many_known_words_are_looked_up_before_they_are_shuffled(spark,
     pairs = T.bigrams(docs, known)
     assert sorted(map(tuple, pairs.collect())) == [("a", "b", 2), ("b", "a", 1)]
     assert len(shuffled(T.bigrams(docs, known))) == 1 and "Join" not in planned(pairs)
+
+
+def test_runs_are_neither_joined_nor_shuffled(spark, monkeypatch):
+    """Also with more known words than are broadcast to be joined: nothing but what is found is written."""
+    stored, seen = T.stored, []
+    monkeypatch.setattr(T, "BROADCAST_WORDS", 1)
+    monkeypatch.setattr(T, "stored", lambda df, name: (seen.append(df), stored(df, name))[1])
+    lines = spark.createDataFrame([(1, 0, ["the", "sta", "tute", "of", "sta", "te"]), (1, 0, ["sta", "te"]), (2, 0, None)], "doc_id long, line_no int, toks array<string>")
+    known = spark.createDataFrame([("statute", 30), ("the", 30), ("state", 30), ("te", 30)], "tok string, freq long")
+    rows = sorted(map(tuple, T.rejoined(lines, known, known).collect()))
+    assert rows == [(1, 0, 0, 2, "state"), (1, 0, 1, 2, "statute"), (1, 0, 4, 2, "state")]
+    assert seen and all("Join" not in planned(df) and not shuffled(df) for df in seen)
