@@ -105,23 +105,72 @@ def _banded(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, most: in
     return out
 
 
+#: Bits of a sieve's part, by their logarithm, bits for each key, and parts at the most: 64 MB in all.
+_PART, _EACH, _PARTS = 20, 16, 1 << 9
+_ONE, _TWO = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
+
+
+def _sifted(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each key's part of a sieve, and its two bits there."""
+    one, two = (keys.view(np.uint64) * x for x in (_ONE, _TWO))
+    low = np.uint64(64 - _PART)
+    return ((one & np.uint64(0xFFFFFFFF)) % np.uint64(parts)).astype(np.int64), (one >> low).astype(np.int64), (two >> low).astype(np.int64)
+
+
+class Sieve:
+    """Bits that say of a key that a table doesn't have it, or that it may."""
+
+    def __init__(self, parts: dict[int, bytes], n: int):
+        self.bits = np.zeros((n, 1 << (_PART - 3)), np.uint8)
+        for k, bits in parts.items():
+            self.bits[k] = np.frombuffer(bits, np.uint8)
+
+    def passes(self, keys: np.ndarray) -> np.ndarray:
+        part, *both = _sifted(keys, len(self.bits))
+        one, two = (self.bits[part, at >> 3] >> (at & 7) & 1 for at in both)
+        return (one & two) > 0
+
+
+def sieve(keys: DataFrame, n: int):
+    """A broadcast sieve of some ``n`` keys (key), each part of it put together by one task."""
+    parts = min(_PARTS, 1 + n * _EACH // (1 << _PART))
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            part, one, two = _sifted(b.column(0).to_numpy(), parts)
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(one << _PART | two)], names=["part", "both"])
+
+    def put(t: pa.Table) -> pa.Table:
+        both, bits = t.column("both").to_numpy(), np.zeros(1 << _PART, np.uint8)
+        bits[both >> _PART] = bits[both & (1 << _PART) - 1] = 1
+        return pa.table({"part": t.column("part").slice(0, 1), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+
+    rows = keys.select("key").mapInArrow(dealt, "part int, both long").groupBy("part").applyInArrow(put, "part int, bits binary").toArrow().to_pylist()
+    return keys.sparkSession.sparkContext.broadcast(Sieve({r["part"]: r["bits"] for r in rows}, parts))
+
+
 def near(unknown: DataFrame, known: DataFrame, edits: int) -> DataFrame:
-    """(tok, candidate, freq, d) of ``unknown`` (tok) and ``known`` (tok, freq) at up to ``edits`` edits, one at least."""
-    longest = known.agg(F.max(F.length("tok"))).first()[0] or 0
-    unknown = unknown.select("tok").filter(F.length("tok") <= longest + edits).distinct()
+    """(tok, candidate, freq, d) of ``unknown`` (tok) and ``known`` (tok, freq) at up to ``edits`` edits, one at least.
 
-    def keyed(words: DataFrame) -> DataFrame:
-        names = ["key", *words.columns]
+    Most forms of unknown words are no known word's: they are sifted before anything is shuffled.
+    """
+    n = F.length("tok")
+    some = known.agg(F.max(n).alias("longest"), F.sum(1 + n + (n * (n - 1) / 2 if edits > 1 else 0)).alias("forms")).first()
+    unknown = unknown.select("tok").filter(n <= (some.longest or 0) + edits).distinct()
 
+    def keyed(words: DataFrame, sifted=None) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 for at, keys in forms(b.column(0), edits):
+                    if sifted is not None:
+                        left = sifted.value.passes(keys)
+                        at, keys = at[left], keys[left]
                     at = pa.array(at)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys), *(b.column(c).take(at) for c in words_columns)], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), *(b.column(c).take(at) for c in columns)], names=["key", *columns])
 
-        words_columns = words.columns
+        columns = words.columns
         # a few words are many forms: they are made by all tasks
-        words = words.repartition(words.sparkSession.sparkContext.defaultParallelism, words_columns[0])
+        words = words.repartition(words.sparkSession.sparkContext.defaultParallelism, columns[0])
         return words.mapInArrow(run, T.StructType([T.StructField("key", T.LongType()), *words.schema]))
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,6 +179,8 @@ def near(unknown: DataFrame, known: DataFrame, edits: int) -> DataFrame:
             at = pa.array(np.flatnonzero((d > 0) & (d <= edits)))
             yield pa.RecordBatch.from_arrays([*(c.take(at) for c in b.columns), pa.array(d, pa.int32()).take(at)], names=schema.names)
 
-    pairs = keyed(unknown).join(keyed(known.select(F.col("tok").alias("candidate"), "freq")).hint("merge"), "key").select("tok", "candidate", "freq")
+    right = keyed(known.select(F.col("tok").alias("candidate"), "freq"))
+    left = keyed(unknown, sieve(right, int(some.forms or 0)))
+    pairs = left.join(right.hint("merge"), "key").select("tok", "candidate", "freq")
     schema = T.StructType([*pairs.schema, T.StructField("d", T.IntegerType())])
     return pairs.mapInArrow(compared, schema).distinct()

@@ -98,3 +98,28 @@ def test_runs_are_neither_joined_nor_shuffled(spark, monkeypatch):
     rows = sorted(map(tuple, T.rejoined(lines, known, known).collect()))
     assert rows == [(1, 0, 0, 2, "state"), (1, 0, 1, 2, "statute"), (1, 0, 4, 2, "state")]
     assert seen and all("Join" not in planned(df) and not shuffled(df) for df in seen)
+
+
+def test_a_sieve_loses_no_key_and_most_others(spark):
+    rng = np.random.default_rng(5)
+    keys, others = (rng.integers(-(1 << 63), 1 << 63, n) for n in (200_000, 100_000))
+    sieve = E.sieve(spark.createDataFrame(pa.table({"key": keys})), len(keys)).value
+    assert len(sieve.bits) == 4 and sieve.passes(keys).all() and sieve.passes(others).mean() < 0.03
+    assert not E.sieve(spark.createDataFrame([], "key long"), 0).value.passes(others).any()
+
+
+def test_places_without_context_take_no_page_along(spark):
+    """A word's surroundings are made with its place: no page is joined to show them."""
+    known = spark.createDataFrame(list(WORDS.items()), "tok string, freq long")
+    pages = C.pages_of(spark.createDataFrame([(1, 0, "the people of the sbction amended\nsbction"), (1, 1, None)], "volume long, page long, text string"), "volume", "page")
+    lost, _ = C.context_lists(pages, C.Lexicon.of(known, known), spark.createDataFrame([], "prev string, next string, n long"))
+    assert sorted(tuple(r) for r in lost.collect()) == [(1, 0, 0, 4, "sbction", "the people of the <<sbction>> amended", "section"), (1, 0, 1, 0, "sbction", "<<sbction>>", "section")]
+    assert not any("lines" in x or "page#" in x for x in shuffled(lost))
+
+
+def test_forms_are_made_by_all_tasks_and_sifted(spark):
+    """A few words are many forms: they aren't made by the one task that a small table is."""
+    known = spark.createDataFrame(list(WORDS.items()), "tok string, freq long").coalesce(1)
+    plan = E.near(known.select("tok").coalesce(1), known, 2)._jdf.queryExecution().executedPlan().toString()
+    n = spark.sparkContext.defaultParallelism
+    assert n > 1 and plan.count(f", {n}), REPARTITION_BY_NUM") == 2 and "explode" not in plan
